@@ -1,0 +1,77 @@
+"""Raw files -> silver parquet -> gold tables, end to end on fleet fixtures."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from odometrix.plans import fleet
+from odometrix.schemas import RAW_ENVIRONMENT, RAW_FLEET, RAW_MAINTENANCE
+from tests.test_sources import reading
+
+import json
+
+
+def land_raw(spark, root):
+    sensor_dir = os.path.join(root, "raw_sensor_data")
+    os.makedirs(sensor_dir)
+    for vid in ("V00001", "V00002"):
+        for day in (1, 2):
+            rows = []
+            for h in range(8):
+                ts = f"2024-03-{day:02d} {h + 5:02d}:00:00"
+                temp = 145.0 if (vid, day, h) == ("V00001", 2, 3) else 80.0 + (h % 3)
+                rows.append(reading(vid, ts, 90.0 - h, 100.0 * day + h + (0 if vid == "V00001" else 1000), engine=temp))
+            with open(os.path.join(sensor_dir, f"{vid}_2024-03-{day:02d}.json"), "w") as fh:
+                json.dump(rows, fh, indent=4)
+    maint = spark.createDataFrame(
+        [
+            ("V00001", "2024-03-01", "Reactive", "Engine", "Engine overheating", "Repair", 120.0),
+            ("V00001", "2024-03-02", "Planned", "Tires", "Routine check", "Inspection", 60.0),
+            ("V00002", "2024-03-02", "Reactive", "Battery", "Battery malfunction", "Replacement", 300.0),
+        ],
+        RAW_MAINTENANCE,
+    )
+    maint.write.parquet(os.path.join(root, "raw_maintenance_data"))
+    env_rows = []
+    for day in (1, 2):
+        for h in range(24):
+            env_rows.append((f"2024-03-{day:02d} {h:02d}:00:00", 20.0 if day == 2 else 45.0, 5.0, 90.0, 0.0, 50.0))
+    spark.createDataFrame(env_rows, RAW_ENVIRONMENT).write.parquet(os.path.join(root, "raw_environmental_data"))
+    fleet_rows = [
+        ("V00001", "AE24", "Audi", 2019, 90000, "Bus", "Diesel", 1000, "D_00002", True),
+        ("V00002", "S900", "Mercedes-Benz", 2017, 120000, "Bus", "Gasoline", 5000, "D_00001", False),
+    ]
+    spark.createDataFrame(fleet_rows, RAW_FLEET).write.parquet(os.path.join(root, "raw_fleet_metadata"))
+
+
+def test_raw_to_gold(spark, tmp_dir):
+    raw_root = os.path.join(tmp_dir, "raw")
+    land_raw(spark, raw_root)
+    paths = fleet.land_silver(spark, raw_root, os.path.join(tmp_dir, "silver"))
+    # landing twice leaves the first data alone
+    fleet.land_silver(spark, raw_root, os.path.join(tmp_dir, "silver"))
+    sensors = spark.read.parquet(paths["silver_sensor_data"]).drop("date")
+    assert sensors.count() == 32
+    logs = spark.read.parquet(paths["silver_fleet_maintenance_logs"])
+    meta = spark.read.parquet(paths["silver_fleet_metadata"])
+    env = spark.read.parquet(paths["silver_environmental_data"])
+
+    q1 = {r["vehicle_make_model"]: r["breakdown_count"] for r in fleet.gold_breakdowns_by_make_model(meta, logs).collect()}
+    assert q1 == {"Audi AE24": 1, "Mercedes-Benz S900": 1}
+
+    env_risk = fleet.gold_environmental_data_with_risk(
+        env, [(F.col("temperature") < 32, "Snow Storm", "high"), (F.col("highest_wind_speed") > 20, "Windy Rain", "medium")]
+    )
+    flags = fleet.gold_sensor_engine_temp_with_flags(sensors)
+    assert flags.agg(F.sum("peak_flag")).first()[0] == 1
+    q2 = fleet.gold_engine_abnormalities_by_climate(env_risk, flags).collect()
+    assert [tuple(r) for r in q2] == [("Snow Storm", 1)]
+
+    q3 = sorted(tuple(r) for r in fleet.gold_vehicle_logs_by_mile_traveled(logs, sensors).collect())
+    assert q3 == [("V00001", 1, 107), ("V00002", 1, 107)]
+
+    names = fleet.save_gold_tables(meta, logs, sensors, env_risk, prefix="odx_t_")
+    for n in names:
+        assert spark.table(n).count() >= 1
+        spark.sql(f"DROP TABLE {n}")

@@ -1,0 +1,44 @@
+from pyspark.sql import functions as F
+
+from odometrix.operators import NOMINAL_RANGES, apply_tag_rules, range_fault_counts, range_faults
+
+
+def test_first_matching_rule_wins_and_no_match_is_null(spark):
+    df = spark.createDataFrame([(1, -5.0, 30.0), (2, -5.0, 5.0), (3, 10.0, 5.0), (4, None, 5.0)], "h int, temp double, wind double")
+    rules = [
+        (F.col("temp") < 0, "Snow Storm", "high"),
+        (F.col("wind") > 20, "Windy Rain", "medium"),
+    ]
+    got = {r["h"]: (r["climate_tag"], r["climate_risk"]) for r in apply_tag_rules(df, rules).collect()}
+    assert got == {1: ("Snow Storm", "high"), 2: ("Snow Storm", "high"), 3: (None, None), 4: (None, None)}
+
+
+def test_range_faults_bounds_belong_to_range(spark):
+    df = spark.createDataFrame(
+        [(1, 70.0, 12.0), (2, 100.0, 14.0), (3, 135.0, 12.5), (4, 85.0, 9.5), (5, 150.0, 10.0), (6, None, float("nan"))],
+        "i int, engine_temp double, battery_voltage double",
+    )
+    ranges = {k: NOMINAL_RANGES[k] for k in ("engine_temp", "battery_voltage")}
+    got = {r["i"]: tuple(r)[1:] for r in range_faults(df, ranges, keep=["i"]).collect()}
+    assert got[1] == ("ok", "ok", None)
+    assert got[2] == ("ok", "ok", None)
+    assert got[3] == ("high", "ok", "engine_temp:high")
+    assert got[4] == ("ok", "low", "battery_voltage:low")
+    assert got[5] == ("high", "low", "engine_temp:high,battery_voltage:low")
+    assert got[6] == (None, None, None)
+    counts = {r["fault"]: r["num_readings"] for r in range_fault_counts(range_faults(df, ranges)).collect()}
+    assert counts[None] == 3 and counts["engine_temp:high"] == 1
+
+
+def test_nominal_ranges_separate_generator_faults():
+    # injected fault ranges of the raw generator all fall outside nominal
+    faults = {
+        "front_left_tire_pressure": (10, 20),
+        "engine_temp": (120, 150),
+        "battery_voltage": (9, 11),
+        "oil_pressure": (10, 15),
+    }
+    for col, (lo, hi) in faults.items():
+        nlo, nhi = NOMINAL_RANGES[col]
+        assert hi < nlo or lo > nhi
+    assert 70 > NOMINAL_RANGES["oil_pressure"][1]
