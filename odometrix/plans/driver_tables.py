@@ -7,8 +7,10 @@ The fleet domain maps onto the driver's tables like this:
   reactive (unplanned) repair, the part key the vehicle.
 * ``events`` are sensor readings: ``user_id`` the vehicle, ``ts`` the reading
   time, ``value`` the measure; ``error``/``purchase`` events are repairs.
-* The hourly mean of ``view`` events plays the weather; its tag thresholds
-  are test parameters, not domain rules.
+* The hourly mean of ``view`` events plays the weather. Its tag thresholds
+  are test parameters, not domain rules: hours above the 90th percentile of
+  the hourly means are ``high``, below the 10th ``low`` -- quantiles, so that
+  every scale of the data has tagged hours.
 * ``lineitem`` quantities and discounts are metrics with nominal ranges.
 
 Every query reads whole tables; each returns a lazy DataFrame. Float outputs
@@ -52,7 +54,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed parameters of the mapping.
 REPAIR_EVENTS = ("error", "purchase")
-TAG_RULES = (("high", "red", ">", 100.0), ("low", "amber", "<", 20.0))
+TAG_RULES = (("high", "red", ">", 0.9), ("low", "amber", "<", 0.1))  # (tag, risk, op, quantile)
 FAULT_RANGES = {"l_quantity": (10.0, 40.0), "l_discount": (0.02, 0.08)}
 TOP_N = 10
 RUNNING_START = 100000
@@ -185,7 +187,12 @@ def _hourly_tags(spark: SparkSession, d: str) -> DataFrame:
     hourly = ev.groupBy(hour_of(ev, "ts").alias("hour")).agg(F.avg("value").alias("mean_value"))
     m = F.col("mean_value")
     ops = {">": lambda a, b: a > b, "<": lambda a, b: a < b}
-    rules = [(ops[op](m, F.lit(t)), tag, risk) for tag, risk, op, t in TAG_RULES]
+    # Each threshold is an exact percentile of the (one row per hour) table,
+    # evaluated once as a scalar subquery.
+    rules = [
+        (ops[op](m, hourly.agg(F.percentile("mean_value", F.lit(q))).scalar()), tag, risk)
+        for tag, risk, op, q in TAG_RULES
+    ]
     return apply_tag_rules(hourly, rules)
 
 

@@ -65,17 +65,23 @@ LEFT JOIN (SELECT user_id, value, {HOUR} AS hour FROM events) e ON p.user_id = e
 """
 
 
+HOURLY_MEANS = f"""
+SELECT {HOUR} AS hour, avg(value) AS mean_value FROM events WHERE event_type = 'view' GROUP BY 1
+"""
+
+
 def _tag_case(pick: int) -> str:
     whens = " ".join(
-        f"WHEN mean_value {op} {t} THEN '{(tag, risk)[pick]}'" for tag, risk, op, t in TAG_RULES
+        f"WHEN mean_value {op} (SELECT quantile_cont(mean_value, {q}) FROM ({HOURLY_MEANS}) hq) "
+        f"THEN '{(tag, risk)[pick]}'"
+        for tag, risk, op, q in TAG_RULES
     )
     return f"CASE {whens} END"
 
 
 HOURLY_TAGS = f"""
 SELECT hour, mean_value, {_tag_case(0)} AS climate_tag, {_tag_case(1)} AS climate_risk
-FROM (SELECT {HOUR} AS hour, avg(value) AS mean_value FROM events
-      WHERE event_type = 'view' GROUP BY 1) h
+FROM ({HOURLY_MEANS}) h
 """
 
 
