@@ -10,12 +10,13 @@ task does a third of the work. Instead:
 2. Each block is sorted locally and scanned by a vectorised pandas pass
    (``mapInPandas``, Arrow batches): prefix sums (and running minima of
    them) restart at every key change within the block.
-3. Per (block, key) segment totals -- and segment minima of the local prefix
-   sums -- are aggregated, and a window over a key's segments ordered by
-   block gives each segment the sum (and minimum) of everything before it.
-   Only a block's *first* segment can continue a key from an earlier block,
-   so the offset table has at most one row per block: ``n`` rows, a bound
-   that does not grow with the data, so it is broadcast.
+3. Only a block's first and last key can span blocks. A second pandas pass
+   over the same sorted blocks emits just those two segments per block --
+   total and minimum local prefix sum -- so the segment table has at most
+   ``2n`` rows whatever the data size. A window over each key's segments,
+   ordered by block, gives each segment the sum (and minimum) of everything
+   before it; only a block's first segment can have a predecessor, so the
+   offset table has at most ``n`` rows and is broadcast.
 4. The offsets are joined back on (block, key) and added.
 
 Block ids come from ``spark_partition_id()`` right above the range exchange.
@@ -107,6 +108,68 @@ def _local_scan(keys: list[str], with_min: bool):
     return scan
 
 
+def _segment_summary(keys: list[str], with_min: bool):
+    """Builds the per-block pandas pass that emits the block's first and last
+    segment: ``(block, keys..., seg_sum, seg_min)``, one row if the block
+    holds a single key. Streams the block with O(1) state."""
+
+    def summarize(batches):
+        blk = None
+        open_key = None  # key of the segment still open at the batch end
+        open_sum = None
+        open_min = None
+        first = None  # the block's first segment, once closed
+        closed = 0
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            blk = pdf[BLOCK].iloc[0]
+            kcols = [pdf[k].reset_index(drop=True) for k in keys]
+            new_run = np.zeros(n, dtype=bool)
+            new_run[0] = True
+            for c in kcols:
+                new_run[1:] |= ~_same(
+                    c.iloc[1:].reset_index(drop=True), c.iloc[:-1].reset_index(drop=True)
+                )
+            continues = open_key is not None and all(
+                bool(_same(pd.Series([c.iloc[0]]), pd.Series([ok]))[0])
+                for c, ok in zip(kcols, open_key)
+            )
+            if open_key is not None and not continues:
+                if closed == 0:
+                    first = (open_key, open_sum, open_min)
+                closed += 1
+            run = np.cumsum(new_run)
+            d = pdf[DELTA].reset_index(drop=True)
+            cum = d.groupby(run, sort=False).cumsum()
+            if continues:
+                cum[run == 1] += open_sum
+            cmin = cum.groupby(run, sort=False).cummin()
+            if continues:
+                cmin[run == 1] = np.minimum(cmin[run == 1], open_min)
+            ends = np.flatnonzero(np.append(new_run[1:], True))  # last row of each run
+            for i in ends[:-1]:  # runs that close inside this batch
+                if closed == 0:
+                    first = ([c.iloc[i] for c in kcols], cum.iloc[i], cmin.iloc[i])
+                closed += 1
+            last = ends[-1]
+            open_key = [c.iloc[last] for c in kcols]
+            open_sum, open_min = cum.iloc[last], cmin.iloc[last]
+        if blk is None:
+            return
+        segs = ([first] if first is not None else []) + [(open_key, open_sum, open_min)]
+        out = {BLOCK: [blk] * len(segs)}
+        for j, k in enumerate(keys):
+            out[k] = [seg[0][j] for seg in segs]
+        out["seg_sum"] = [seg[1] for seg in segs]
+        if with_min:
+            out["seg_min"] = [seg[2] for seg in segs]
+        yield pd.DataFrame(out)
+
+    return summarize
+
+
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
     if num_blocks:
         return int(num_blocks)
@@ -139,6 +202,11 @@ def prefix_scan(
     ranged = base.repartitionByRange(_num_blocks(df, num_blocks), *sort_cols).withColumn(
         BLOCK, F.spark_partition_id()
     )
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Without exchange reuse each branch below would sample its own range
+        # bounds; keep one materialisation so that block ids agree.
+        ranged = ranged.persist(StorageLevel.DISK_ONLY)
+
     value_type = T.LongType() if kind == "long" else T.DoubleType()
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(PREFIX_SUM, value_type)])
     if with_min:
@@ -147,19 +215,17 @@ def prefix_scan(
         _local_scan(keys, with_min), schema=schema
     )
 
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Without exchange reuse each branch below would sample its own range
-        # bounds; keep one materialisation so that block ids agree.
-        local = local.persist(StorageLevel.DISK_ONLY)
-
-    # Segment statistics come from the same scanned rows as the output, so
-    # both branches sit on one (reused) range exchange and see the same
-    # block ids. A segment's total is its last local prefix sum, i.e. the
-    # sum of its deltas; its minimum is the least local prefix sum.
-    aggs = [F.sum(DELTA).alias("seg_sum")]
+    # Edge segments of each block, from a second pass over the same sorted
+    # blocks. The pandas pass consumes every column, so nothing is pruned
+    # below it and its range exchange is identical to the scan's: Spark
+    # reuses the one exchange and both passes see the same block ids.
+    seg_fields = [ranged.schema[BLOCK], *[ranged.schema[k] for k in keys]]
+    seg_fields.append(T.StructField("seg_sum", value_type))
     if with_min:
-        aggs.append(F.min(PREFIX_SUM).alias("seg_min"))
-    seg = local.groupBy(BLOCK, *keys).agg(*aggs)
+        seg_fields.append(T.StructField("seg_min", value_type))
+    seg = ranged.sortWithinPartitions(*sort_cols).mapInPandas(
+        _segment_summary(keys, with_min), schema=T.StructType(seg_fields)
+    )
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn(_OFF_SUM, F.sum("seg_sum").over(before))
     cols = [F.col(BLOCK).alias(_OFF_BLK), *[F.col(k).alias(f"_odx_k_{k}") for k in keys], _OFF_SUM]

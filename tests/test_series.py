@@ -115,3 +115,29 @@ def test_last_per_period(spark):
         ("V1", dt.date(2024, 1, 2), 130.0, 100.0),
         ("V2", dt.date(2024, 1, 1), 5.0, 90.0),
     ]
+
+
+@pytest.mark.parametrize("batch", [1, 7, 64])
+def test_scan_carries_across_small_arrow_batches(spark, batch):
+    rows = make_rows(seed=5, n=1500, hot_share=0.5)
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        plain = {r["id"]: r["t"] for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=6, name="t").collect()}
+        clamp = {r["id"]: r["t"] for r in clamped_running_total(df, "k", "ts", "d", start=5, tiebreak="id", num_blocks=6, name="t").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert plain == brute(rows)
+    assert clamp == brute(rows, start=5, clamp=True)
+
+
+def test_scan_without_exchange_reuse_still_correct(spark):
+    rows = make_rows(seed=9, n=800)
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["id"]: r["t"] for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=5, name="t").collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got == brute(rows)
