@@ -10,6 +10,8 @@ from odometrix.functions.columns import (
     parse_timestamp,
     round_half_even,
     safe_corr,
+    shift_date,
+    shift_time,
     timestamp_text,
     trunc_int,
 )
@@ -26,6 +28,8 @@ __all__ = [
     "parse_timestamp",
     "round_half_even",
     "safe_corr",
+    "shift_date",
+    "shift_time",
     "timestamp_text",
     "trunc_int",
 ]

@@ -99,6 +99,16 @@ def hour_of(df: DataFrame, name: str) -> Column:
     return h
 
 
+def shift_time(c: ColumnOrName, *, weeks: int = 0, days: int = 0, hours: int = 0) -> Column:
+    """Timestamp plus whole weeks, days and hours (a ``timestamp_ntz`` stays NTZ)."""
+    return _col(c) + F.make_dt_interval(days=F.lit(weeks * 7 + days), hours=F.lit(hours))
+
+
+def shift_date(c: ColumnOrName, *, weeks: int = 0, days: int = 0) -> Column:
+    """Date plus whole weeks and days."""
+    return F.date_add(_col(c), weeks * 7 + days)
+
+
 def format_id(prefix: str, n: ColumnOrName, width: int = 5) -> Column:
     """Zero-padded identifiers such as ``V00001`` or ``D_00001``."""
     return F.format_string(f"{prefix}%0{width}d", _col(n))

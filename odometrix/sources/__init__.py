@@ -1,9 +1,13 @@
+from odometrix.sources.catalog import MODELS, model_catalog, with_vehicle_type
 from odometrix.sources.sensor_json import read_sensor_json
 from odometrix.sources.spine import hourly_spine, hourly_spine_for
 from odometrix.sources.tables import TABLES, load_table, register_tables
 from odometrix.sources.writers import checkpoint_dir, save_gold, write_once, write_sensor_json
 
 __all__ = [
+    "MODELS",
+    "model_catalog",
+    "with_vehicle_type",
     "TABLES",
     "checkpoint_dir",
     "hourly_spine",

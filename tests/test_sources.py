@@ -133,3 +133,27 @@ def test_hourly_spine_for_data(spark):
 
 def test_checkpoint_dir_is_read_from_session(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_vehicle_type_lookup(spark):
+    from odometrix.sources import model_catalog, with_vehicle_type
+
+    df = spark.createDataFrame([("V1", "AE24"), ("V2", "CX-14"), ("V3", "Nope")], "vehicle_id string, model string")
+    got = {r["vehicle_id"]: r["vehicle_type"] for r in with_vehicle_type(df, model_catalog(spark)).collect()}
+    assert got == {"V1": "Bus", "V2": "Van", "V3": None}
+    assert model_catalog(spark).count() == 9
+
+
+def test_shift_time(spark):
+    from odometrix.functions import shift_date, shift_time
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), dt.date(2024, 1, 1))], "t timestamp_ntz, d date")
+    out = df.select(
+        shift_time("t", weeks=1, days=2, hours=3).alias("t"),
+        shift_time("t", days=1).alias("t1"),
+        shift_date("d", weeks=4).alias("d"),
+    )
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["timestamp_ntz", "timestamp_ntz", "date"]
+    row = out.first()
+    assert row["t"] == dt.datetime(2024, 1, 10, 8) and row["t1"] == dt.datetime(2024, 1, 2, 5)
+    assert row["d"] == dt.date(2024, 1, 29)
