@@ -89,8 +89,10 @@ def last_per_period(
     (``last_<v>``), which is what carries into the next period.
 
     ``max_by`` is an ordinary aggregate with partial aggregation, so a hot
-    key costs one partial row per map task. Ties on ``ts`` go to the larger
-    ``tiebreak`` if one is given.
+    key costs one partial row per map task, and with a plain timestamp order
+    it runs as a hash aggregate. Ties on ``ts`` go to the larger ``tiebreak``
+    if one is given; ordering by the (ts, tiebreak) struct needs a sort-based
+    aggregate, so pass it only where readings can share a timestamp.
     """
     if period not in _PERIODS:
         raise ValueError(f"period must be one of {sorted(_PERIODS)}")

@@ -252,9 +252,9 @@ def q_clamped_running_total(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_last_per_period(spark: SparkSession, d: str) -> DataFrame:
-    return last_per_period(
-        _events(spark, d), "user_id", "ts", ["value"], tiebreak="event_id", last_ts_name="last_ts"
-    )
+    # One reading per user and timestamp, as one per vehicle and hour in the
+    # fleet data: no tiebreak needed, so the aggregate stays hash-based.
+    return last_per_period(_events(spark, d), "user_id", "ts", ["value"], last_ts_name="last_ts")
 
 
 QUERIES: dict[str, Query] = {
