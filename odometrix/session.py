@@ -28,6 +28,10 @@ def get_session(
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     b = b.config("spark.driver.memory", os.environ.get("ODX_DRIVER_MEMORY", "16g"))
+    log_dir = os.environ.get("ODX_EVENT_LOG_DIR")
+    if log_dir:  # stage and task times without the UI: read the JSON event log
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
+        b = b.config("spark.eventLog.compress", "false")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
