@@ -14,6 +14,7 @@ from odometrix.functions.columns import (
     shift_time,
     timestamp_text,
     trunc_int,
+    truncate_time,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "shift_time",
     "timestamp_text",
     "trunc_int",
+    "truncate_time",
 ]

@@ -84,19 +84,32 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def hour_of(df: DataFrame, name: str) -> Column:
-    """Truncate a timestamp (or timestamp text) to the hour, keeping its type.
-
-    ``date_trunc`` returns a zoned timestamp; for a ``timestamp_ntz`` input the
-    result is cast back so that wall-clock hours match on both join sides
-    whatever the session time zone.
+def truncate_time(df: DataFrame, name: str, unit: str) -> Column:
+    """Truncate a timestamp (or timestamp text) to ``hour``, ``day``,
+    ``week``, ``month`` or ``year``, keeping its type.
+
+    A ``timestamp_ntz`` is truncated on its wall-clock fields, with no time
+    zone involved, so the result is the same in every session zone (a
+    round trip through a zoned timestamp would move wall-clock hours that do
+    not exist in a DST zone). Zoned timestamps use ``date_trunc`` in the
+    session zone.
     """
     dtype = df.schema[name].dataType
-    c = as_timestamp(df, name)
-    h = F.date_trunc("hour", c)
     if isinstance(dtype, T.TimestampNTZType):
-        return h.cast("timestamp_ntz")
-    return h
+        c = F.col(name)
+        if unit == "hour":
+            return F.make_timestamp_ntz(
+                F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0)
+            )
+        if unit == "day":
+            return F.to_date(c).cast("timestamp_ntz")
+        return F.trunc(F.to_date(c), unit).cast("timestamp_ntz")
+    return F.date_trunc(unit, as_timestamp(df, name))
+
+
+def hour_of(df: DataFrame, name: str) -> Column:
+    """Truncate a timestamp (or timestamp text) to the hour, keeping its type."""
+    return truncate_time(df, name, "hour")
 
 
 def shift_time(c: ColumnOrName, *, weeks: int = 0, days: int = 0, hours: int = 0) -> Column:

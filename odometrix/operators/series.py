@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import as_timestamp
+from odometrix.functions.columns import as_timestamp, truncate_time
 from odometrix.operators.scan import PREFIX_MIN, PREFIX_SUM, prefix_scan
 
 
@@ -99,7 +99,7 @@ def last_per_period(
     keys = [key] if isinstance(key, str) else list(key)
     period_name = period_name or period
     t = as_timestamp(df, ts)
-    bucket = F.to_date(t) if period == "day" else F.date_trunc(period, t)
+    bucket = F.to_date(t) if period == "day" else truncate_time(df, ts, period)
     ordering = F.struct(t, F.col(tiebreak)) if tiebreak else t
     aggs = [F.max_by(F.col(v), ordering).alias(f"last_{v}") for v in values]
     if last_ts_name:

@@ -35,7 +35,7 @@ def hourly_spine_for(df: DataFrame, ts: str, *, name: str = "hour") -> DataFrame
 
 
 def _expand(bounds: DataFrame, name: str) -> DataFrame:
-    lo = F.date_trunc("hour", F.col("lo")).cast("timestamp_ntz")
+    lo = hour_of(bounds, "lo")
     hi = F.col("hi")
     days = bounds.filter(F.col("lo").isNotNull() & F.col("hi").isNotNull()).select(
         lo.alias("lo"),

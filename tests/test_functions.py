@@ -85,3 +85,25 @@ def test_safe_corr_guards_constant_and_single_row(spark):
     got = lin.select(safe_corr("x", "y")).first()[0]
     ref = lin.select(F.corr("x", "y")).first()[0]
     assert math.isclose(got, ref, rel_tol=1e-12)
+
+
+def test_ntz_truncation_ignores_session_zone(spark):
+    from odometrix.functions import truncate_time
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        # 02:30 on 2024-03-10 does not exist in Los Angeles (DST starts)
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 5),)], "t timestamp_ntz")
+        row = df.select(
+            truncate_time(df, "t", "hour").alias("h"),
+            truncate_time(df, "t", "day").alias("d"),
+            truncate_time(df, "t", "week").alias("w"),
+            truncate_time(df, "t", "month").alias("m"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert row["h"] == dt.datetime(2024, 3, 10, 2)
+    assert row["d"] == dt.datetime(2024, 3, 10)
+    assert row["w"] == dt.datetime(2024, 3, 4)
+    assert row["m"] == dt.datetime(2024, 3, 1)
