@@ -22,7 +22,6 @@ MODELS = (
     ("Audi", "AE24", "Bus"),
     ("Audi", "AE26", "Van"),
 )
-FUEL_TYPES = ("Gasoline", "Diesel", "Electric")
 
 
 def model_catalog(spark: SparkSession) -> DataFrame:

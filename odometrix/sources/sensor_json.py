@@ -10,16 +10,19 @@ from odometrix.schemas import RAW_SENSOR
 
 
 def read_sensor_json(
-    spark: SparkSession, path: str, *, with_file_name: bool = False
+    spark: SparkSession, path: str, *, with_file_name: bool = False, multi_line: bool = True
 ) -> DataFrame:
-    """One row per array element, under the declared raw schema.
+    """One row per reading, under the declared raw schema.
 
-    ``multiLine`` is required: the arrays span many lines. A multi-line file
-    is one split, so many small files parallelise and one huge file does not;
-    land the data as parquet (``to_silver_sensor``) early. ``with_file_name``
+    ``multi_line=True`` reads the generator's layout: each file one indented
+    array. Such a file cannot be split, so one task parses it whole; many
+    small files parallelise, one huge file does not, so land the data as
+    parquet (``to_silver_sensor``) early. ``multi_line=False`` reads JSON
+    lines -- the layout ``write_sensor_json`` produces -- which Spark splits
+    into blocks of ``spark.sql.files.maxPartitionBytes``. ``with_file_name``
     adds the source file name (``<vehicle>_<date>.json``) as ``source_file``.
     """
-    df = spark.read.schema(RAW_SENSOR).option("multiLine", True).json(path)
+    df = spark.read.schema(RAW_SENSOR).option("multiLine", multi_line).json(path)
     if with_file_name:
         df = df.withColumn("source_file", F.col("_metadata.file_name"))
     return df

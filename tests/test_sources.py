@@ -157,3 +157,15 @@ def test_shift_time(spark):
     row = out.first()
     assert row["t"] == dt.datetime(2024, 1, 10, 8) and row["t1"] == dt.datetime(2024, 1, 2, 5)
     assert row["d"] == dt.date(2024, 1, 29)
+
+
+def test_sensor_json_roundtrip_through_json_lines(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "raw_sensor_data")
+    write_drop(root)
+    silver_in = read_sensor_json(spark, root).filter(F.col("vehicle_id") == "V00001")
+    out = os.path.join(tmp_dir, "lines")
+    write_sensor_json(silver_in, out)
+    back = read_sensor_json(spark, out, multi_line=False)
+    assert back.count() == 2
+    assert sorted(r["mileage"] for r in back.collect()) == [10.5, 20.0]
+    assert {r["vehicle_id"] for r in back.collect()} == {"V00001"}  # from the path
