@@ -2,13 +2,13 @@
 
 Plan shape: the profile is a ``groupBy`` (partial then final aggregate, so a
 hot key costs one partial row per map task). It is joined back to the
-readings with the readings on the *left* of an inner join: whichever join
-strategy is picked at run time (broadcast when the measured profile is
-small, sort-merge otherwise), adaptive execution may then split a skewed
-reading partition, which it cannot do for the preserved side's partner of an
-outer join. The one row the reference's ``profile LEFT JOIN readings`` adds
-on top of the inner join -- the profile of a NULL key, which matches no
-reading -- is appended from the profile itself.
+readings by an inner join. At run time the profile is broadcast when its
+measured size is small; otherwise the join is sort-merge, and adaptive
+execution splits the partition of a skewed key on either side of an inner
+join -- whereas in the reference's ``profile LEFT JOIN readings`` the
+readings are the null-supplying right side, which it never splits. The one
+row the left join adds on top of the inner join -- the profile of a NULL
+key, which matches no reading -- is appended from the profile itself.
 """
 
 from __future__ import annotations
