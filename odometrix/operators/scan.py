@@ -54,66 +54,65 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
-    """Element-wise equality where two missing values are equal."""
-    na_a, na_b = a.isna().to_numpy(), b.isna().to_numpy()
-    eq = (a.to_numpy() == b.to_numpy()) & ~na_a & ~na_b
-    return eq | (na_a & na_b)
+# The two pandas passes below run in Python workers. Everything they call is
+# defined inside their factory, so cloudpickle ships them by value and a
+# worker needs only numpy and pandas -- not this package -- to run them.
 
 
 def _local_scan(keys: list[str], with_min: bool):
     """Builds the per-block pandas pass. Rows arrive sorted by (keys, order)."""
+    blk_col, delta_col, sum_col, min_col = BLOCK, DELTA, PREFIX_SUM, PREFIX_MIN
+
+    def same(a, b):
+        """Element-wise equality where two missing values are equal."""
+        na_a, na_b = a.isna().to_numpy(), b.isna().to_numpy()
+        eq = (a.to_numpy() == b.to_numpy()) & ~na_a & ~na_b
+        return eq | (na_a & na_b)
+
+    def runs(pdf, carry_key):
+        """Run starts (key changes), and whether row 0 continues ``carry_key``."""
+        kcols = [pdf[k].reset_index(drop=True) for k in keys]
+        n = len(pdf)
+        new_run = np.zeros(n, dtype=bool)
+        new_run[0] = True
+        for c in kcols:
+            new_run[1:] |= ~same(c.iloc[1:].reset_index(drop=True), c.iloc[:-1].reset_index(drop=True))
+        continues = carry_key is not None and all(
+            bool(same(pd.Series([c.iloc[0]]), pd.Series([ck]))[0]) for c, ck in zip(kcols, carry_key)
+        )
+        return kcols, new_run, continues
 
     def scan(batches):
         carry_key = None  # key values of the previous batch's last row
         carry_sum = None
         carry_min = None
         for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                out = pdf.assign(**{PREFIX_SUM: pdf[DELTA]})
+            if len(pdf) == 0:
+                out = pdf.assign(**{sum_col: pdf[delta_col]})
                 if with_min:
-                    out[PREFIX_MIN] = pdf[DELTA]
+                    out[min_col] = pdf[delta_col]
                 yield out
                 continue
-            kcols = [pdf[k].reset_index(drop=True) for k in keys]
-            new_run = np.zeros(n, dtype=bool)
-            new_run[0] = True
-            for c in kcols:
-                new_run[1:] |= ~_same(
-                    c.iloc[1:].reset_index(drop=True), c.iloc[:-1].reset_index(drop=True)
-                )
-            continues = carry_key is not None and all(
-                bool(_same(pd.Series([c.iloc[0]]), pd.Series([ck]))[0])
-                for c, ck in zip(kcols, carry_key)
-            )
+            kcols, new_run, continues = runs(pdf, carry_key)
             run = np.cumsum(new_run)
-            d = pdf[DELTA].reset_index(drop=True)
+            d = pdf[delta_col].reset_index(drop=True)
             cum = d.groupby(run, sort=False).cumsum()
             if continues:
-                first = run == 1
-                cum[first] = cum[first] + carry_sum
-            out = pdf.assign(**{PREFIX_SUM: cum.to_numpy()})
+                cum[run == 1] += carry_sum
+            out = pdf.assign(**{sum_col: cum.to_numpy()})
             if with_min:
                 cmin = cum.groupby(run, sort=False).cummin()
                 if continues:
-                    first = run == 1
-                    cmin[first] = np.minimum(cmin[first], carry_min)
-                out[PREFIX_MIN] = cmin.to_numpy()
+                    cmin[run == 1] = np.minimum(cmin[run == 1], carry_min)
+                out[min_col] = cmin.to_numpy()
                 carry_min = cmin.iloc[-1]
             carry_key = [c.iloc[-1] for c in kcols]
             carry_sum = cum.iloc[-1]
             yield out
 
-    return scan
-
-
-def _segment_summary(keys: list[str], with_min: bool):
-    """Builds the per-block pandas pass that emits the block's first and last
-    segment: ``(block, keys..., seg_sum, seg_min)``, one row if the block
-    holds a single key. Streams the block with O(1) state."""
-
     def summarize(batches):
+        """The block's first and last segment: ``(block, keys..., seg_sum,
+        seg_min)``, one row if the block holds a single key. O(1) state."""
         blk = None
         open_key = None  # key of the segment still open at the batch end
         open_sum = None
@@ -121,27 +120,16 @@ def _segment_summary(keys: list[str], with_min: bool):
         first = None  # the block's first segment, once closed
         closed = 0
         for pdf in batches:
-            n = len(pdf)
-            if n == 0:
+            if len(pdf) == 0:
                 continue
-            blk = pdf[BLOCK].iloc[0]
-            kcols = [pdf[k].reset_index(drop=True) for k in keys]
-            new_run = np.zeros(n, dtype=bool)
-            new_run[0] = True
-            for c in kcols:
-                new_run[1:] |= ~_same(
-                    c.iloc[1:].reset_index(drop=True), c.iloc[:-1].reset_index(drop=True)
-                )
-            continues = open_key is not None and all(
-                bool(_same(pd.Series([c.iloc[0]]), pd.Series([ok]))[0])
-                for c, ok in zip(kcols, open_key)
-            )
+            blk = pdf[blk_col].iloc[0]
+            kcols, new_run, continues = runs(pdf, open_key)
             if open_key is not None and not continues:
                 if closed == 0:
                     first = (open_key, open_sum, open_min)
                 closed += 1
             run = np.cumsum(new_run)
-            d = pdf[DELTA].reset_index(drop=True)
+            d = pdf[delta_col].reset_index(drop=True)
             cum = d.groupby(run, sort=False).cumsum()
             if continues:
                 cum[run == 1] += open_sum
@@ -159,7 +147,7 @@ def _segment_summary(keys: list[str], with_min: bool):
         if blk is None:
             return
         segs = ([first] if first is not None else []) + [(open_key, open_sum, open_min)]
-        out = {BLOCK: [blk] * len(segs)}
+        out = {blk_col: [blk] * len(segs)}
         for j, k in enumerate(keys):
             out[k] = [seg[0][j] for seg in segs]
         out["seg_sum"] = [seg[1] for seg in segs]
@@ -167,7 +155,7 @@ def _segment_summary(keys: list[str], with_min: bool):
             out["seg_min"] = [seg[2] for seg in segs]
         yield pd.DataFrame(out)
 
-    return summarize
+    return scan, summarize
 
 
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
@@ -211,9 +199,8 @@ def prefix_scan(
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(PREFIX_SUM, value_type)])
     if with_min:
         schema = schema.add(T.StructField(PREFIX_MIN, value_type))
-    local = ranged.sortWithinPartitions(*sort_cols).mapInPandas(
-        _local_scan(keys, with_min), schema=schema
-    )
+    scan, summarize = _local_scan(keys, with_min)
+    local = ranged.sortWithinPartitions(*sort_cols).mapInPandas(scan, schema=schema)
 
     # Edge segments of each block, from a second pass over the same sorted
     # blocks. The pandas pass consumes every column, so nothing is pruned
@@ -224,7 +211,7 @@ def prefix_scan(
     if with_min:
         seg_fields.append(T.StructField("seg_min", value_type))
     seg = ranged.sortWithinPartitions(*sort_cols).mapInPandas(
-        _segment_summary(keys, with_min), schema=T.StructType(seg_fields)
+        summarize, schema=T.StructType(seg_fields)
     )
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn(_OFF_SUM, F.sum("seg_sum").over(before))

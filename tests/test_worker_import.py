@@ -1,0 +1,32 @@
+"""The pandas passes must run on workers that cannot import this package
+(the driver may start anywhere; a cluster may not have it installed)."""
+
+import os
+import subprocess
+import sys
+import tempfile
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+SCRIPT = f"""
+import sys, datetime as dt
+sys.path.insert(0, {REPO!r})
+from pyspark.sql import SparkSession
+from odometrix.operators import running_total, clamped_running_total
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "3").getOrCreate())
+rows = [(i, i % 3, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i % 5 - 2) for i in range(60)]
+df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
+a = running_total(df, "k", "ts", "d", tiebreak="id").count()
+b = clamped_running_total(df, "k", "ts", "d", tiebreak="id").count()
+print("RESULT", a, b)
+"""
+
+
+def test_scan_runs_without_the_package_on_worker_path():
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    with tempfile.TemporaryDirectory() as cwd:
+        out = subprocess.run(
+            [sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True, text=True, timeout=600
+        )
+    assert "RESULT 60 60" in out.stdout, out.stderr[-3000:]
