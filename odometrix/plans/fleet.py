@@ -201,6 +201,48 @@ def mileage_repairs_correlation(
     return usage_correlation(both, "num_of_repairs", "mileage_diff")
 
 
+# --- SQL access -----------------------------------------------------------------------
+
+
+def register_views(
+    spark: SparkSession,
+    silver_root: str,
+    *,
+    climate_rules: Sequence[tuple[Column, str, str]] | None = None,
+) -> dict[str, DataFrame]:
+    """Name the silver tables under ``silver_root`` -- and the gold queries
+    built on them -- as temp views, so SQL written against the pipeline's
+    table names runs unchanged. Views are lazy: nothing runs here.
+    ``climate_rules`` (caller-supplied thresholds) adds the two weather-tag
+    views."""
+    silver = {
+        name: spark.read.parquet(f"{silver_root}/{name}")
+        for name in (
+            "silver_sensor_data",
+            "silver_fleet_maintenance_logs",
+            "silver_environmental_data",
+            "silver_fleet_metadata",
+        )
+    }
+    sensors = silver["silver_sensor_data"]
+    logs = silver["silver_fleet_maintenance_logs"]
+    meta = silver["silver_fleet_metadata"]
+    views = dict(silver)
+    views["gold_breakdowns_by_make_model"] = gold_breakdowns_by_make_model(meta, logs)
+    views["gold_sensor_reading_peaks"] = gold_sensor_reading_peaks(sensors)
+    views["gold_sensor_engine_temp_with_flags"] = gold_sensor_engine_temp_with_flags(sensors)
+    views["gold_vehicle_logs_by_mile_traveled"] = gold_vehicle_logs_by_mile_traveled(logs, sensors)
+    if climate_rules:
+        env = gold_environmental_data_with_risk(silver["silver_environmental_data"], climate_rules)
+        views["gold_environmental_data_with_risk"] = env
+        views["gold_engine_abnormalities_by_climate"] = gold_engine_abnormalities_by_climate(
+            env, views["gold_sensor_engine_temp_with_flags"]
+        )
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return views
+
+
 # --- writing gold ---------------------------------------------------------------------
 
 

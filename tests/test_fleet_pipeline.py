@@ -75,3 +75,22 @@ def test_raw_to_gold(spark, tmp_dir):
     for n in names:
         assert spark.table(n).count() >= 1
         spark.sql(f"DROP TABLE {n}")
+
+
+def test_sql_over_registered_views(spark, tmp_dir):
+    raw_root = os.path.join(tmp_dir, "raw")
+    land_raw(spark, raw_root)
+    silver_root = os.path.join(tmp_dir, "silver")
+    fleet.land_silver(spark, raw_root, silver_root)
+    fleet.register_views(
+        spark, silver_root, climate_rules=[(F.col("temperature") < 32, "Snow Storm", "high")]
+    )
+    top = spark.sql(
+        "SELECT vehicle_make_model FROM gold_breakdowns_by_make_model "
+        "ORDER BY breakdown_count DESC, vehicle_make_model LIMIT 1"
+    ).first()[0]
+    assert top == "Audi AE24"
+    n = spark.sql("SELECT sum(peak_temp) FROM gold_sensor_reading_peaks WHERE vehicle_id = 'V00001'").first()[0]
+    assert n == 1
+    tags = spark.sql("SELECT climate_tag, num_of_abnormalities FROM gold_engine_abnormalities_by_climate").collect()
+    assert [tuple(r) for r in tags] == [("Snow Storm", 1)]
