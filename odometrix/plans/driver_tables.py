@@ -61,6 +61,9 @@ RUNNING_START = 100000
 CLAMP_START = 25
 CLAMP_SHIFT = 60
 SPOT_USER = 7
+LARGE_PART_SIZE = 25  # "where" of the breakdown report: parts of size >= 25
+LINE_METRICS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LINE_K = 1.5  # uniform measures never pass 3 sigma; 1.5 flags a share of them
 
 
 def r(c: Column | str, places: int = 4) -> Column:
@@ -94,6 +97,24 @@ def q_breakdowns_by_label(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_breakdowns_by_label_where(spark: SparkSession, d: str) -> DataFrame:
+    part = load_table(spark, d, "part").select(
+        F.col("p_partkey").alias("partkey"), "p_brand", "p_type", "p_size"
+    )
+    log = load_table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("partkey"), "l_returnflag"
+    )
+    return breakdowns_by_label(
+        part,
+        log,
+        "partkey",
+        ["p_brand", "p_type"],
+        log_filter=F.col("l_returnflag") == "R",
+        dim_filter=F.col("p_size") >= LARGE_PART_SIZE,
+        label_name="brand_type",
+    )
+
+
 def q_top_breakdowns(spark: SparkSession, d: str) -> DataFrame:
     return top_n(q_breakdowns_by_label(spark, d), "breakdown_count", "brand_type", TOP_N)
 
@@ -165,6 +186,27 @@ def q_deviation_flags(spark: SparkSession, d: str) -> DataFrame:
     return deviation_flags(_events(spark, d), "user_id", "ts", VALUE_RULES)
 
 
+LINE_RULES = (
+    FlagRule("l_quantity", "both"),
+    FlagRule("l_extendedprice", "both"),
+    FlagRule("l_discount", "high"),
+    FlagRule("l_tax", "low"),
+)
+
+
+def q_deviation_profile_multi(spark: SparkSession, d: str) -> DataFrame:
+    prof = deviation_profile(load_table(spark, d, "lineitem"), "l_suppkey", list(LINE_METRICS))
+    return prof.select(
+        "l_suppkey",
+        *[r(f"{s}_{m}").alias(f"{s}_{m}") for m in LINE_METRICS for s in ("mean", "std")],
+    )
+
+
+def q_deviation_flags_multi(spark: SparkSession, d: str) -> DataFrame:
+    li = load_table(spark, d, "lineitem")
+    return deviation_flags(li, "l_suppkey", "l_shipdate", LINE_RULES, k=LINE_K)
+
+
 def q_readings_for(spark: SparkSession, d: str) -> DataFrame:
     return readings_for(_with_profile(spark, d), "user_id", SPOT_USER, ["ts", "user_id", "value"])
 
@@ -259,6 +301,7 @@ def q_last_per_period(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "breakdowns_by_label": q_breakdowns_by_label,
+    "breakdowns_by_label_where": q_breakdowns_by_label_where,
     "top_n": q_top_breakdowns,
     "top_n_with_ties": q_top_breakdowns_with_ties,
     "event_count_by_key": q_event_count_by_key,
@@ -269,6 +312,8 @@ QUERIES: dict[str, Query] = {
     "deviation_profile": q_deviation_profile,
     "with_profile": q_with_profile,
     "deviation_flags": q_deviation_flags,
+    "deviation_profile_multi": q_deviation_profile_multi,
+    "deviation_flags_multi": q_deviation_flags_multi,
     "readings_for": q_readings_for,
     "engine_temp_flags": q_engine_temp_flags,
     "apply_tag_rules": q_apply_tag_rules,

@@ -12,6 +12,9 @@ from odometrix.plans.driver_tables import (
     CLAMP_SHIFT,
     CLAMP_START,
     FAULT_RANGES,
+    LARGE_PART_SIZE,
+    LINE_K,
+    LINE_METRICS,
     REPAIR_EVENTS,
     RUNNING_START,
     SPOT_USER,
@@ -38,6 +41,21 @@ WHERE l.l_returnflag = 'R'
 GROUP BY p.p_brand || ' ' || p.p_type
 """
 
+LINE_PROFILE = "SELECT l_suppkey, " + ", ".join(
+    f"avg({m}) AS mean_{m}, stddev_samp({m}) AS std_{m}" for m in LINE_METRICS
+) + " FROM lineitem GROUP BY l_suppkey"
+
+
+def _line_flag(m: str, side: str) -> str:
+    x, mean, std = f"l.{m}", f"p.mean_{m}", f"p.std_{m}"
+    cond = {
+        "both": f"abs({x} - {mean}) > {LINE_K} * {std}",
+        "high": f"{x} > {mean} + {LINE_K} * {std}",
+        "low": f"{x} < {mean} - {LINE_K} * {std}",
+    }[side]
+    return f"CASE WHEN {cond} THEN 1 ELSE 0 END AS peak_{m}"
+
+
 REPAIRS = f"""
 SELECT user_id, count(*) AS num_of_repairs FROM events
 WHERE event_type IN ({_in(REPAIR_EVENTS)}) GROUP BY user_id
@@ -110,6 +128,12 @@ RUN_WINDOW = (
 
 ORACLE_SQL: dict[str, str] = {
     "breakdowns_by_label": BREAKDOWNS,
+    "breakdowns_by_label_where": f"""
+SELECT count(*) AS breakdown_count, p.p_brand || ' ' || p.p_type AS brand_type
+FROM part p JOIN lineitem l ON p.p_partkey = l.l_partkey
+WHERE l.l_returnflag = 'R' AND p.p_size >= {LARGE_PART_SIZE}
+GROUP BY p.p_brand || ' ' || p.p_type
+""",
     "top_n": f"""
 SELECT * FROM ({BREAKDOWNS}) b ORDER BY breakdown_count DESC, brand_type ASC LIMIT {TOP_N}
 """,
@@ -148,6 +172,15 @@ FROM ({PROFILE}) p LEFT JOIN events e ON p.user_id = e.user_id
 SELECT p.user_id, e.ts AS converted_timestamp,
        {FLAG_BOTH} AS peak_value, {FLAG_HIGH} AS peak_value_high, {FLAG_LOW} AS peak_value_low
 FROM ({PROFILE}) p LEFT JOIN events e ON p.user_id = e.user_id
+""",
+    "deviation_profile_multi": "SELECT l_suppkey, "
+    + ", ".join(f"{r(f'{s}_{m}')} AS {s}_{m}" for m in LINE_METRICS for s in ("mean", "std"))
+    + f" FROM ({LINE_PROFILE}) p",
+    "deviation_flags_multi": f"""
+SELECT p.l_suppkey, l.l_shipdate AS converted_timestamp,
+  {_line_flag("l_quantity", "both")}, {_line_flag("l_extendedprice", "both")},
+  {_line_flag("l_discount", "high")}, {_line_flag("l_tax", "low")}
+FROM ({LINE_PROFILE}) p LEFT JOIN lineitem l ON p.l_suppkey = l.l_suppkey
 """,
     "readings_for": f"""
 SELECT e.ts, p.user_id, e.value
