@@ -2,7 +2,14 @@ from odometrix.sources.catalog import MODELS, model_catalog, with_vehicle_type
 from odometrix.sources.sensor_json import read_sensor_json
 from odometrix.sources.spine import hourly_spine, hourly_spine_for
 from odometrix.sources.tables import TABLES, load_table, register_tables
-from odometrix.sources.writers import checkpoint_dir, save_gold, write_once, write_sensor_json
+from odometrix.sources.writers import (
+    checkpoint_dir,
+    drop_tables,
+    save_gold,
+    write_once,
+    write_overwrite,
+    write_sensor_json,
+)
 
 __all__ = [
     "MODELS",
@@ -10,6 +17,7 @@ __all__ = [
     "with_vehicle_type",
     "TABLES",
     "checkpoint_dir",
+    "drop_tables",
     "hourly_spine",
     "hourly_spine_for",
     "load_table",
@@ -17,5 +25,6 @@ __all__ = [
     "register_tables",
     "save_gold",
     "write_once",
+    "write_overwrite",
     "write_sensor_json",
 ]

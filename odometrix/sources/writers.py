@@ -28,6 +28,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def write_overwrite(
+    df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: list[str] | None = None
+) -> None:
+    """K1: replace the dataset at ``path``."""
+    writer = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 def write_once(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     """K2: write ``df`` to ``path`` unless something is already there.
 
@@ -78,3 +88,18 @@ def write_sensor_json(
         .json(path)
     )
 
+
+
+def drop_tables(spark: SparkSession, database: str | None = None, *, like: str = "*") -> list[str]:
+    """Drop the tables of a database whose names match ``like`` (a catalog
+    pattern such as ``gold_*``); temp views are left alone. Returns the
+    dropped names. Only catalog metadata is listed on the driver."""
+    db = database or spark.catalog.currentDatabase()
+    names = [
+        t.name
+        for t in spark.catalog.listTables(db, pattern=like)
+        if not t.isTemporary
+    ]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
+    return names

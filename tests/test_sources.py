@@ -169,3 +169,19 @@ def test_sensor_json_roundtrip_through_json_lines(spark, tmp_dir):
     assert back.count() == 2
     assert sorted(r["mileage"] for r in back.collect()) == [10.5, 20.0]
     assert {r["vehicle_id"] for r in back.collect()} == {"V00001"}  # from the path
+
+
+def test_write_overwrite_and_drop_tables(spark, tmp_dir):
+    from odometrix.sources import drop_tables, write_overwrite
+
+    path = os.path.join(tmp_dir, "over")
+    write_overwrite(spark.range(3), path)
+    write_overwrite(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+    save_gold(spark.range(2), "odx_drop_a")
+    save_gold(spark.range(2), "odx_drop_b")
+    spark.range(1).createOrReplaceTempView("odx_drop_view")
+    dropped = drop_tables(spark, like="odx_drop_*")
+    assert sorted(dropped) == ["odx_drop_a", "odx_drop_b"]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("odx_drop_") and not t.isTemporary]
+    assert spark.table("odx_drop_view").count() == 1
