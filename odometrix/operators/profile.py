@@ -1,14 +1,24 @@
 """Per-key deviation profiles and sigma-based peak flags.
 
 Plan shape: the profile is a ``groupBy`` (partial then final aggregate, so a
-hot key costs one partial row per map task). It is joined back to the
-readings by an inner join. At run time the profile is broadcast when its
-measured size is small; otherwise the join is sort-merge, and adaptive
-execution splits the partition of a skewed key on either side of an inner
-join -- whereas in the reference's ``profile LEFT JOIN readings`` the
-readings are the null-supplying right side, which it never splits. The one
-row the left join adds on top of the inner join -- the profile of a NULL
-key, which matches no reading -- is appended from the profile itself.
+hot key costs one partial row per map task) that also counts readings per
+key. It is joined back to the readings by an inner join on (key, salt):
+
+* a key with more than one fair partition's worth of readings
+  (``n * partitions > total``) is hot. There are at most ``partitions`` such
+  keys, so the hot set has a proven bound and is broadcast;
+* a hot key gets ``ceil(4 * n * partitions / total)`` salts: each reading takes
+  one (a hash of the row, deterministic under retries) and the key's profile
+  row is copied once per salt, so the key's readings spread over that many
+  join tasks; every other key has salt 0.
+
+This does not depend on adaptive execution: its skew-join rule never fires
+here, since an aggregate sits between the profile side of the join and its
+shuffle. When the measured profile is small, adaptive execution still
+broadcasts it and the readings are not shuffled at all. The one row the
+reference's ``profile LEFT JOIN readings`` adds on top of the inner join --
+the profile of a NULL key, which matches no reading -- is appended from the
+profile itself.
 """
 
 from __future__ import annotations
@@ -68,6 +78,20 @@ def _stats(metrics: Mapping[str, str] | Sequence[FlagRule | str]) -> dict[str, s
     return out
 
 
+_N = "_odx_n"  # readings per key
+_SALTS = "_odx_salts"
+_SALT = "_odx_salt"
+
+
+def _profile_aggs(metrics: Mapping[str, str] | Sequence[FlagRule | str]) -> list:
+    aggs = []
+    for stat, column in _stats(metrics).items():
+        v = nan_to_null(column)
+        aggs.append(F.avg(v).alias(f"mean_{stat}"))
+        aggs.append(F.stddev_samp(v).alias(f"std_{stat}"))
+    return aggs
+
+
 def deviation_profile(
     df: DataFrame,
     key: str,
@@ -78,29 +102,70 @@ def deviation_profile(
     ``std`` is the sample standard deviation (n-1): NULL for a single reading.
     NaN readings count as NULL.
     """
-    aggs = []
-    for stat, column in _stats(metrics).items():
-        v = nan_to_null(column)
-        aggs.append(F.avg(v).alias(f"mean_{stat}"))
-        aggs.append(F.stddev_samp(v).alias(f"std_{stat}"))
-    return df.groupBy(key).agg(*aggs)
+    return df.groupBy(key).agg(*_profile_aggs(metrics))
 
 
-def with_profile(df: DataFrame, profile: DataFrame, key: str) -> DataFrame:
+# Salts per fair partition's worth of a hot key's readings: pieces of a
+# quarter partition, so that hash collisions of (key, salt) pairs average out.
+SALTS_PER_PARTITION = 4
+
+
+def _hot_keys(counts: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Keys holding more than ``1/partitions`` of all rows, with their salt
+    count. At most ``partitions`` rows, whatever the data size, and at most
+    ``(SALTS_PER_PARTITION + 1) * partitions`` salts in all."""
+    total = counts.agg(F.sum(_N)).scalar()
+    share = F.col(_N) * F.lit(partitions)
+    return counts.filter(share > total).select(
+        key, F.ceil(share * F.lit(SALTS_PER_PARTITION) / total).cast("int").alias(_SALTS)
+    )
+
+
+def with_profile(
+    df: DataFrame,
+    profile: DataFrame,
+    key: str,
+    *,
+    counts: DataFrame | None = None,
+    split_hot_keys: bool = True,
+) -> DataFrame:
     """Q5b: every reading beside its key's profile.
 
     Columns: all profile columns, then every reading column but the key.
     Rows: as ``profile LEFT JOIN readings`` -- every reading with a non-NULL
     key, plus, if the profile has a NULL key, that profile row with NULL
     reading columns.
+
+    ``counts`` (``key, _odx_n``: readings per key) is computed from ``df``
+    when not given. ``split_hot_keys=False`` joins on the key alone.
     """
     reading_cols = [c for c in df.columns if c != key]
-    matched = df.join(profile, key, "inner").select(*profile.columns, *reading_cols)
+    out_cols = [*profile.columns, *reading_cols]
+    if split_hot_keys:
+        if counts is None:
+            counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
+        hot = F.broadcast(_hot_keys(counts, key, _partitions(df)))
+        readings = df.join(hot, key, "left").withColumn(
+            _SALT,
+            F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(
+                F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(_SALTS)).cast("int")
+            ),
+        )
+        copies = profile.join(hot, key, "left").withColumn(
+            _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
+        )
+        matched = readings.drop(_SALTS).join(copies.drop(_SALTS), [key, _SALT], "inner")
+    else:
+        matched = df.join(profile, key, "inner")
     null_key = profile.filter(F.col(key).isNull()).select(
         *profile.columns,
         *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in reading_cols],
     )
-    return matched.unionByName(null_key)
+    return matched.select(*out_cols).unionByName(null_key)
+
+
+def _partitions(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def deviation_flags(
@@ -122,7 +187,12 @@ def deviation_flags(
     stats = _stats(rules)
     used = {key, ts, *stats.values()}
     readings = df.select(*[c for c in df.columns if c in used])
-    joined = with_profile(readings, deviation_profile(readings, key, rules), key)
+    # One aggregate gives both the profile and the per-key counts that find
+    # hot keys (its shuffle is shared by the two).
+    prof_n = readings.groupBy(key).agg(*_profile_aggs(rules), F.count(F.lit(1)).alias(_N))
+    joined = with_profile(
+        readings, prof_n.drop(_N), key, counts=prof_n.select(key, _N)
+    )
     kk = F.lit(float(k))
     flags = []
     for r in rules:

@@ -149,10 +149,64 @@ def test_engine_temp_flags_string_timestamps(spark):
 
 
 def test_readings_for_pushes_filter_to_both_scans(spark):
+    from tools.plan_report import final_lines
+
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     q = readings_for(with_profile(ev, deviation_profile(ev, "user_id", ["value"]), "user_id"), "user_id", 7, ["ts", "user_id", "value"])
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    scans = plan.count("FileScan parquet")
-    assert scans >= 2
-    assert plan.count("EqualTo(user_id,7)") == scans  # the filter reaches every scan
+    assert q.count() == 81
+    q.collect()
+    plan = "\n".join(final_lines(q._jdf.queryExecution().executedPlan().toString()))
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+    # the readings and the profile scans carry the filter; only the hot-key
+    # total (the share of all rows a key holds) reads the key column unfiltered
+    filtered = [ln for ln in scans if "EqualTo(user_id,7)" in ln]
+    assert len(filtered) >= 2
+    assert all("ReadSchema: struct<user_id:bigint>" in ln for ln in scans if ln not in filtered)
     assert "stddev" not in plan  # unused profile columns are pruned
+
+
+def skewed_events(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    return ev.withColumn("user_id", F.expr("CASE WHEN event_id % 5 < 2 THEN 0 ELSE user_id END"))
+
+
+def test_salted_profile_join_equals_plain_join_on_skewed_keys(spark):
+    from odometrix.operators.profile import _N, _hot_keys
+
+    ev = skewed_events(spark)
+    prof = deviation_profile(ev, "user_id", ["value"])
+    salted = with_profile(ev, prof, "user_id")
+    plain = with_profile(ev, prof, "user_id", split_hot_keys=False)
+    assert salted.count() == plain.count() == ev.count()
+    assert salted.exceptAll(plain).count() == 0
+    counts = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias(_N))
+    hot = {r["user_id"]: r["_odx_salts"] for r in _hot_keys(counts, "user_id", 8).collect()}
+    # 40% of the rows: 0.4 * 8 partitions * 4 salts per partition -> 13 salts
+    assert hot == {0: 13}
+
+
+def test_hot_key_bound_and_uniform_keys(spark):
+    from odometrix.operators.profile import _N, _hot_keys
+
+    uniform = spark.range(8000).select((F.col("id") % 100).alias("k"), F.lit(1).alias(_N))
+    counts = uniform.groupBy("k").agg(F.sum(_N).alias(_N))
+    assert _hot_keys(counts, "k", 8).count() == 0
+    # whatever the counts, no more keys than partitions can be hot
+    heavy = spark.createDataFrame([(i, 1000 - i) for i in range(50)], f"k long, {_N} long")
+    assert _hot_keys(heavy, "k", 8).count() <= 8
+
+
+def test_salted_join_is_planned_when_the_profile_is_not_broadcast(spark):
+    ev = skewed_events(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = deviation_flags(ev, "user_id", "ts", {"value": "both"})
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert len(rows) == ev.count()
+    assert "SortMergeJoin [user_id" in plan and "_odx_salt" in plan
