@@ -171,6 +171,9 @@ def flagged_readings_with_tags(
 
     The flag filter is applied before the join, so only flagged readings are
     shuffled. Readings whose hour has no tag row are dropped (inner join).
+    The tag side has one row per hour -- its size follows the time span, not
+    the data volume -- so adaptive execution broadcasts it on its measured
+    size and the flagged readings are not shuffled at all.
     """
     on_cols = _keys(on)
     set_flags = flags.filter(flag_is_set(flags, flag_col)).select(*on_cols, key, flag_col)
