@@ -148,7 +148,7 @@ def with_profile(
         readings = df.join(hot, key, "left").withColumn(
             _SALT,
             F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(_SALTS)).cast("int")
+                F.pmod(F.xxhash64(*_hashable(df)), F.col(_SALTS)).cast("int")
             ),
         )
         copies = profile.join(hot, key, "left").withColumn(
@@ -164,6 +164,12 @@ def with_profile(
     return matched.select(*out_cols).unionByName(null_key)
 
 
+def _hashable(df: DataFrame) -> list:
+    """Columns ``xxhash64`` accepts (anything without a map inside)."""
+    cols = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return cols or [F.lit(0)]
+
+
 def _partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

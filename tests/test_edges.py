@@ -82,3 +82,12 @@ def test_flag_rule_validation():
 
     with pytest.raises(ValueError):
         FlagRule("x", "sideways")
+
+
+def test_profile_join_with_map_column(spark):
+    from odometrix.operators import deviation_profile, with_profile
+
+    rows = [("hot" if i % 4 else f"k{i}", float(i), {"a": i}) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, x double, m map<string,int>")
+    out = with_profile(df, deviation_profile(df, "k", ["x"]), "k")
+    assert out.count() == 200
