@@ -1,6 +1,6 @@
 """Raw files -> silver parquet -> gold tables, end to end on fleet fixtures."""
 
-import datetime as dt
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -9,7 +9,6 @@ from odometrix.plans import fleet
 from odometrix.schemas import RAW_ENVIRONMENT, RAW_FLEET, RAW_MAINTENANCE
 from tests.test_sources import reading
 
-import json
 
 
 def land_raw(spark, root):

@@ -8,7 +8,6 @@ from odometrix.operators import (
     breakdowns_by_label,
     event_count_by_key,
     flagged_readings_with_tags,
-    repairs_vs_usage,
     top_n,
     usage_correlation,
     usage_range_by_key,

@@ -2,11 +2,10 @@ import datetime as dt
 import json
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from odometrix.operators import flatten_tires, to_silver_environment, to_silver_maintenance, to_silver_sensor
-from odometrix.schemas import RAW_ENVIRONMENT, RAW_FLEET, RAW_MAINTENANCE
+from odometrix.schemas import RAW_ENVIRONMENT, RAW_MAINTENANCE
 from odometrix.sources import (
     checkpoint_dir,
     hourly_spine,
