@@ -210,3 +210,15 @@ def test_salted_join_is_planned_when_the_profile_is_not_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert len(rows) == ev.count()
     assert "SortMergeJoin [user_id" in plan and "_odx_salt" in plan
+
+
+def test_oil_pressure_is_one_sided(spark):
+    # quirk U3: the gold peaks flag oil pressure only on the high side, so an
+    # injected pressure drop is missed while a spike is caught
+    base = [sensor_row("V1", h, float(h), oil=40.0) for h in range(11)]
+    drop = base + [sensor_row("V1", 11, 11.0, oil=12.0)]
+    spike = base + [sensor_row("V1", 11, 11.0, oil=95.0)]
+    for rows, expected in ((drop, 0), (spike, 1)):
+        df = spark.createDataFrame(rows, SENSOR_SCHEMA)
+        got = fleet.gold_sensor_reading_peaks(df).agg(F.sum("peak_pressure")).first()[0]
+        assert got == expected
