@@ -10,6 +10,7 @@ from odometrix.operators.profile import (
     deviation_flags,
     deviation_profile,
     engine_temp_flags,
+    profile_and_counts,
     readings_for,
     with_profile,
 )
@@ -47,6 +48,7 @@ __all__ = [
     "flatten_tires",
     "last_per_period",
     "prefix_scan",
+    "profile_and_counts",
     "range_fault_counts",
     "range_faults",
     "readings_for",

@@ -110,6 +110,16 @@ def deviation_profile(
 SALTS_PER_PARTITION = 4
 
 
+def profile_and_counts(
+    df: DataFrame, key: str, metrics: Mapping[str, str] | Sequence[FlagRule | str]
+) -> tuple[DataFrame, DataFrame]:
+    """The profile of :func:`deviation_profile` and the readings per key
+    (``key, _odx_n``) from one aggregate, whose shuffle the two share; pass
+    both to :func:`with_profile`."""
+    both = df.groupBy(key).agg(*_profile_aggs(metrics), F.count(F.lit(1)).alias(_N))
+    return both.drop(_N), both.select(key, _N)
+
+
 def _hot_keys(counts: DataFrame, key: str, partitions: int) -> DataFrame:
     """Keys holding more than ``1/partitions`` of all rows, with their salt
     count. At most ``partitions`` rows, whatever the data size, and at most
@@ -193,12 +203,8 @@ def deviation_flags(
     stats = _stats(rules)
     used = {key, ts, *stats.values()}
     readings = df.select(*[c for c in df.columns if c in used])
-    # One aggregate gives both the profile and the per-key counts that find
-    # hot keys (its shuffle is shared by the two).
-    prof_n = readings.groupBy(key).agg(*_profile_aggs(rules), F.count(F.lit(1)).alias(_N))
-    joined = with_profile(
-        readings, prof_n.drop(_N), key, counts=prof_n.select(key, _N)
-    )
+    profile, counts = profile_and_counts(readings, key, rules)
+    joined = with_profile(readings, profile, key, counts=counts)
     kk = F.lit(float(k))
     flags = []
     for r in rules:

@@ -32,6 +32,7 @@ from odometrix.operators.profile import (
     deviation_flags,
     deviation_profile,
     engine_temp_flags,
+    profile_and_counts,
     readings_for,
     with_profile,
 )
@@ -173,7 +174,8 @@ def q_deviation_profile(spark: SparkSession, d: str) -> DataFrame:
 
 def _with_profile(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d)
-    return with_profile(ev, deviation_profile(ev, "user_id", ["value"]), "user_id")
+    profile, counts = profile_and_counts(ev, "user_id", ["value"])
+    return with_profile(ev, profile, "user_id", counts=counts)
 
 
 def q_with_profile(spark: SparkSession, d: str) -> DataFrame:

@@ -26,6 +26,7 @@ from odometrix.operators.profile import (
     deviation_flags,
     deviation_profile,
     engine_temp_flags,
+    profile_and_counts,
     readings_for,
     with_profile,
 )
@@ -129,7 +130,8 @@ def sensor_readings_mean_std(sensors: DataFrame) -> DataFrame:
 
 def sensor_data_with_avg_std(sensors: DataFrame) -> DataFrame:
     """Every reading beside its vehicle's profile."""
-    return with_profile(sensors, sensor_readings_mean_std(sensors), KEY)
+    profile, counts = profile_and_counts(sensors, KEY, PROFILE_RULES)
+    return with_profile(sensors, profile, KEY, counts=counts)
 
 
 def sensor_drilldown(
