@@ -28,11 +28,9 @@ def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     read afresh): inference is a small job of its own on every read.
     """
     path = os.path.join(base, f"{name}.parquet")
-    if "://" in base:
-        return spark.read.parquet(path)
-    if not os.path.exists(path):
+    if not os.path.exists(path) and os.path.isdir(os.path.join(base, name)):
         path = os.path.join(base, name)
-    if not os.path.isfile(path):
+    if not os.path.isfile(path):  # a directory, or a URI such as s3a:// or file:
         return spark.read.parquet(path)
     st = os.stat(path)
     memo = (os.path.abspath(path), st.st_size, st.st_mtime_ns)

@@ -184,3 +184,13 @@ def test_write_overwrite_and_drop_tables(spark, tmp_dir):
     assert sorted(dropped) == ["odx_drop_a", "odx_drop_b"]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("odx_drop_") and not t.isTemporary]
     assert spark.table("odx_drop_view").count() == 1
+
+
+def test_load_table_accepts_paths_and_uris(spark, tmp_dir):
+    from odometrix.sources import load_table
+
+    assert load_table(spark, "/root/testdata/sf0.001", "region").count() == 5
+    assert load_table(spark, "file:/root/testdata/sf0.001", "region").count() == 5
+    assert load_table(spark, "file:///root/testdata/sf0.001/", "region").count() == 5
+    spark.range(3).write.parquet(os.path.join(tmp_dir, "t"))  # a directory table
+    assert load_table(spark, tmp_dir, "t").count() == 3
