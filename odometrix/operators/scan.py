@@ -155,7 +155,42 @@ def _local_scan(keys: list[str], with_min: bool):
             out["seg_min"] = [seg[2] for seg in segs]
         yield pd.DataFrame(out)
 
-    return scan, summarize
+    def order_key(values):
+        """Sort key of a key tuple in the range order: NULLs first."""
+        return tuple((0, 0) if pd.isna(v) else (1, v) for v in values)
+
+    def summarize_sums(batches):
+        """Without minima only sums are needed, and a block's first and last
+        segment are the segments of its smallest and largest key: one pass
+        over the unsorted block, O(distinct keys per batch) at a time."""
+        blk = None
+        lo = hi = None  # [order key, key values, sum]
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            blk = pdf[blk_col].iloc[0]
+            sums = pdf.groupby(keys, dropna=False, sort=False)[delta_col].sum()
+            for idx, total in sums.items():
+                values = idx if isinstance(idx, tuple) else (idx,)
+                ok = order_key(values)
+                if lo is None or ok < lo[0]:
+                    lo = [ok, list(values), total]
+                elif ok == lo[0]:
+                    lo[2] += total
+                if hi is None or ok > hi[0]:
+                    hi = [ok, list(values), total]
+                elif ok == hi[0]:
+                    hi[2] += total
+        if blk is None:
+            return
+        segs = [lo] if lo[0] == hi[0] else [lo, hi]
+        out = {blk_col: [blk] * len(segs)}
+        for j, k in enumerate(keys):
+            out[k] = [seg[1][j] for seg in segs]
+        out["seg_sum"] = [seg[2] for seg in segs]
+        yield pd.DataFrame(out)
+
+    return scan, summarize if with_min else summarize_sums
 
 
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
@@ -177,6 +212,8 @@ def prefix_scan(
     """``df`` plus ``_odx_sum``: the inclusive running sum of ``delta`` per key
     in ``(order, tiebreak)`` order, and with ``with_min`` also ``_odx_min``:
     the running minimum of that running sum. A NULL delta counts as 0.
+    Keys may be NULL but not floating-point NaN (pandas cannot tell NaN from
+    NULL, while Spark sorts them at opposite ends).
 
     Rows come back in no particular order.
     """
@@ -210,9 +247,9 @@ def prefix_scan(
     seg_fields.append(T.StructField("seg_sum", value_type))
     if with_min:
         seg_fields.append(T.StructField("seg_min", value_type))
-    seg = ranged.sortWithinPartitions(*sort_cols).mapInPandas(
-        summarize, schema=T.StructType(seg_fields)
-    )
+    # Minima need the block in order; sums alone do not, so W1 skips a sort.
+    edges_in = ranged.sortWithinPartitions(*sort_cols) if with_min else ranged
+    seg = edges_in.mapInPandas(summarize, schema=T.StructType(seg_fields))
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn(_OFF_SUM, F.sum("seg_sum").over(before))
     cols = [F.col(BLOCK).alias(_OFF_BLK), *[F.col(k).alias(f"_odx_k_{k}") for k in keys], _OFF_SUM]
