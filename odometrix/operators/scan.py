@@ -11,9 +11,10 @@ task does a third of the work. Instead:
    (``mapInPandas``, Arrow batches): prefix sums (and running minima of
    them) restart at every key change within the block.
 3. Only a block's first and last key can span blocks. A second pandas pass
-   over the same sorted blocks emits just those two segments per block --
-   total and minimum local prefix sum -- so the segment table has at most
-   ``2n`` rows whatever the data size. A window over each key's segments,
+   over the same blocks emits just those two segments per block -- total,
+   and for the clamped total the minimum local prefix sum (which needs the
+   block sorted; plain totals skip the sort) -- so the segment table has at
+   most ``2n`` rows whatever the data size. A window over each key's segments,
    ordered by block, gives each segment the sum (and minimum) of everything
    before it; only a block's first segment can have a predecessor, so the
    offset table has at most ``n`` rows and is broadcast.
@@ -239,8 +240,8 @@ def prefix_scan(
     scan, summarize = _local_scan(keys, with_min)
     local = ranged.sortWithinPartitions(*sort_cols).mapInPandas(scan, schema=schema)
 
-    # Edge segments of each block, from a second pass over the same sorted
-    # blocks. The pandas pass consumes every column, so nothing is pruned
+    # Edge segments of each block, from a second pass over the same blocks.
+    # The pandas pass consumes every column, so nothing is pruned
     # below it and its range exchange is identical to the scan's: Spark
     # reuses the one exchange and both passes see the same block ids.
     seg_fields = [ranged.schema[BLOCK], *[ranged.schema[k] for k in keys]]
