@@ -172,10 +172,10 @@ def q_deviation_profile(spark: SparkSession, d: str) -> DataFrame:
     return prof.select("user_id", r("mean_value").alias("mean_value"), r("std_value").alias("std_value"))
 
 
-def _with_profile(spark: SparkSession, d: str) -> DataFrame:
+def _with_profile(spark: SparkSession, d: str, *, split_hot_keys: bool = True) -> DataFrame:
     ev = _events(spark, d)
     profile, counts = profile_and_counts(ev, "user_id", ["value"])
-    return with_profile(ev, profile, "user_id", counts=counts)
+    return with_profile(ev, profile, "user_id", counts=counts, split_hot_keys=split_hot_keys)
 
 
 def q_with_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +210,10 @@ def q_deviation_flags_multi(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_readings_for(spark: SparkSession, d: str) -> DataFrame:
-    return readings_for(_with_profile(spark, d), "user_id", SPOT_USER, ["ts", "user_id", "value"])
+    # A drill-down reads one key: its filter reaches every scan, and salting
+    # (whose hot-key share needs the whole key column) has nothing to split.
+    profiled = _with_profile(spark, d, split_hot_keys=False)
+    return readings_for(profiled, "user_id", SPOT_USER, ["ts", "user_id", "value"])
 
 
 def _hourly_flags(spark: SparkSession, d: str) -> DataFrame:
