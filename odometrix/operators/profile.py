@@ -192,19 +192,22 @@ def deviation_flags(
     *,
     k: float = 3.0,
     ts_name: str = "converted_timestamp",
+    split_hot_keys: bool = True,
 ) -> DataFrame:
     """Q5: ``key, <ts_name>, <flag>...`` with a 0/1 int flag per rule.
 
     A reading is compared with the profile of its own key, itself included,
     so a key with ten readings or fewer can never be flagged at k=3. A NULL
     or NaN reading, a NULL std (one reading) and a zero std give 0.
+    ``split_hot_keys=False`` skips salting, e.g. when the input is already
+    filtered to a few keys.
     """
     rules = _rules(metrics)
     stats = _stats(rules)
     used = {key, ts, *stats.values()}
     readings = df.select(*[c for c in df.columns if c in used])
     profile, counts = profile_and_counts(readings, key, rules)
-    joined = with_profile(readings, profile, key, counts=counts)
+    joined = with_profile(readings, profile, key, counts=counts, split_hot_keys=split_hot_keys)
     kk = F.lit(float(k))
     flags = []
     for r in rules:
@@ -229,11 +232,13 @@ def engine_temp_flags(
     side: str = "both",
     k: float = 3.0,
     flag_name: str = "peak_flag",
+    split_hot_keys: bool = True,
 ) -> DataFrame:
     """Q9: ``<ts>, <key>, peak_flag`` -- the single-metric flag table the
     climate report consumes; the timestamp keeps its input type and name."""
     flags = deviation_flags(
-        df, key, ts, [FlagRule(metric, side, flag_name)], k=k, ts_name=ts
+        df, key, ts, [FlagRule(metric, side, flag_name)], k=k, ts_name=ts,
+        split_hot_keys=split_hot_keys,
     )
     return flags.select(ts, key, flag_name)
 
