@@ -29,11 +29,13 @@ def land_sensor_stream(
     *,
     checkpoint: str | None = None,
     available_now: bool = True,
+    interval: str = "1 minute",
     max_files_per_trigger: int | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it lands every file present
-    and stops (call ``awaitTermination()``), otherwise it keeps polling."""
+    and stops (call ``awaitTermination()``), otherwise it polls every
+    ``interval``."""
     reader = spark.readStream.schema(RAW_SENSOR).option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -51,6 +53,6 @@ def land_sensor_stream(
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="1 minute"
+        processingTime=interval
     )
     return writer.start()

@@ -27,3 +27,21 @@ def test_sensor_stream_lands_each_file_once(spark, tmp_dir):
     assert sorted(r["mileage"] for r in out.collect()) == [1.0, 2.0, 3.0, 4.0]
     assert {str(r["date"]) for r in out.select("date").distinct().collect()} == {"2024-03-01", "2024-03-02"}
     assert "front_left_tire_pressure" in out.columns
+
+
+def test_sensor_stream_continuous_mode(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    drop(raw, "V00003_2024-03-01.json", [reading("V00003", "2024-03-01 09:00:00", 60.0, 7.0)])
+    q = land_sensor_stream(
+        spark, raw, os.path.join(tmp_dir, "silver"), checkpoint=os.path.join(tmp_dir, "ckpt"),
+        available_now=False, interval="1 second", max_files_per_trigger=1,
+        query_name="odx_sensor_test",
+    )
+    try:
+        q.processAllAvailable()
+        drop(raw, "V00003_2024-03-02.json", [reading("V00003", "2024-03-02 09:00:00", 50.0, 8.0)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(os.path.join(tmp_dir, "silver")).count() == 2
