@@ -93,9 +93,9 @@ def land_silver(spark: SparkSession, raw_root: str, silver_root: str) -> dict[st
     for name, df in silver_tables(read_raw(spark, raw_root)).items():
         path = f"{silver_root}/{name}"
         if name == "silver_sensor_data":
-            df.withColumn("date", F.to_date("timestamp")).write.mode("ignore").partitionBy(
-                "date"
-            ).parquet(path)
+            write_once(
+                df.withColumn("date", F.to_date("timestamp")), path, partition_by=["date"]
+            )
         else:
             write_once(df, path)
         out[name] = path

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +39,36 @@ def write_overwrite(
     writer.save(path)
 
 
-def write_once(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
-    """K2: write ``df`` to ``path`` unless something is already there.
+# Errors that mean "no committed dataset here": the path is missing, or it
+# holds no data files (e.g. only the _temporary folder of a job that died
+# before its commit).
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
-    Mode ``ignore`` does not even run the plan when the path exists. Unlike a
-    probe that swallows every exception, a permission or I/O error surfaces.
+
+def write_once(
+    df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: list[str] | None = None
+) -> bool:
+    """K2: write ``df`` to ``path`` unless a committed dataset is already
+    there; returns whether it wrote.
+
+    Presence is decided by reading the dataset's schema, so the leftovers of
+    an interrupted write count as absent and are replaced. Only the two
+    "absent" errors are taken as absence; any other error (permissions, I/O)
+    is raised, unlike a probe that swallows every exception.
     """
-    df.write.mode("ignore").format(fmt).save(path)
+    try:
+        df.sparkSession.read.format(fmt).load(path).schema
+        return False
+    except AnalysisException as e:
+        if _condition(e) not in _ABSENT:
+            raise
+    write_overwrite(df, path, fmt=fmt, partition_by=partition_by)
+    return True
+
+
+def _condition(e: AnalysisException) -> str | None:
+    get = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+    return get() if get else None
 
 
 def save_gold(

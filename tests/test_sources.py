@@ -194,3 +194,17 @@ def test_load_table_accepts_paths_and_uris(spark, tmp_dir):
     assert load_table(spark, "file:///root/testdata/sf0.001/", "region").count() == 5
     spark.range(3).write.parquet(os.path.join(tmp_dir, "t"))  # a directory table
     assert load_table(spark, tmp_dir, "t").count() == 3
+
+
+def test_write_once_replaces_an_interrupted_write(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "half")
+    os.makedirs(os.path.join(path, "_temporary", "0"))
+    with open(os.path.join(path, "_temporary", "0", "part-garbage"), "w") as fh:
+        fh.write("not parquet")
+    assert write_once(spark.range(4), path) is True
+    assert spark.read.parquet(path).count() == 4
+    assert write_once(spark.range(9), path) is False
+    assert spark.read.parquet(path).count() == 4
+    empty = os.path.join(tmp_dir, "empty")
+    assert write_once(spark.range(0), empty) is True
+    assert write_once(spark.range(5), empty) is False  # an empty committed dataset is present
