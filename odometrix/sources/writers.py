@@ -77,7 +77,10 @@ def save_gold(
     """K3: create or replace a named table from a query (CTAS).
 
     Overwriting a table that the same plan reads is refused by Spark; write
-    to a new name, or cut the lineage first.
+    to a new name, or cut the lineage first. With plain parquet the replace
+    is not atomic: a job that fails mid-way can leave the table missing, and
+    rerunning it restores the table (the reference's table format had
+    atomic commits; that format is not installed here).
     """
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
