@@ -231,7 +231,11 @@ def q_engine_temp_flags(spark: SparkSession, d: str) -> DataFrame:
 
 def _hourly_tags(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d).filter(F.col("event_type") == "view")
-    hourly = ev.groupBy(hour_of(ev, "ts").alias("hour")).agg(F.avg("value").alias("mean_value"))
+    hourly = (
+        ev.groupBy(hour_of(ev, "ts").alias("hour"))
+        .agg(F.avg("value").alias("mean_value"))
+        .filter(F.col("hour").isNotNull())  # an hour is a time; the join side needs it too
+    )
     m = F.col("mean_value")
     ops = {">": lambda a, b: a > b, "<": lambda a, b: a < b}
     # Each threshold is an exact percentile of the (one row per hour) table,

@@ -84,7 +84,8 @@ LEFT JOIN (SELECT user_id, value, {HOUR} AS hour FROM events) e ON p.user_id = e
 
 
 HOURLY_MEANS = f"""
-SELECT {HOUR} AS hour, avg(value) AS mean_value FROM events WHERE event_type = 'view' GROUP BY 1
+SELECT {HOUR} AS hour, avg(value) AS mean_value FROM events
+WHERE event_type = 'view' AND ts IS NOT NULL GROUP BY 1
 """
 
 
