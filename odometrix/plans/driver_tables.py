@@ -11,7 +11,9 @@ The fleet domain maps onto the driver's tables like this:
   are test parameters, not domain rules: hours above the 90th percentile of
   the hourly means are ``high``, below the 10th ``low`` -- quantiles, so that
   every scale of the data has tagged hours.
-* ``lineitem`` quantities and discounts are metrics with nominal ranges.
+* ``lineitem`` quantities and discounts are metrics with nominal ranges, and
+  its four measures per supplier are a multi-metric sensor profile (they are
+  uniform, so the peak flags there use k = 1.5).
 
 Every query reads whole tables; each returns a lazy DataFrame. Float outputs
 are rounded the same way in Spark and in the SQL oracle (``floor(x*10^p +
