@@ -208,3 +208,14 @@ def test_write_once_replaces_an_interrupted_write(spark, tmp_dir):
     empty = os.path.join(tmp_dir, "empty")
     assert write_once(spark.range(0), empty) is True
     assert write_once(spark.range(5), empty) is False  # an empty committed dataset is present
+
+
+def test_register_tables_for_sql(spark):
+    from odometrix.sources import register_tables
+
+    frames = register_tables(spark, "/root/testdata/sf0.001", ["region", "nation"])
+    assert set(frames) == {"region", "nation"}
+    n = spark.sql(
+        "SELECT count(*) FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"
+    ).first()[0]
+    assert n == 25
