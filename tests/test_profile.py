@@ -220,3 +220,26 @@ def test_oil_pressure_is_one_sided(spark):
         df = spark.createDataFrame(rows, SENSOR_SCHEMA)
         got = fleet.gold_sensor_reading_peaks(df).agg(F.sum("peak_pressure")).first()[0]
         assert got == expected
+
+
+def test_salted_join_with_several_hot_keys_and_nulls(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        u = rnd.random()
+        k = "big" if u < 0.35 else "mid" if u < 0.55 else None if u < 0.6 else f"k{rnd.randint(0, 60)}"
+        rows.append((k, T0 + dt.timedelta(seconds=i), rnd.random() * 100))
+    df = spark.createDataFrame(rows, "k string, ts timestamp, x double")
+    prof = deviation_profile(df, "k", ["x"])
+    salted = with_profile(df, prof, "k")
+    plain = with_profile(df, prof, "k", split_hot_keys=False)
+    assert salted.count() == plain.count()
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    # the null-key profile row is there once, with null reading columns
+    nulls = salted.filter(F.col("k").isNull()).collect()
+    assert len(nulls) == 1 and nulls[0]["ts"] is None
+    flags = deviation_flags(df, "k", "ts", {"x": "both"}, k=1.5)
+    plain_flags = deviation_flags(df, "k", "ts", {"x": "both"}, k=1.5, split_hot_keys=False)
+    assert flags.exceptAll(plain_flags).count() == 0 and flags.count() == plain_flags.count()
