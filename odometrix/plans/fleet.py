@@ -44,9 +44,13 @@ from odometrix.sources.writers import save_gold, write_once
 
 KEY = "vehicle_id"
 
-# The profile statistics and peak flags of the gold sensor
-# table -- (reading column, side, flag name, statistic name) -- in the
-# reference's column order. Oil pressure is flagged on the high side only.
+# The maintenance type that marks a breakdown, the actions
+# that count as repairs, and the profile statistics and peak flags of the
+# gold sensor table -- (reading column, side, flag name, statistic name) --
+# in the reference's column order. Oil pressure is flagged on the high side
+# only.
+BREAKDOWN_TYPE = "Reactive"
+REPAIR_ACTIONS = ("Repair", "Replacement")
 PEAK_RULES = (
     FlagRule("battery_voltage", "both", "peak_voltage", "voltage"),
     FlagRule("engine_temp", "both", "peak_temp", "temp"),
@@ -59,8 +63,6 @@ PEAK_RULES = (
 # Profile column order of the reference: temp, voltage, pressure, tires.
 PROFILE_RULES = (PEAK_RULES[1], PEAK_RULES[0], *PEAK_RULES[2:])
 
-REPAIR_ACTIONS = ("Repair", "Replacement")
-
 
 # --- silver --------------------------------------------------------------------
 
@@ -115,7 +117,7 @@ def gold_breakdowns_by_make_model(
         logs,
         KEY,
         ["make", "model"],
-        log_filter=F.col("type") == "Reactive",
+        log_filter=F.col("type") == BREAKDOWN_TYPE,
         dim_filter=where,
     )
 
