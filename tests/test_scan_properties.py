@@ -51,3 +51,24 @@ def test_scan_matches_recurrence(spark, rows, blocks, batch, start):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got_plain == brute(rows, start, clamp=False)
     assert got_clamp == brute(rows, start, clamp=True)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    keys=st.lists(st.one_of(st.none(), st.integers(0, 3), st.integers(0, 40)), min_size=1, max_size=200),
+    partitions=st.integers(1, 12),
+)
+def test_salted_profile_join_matches_plain_join(spark, keys, partitions):
+    from odometrix.operators import deviation_profile, with_profile
+
+    data = [(k, T0 + dt.timedelta(seconds=i), float((i * 37) % 101)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(data, "k long, ts timestamp, x double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        prof = deviation_profile(df, "k", ["x"])
+        salted = sorted(map(tuple, with_profile(df, prof, "k").collect()), key=repr)
+        plain = sorted(map(tuple, with_profile(df, prof, "k", split_hot_keys=False).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert salted == plain
