@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import as_timestamp, nan_to_null
+from odometrix.functions.columns import as_timestamp, nan_to_null, planned_partitions
 
 SIDES = ("both", "high", "low")
 
@@ -181,7 +181,7 @@ def _hashable(df: DataFrame) -> list:
 
 
 def _partitions(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return planned_partitions(df.sparkSession)
 
 
 def deviation_flags(

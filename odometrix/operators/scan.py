@@ -44,6 +44,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odometrix.functions.columns import planned_partitions
+
 BLOCK = "_odx_blk"
 DELTA = "_odx_d"
 PREFIX_SUM = "_odx_sum"
@@ -197,7 +199,7 @@ def _local_scan(keys: list[str], with_min: bool):
 def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
     if num_blocks:
         return int(num_blocks)
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return planned_partitions(df.sparkSession)
 
 
 def prefix_scan(

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import as_timestamp
+from odometrix.functions.columns import as_timestamp, planned_partitions
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -105,7 +105,7 @@ def write_sensor_json(
     leave the records and come back from the path on read.
     """
     dated = df.withColumn(date_name, F.to_date(as_timestamp(df, ts)))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = planned_partitions(df.sparkSession)
     (
         dated.repartitionByRange(n, key, date_name, ts)
         .sortWithinPartitions(key, date_name, ts)

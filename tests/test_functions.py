@@ -107,3 +107,14 @@ def test_ntz_truncation_ignores_session_zone(spark):
     assert row["d"] == dt.datetime(2024, 3, 10)
     assert row["w"] == dt.datetime(2024, 3, 4)
     assert row["m"] == dt.datetime(2024, 3, 1)
+
+
+def test_planned_partitions(spark):
+    from odometrix.functions.columns import planned_partitions
+
+    assert planned_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
+    try:
+        assert planned_partitions(spark) == 64
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
