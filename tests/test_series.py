@@ -172,3 +172,11 @@ def test_running_totals_on_skewed_events_match_duckdb(spark):
         .groupBy(F.spark_partition_id()).count().collect()
     )
     assert hot > 0.35 * ev.count() and len(blocks) > 1
+
+
+def test_last_per_period_tiebreak_resolves_equal_timestamps(spark):
+    t = T0 + dt.timedelta(hours=20)
+    rows = [("V1", 3, t, 30.0), ("V1", 9, t, 90.0), ("V1", 5, t, 50.0), ("V1", 1, T0, 10.0)]
+    df = spark.createDataFrame(rows, "vehicle_id string, id long, timestamp timestamp, mileage double")
+    got = last_per_period(df, "vehicle_id", "timestamp", ["mileage"], tiebreak="id").collect()
+    assert [r["last_mileage"] for r in got] == [90.0]  # the largest id among the tied latest readings
