@@ -227,6 +227,9 @@ def prefix_scan(
     kind = "long" if isinstance(dtype, T.IntegralType) else "double"
     base = df.withColumn(DELTA, F.coalesce(d.cast(kind), F.lit(0).cast(kind)))
 
+    # An explicit partition count matters: adaptive execution never coalesces
+    # or locally re-reads a shuffle of that origin, so a task's partition id
+    # stays its range block.
     ranged = base.repartitionByRange(_num_blocks(df, num_blocks), *sort_cols).withColumn(
         BLOCK, F.spark_partition_id()
     )
