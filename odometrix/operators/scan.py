@@ -7,9 +7,10 @@ task does a third of the work. Instead:
 1. ``repartitionByRange(n, key, order, tiebreak)`` samples the sort key and
    cuts the rows into ``n`` ordered blocks of similar size; a hot key spans
    many consecutive blocks.
-2. Each block is sorted locally and scanned by a vectorised pandas pass
-   (``mapInPandas``, Arrow batches): prefix sums (and running minima of
-   them) restart at every key change within the block.
+2. Each block is sorted locally and scanned by a vectorised pass over its
+   Arrow record batches (``mapInArrow``; payload columns are not converted):
+   prefix sums (and running minima of them) restart at every key change
+   within the block.
 3. Only a block's first and last key can span blocks. A second pandas pass
    over the same blocks emits just those two segments per block -- total,
    and for the clamped total the minimum local prefix sum (which needs the
@@ -57,141 +58,190 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-# The two pandas passes below run in Python workers. Everything they call is
-# defined inside their factory, so cloudpickle ships them by value and a
-# worker needs only numpy and pandas -- not this package -- to run them.
+# The passes below run in Python workers on Arrow record batches
+# (``mapInArrow``): payload columns pass through untouched -- no pandas
+# conversion, NaN stays NaN and NULL stays NULL -- and the work per batch is
+# vectorised (Arrow compute, numpy), with O(1) Python per batch. Everything
+# they call is defined inside their factory, so cloudpickle ships them by
+# value and a worker needs only numpy, pandas and pyarrow, not this package.
 
 
-def _local_scan(keys: list[str], with_min: bool):
-    """Builds the per-block pandas pass. Rows arrive sorted by (keys, order)."""
+def _arrow_passes(keys: list[str], with_min: bool, value_type: T.DataType):
+    """Builds the per-block passes. ``scan`` and ``summarize`` get rows sorted
+    by (keys, order); ``summarize_sums`` gets the block unsorted."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     blk_col, delta_col, sum_col, min_col = BLOCK, DELTA, PREFIX_SUM, PREFIX_MIN
+    arrow_value = pa.int64() if isinstance(value_type, T.LongType) else pa.float64()
+
+    def same_as_previous(col):
+        """Row i equals row i-1 (for i >= 1): NULL equals NULL, NaN equals NaN."""
+        a, b = col.slice(1), col.slice(0, len(col) - 1)
+        eq = pc.fill_null(pc.equal(a, b), False)
+        eq = pc.or_(eq, pc.and_(pc.is_null(a), pc.is_null(b)))
+        if pa.types.is_floating(col.type):
+            both_nan = pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False))
+            eq = pc.or_(eq, both_nan)
+        return eq.to_numpy(zero_copy_only=False)
+
+    def equal_to(col, value):
+        """Rows whose key equals the Python ``value`` (None for NULL, NaN for NaN)."""
+        if value is None:
+            return pc.is_null(col).to_numpy(zero_copy_only=False)
+        if isinstance(value, float) and value != value:
+            return pc.fill_null(pc.is_nan(col), False).to_numpy(zero_copy_only=False)
+        scalar = pa.scalar(value, type=col.type)
+        return pc.fill_null(pc.equal(col, scalar), False).to_numpy(zero_copy_only=False)
 
-    def same(a, b):
-        """Element-wise equality where two missing values are equal."""
-        na_a, na_b = a.isna().to_numpy(), b.isna().to_numpy()
-        eq = (a.to_numpy() == b.to_numpy()) & ~na_a & ~na_b
-        return eq | (na_a & na_b)
+    def py_same(x, y):
+        if x is None or y is None:
+            return x is None and y is None
+        if isinstance(x, float) and isinstance(y, float) and x != x and y != y:
+            return True
+        return x == y
+
+    def order_key(values):
+        """Sort key of a key tuple in the range order: NULLs first, NaN last."""
+        out = []
+        for v in values:
+            if v is None:
+                out.append((0, 0))
+            elif isinstance(v, float) and v != v:
+                out.append((2, 0))
+            else:
+                out.append((1, v))
+        return tuple(out)
 
-    def runs(pdf, carry_key):
-        """Run starts (key changes), and whether row 0 continues ``carry_key``."""
-        kcols = [pdf[k].reset_index(drop=True) for k in keys]
-        n = len(pdf)
+    def segments(batch, carry_key, carry_sum, carry_min):
+        """Run starts, per-row local prefix sums (and running minima), and the
+        last row of each run; the first run continues ``carry_key`` if equal."""
+        n = batch.num_rows
+        cols = [batch.column(k) for k in keys]
         new_run = np.zeros(n, dtype=bool)
         new_run[0] = True
-        for c in kcols:
-            new_run[1:] |= ~same(c.iloc[1:].reset_index(drop=True), c.iloc[:-1].reset_index(drop=True))
+        for c in cols:
+            new_run[1:] |= ~same_as_previous(c)
         continues = carry_key is not None and all(
-            bool(same(pd.Series([c.iloc[0]]), pd.Series([ck]))[0]) for c, ck in zip(kcols, carry_key)
+            py_same(c[0].as_py(), ck) for c, ck in zip(cols, carry_key)
         )
-        return kcols, new_run, continues
+        d = batch.column(delta_col).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new_run)
+        lengths = np.diff(np.append(starts, n))
+        total = np.cumsum(d)
+        before = np.concatenate(([0], total))[starts]
+        cum = total - np.repeat(before, lengths)
+        if continues:
+            cum[: lengths[0]] += carry_sum
+        cmin = None
+        if with_min:
+            run_id = np.repeat(np.arange(len(starts)), lengths)
+            cmin = pd.Series(cum).groupby(run_id, sort=False).cummin().to_numpy()
+            if continues:
+                cmin[: lengths[0]] = np.minimum(cmin[: lengths[0]], carry_min)
+        ends = starts + lengths - 1
+        return cols, continues, cum, cmin, ends
 
     def scan(batches):
-        carry_key = None  # key values of the previous batch's last row
-        carry_sum = None
-        carry_min = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                out = pdf.assign(**{sum_col: pdf[delta_col]})
+        carry_key = carry_sum = carry_min = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                out = batch.append_column(sum_col, pa.array([], type=arrow_value))
                 if with_min:
-                    out[min_col] = pdf[delta_col]
+                    out = out.append_column(min_col, pa.array([], type=arrow_value))
                 yield out
                 continue
-            kcols, new_run, continues = runs(pdf, carry_key)
-            run = np.cumsum(new_run)
-            d = pdf[delta_col].reset_index(drop=True)
-            cum = d.groupby(run, sort=False).cumsum()
-            if continues:
-                cum[run == 1] += carry_sum
-            out = pdf.assign(**{sum_col: cum.to_numpy()})
+            cols, _, cum, cmin, _ = segments(batch, carry_key, carry_sum, carry_min)
+            out = batch.append_column(sum_col, pa.array(cum, type=arrow_value))
             if with_min:
-                cmin = cum.groupby(run, sort=False).cummin()
-                if continues:
-                    cmin[run == 1] = np.minimum(cmin[run == 1], carry_min)
-                out[min_col] = cmin.to_numpy()
-                carry_min = cmin.iloc[-1]
-            carry_key = [c.iloc[-1] for c in kcols]
-            carry_sum = cum.iloc[-1]
+                out = out.append_column(min_col, pa.array(cmin, type=arrow_value))
+                carry_min = cmin[-1]
+            carry_key = [c[-1].as_py() for c in cols]
+            carry_sum = cum[-1]
             yield out
 
+    def edge_batch(blk, segs, types):
+        """Output batch ``(block, keys..., seg_sum[, seg_min])``, typed like the
+        input batch's columns."""
+        arrays = [pa.array([blk] * len(segs), type=types[blk_col])]
+        names = [blk_col]
+        for j, k in enumerate(keys):
+            arrays.append(pa.array([seg[0][j] for seg in segs], type=types[k]))
+            names.append(k)
+        arrays.append(pa.array([seg[1] for seg in segs], type=arrow_value))
+        names.append("seg_sum")
+        if with_min:
+            arrays.append(pa.array([seg[2] for seg in segs], type=arrow_value))
+            names.append("seg_min")
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    def types_of(batch):
+        return {f.name: f.type for f in batch.schema}
+
     def summarize(batches):
         """The block's first and last segment: ``(block, keys..., seg_sum,
-        seg_min)``, one row if the block holds a single key. O(1) state."""
-        blk = None
-        open_key = None  # key of the segment still open at the batch end
-        open_sum = None
-        open_min = None
+        seg_min)``, one row if the block holds a single key."""
+        blk = types = None
+        open_key = open_sum = open_min = None  # the segment open at the batch end
         first = None  # the block's first segment, once closed
         closed = 0
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            blk = pdf[blk_col].iloc[0]
-            kcols, new_run, continues = runs(pdf, open_key)
+            blk, types = batch.column(blk_col)[0].as_py(), types_of(batch)
+            cols, continues, cum, cmin, ends = segments(batch, open_key, open_sum, open_min)
             if open_key is not None and not continues:
                 if closed == 0:
                     first = (open_key, open_sum, open_min)
                 closed += 1
-            run = np.cumsum(new_run)
-            d = pdf[delta_col].reset_index(drop=True)
-            cum = d.groupby(run, sort=False).cumsum()
-            if continues:
-                cum[run == 1] += open_sum
-            cmin = cum.groupby(run, sort=False).cummin()
-            if continues:
-                cmin[run == 1] = np.minimum(cmin[run == 1], open_min)
-            ends = np.flatnonzero(np.append(new_run[1:], True))  # last row of each run
-            for i in ends[:-1]:  # runs that close inside this batch
+            if len(ends) > 1:  # runs that close inside this batch
                 if closed == 0:
-                    first = ([c.iloc[i] for c in kcols], cum.iloc[i], cmin.iloc[i])
-                closed += 1
+                    i = ends[0]
+                    first = ([c[i].as_py() for c in cols], cum[i], cmin[i])
+                closed += len(ends) - 1
             last = ends[-1]
-            open_key = [c.iloc[last] for c in kcols]
-            open_sum, open_min = cum.iloc[last], cmin.iloc[last]
-        if blk is None:
-            return
-        segs = ([first] if first is not None else []) + [(open_key, open_sum, open_min)]
-        out = {blk_col: [blk] * len(segs)}
-        for j, k in enumerate(keys):
-            out[k] = [seg[0][j] for seg in segs]
-        out["seg_sum"] = [seg[1] for seg in segs]
-        if with_min:
-            out["seg_min"] = [seg[2] for seg in segs]
-        yield pd.DataFrame(out)
-
-    def order_key(values):
-        """Sort key of a key tuple in the range order: NULLs first."""
-        return tuple((0, 0) if pd.isna(v) else (1, v) for v in values)
+            open_key = [c[last].as_py() for c in cols]
+            open_sum, open_min = cum[last], cmin[last]
+        if blk is not None:
+            segs = ([first] if first is not None else []) + [(open_key, open_sum, open_min)]
+            yield edge_batch(blk, segs, types)
 
     def summarize_sums(batches):
         """Without minima only sums are needed, and a block's first and last
-        segment are the segments of its smallest and largest key: one pass
-        over the unsorted block, O(distinct keys per batch) at a time."""
-        blk = None
+        segment are those of its smallest and largest key: per unsorted batch
+        one Arrow sort finds them and two masks sum their deltas."""
+        blk = types = None
         lo = hi = None  # [order key, key values, sum]
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            blk = pdf[blk_col].iloc[0]
-            sums = pdf.groupby(keys, dropna=False, sort=False)[delta_col].sum()
-            for idx, total in sums.items():
-                values = idx if isinstance(idx, tuple) else (idx,)
-                ok = order_key(values)
-                if lo is None or ok < lo[0]:
-                    lo = [ok, list(values), total]
-                elif ok == lo[0]:
-                    lo[2] += total
-                if hi is None or ok > hi[0]:
-                    hi = [ok, list(values), total]
-                elif ok == hi[0]:
-                    hi[2] += total
-        if blk is None:
-            return
-        segs = [lo] if lo[0] == hi[0] else [lo, hi]
-        out = {blk_col: [blk] * len(segs)}
-        for j, k in enumerate(keys):
-            out[k] = [seg[1][j] for seg in segs]
-        out["seg_sum"] = [seg[2] for seg in segs]
-        yield pd.DataFrame(out)
+            blk, types = batch.column(blk_col)[0].as_py(), types_of(batch)
+            cols = [batch.column(k) for k in keys]
+            d = batch.column(delta_col).to_numpy(zero_copy_only=False)
+            idx = pc.sort_indices(
+                pa.Table.from_arrays(cols, names=keys),
+                sort_keys=[(k, "ascending") for k in keys],
+                null_placement="at_start",
+            )
+            for pos, is_lo in ((0, True), (len(idx) - 1, False)):
+                row = idx[pos].as_py()
+                values = [c[row].as_py() for c in cols]
+                mask = np.ones(batch.num_rows, dtype=bool)
+                for c, v in zip(cols, values):
+                    mask &= equal_to(c, v)
+                ok, total = order_key(values), d[mask].sum()
+                cur = lo if is_lo else hi
+                if cur is None or (ok < cur[0] if is_lo else ok > cur[0]):
+                    cur = [ok, values, total]
+                elif ok == cur[0]:
+                    cur[2] += total
+                if is_lo:
+                    lo = cur
+                else:
+                    hi = cur
+        if blk is not None:
+            segs = [(lo[1], lo[2])] if lo[0] == hi[0] else [(lo[1], lo[2]), (hi[1], hi[2])]
+            yield edge_batch(blk, segs, types)
 
     return scan, summarize if with_min else summarize_sums
 
@@ -215,8 +265,8 @@ def prefix_scan(
     """``df`` plus ``_odx_sum``: the inclusive running sum of ``delta`` per key
     in ``(order, tiebreak)`` order, and with ``with_min`` also ``_odx_min``:
     the running minimum of that running sum. A NULL delta counts as 0.
-    Keys may be NULL but not floating-point NaN (pandas cannot tell NaN from
-    NULL, while Spark sorts them at opposite ends).
+    Keys may be NULL or NaN (distinct keys, as in Spark); every other column
+    passes through unchanged.
 
     Rows come back in no particular order.
     """
@@ -242,11 +292,11 @@ def prefix_scan(
     schema = T.StructType(list(ranged.schema.fields) + [T.StructField(PREFIX_SUM, value_type)])
     if with_min:
         schema = schema.add(T.StructField(PREFIX_MIN, value_type))
-    scan, summarize = _local_scan(keys, with_min)
-    local = ranged.sortWithinPartitions(*sort_cols).mapInPandas(scan, schema=schema)
+    scan, summarize = _arrow_passes(keys, with_min, value_type)
+    local = ranged.sortWithinPartitions(*sort_cols).mapInArrow(scan, schema=schema)
 
     # Edge segments of each block, from a second pass over the same blocks.
-    # The pandas pass consumes every column, so nothing is pruned
+    # The Arrow pass consumes every column, so nothing is pruned
     # below it and its range exchange is identical to the scan's: Spark
     # reuses the one exchange and both passes see the same block ids.
     seg_fields = [ranged.schema[BLOCK], *[ranged.schema[k] for k in keys]]
@@ -255,7 +305,7 @@ def prefix_scan(
         seg_fields.append(T.StructField("seg_min", value_type))
     # Minima need the block in order; sums alone do not, so W1 skips a sort.
     edges_in = ranged.sortWithinPartitions(*sort_cols) if with_min else ranged
-    seg = edges_in.mapInPandas(summarize, schema=T.StructType(seg_fields))
+    seg = edges_in.mapInArrow(summarize, schema=T.StructType(seg_fields))
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn(_OFF_SUM, F.sum("seg_sum").over(before))
     cols = [F.col(BLOCK).alias(_OFF_BLK), *[F.col(k).alias(f"_odx_k_{k}") for k in keys], _OFF_SUM]

@@ -180,3 +180,20 @@ def test_last_per_period_tiebreak_resolves_equal_timestamps(spark):
     df = spark.createDataFrame(rows, "vehicle_id string, id long, timestamp timestamp, mileage double")
     got = last_per_period(df, "vehicle_id", "timestamp", ["mileage"], tiebreak="id").collect()
     assert [r["last_mileage"] for r in got] == [90.0]  # the largest id among the tied latest readings
+
+
+def test_scan_keeps_nan_and_null_apart_in_payload_and_keys(spark):
+    nan = float("nan")
+    keys = [nan, None, 1.5, nan, None, 1.5, nan, nan, 2.0, nan]
+    rows = [(i, keys[i % len(keys)], T0 + dt.timedelta(seconds=i), i % 7 - 3, nan if i % 4 == 0 else float(i))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k double, ts timestamp, d int, p double")
+    for blocks in (1, 4, 11):
+        got = {r["id"]: r for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=blocks, name="t").collect()}
+        clamp = {r["id"]: r["t"] for r in clamped_running_total(df, "k", "ts", "d", start=2, tiebreak="id", num_blocks=blocks, name="t").collect()}
+        # payload NaN stays NaN, keys keep NaN vs NULL
+        assert all((r["p"] != r["p"]) == (i % 4 == 0) for i, r in got.items())
+        assert all((r["k"] is None) == (keys[i % len(keys)] is None) for i, r in got.items())
+        norm = [(i, "nan" if isinstance(k, float) and k != k else k, t, d) for i, k, t, d, _ in rows]
+        assert {i: r["t"] for i, r in got.items()} == brute(norm)
+        assert clamp == brute(norm, start=2, clamp=True)
