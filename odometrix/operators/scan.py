@@ -11,7 +11,7 @@ task does a third of the work. Instead:
    Arrow record batches (``mapInArrow``; payload columns are not converted):
    prefix sums (and running minima of them) restart at every key change
    within the block.
-3. Only a block's first and last key can span blocks. A second pandas pass
+3. Only a block's first and last key can span blocks. A second Arrow pass
    over the same blocks emits just those two segments per block -- total,
    and for the clamped total the minimum local prefix sum (which needs the
    block sorted; plain totals skip the sort) -- so the segment table has at
