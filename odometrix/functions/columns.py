@@ -153,14 +153,3 @@ def safe_corr(x: ColumnOrName, y: ColumnOrName) -> Column:
     sx, sy = F.stddev_pop(xs), F.stddev_pop(ys)
     return F.when((sx > 0) & (sy > 0), F.covar_pop(xs, ys) / (sx * sy))
 
-
-def planned_partitions(spark) -> int:
-    """The shuffle fan-out the session plans for: the larger of
-    ``spark.sql.shuffle.partitions`` and AQE's
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (which
-    clusters set high and let adaptive execution coalesce down)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    if initial not in (None, "", "None"):
-        n = max(n, int(initial))
-    return max(1, n)

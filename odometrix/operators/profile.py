@@ -29,7 +29,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import as_timestamp, nan_to_null, planned_partitions
+from odometrix.functions.columns import as_timestamp, nan_to_null
+from odometrix.session import planned_partitions
 
 SIDES = ("both", "high", "low")
 

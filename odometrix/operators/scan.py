@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odometrix.functions.columns import planned_partitions
+from odometrix.session import planned_partitions
 
 BLOCK = "_odx_blk"
 DELTA = "_odx_d"

@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import as_timestamp, planned_partitions
+from odometrix.functions.columns import as_timestamp
+from odometrix.session import planned_partitions
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

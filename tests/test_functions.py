@@ -110,7 +110,7 @@ def test_ntz_truncation_ignores_session_zone(spark):
 
 
 def test_planned_partitions(spark):
-    from odometrix.functions.columns import planned_partitions
+    from odometrix.session import planned_partitions
 
     assert planned_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
