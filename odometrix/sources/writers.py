@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import as_timestamp
+from odometrix.functions.columns import TIMESTAMP_FORMAT, as_timestamp
 from odometrix.session import planned_partitions
 
 
@@ -98,7 +98,8 @@ def write_sensor_json(
     date_name: str = "date",
     max_records_per_file: int = 1_000_000,
 ) -> None:
-    """K5: readings as JSON lines under ``<key>=<k>/<date>=<d>/``.
+    """K5: readings as JSON lines under ``<key>=<k>/<date>=<d>/``, timestamps
+    in the raw layout ``yyyy-MM-dd HH:mm:ss``.
 
     Rows are range-partitioned on (key, date, ts): each task writes few
     directories, and a (key, day) that holds a large share of the rows is
@@ -112,6 +113,8 @@ def write_sensor_json(
         .sortWithinPartitions(key, date_name, ts)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .partitionBy(key, date_name)
         .json(path)
     )

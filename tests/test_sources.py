@@ -111,6 +111,8 @@ def test_write_sensor_json_layout_and_roundtrip(spark, tmp_dir):
     back = spark.read.json(path)
     assert back.count() == 9
     assert set(back.columns) == {"timestamp", "mileage", "vehicle_id", "date"}
+    stamps = {r["timestamp"] for r in back.select(F.col("timestamp").cast("string").alias("timestamp")).collect()}
+    assert "2024-03-01 05:00:00" in stamps  # the raw writers' layout
 
 
 def test_hourly_spine(spark):
