@@ -7,7 +7,8 @@ key. It is joined back to the readings by an inner join on (key, salt):
 * a key with more than one fair partition's worth of readings
   (``n * partitions > total``) is hot. There are at most ``partitions`` such
   keys, so the hot set has a proven bound and is broadcast;
-* a hot key gets ``ceil(4 * n * partitions / total)`` salts: each reading takes
+* a hot key gets ``ceil(4 * n * partitions / total)`` salts (see
+  ``operators._skew``): each reading takes
   one (a hash of the row, deterministic under retries) and the key's profile
   row is copied once per salt, so the key's readings spread over that many
   join tasks; every other key has salt 0.
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odometrix.functions.columns import as_timestamp, nan_to_null
+from odometrix.operators._skew import COUNT, SALTS, hot_keys, key_counts
 from odometrix.session import planned_partitions
 
 SIDES = ("both", "high", "low")
@@ -79,8 +81,8 @@ def _stats(metrics: Mapping[str, str] | Sequence[FlagRule | str]) -> dict[str, s
     return out
 
 
-_N = "_odx_n"  # readings per key
-_SALTS = "_odx_salts"
+_N = COUNT  # readings per key
+_SALTS = SALTS
 _SALT = "_odx_salt"
 
 
@@ -106,11 +108,6 @@ def deviation_profile(
     return df.groupBy(key).agg(*_profile_aggs(metrics))
 
 
-# Salts per fair partition's worth of a hot key's readings: pieces of a
-# quarter partition, so that hash collisions of (key, salt) pairs average out.
-SALTS_PER_PARTITION = 4
-
-
 def profile_and_counts(
     df: DataFrame, key: str, metrics: Mapping[str, str] | Sequence[FlagRule | str]
 ) -> tuple[DataFrame, DataFrame]:
@@ -121,17 +118,6 @@ def profile_and_counts(
     return both.drop(_N), both.select(key, _N)
 
 
-def _hot_keys(counts: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Keys holding more than ``1/partitions`` of all rows, with their salt
-    count. At most ``partitions`` rows, whatever the data size, and at most
-    ``(SALTS_PER_PARTITION + 1) * partitions`` salts in all."""
-    total = counts.agg(F.sum(_N)).scalar()
-    share = F.col(_N) * F.lit(partitions)
-    return counts.filter(share > total).select(
-        key, F.ceil(share * F.lit(SALTS_PER_PARTITION) / total).cast("int").alias(_SALTS)
-    )
-
-
 def with_profile(
     df: DataFrame,
     profile: DataFrame,
@@ -154,8 +140,8 @@ def with_profile(
     out_cols = [*profile.columns, *reading_cols]
     if split_hot_keys:
         if counts is None:
-            counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
-        hot = F.broadcast(_hot_keys(counts, key, _partitions(df)))
+            counts = key_counts(df, [key])
+        hot = F.broadcast(hot_keys(counts, [key], _partitions(df)))
         readings = df.join(hot, key, "left").withColumn(
             _SALT,
             F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(

@@ -169,7 +169,8 @@ def skewed_events(spark):
 
 
 def test_salted_profile_join_equals_plain_join_on_skewed_keys(spark):
-    from odometrix.operators.profile import _N, _hot_keys
+    from odometrix.operators._skew import COUNT as _N
+    from odometrix.operators._skew import hot_keys
 
     ev = skewed_events(spark)
     prof = deviation_profile(ev, "user_id", ["value"])
@@ -178,20 +179,21 @@ def test_salted_profile_join_equals_plain_join_on_skewed_keys(spark):
     assert salted.count() == plain.count() == ev.count()
     assert salted.exceptAll(plain).count() == 0
     counts = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias(_N))
-    hot = {r["user_id"]: r["_odx_salts"] for r in _hot_keys(counts, "user_id", 8).collect()}
+    hot = {r["user_id"]: r["_odx_salts"] for r in hot_keys(counts, ["user_id"], 8).collect()}
     # 40% of the rows: 0.4 * 8 partitions * 4 salts per partition -> 13 salts
     assert hot == {0: 13}
 
 
 def test_hot_key_bound_and_uniform_keys(spark):
-    from odometrix.operators.profile import _N, _hot_keys
+    from odometrix.operators._skew import COUNT as _N
+    from odometrix.operators._skew import hot_keys
 
     uniform = spark.range(8000).select((F.col("id") % 100).alias("k"), F.lit(1).alias(_N))
     counts = uniform.groupBy("k").agg(F.sum(_N).alias(_N))
-    assert _hot_keys(counts, "k", 8).count() == 0
+    assert hot_keys(counts, ["k"], 8).count() == 0
     # whatever the counts, no more keys than partitions can be hot
     heavy = spark.createDataFrame([(i, 1000 - i) for i in range(50)], f"k long, {_N} long")
-    assert _hot_keys(heavy, "k", 8).count() <= 8
+    assert hot_keys(heavy, ["k"], 8).count() <= 8
 
 
 def test_salted_join_is_planned_when_the_profile_is_not_broadcast(spark):
