@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odometrix.operators._skew import hot_keys, key_counts
 from odometrix.session import planned_partitions
 
 BLOCK = "_odx_blk"
@@ -252,6 +253,9 @@ def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
     return planned_partitions(df.sparkSession)
 
 
+METHODS = ("auto", "range", "window")
+
+
 def prefix_scan(
     df: DataFrame,
     key: str | Sequence[str],
@@ -261,6 +265,7 @@ def prefix_scan(
     tiebreak: str | None = None,
     num_blocks: int | None = None,
     with_min: bool = False,
+    method: str = "auto",
 ) -> DataFrame:
     """``df`` plus ``_odx_sum``: the inclusive running sum of ``delta`` per key
     in ``(order, tiebreak)`` order, and with ``with_min`` also ``_odx_min``:
@@ -268,14 +273,52 @@ def prefix_scan(
     Keys may be NULL or NaN (distinct keys, as in Spark); every other column
     passes through unchanged.
 
+    ``method``: ``"window"`` is a plain per-key window (one hash shuffle, all
+    JVM; one task per key); ``"range"`` the range-partitioned scan for every
+    row; ``"auto"`` (default) splits the rows: keys above one partition's fair
+    share of rows (at most ``partitions`` of them, a broadcast set) take the
+    range scan, all others the window, whose hash shuffle they keep balanced.
+
     Rows come back in no particular order.
     """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     keys = _keys(key)
-    sort_cols = [*keys, order, *([tiebreak] if tiebreak else [])]
     d = F.col(delta) if isinstance(delta, str) else delta
     dtype = df.select(d).schema[0].dataType
     kind = "long" if isinstance(dtype, T.IntegralType) else "double"
     base = df.withColumn(DELTA, F.coalesce(d.cast(kind), F.lit(0).cast(kind)))
+    if method == "window":
+        return _window_scan(base, keys, order, tiebreak, with_min)
+    if method == "range":
+        return _range_scan(base, keys, order, tiebreak, num_blocks, with_min, kind)
+    hot = hot_keys(key_counts(base, keys), keys, planned_partitions(df.sparkSession))
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_odx_hk_{k}") for k in keys]))
+    on = [base[k].eqNullSafe(hot[f"_odx_hk_{k}"]) for k in keys]
+    # Semi/anti joins against the broadcast set: with no hot key, adaptive
+    # execution sees the empty set and drops the whole range branch.
+    hot_rows = base.join(hot, on, "left_semi")
+    cold = base.join(hot, on, "left_anti")
+    return _window_scan(cold, keys, order, tiebreak, with_min).unionByName(
+        _range_scan(hot_rows, keys, order, tiebreak, num_blocks, with_min, kind)
+    )
+
+
+def _window_scan(base, keys, order, tiebreak, with_min) -> DataFrame:
+    w = (
+        Window.partitionBy(*keys)
+        .orderBy(order, *([tiebreak] if tiebreak else []))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    out = base.withColumn(PREFIX_SUM, F.sum(DELTA).over(w))
+    if with_min:
+        out = out.withColumn(PREFIX_MIN, F.min(PREFIX_SUM).over(w))
+    return out.drop(DELTA)
+
+
+def _range_scan(base, keys, order, tiebreak, num_blocks, with_min, kind) -> DataFrame:
+    df = base
+    sort_cols = [*keys, order, *([tiebreak] if tiebreak else [])]
 
     # An explicit partition count matters: adaptive execution never coalesces
     # or locally re-reads a shuffle of that origin, so a task's partition id

@@ -33,14 +33,19 @@ def running_total(
     tiebreak: str | None = None,
     name: str = "running_total",
     num_blocks: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """W1: ``start + running sum of delta`` per key, rows in ``(order, tiebreak)``
     order, current row included (an odometer from its increments).
 
     ``start`` is a number or a column that is constant within a key.
     Integral deltas give an exact ``long`` total; a NULL delta counts as 0.
+    ``method`` chooses how keys are spread over tasks (see ``prefix_scan``):
+    by default hot keys take the range-partitioned scan, the rest a window.
     """
-    scanned = prefix_scan(df, key, order, delta, tiebreak=tiebreak, num_blocks=num_blocks)
+    scanned = prefix_scan(
+        df, key, order, delta, tiebreak=tiebreak, num_blocks=num_blocks, method=method
+    )
     return scanned.withColumn(name, _start(start) + F.col(PREFIX_SUM)).drop(PREFIX_SUM)
 
 
@@ -55,6 +60,7 @@ def clamped_running_total(
     tiebreak: str | None = None,
     name: str = "clamped_total",
     num_blocks: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """W2: the level ``x <- max(floor, x + delta)`` per key, from ``x = start``,
     after each row.
@@ -64,7 +70,8 @@ def clamped_running_total(
     prefix scan that tracks the sum and its minimum.
     """
     scanned = prefix_scan(
-        df, key, order, delta, tiebreak=tiebreak, num_blocks=num_blocks, with_min=True
+        df, key, order, delta, tiebreak=tiebreak, num_blocks=num_blocks, with_min=True,
+        method=method,
     )
     base = _start(start) - F.lit(floor)
     level = F.lit(floor) + (base + F.col(PREFIX_SUM)) - F.least(F.lit(0), base + F.col(PREFIX_MIN))

@@ -94,8 +94,9 @@ def test_prefix_scan_plan_reuses_one_range_exchange(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()  # final adaptive plan
     assert "isFinalPlan=true" in plan
     # the offset branch reads the scan branch's range exchange, not its own
-    final = plan.split("== Initial Plan ==")[0]
-    lines = [ln for ln in final.splitlines() if "Exchange rangepartitioning" in ln]
+    from tools.plan_report import final_lines
+
+    lines = [ln for ln in final_lines(plan) if "Exchange rangepartitioning" in ln]
     assert sum("ReusedExchange" not in ln for ln in lines) == 1
     assert sum("ReusedExchange" in ln for ln in lines) == 1
 
@@ -197,3 +198,15 @@ def test_scan_keeps_nan_and_null_apart_in_payload_and_keys(spark):
         norm = [(i, "nan" if isinstance(k, float) and k != k else k, t, d) for i, k, t, d, _ in rows]
         assert {i: r["t"] for i, r in got.items()} == brute(norm)
         assert clamp == brute(norm, start=2, clamp=True)
+
+
+def test_scan_methods_agree(spark):
+    rows = make_rows(seed=21, n=1200, hot_share=0.3)
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
+    results = {}
+    for method in ("auto", "range", "window"):
+        out = clamped_running_total(df, "k", "ts", "d", start=4, tiebreak="id", num_blocks=5, name="t", method=method)
+        results[method] = {r["id"]: r["t"] for r in out.collect()}
+    assert results["auto"] == results["range"] == results["window"] == brute(rows, start=4, clamp=True)
+    with pytest.raises(ValueError):
+        running_total(df, "k", "ts", "d", method="nope")
