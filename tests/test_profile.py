@@ -8,7 +8,6 @@ from odometrix.operators import (
     deviation_flags,
     deviation_profile,
     engine_temp_flags,
-    readings_for,
     with_profile,
 )
 from odometrix.plans import fleet
