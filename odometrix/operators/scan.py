@@ -129,14 +129,23 @@ def _arrow_passes(keys: list[str], with_min: bool, value_type: T.DataType):
         d = batch.column(delta_col).to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(new_run)
         lengths = np.diff(np.append(starts, n))
-        total = np.cumsum(d)
-        before = np.concatenate(([0], total))[starts]
-        cum = total - np.repeat(before, lengths)
-        if continues:
-            cum[: lengths[0]] += carry_sum
+        run_id = np.repeat(np.arange(len(starts)), lengths)
+        if d.dtype.kind == "f":
+            # Floating sums accumulate run by run (compensated), the carry
+            # first -- a difference of batch-wide sums would cancel digits.
+            if continues:
+                d = d.copy()
+                d[0] += carry_sum
+            cum = pd.Series(d).groupby(run_id, sort=False).cumsum().to_numpy()
+        else:
+            # Integer sums are exact: a batch-wide cumulative sum minus its
+            # value before each run start.
+            total = np.cumsum(d)
+            cum = total - np.repeat(np.concatenate(([0], total))[starts], lengths)
+            if continues:
+                cum[: lengths[0]] += carry_sum
         cmin = None
         if with_min:
-            run_id = np.repeat(np.arange(len(starts)), lengths)
             cmin = pd.Series(cum).groupby(run_id, sort=False).cummin().to_numpy()
             if continues:
                 cmin[: lengths[0]] = np.minimum(cmin[: lengths[0]], carry_min)

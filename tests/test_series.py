@@ -210,3 +210,15 @@ def test_scan_methods_agree(spark):
     assert results["auto"] == results["range"] == results["window"] == brute(rows, start=4, clamp=True)
     with pytest.raises(ValueError):
         running_total(df, "k", "ts", "d", method="nope")
+
+
+def test_double_running_sum_has_no_cancellation(spark):
+    # a run with huge values followed, in the same batch, by runs of small
+    # ones: local sums must not be differences of batch-wide sums
+    rows = [(i, 0, T0 + dt.timedelta(seconds=i), 1e17) for i in range(5)]
+    rows += [(100 + i, 1, T0 + dt.timedelta(seconds=i), 0.1) for i in range(7)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d double")
+    got = {r["id"]: r["t"] for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=1, method="range", name="t").collect()}
+    for i in range(7):
+        # a difference of batch-wide sums would give 0 or multiples of 16 here
+        assert got[100 + i] == pytest.approx(0.1 * (i + 1), rel=1e-12)
