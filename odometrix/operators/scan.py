@@ -185,6 +185,26 @@ def _arrow_passes(keys: list[str], with_min: bool, value_type: T.DataType):
             names.append("seg_min")
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
+    def spark_order(cols):
+        """Row indices in Spark's ascending order of the key tuple: NULL
+        first, NaN after every number (Arrow's own sort puts NaN with the
+        NULLs), so each key is sorted by an explicit rank, then its value."""
+        arrays, names = [], []
+        for j, c in enumerate(cols):
+            is_null = pc.is_null(c)
+            rank = pc.if_else(is_null, pa.scalar(0, pa.int8()), pa.scalar(1, pa.int8()))
+            value = c
+            if pa.types.is_floating(c.type):
+                is_nan = pc.fill_null(pc.is_nan(c), False)
+                rank = pc.if_else(is_nan, pa.scalar(2, pa.int8()), rank)
+                value = pc.fill_null(pc.if_else(is_nan, pa.scalar(0.0, c.type), c), pa.scalar(0.0, c.type))
+            arrays += [rank, value]
+            names += [f"r{j}", f"v{j}"]
+        table = pa.Table.from_arrays(arrays, names=names)
+        return pc.sort_indices(
+            table, sort_keys=[(n, "ascending") for n in names], null_placement="at_start"
+        )
+
     def types_of(batch):
         return {f.name: f.type for f in batch.schema}
 
@@ -219,7 +239,8 @@ def _arrow_passes(keys: list[str], with_min: bool, value_type: T.DataType):
     def summarize_sums(batches):
         """Without minima only sums are needed, and a block's first and last
         segment are those of its smallest and largest key: per unsorted batch
-        one Arrow sort finds them and two masks sum their deltas."""
+        one Arrow sort (in Spark's order) finds them and two masks sum their
+        deltas."""
         blk = types = None
         lo = hi = None  # [order key, key values, sum]
         for batch in batches:
@@ -228,11 +249,7 @@ def _arrow_passes(keys: list[str], with_min: bool, value_type: T.DataType):
             blk, types = batch.column(blk_col)[0].as_py(), types_of(batch)
             cols = [batch.column(k) for k in keys]
             d = batch.column(delta_col).to_numpy(zero_copy_only=False)
-            idx = pc.sort_indices(
-                pa.Table.from_arrays(cols, names=keys),
-                sort_keys=[(k, "ascending") for k in keys],
-                null_placement="at_start",
-            )
+            idx = spark_order(cols)
             for pos, is_lo in ((0, True), (len(idx) - 1, False)):
                 row = idx[pos].as_py()
                 values = [c[row].as_py() for c in cols]

@@ -72,3 +72,39 @@ def test_salted_profile_join_matches_plain_join(spark, keys, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert salted == plain
+
+
+float_row = st.tuples(
+    st.sampled_from([None, float("nan"), 0.0, -0.0, 1.5, 2.5]),
+    st.integers(0, 20),
+    st.one_of(st.none(), st.integers(-9, 9)),
+    st.one_of(st.none(), st.just(float("nan")), st.floats(-5, 5)),
+)
+
+
+def _norm_key(k):
+    if k is None:
+        return None
+    if k != k:
+        return "nan"
+    return k + 0.0  # -0.0 and 0.0 are one key
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(float_row, min_size=1, max_size=100), blocks=st.integers(1, 6), batch=st.sampled_from([1, 7, 10000]))
+def test_scan_with_float_keys_and_nan_payload(spark, rows, blocks, batch):
+    data = [(i, k, T0 + dt.timedelta(seconds=s), d, p) for i, (k, s, d, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k double, ts timestamp, d int, p double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        out = {r["id"]: r for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=blocks, method="range", name="t").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    expected = brute([(_norm_key(k), s, d) for k, s, d, _ in rows], 0, clamp=False)
+    assert {i: r["t"] for i, r in out.items()} == expected
+    for i, (_, _, _, p) in enumerate(rows):  # the payload passes through unchanged
+        got = out[i]["p"]
+        assert (got is None) == (p is None)
+        if p is not None:
+            assert (got != got) == (p != p) and (p != p or got == p)
