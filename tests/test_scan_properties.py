@@ -108,3 +108,25 @@ def test_scan_with_float_keys_and_nan_payload(spark, rows, blocks, batch):
         assert (got is None) == (p is None)
         if p is not None:
             assert (got != got) == (p != p) and (p != p or got == p)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    keys=st.lists(st.sampled_from([None, float("nan"), 0.0, -0.0, 1.5]), min_size=1, max_size=120),
+    partitions=st.integers(1, 9),
+)
+def test_salted_join_with_float_keys(spark, keys, partitions):
+    from odometrix.operators import deviation_profile, with_profile
+
+    data = [(k, T0 + dt.timedelta(seconds=i), float((i * 13) % 17)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(data, "k double, ts timestamp, x double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        prof = deviation_profile(df, "k", ["x"])
+        salted = with_profile(df, prof, "k")
+        plain = with_profile(df, prof, "k", split_hot_keys=False)
+        assert salted.count() == plain.count()
+        assert salted.exceptAll(plain).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
