@@ -5,6 +5,7 @@ Arrow batch sizes."""
 import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from odometrix.operators import clamped_running_total, running_total
@@ -130,3 +131,50 @@ def test_salted_join_with_float_keys(spark, keys, partitions):
         assert salted.exceptAll(plain).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 72), st.one_of(st.none(), st.integers(0, 9))),
+        min_size=1,
+        max_size=80,
+    )
+)
+def test_last_per_period_matches_python(spark, rows):
+    from odometrix.operators import last_per_period
+
+    data = [(i, k, T0 + dt.timedelta(hours=h), v) for i, (k, h, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k string, ts timestamp, v int")
+    got = {(r["k"], r["day"]): r["last_v"] for r in last_per_period(df, "k", "ts", ["v"], tiebreak="id").collect()}
+    expected = {}
+    for i, k, ts, v in data:  # latest (ts, id) per key and day
+        day = ts.date()
+        cur = expected.get((k, day))
+        if cur is None or (ts, i) > cur[0]:
+            expected[(k, day)] = ((ts, i), v)
+    assert got == {kd: v for kd, (_, v) in expected.items()}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    dims=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.sampled_from(["A", "B", None])), max_size=12),
+    logs=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.booleans()), max_size=60),
+)
+def test_breakdowns_match_python(spark, dims, logs):
+    from odometrix.operators import breakdowns_by_label
+
+    dim = spark.createDataFrame(dims, "k int, make string").withColumn("model", F.lit("M"))
+    log = spark.createDataFrame(logs, "k int, reactive boolean")
+    got = {r["l"]: r["n"] for r in breakdowns_by_label(
+        dim, log, "k", ["make", "model"], log_filter=F.col("reactive"), count_name="n", label_name="l"
+    ).collect()}
+    expected = {}
+    for lk, reactive in logs:
+        if not reactive or lk is None:
+            continue
+        for dk, make in dims:
+            if dk == lk:
+                label = None if make is None else f"{make} M"
+                expected[label] = expected.get(label, 0) + 1
+    assert got == expected
