@@ -178,3 +178,33 @@ def test_breakdowns_match_python(spark, dims, logs):
                 label = None if make is None else f"{make} M"
                 expected[label] = expected.get(label, 0) + 1
     assert got == expected
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    vals=st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.just(float("nan")), st.sampled_from([10.0, 40.0]), st.floats(0, 50)),
+            st.one_of(st.none(), st.sampled_from([0.02, 0.08]), st.floats(0, 0.1)),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_range_faults_match_python(spark, vals):
+    from odometrix.operators import range_faults
+
+    ranges = {"q": (10.0, 40.0), "disc": (0.02, 0.08)}
+    data = [(i, q, d) for i, (q, d) in enumerate(vals)]
+    df = spark.createDataFrame(data, "i long, q double, disc double")
+    got = {r["i"]: (r["q_status"], r["disc_status"], r["fault"]) for r in range_faults(df, ranges, keep=["i"]).collect()}
+
+    def status(x, lo, hi):
+        if x is None or x != x:
+            return None
+        return "low" if x < lo else "high" if x > hi else "ok"
+
+    for i, q, d in data:
+        sq, sd = status(q, *ranges["q"]), status(d, *ranges["disc"])
+        parts = [f"{n}:{s}" for n, s in (("q", sq), ("disc", sd)) if s not in (None, "ok")]
+        assert got[i] == (sq, sd, ",".join(parts) or None)
