@@ -92,14 +92,19 @@ def _norm_key(k):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=st.lists(float_row, min_size=1, max_size=100), blocks=st.integers(1, 6), batch=st.sampled_from([1, 7, 10000]))
-def test_scan_with_float_keys_and_nan_payload(spark, rows, blocks, batch):
+@given(
+    rows=st.lists(float_row, min_size=1, max_size=100),
+    blocks=st.integers(1, 6),
+    batch=st.sampled_from([1, 7, 10000]),
+    method=st.sampled_from(["auto", "range", "window"]),
+)
+def test_scan_with_float_keys_and_nan_payload(spark, rows, blocks, batch, method):
     data = [(i, k, T0 + dt.timedelta(seconds=s), d, p) for i, (k, s, d, p) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, k double, ts timestamp, d int, p double")
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
     try:
-        out = {r["id"]: r for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=blocks, method="range", name="t").collect()}
+        out = {r["id"]: r for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=blocks, method=method, name="t").collect()}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     expected = brute([(_norm_key(k), s, d) for k, s, d, _ in rows], 0, clamp=False)
