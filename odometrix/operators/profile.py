@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odometrix.functions.columns import as_timestamp, nan_to_null
-from odometrix.operators._skew import COUNT, SALTS, hot_keys, key_counts
+from odometrix.operators._skew import COUNT, SALTS, hot_keys, key_counts, min_rows
 from odometrix.session import planned_partitions
 
 SIDES = ("both", "high", "low")
@@ -141,7 +141,7 @@ def with_profile(
     if split_hot_keys:
         if counts is None:
             counts = key_counts(df, [key])
-        hot = F.broadcast(hot_keys(counts, [key], _partitions(df)))
+        hot = F.broadcast(hot_keys(counts, [key], _partitions(df), min_rows(df)))
         readings = df.join(hot, key, "left").withColumn(
             _SALT,
             F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odometrix.operators._skew import hot_keys, key_counts
+from odometrix.operators._skew import hot_keys, key_counts, min_rows
 from odometrix.session import planned_partitions
 
 BLOCK = "_odx_blk"
@@ -318,7 +318,9 @@ def prefix_scan(
         return _window_scan(base, keys, order, tiebreak, with_min)
     if method == "range":
         return _range_scan(base, keys, order, tiebreak, num_blocks, with_min, kind)
-    hot = hot_keys(key_counts(base, keys), keys, planned_partitions(df.sparkSession))
+    hot = hot_keys(
+        key_counts(base, keys), keys, planned_partitions(df.sparkSession), min_rows(df)
+    )
     hot = F.broadcast(hot.select(*[F.col(k).alias(f"_odx_hk_{k}") for k in keys]))
     on = [base[k].eqNullSafe(hot[f"_odx_hk_{k}"]) for k in keys]
     # Semi/anti joins against the broadcast set: with no hot key, adaptive

@@ -178,7 +178,7 @@ def test_salted_profile_join_equals_plain_join_on_skewed_keys(spark):
     assert salted.count() == plain.count() == ev.count()
     assert salted.exceptAll(plain).count() == 0
     counts = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias(_N))
-    hot = {r["user_id"]: r["_odx_salts"] for r in hot_keys(counts, ["user_id"], 8).collect()}
+    hot = {r["user_id"]: r["_odx_salts"] for r in hot_keys(counts, ["user_id"], 8, 0).collect()}
     # 40% of the rows: 0.4 * 8 partitions * 4 salts per partition -> 13 salts
     assert hot == {0: 13}
 
@@ -189,10 +189,10 @@ def test_hot_key_bound_and_uniform_keys(spark):
 
     uniform = spark.range(8000).select((F.col("id") % 100).alias("k"), F.lit(1).alias(_N))
     counts = uniform.groupBy("k").agg(F.sum(_N).alias(_N))
-    assert hot_keys(counts, ["k"], 8).count() == 0
+    assert hot_keys(counts, ["k"], 8, 0).count() == 0
     # whatever the counts, no more keys than partitions can be hot
     heavy = spark.createDataFrame([(i, 1000 - i) for i in range(50)], f"k long, {_N} long")
-    assert hot_keys(heavy, ["k"], 8).count() <= 8
+    assert hot_keys(heavy, ["k"], 8, 0).count() <= 8
 
 
 def test_salted_join_is_planned_when_the_profile_is_not_broadcast(spark):
@@ -244,3 +244,11 @@ def test_salted_join_with_several_hot_keys_and_nulls(spark):
     flags = deviation_flags(df, "k", "ts", {"x": "both"}, k=1.5)
     plain_flags = deviation_flags(df, "k", "ts", {"x": "both"}, k=1.5, split_hot_keys=False)
     assert flags.exceptAll(plain_flags).count() == 0 and flags.count() == plain_flags.count()
+
+
+def test_small_keys_are_not_split_by_default(spark):
+    from odometrix.operators._skew import COUNT, hot_keys
+
+    counts = spark.createDataFrame([(1, 9000), (2, 500), (3, 500)], f"k long, {COUNT} long")
+    assert hot_keys(counts, ["k"], 8).count() == 0  # 90% of rows but below 10,000
+    assert hot_keys(counts, ["k"], 8, 0).count() == 1

@@ -17,8 +17,8 @@ spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "fal
          .config("spark.sql.shuffle.partitions", "3").getOrCreate())
 rows = [(i, i % 3, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i % 5 - 2) for i in range(60)]
 df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
-a = running_total(df, "k", "ts", "d", tiebreak="id").count()
-b = clamped_running_total(df, "k", "ts", "d", tiebreak="id").count()
+a = running_total(df, "k", "ts", "d", tiebreak="id", method="range").count()
+b = clamped_running_total(df, "k", "ts", "d", tiebreak="id", method="range").count()
 print("RESULT", a, b)
 """
 
