@@ -213,3 +213,27 @@ def test_range_faults_match_python(spark, vals):
         sq, sd = status(q, *ranges["q"]), status(d, *ranges["disc"])
         parts = [f"{n}:{s}" for n, s in (("q", sq), ("disc", sd)) if s not in (None, "ok")]
         assert got[i] == (sq, sd, ",".join(parts) or None)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 30), st.floats(-20, 20)),
+        min_size=1,
+        max_size=100,
+    ),
+    blocks=st.integers(1, 6),
+    method=st.sampled_from(["auto", "range", "window"]),
+)
+def test_clamped_total_with_float_deltas(spark, rows, blocks, method):
+    import math
+
+    data = [(i, k, T0 + dt.timedelta(seconds=s), d) for i, (k, s, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k long, ts timestamp, d double")
+    got = {r["id"]: r["t"] for r in clamped_running_total(
+        df, "k", "ts", "d", start=3.0, tiebreak="id", num_blocks=blocks, method=method, name="t"
+    ).collect()}
+    expected = brute(rows, 3.0, clamp=True)
+    assert set(got) == set(expected)
+    for i, v in expected.items():
+        assert math.isclose(got[i], v, rel_tol=1e-9, abs_tol=1e-9)
