@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -42,6 +44,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver runs from:
+    Spark sends them the package's sources, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_odometrix_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="odometrix-src-"), "odometrix_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._odometrix_shipped = True
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from odometrix.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from odometrix.llm.mixing import op2_mix_sources
+from odometrix.llm.packing import op1_best_fit_packing
 from odometrix.llm.quality import op3_quality_rules
 from odometrix.llm.secret_scan import op4_secret_scans
+from odometrix.llm.shards import op9_sharding
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
+    "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
