@@ -8,12 +8,14 @@ from odometrix.llm.packing import op1_best_fit_packing
 from odometrix.llm.quality import op3_quality_rules
 from odometrix.llm.secret_scan import op4_secret_scans
 from odometrix.llm.shards import op9_sharding
+from odometrix.llm.simhash import op8_simhash_near_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
