@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from odometrix.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from odometrix.llm.html_blocks import op5_html_extraction
 from odometrix.llm.mixing import op2_mix_sources
 from odometrix.llm.packing import op1_best_fit_packing
 from odometrix.llm.quality import op3_quality_rules
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
+    "op5_html_extraction": op5_html_extraction,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
