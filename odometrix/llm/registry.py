@@ -10,6 +10,7 @@ from odometrix.llm.quality import op3_quality_rules
 from odometrix.llm.secret_scan import op4_secret_scans
 from odometrix.llm.shards import op9_sharding
 from odometrix.llm.simhash import op8_simhash_near_dedup
+from odometrix.llm.substring_dedup import op6_suffix_array_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op5_html_extraction": op5_html_extraction,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
