@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from odometrix.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from odometrix.llm.html_blocks import op5_html_extraction
+from odometrix.llm.lm_scoring import op7_lm_scoring
 from odometrix.llm.mixing import op2_mix_sources
 from odometrix.llm.packing import op1_best_fit_packing
 from odometrix.llm.quality import op3_quality_rules
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_secret_scans": op4_secret_scans,
     "op5_html_extraction": op5_html_extraction,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,

@@ -71,6 +71,13 @@ class WordEncoder:
             return self._pack([t.id for t in self.model.tokenize(piece)])
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def ends_word(self, size: int):
+        """Which of the first ``size`` ids close a word."""
+        import numpy as np
+
+        names = (self.tokenizer.id_to_token(i) or "" for i in range(size))
+        return np.fromiter((t.endswith("</w>") for t in names), bool, size)
+
     def get(self, word: bytes) -> bytes:
         ids = self.known.get(word)
         if ids is None:
