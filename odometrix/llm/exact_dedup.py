@@ -102,6 +102,15 @@ def _mark_kept(rows: DataFrame) -> DataFrame:
     return rows.select("id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
+def exact_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the one row of every class that stays."""
+    rows = materialize(docs.withColumn("_odx_row", F.monotonically_increasing_id()), "exact-docs")
+    # The row number makes every id different; nulls come before all other ids.
+    ids = rows.select(F.struct(F.col(id_col).alias("id"), "_odx_row").alias("id"), F.col(text_col).alias("text"))
+    kept = exact_dedup(ids, "id", "text").filter("kept").select(F.col("id._odx_row").alias("_odx_row"))
+    return rows.join(kept, "_odx_row", "left_semi").drop("_odx_row")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
