@@ -1,0 +1,69 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import odometrix.llm.secret_scan as scan
+from odometrix.llm.secret_scan import ALLOWED, CLASSES, KINDS, op4_secret_scans
+from tests.llm.helpers import documents, hard_rows
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+
+
+def brute(text):
+    text = text or ""
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    base = sorted(spans)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        c = m[0]
+        if any(re.search(p, c) for p in ALLOWED):
+            continue
+        limit = next(bits for p, bits in CLASSES.values() if re.search(p, c))
+        hot = []
+        for i in range(len(c) - 19):
+            n = Counter(c[i : i + 20])
+            if -sum(v / 20 * math.log2(v / 20) for v in n.values()) >= limit - 1e-9:
+                hot.append(i)
+        if hot:
+            spans.append((m.start() + hot[0], 3, m.start() + hot[-1] + 20))
+
+    def joined(s):
+        return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in s)
+
+    return hashlib.sha256(joined(base).encode()).hexdigest(), joined(sorted(spans))
+
+
+def test_matches_brute_force(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [x for x in hard_rows() if x[0] is not None]
+    seeds = ["token: ", "SECRET=", "api_key='", 'ApiKey = "', "passwd:", "password=token=", "AKIA", "secret: token: ", ""]
+    pools = [
+        "abcdef0123456789ABCXYZ+/=_- \n.'\"é😀", "abcdef0123456789", "ABCDEFGHIJKLMNOP0123456789",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    ]
+    for i in range(150):
+        text = ""
+        for _ in range(r.randint(0, 10)):
+            pool = r.choice(pools)
+            text += r.choice(seeds) + "".join(r.choice(pool) for _ in range(r.randint(0, 50))) + r.choice([" ", "é", ""])
+        rows.append((1000 + i, text, "s"))
+    rows += [(2000, "token=abcdefgh " * 2000, "s"), (2001, "Ab1" + "x9Kq" * 3000, "s")]
+    monkeypatch.setattr(scan, "read_table", lambda *a: documents(spark, rows))
+    got = op4_secret_scans(spark, "").collect()
+    assert sorted((x.doc_id, x.base_sha256, x.spans) for x in got) == sorted((i, *brute(t)) for i, t, _ in rows)
+
+
+def test_allow_list(spark, monkeypatch):
+    rows = [
+        (1, "see 123e4567-e89b-42d3-a456-426614174000 and https://example.com/some-long-path/with-words", "s"),
+        (2, "aVeryLongCamelCaseIdentifierWithoutNumbers and 12345678901234567890123", "s"),
+        (3, "key dGhpcyBpcyBhIHNlY3JldCBrZXkgOTg3Ng== end", "s"),
+    ]
+    monkeypatch.setattr(scan, "read_table", lambda *a: documents(spark, rows))
+    got = {x.doc_id: x for x in op4_secret_scans(spark, "").collect()}
+    assert got[1].n_entropy == got[2].n_entropy == 0 and got[3].n_entropy == 1
