@@ -25,26 +25,13 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
 
 
-# Session setting: the fewest rows a key needs before it is split. Below it
-# one task handles the key easily, and splitting only adds tasks.
-MIN_ROWS_CONF = "spark.odometrix.skew.minRows"
-DEFAULT_MIN_ROWS = 10_000
-
-
-def min_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
-
-
-def hot_keys(
-    counts: DataFrame, keys: Sequence[str], partitions: int, least: int = DEFAULT_MIN_ROWS
-) -> DataFrame:
-    """Keys holding more than ``1/partitions`` of all rows (and at least
-    ``least`` rows), with a salt count of
+def hot_keys(counts: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Keys holding more than ``1/partitions`` of all rows, with a salt count of
     ``ceil(SALTS_PER_PARTITION * n * partitions / total)``. At most
     ``partitions`` rows, and at most ``(SALTS_PER_PARTITION + 1) * partitions``
     salts in all. ``total`` is a scalar subquery, not a driver round trip."""
     total = counts.agg(F.sum(COUNT)).scalar()
     share = F.col(COUNT) * F.lit(partitions)
-    return counts.filter((share > total) & (F.col(COUNT) >= F.lit(least))).select(
+    return counts.filter(share > total).select(
         *keys, F.ceil(share * F.lit(SALTS_PER_PARTITION) / total).cast("int").alias(SALTS)
     )

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odometrix.functions.columns import as_timestamp, nan_to_null
-from odometrix.operators._skew import COUNT, SALTS, hot_keys, key_counts, min_rows
+from odometrix.operators._skew import COUNT, SALTS, hot_keys, key_counts
 from odometrix.session import planned_partitions
 
 SIDES = ("both", "high", "low")
@@ -112,10 +112,18 @@ def profile_and_counts(
     df: DataFrame, key: str, metrics: Mapping[str, str] | Sequence[FlagRule | str]
 ) -> tuple[DataFrame, DataFrame]:
     """The profile of :func:`deviation_profile` and the readings per key
-    (``key, _odx_n``) from one aggregate, whose shuffle the two share; pass
-    both to :func:`with_profile`."""
+    (``key, _odx_n``); pass both to :func:`with_profile`.
+
+    Both come from one aggregate. Column pruning would turn the counts into an
+    aggregate of their own, with its own pass over the readings. So the counts
+    add a zero made from the statistics and one statistic looks at the count:
+    the two aggregates stay the same, and Spark runs one and reuses its
+    shuffle."""
     both = df.groupBy(key).agg(*_profile_aggs(metrics), F.count(F.lit(1)).alias(_N))
-    return both.drop(_N), both.select(key, _N)
+    stats = [c for c in both.columns if c not in (key, _N)]
+    zero = F.pmod(F.xxhash64(*stats), F.lit(1))
+    first = F.when(F.col(_N) > 0, F.col(stats[0])).alias(stats[0])  # every group has rows
+    return both.select(key, first, *stats[1:]), both.select(key, (F.col(_N) + zero).alias(_N))
 
 
 def with_profile(
@@ -141,7 +149,7 @@ def with_profile(
     if split_hot_keys:
         if counts is None:
             counts = key_counts(df, [key])
-        hot = F.broadcast(hot_keys(counts, [key], _partitions(df), min_rows(df)))
+        hot = F.broadcast(hot_keys(counts, [key], _partitions(df)))
         readings = df.join(hot, key, "left").withColumn(
             _SALT,
             F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(

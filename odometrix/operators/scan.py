@@ -2,284 +2,57 @@
 
 ``sum(d) OVER (PARTITION BY key ORDER BY ts ROWS UNBOUNDED PRECEDING)`` makes
 one task read every row of a key; if one key holds a third of the data, one
-task does a third of the work. Instead:
-
-1. ``repartitionByRange(n, key, order, tiebreak)`` samples the sort key and
-   cuts the rows into ``n`` ordered blocks of similar size; a hot key spans
-   many consecutive blocks.
-2. Each block is sorted locally and scanned by a vectorised pass over its
-   Arrow record batches (``mapInArrow``; payload columns are not converted):
-   prefix sums (and running minima of them) restart at every key change
-   within the block.
-3. Only a block's first and last key can span blocks. A second Arrow pass
-   over the same blocks emits just those two segments per block -- total,
-   and for the clamped total the minimum local prefix sum (which needs the
-   block sorted; plain totals skip the sort) -- so the segment table has at
-   most ``2n`` rows whatever the data size. A window over each key's segments,
-   ordered by block, gives each segment the sum (and minimum) of everything
-   before it; only a block's first segment can have a predecessor, so the
-   offset table has at most ``n`` rows and is broadcast.
-4. The offsets are joined back on (block, key) and added.
-
-Block ids come from ``spark_partition_id()`` right above the range exchange.
-The bounds of a range exchange come from a sample seeded by the RDD id, so
-two separate exchanges of the same rows may cut them differently: the scan
-and the offset branch must read *one* exchange. Both are built from the same
-scanned DataFrame, so their exchanges are identical and Spark reuses one
-(``ReusedExchange``); with exchange reuse switched off the scanned rows are
-persisted instead. A lost shuffle block is recomputed by the same
-partitioner, so the ids are stable under executor loss.
+task does a third of the work. Here every row gets a block that is an explicit
+function of its key and order value, and the window runs per (key, block):
+
+1. A key above one partition's fair share of the rows is hot; there are at
+   most ``partitions`` of them. Its block bounds are quantiles of its order
+   values (one mergeable aggregate); every other key is one block.
+2. ``sum`` and ``min`` run over ``Window.partitionBy(key, block)``.
+3. Block totals come from an ordinary ``groupBy(key, block)``; a window over
+   a key's blocks turns them into the sum (and minimum) of all blocks before.
+   Only hot keys have such offsets, at most ``2 * partitions`` rows in all, so
+   they are broadcast and added.
+
+Equal order values share a block and blocks follow the order, whatever the
+bounds are, so the result does not hang on sampling, exchange reuse, caching
+or adaptive execution. All of it is built-in expressions: NULL, NaN, decimal
+and overflow behave as in Spark's own window. Long sums are taken as decimals
+inside a split key and cast back, so a total that fits never overflows on the
+way. Double totals of a split key may differ in the last digits from those of
+one window, as any two groupings of a floating sum may.
 
 The order must be total -- pass a unique ``tiebreak`` when ``order`` has
-ties -- or equal-order rows may sum in a different order.
+ties -- or equal-order rows may sum in a different order. Order values that
+have no quantiles (text, for one) are never split.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odometrix.operators._skew import hot_keys, key_counts, min_rows
+from odometrix.operators._skew import COUNT, key_counts
 from odometrix.session import planned_partitions
 
-BLOCK = "_odx_blk"
-DELTA = "_odx_d"
 PREFIX_SUM = "_odx_sum"
 PREFIX_MIN = "_odx_min"
-_OFF_BLK, _OFF_SUM, _OFF_MIN = "_odx_oblk", "_odx_osum", "_odx_omin"
-
-
-def _keys(key: str | Sequence[str]) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
-
-
-# The passes below run in Python workers on Arrow record batches
-# (``mapInArrow``): payload columns pass through untouched -- no pandas
-# conversion, NaN stays NaN and NULL stays NULL -- and the work per batch is
-# vectorised (Arrow compute, numpy), with O(1) Python per batch. Everything
-# they call is defined inside their factory, so cloudpickle ships them by
-# value and a worker needs only numpy, pandas and pyarrow, not this package.
-
-
-def _arrow_passes(keys: list[str], with_min: bool, value_type: T.DataType):
-    """Builds the per-block passes. ``scan`` and ``summarize`` get rows sorted
-    by (keys, order); ``summarize_sums`` gets the block unsorted."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    blk_col, delta_col, sum_col, min_col = BLOCK, DELTA, PREFIX_SUM, PREFIX_MIN
-    arrow_value = pa.int64() if isinstance(value_type, T.LongType) else pa.float64()
-
-    def same_as_previous(col):
-        """Row i equals row i-1 (for i >= 1): NULL equals NULL, NaN equals NaN."""
-        a, b = col.slice(1), col.slice(0, len(col) - 1)
-        eq = pc.fill_null(pc.equal(a, b), False)
-        eq = pc.or_(eq, pc.and_(pc.is_null(a), pc.is_null(b)))
-        if pa.types.is_floating(col.type):
-            both_nan = pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False))
-            eq = pc.or_(eq, both_nan)
-        return eq.to_numpy(zero_copy_only=False)
-
-    def equal_to(col, value):
-        """Rows whose key equals the Python ``value`` (None for NULL, NaN for NaN)."""
-        if value is None:
-            return pc.is_null(col).to_numpy(zero_copy_only=False)
-        if isinstance(value, float) and value != value:
-            return pc.fill_null(pc.is_nan(col), False).to_numpy(zero_copy_only=False)
-        scalar = pa.scalar(value, type=col.type)
-        return pc.fill_null(pc.equal(col, scalar), False).to_numpy(zero_copy_only=False)
-
-    def py_same(x, y):
-        if x is None or y is None:
-            return x is None and y is None
-        if isinstance(x, float) and isinstance(y, float) and x != x and y != y:
-            return True
-        return x == y
-
-    def order_key(values):
-        """Sort key of a key tuple in the range order: NULLs first, NaN last."""
-        out = []
-        for v in values:
-            if v is None:
-                out.append((0, 0))
-            elif isinstance(v, float) and v != v:
-                out.append((2, 0))
-            else:
-                out.append((1, v))
-        return tuple(out)
-
-    def segments(batch, carry_key, carry_sum, carry_min):
-        """Run starts, per-row local prefix sums (and running minima), and the
-        last row of each run; the first run continues ``carry_key`` if equal."""
-        n = batch.num_rows
-        cols = [batch.column(k) for k in keys]
-        new_run = np.zeros(n, dtype=bool)
-        new_run[0] = True
-        for c in cols:
-            new_run[1:] |= ~same_as_previous(c)
-        continues = carry_key is not None and all(
-            py_same(c[0].as_py(), ck) for c, ck in zip(cols, carry_key)
-        )
-        d = batch.column(delta_col).to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(new_run)
-        lengths = np.diff(np.append(starts, n))
-        run_id = np.repeat(np.arange(len(starts)), lengths)
-        if d.dtype.kind == "f":
-            # Floating sums accumulate run by run (compensated), the carry
-            # first -- a difference of batch-wide sums would cancel digits.
-            if continues:
-                d = d.copy()
-                d[0] += carry_sum
-            cum = pd.Series(d).groupby(run_id, sort=False).cumsum().to_numpy()
-        else:
-            # Integer sums are exact: a batch-wide cumulative sum minus its
-            # value before each run start.
-            total = np.cumsum(d)
-            cum = total - np.repeat(np.concatenate(([0], total))[starts], lengths)
-            if continues:
-                cum[: lengths[0]] += carry_sum
-        cmin = None
-        if with_min:
-            cmin = pd.Series(cum).groupby(run_id, sort=False).cummin().to_numpy()
-            if continues:
-                cmin[: lengths[0]] = np.minimum(cmin[: lengths[0]], carry_min)
-        ends = starts + lengths - 1
-        return cols, continues, cum, cmin, ends
-
-    def scan(batches):
-        carry_key = carry_sum = carry_min = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                out = batch.append_column(sum_col, pa.array([], type=arrow_value))
-                if with_min:
-                    out = out.append_column(min_col, pa.array([], type=arrow_value))
-                yield out
-                continue
-            cols, _, cum, cmin, _ = segments(batch, carry_key, carry_sum, carry_min)
-            out = batch.append_column(sum_col, pa.array(cum, type=arrow_value))
-            if with_min:
-                out = out.append_column(min_col, pa.array(cmin, type=arrow_value))
-                carry_min = cmin[-1]
-            carry_key = [c[-1].as_py() for c in cols]
-            carry_sum = cum[-1]
-            yield out
-
-    def edge_batch(blk, segs, types):
-        """Output batch ``(block, keys..., seg_sum[, seg_min])``, typed like the
-        input batch's columns."""
-        arrays = [pa.array([blk] * len(segs), type=types[blk_col])]
-        names = [blk_col]
-        for j, k in enumerate(keys):
-            arrays.append(pa.array([seg[0][j] for seg in segs], type=types[k]))
-            names.append(k)
-        arrays.append(pa.array([seg[1] for seg in segs], type=arrow_value))
-        names.append("seg_sum")
-        if with_min:
-            arrays.append(pa.array([seg[2] for seg in segs], type=arrow_value))
-            names.append("seg_min")
-        return pa.RecordBatch.from_arrays(arrays, names=names)
-
-    def spark_order(cols):
-        """Row indices in Spark's ascending order of the key tuple: NULL
-        first, NaN after every number (Arrow's own sort puts NaN with the
-        NULLs), so each key is sorted by an explicit rank, then its value."""
-        arrays, names = [], []
-        for j, c in enumerate(cols):
-            is_null = pc.is_null(c)
-            rank = pc.if_else(is_null, pa.scalar(0, pa.int8()), pa.scalar(1, pa.int8()))
-            value = c
-            if pa.types.is_floating(c.type):
-                is_nan = pc.fill_null(pc.is_nan(c), False)
-                rank = pc.if_else(is_nan, pa.scalar(2, pa.int8()), rank)
-                value = pc.fill_null(pc.if_else(is_nan, pa.scalar(0.0, c.type), c), pa.scalar(0.0, c.type))
-            arrays += [rank, value]
-            names += [f"r{j}", f"v{j}"]
-        table = pa.Table.from_arrays(arrays, names=names)
-        return pc.sort_indices(
-            table, sort_keys=[(n, "ascending") for n in names], null_placement="at_start"
-        )
-
-    def types_of(batch):
-        return {f.name: f.type for f in batch.schema}
+_DELTA, _BLOCK, _BOUNDS, _COARSE = "_odx_d", "_odx_blk", "_odx_bounds", "_odx_coarse"
+_OFF_SUM, _OFF_MIN = "_odx_osum", "_odx_omin"
 
-    def summarize(batches):
-        """The block's first and last segment: ``(block, keys..., seg_sum,
-        seg_min)``, one row if the block holds a single key."""
-        blk = types = None
-        open_key = open_sum = open_min = None  # the segment open at the batch end
-        first = None  # the block's first segment, once closed
-        closed = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            blk, types = batch.column(blk_col)[0].as_py(), types_of(batch)
-            cols, continues, cum, cmin, ends = segments(batch, open_key, open_sum, open_min)
-            if open_key is not None and not continues:
-                if closed == 0:
-                    first = (open_key, open_sum, open_min)
-                closed += 1
-            if len(ends) > 1:  # runs that close inside this batch
-                if closed == 0:
-                    i = ends[0]
-                    first = ([c[i].as_py() for c in cols], cum[i], cmin[i])
-                closed += len(ends) - 1
-            last = ends[-1]
-            open_key = [c[last].as_py() for c in cols]
-            open_sum, open_min = cum[last], cmin[last]
-        if blk is not None:
-            segs = ([first] if first is not None else []) + [(open_key, open_sum, open_min)]
-            yield edge_batch(blk, segs, types)
+METHODS = ("auto", "split", "window")
+DEFAULT_BLOCKS = 8  # blocks per key with method="split"
+ACCURACY = 10_000  # of the quantiles: blocks are even to one part in this many
 
-    def summarize_sums(batches):
-        """Without minima only sums are needed, and a block's first and last
-        segment are those of its smallest and largest key: per unsorted batch
-        one Arrow sort (in Spark's order) finds them and two masks sum their
-        deltas."""
-        blk = types = None
-        lo = hi = None  # [order key, key values, sum]
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            blk, types = batch.column(blk_col)[0].as_py(), types_of(batch)
-            cols = [batch.column(k) for k in keys]
-            d = batch.column(delta_col).to_numpy(zero_copy_only=False)
-            idx = spark_order(cols)
-            for pos, is_lo in ((0, True), (len(idx) - 1, False)):
-                row = idx[pos].as_py()
-                values = [c[row].as_py() for c in cols]
-                mask = np.ones(batch.num_rows, dtype=bool)
-                for c, v in zip(cols, values):
-                    mask &= equal_to(c, v)
-                ok, total = order_key(values), d[mask].sum()
-                cur = lo if is_lo else hi
-                if cur is None or (ok < cur[0] if is_lo else ok > cur[0]):
-                    cur = [ok, values, total]
-                elif ok == cur[0]:
-                    cur[2] += total
-                if is_lo:
-                    lo = cur
-                else:
-                    hi = cur
-        if blk is not None:
-            segs = [(lo[1], lo[2])] if lo[0] == hi[0] else [(lo[1], lo[2]), (hi[1], hi[2])]
-            yield edge_batch(blk, segs, types)
+_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-    return scan, summarize if with_min else summarize_sums
 
-
-def _num_blocks(df: DataFrame, num_blocks: int | None) -> int:
-    if num_blocks:
-        return int(num_blocks)
-    return planned_partitions(df.sparkSession)
-
-
-METHODS = ("auto", "range", "window")
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> list[Column]:
+    return [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys]
 
 
 def prefix_scan(
@@ -289,111 +62,127 @@ def prefix_scan(
     delta: Column | str,
     *,
     tiebreak: str | None = None,
-    num_blocks: int | None = None,
     with_min: bool = False,
     method: str = "auto",
+    num_blocks: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``_odx_sum``: the inclusive running sum of ``delta`` per key
     in ``(order, tiebreak)`` order, and with ``with_min`` also ``_odx_min``:
-    the running minimum of that running sum. A NULL delta counts as 0.
-    Keys may be NULL or NaN (distinct keys, as in Spark); every other column
-    passes through unchanged.
+    the running minimum of that running sum. A NULL delta counts as 0. Keys may
+    be NULL or NaN (distinct keys, as in Spark); every other column passes
+    through unchanged. Rows come back in no particular order.
 
-    ``method``: ``"window"`` is a plain per-key window (one hash shuffle, all
-    JVM; one task per key); ``"range"`` the range-partitioned scan for every
-    row; ``"auto"`` (default) splits the rows: keys above one partition's fair
-    share of rows (at most ``partitions`` of them, a broadcast set) take the
-    range scan, all others the window, whose hash shuffle they keep balanced.
-
-    Rows come back in no particular order.
+    ``method``: ``"window"`` is a plain per-key window; ``"auto"`` (default)
+    splits hot keys into ``num_blocks`` (by default as many as their share of the
+    rows fills partitions); ``"split"`` splits every key.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    keys = _keys(key)
+    keys = [key] if isinstance(key, str) else list(key)
     d = F.col(delta) if isinstance(delta, str) else delta
-    dtype = df.select(d).schema[0].dataType
-    kind = "long" if isinstance(dtype, T.IntegralType) else "double"
-    base = df.withColumn(DELTA, F.coalesce(d.cast(kind), F.lit(0).cast(kind)))
-    if method == "window":
-        return _window_scan(base, keys, order, tiebreak, with_min)
-    if method == "range":
-        return _range_scan(base, keys, order, tiebreak, num_blocks, with_min, kind)
-    hot = hot_keys(
-        key_counts(base, keys), keys, planned_partitions(df.sparkSession), min_rows(df)
-    )
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_odx_hk_{k}") for k in keys]))
-    on = [base[k].eqNullSafe(hot[f"_odx_hk_{k}"]) for k in keys]
-    # Semi/anti joins against the broadcast set: with no hot key, adaptive
-    # execution sees the empty set and drops the whole range branch.
-    hot_rows = base.join(hot, on, "left_semi")
-    cold = base.join(hot, on, "left_anti")
-    return _window_scan(cold, keys, order, tiebreak, with_min).unionByName(
-        _range_scan(hot_rows, keys, order, tiebreak, num_blocks, with_min, kind)
+    kind = df.select(d).schema[0].dataType
+    if isinstance(kind, T.IntegralType):
+        kind = T.LongType()
+    elif not isinstance(kind, T.DecimalType):
+        kind = T.DoubleType()
+    base = df.withColumn(_DELTA, F.coalesce(d.cast(kind), F.lit(0).cast(kind)))
+    if method == "window" or not isinstance(df.schema[order].dataType, _SPLITTABLE):
+        return _scanned(base, keys, order, tiebreak, with_min).drop(_DELTA)
+
+    # Bounded tables by design, except where every key is split on request.
+    small = F.broadcast if method == "auto" else (lambda table: table)
+    bounds = _bounds(base, keys, order, method, num_blocks)
+    blocked = base.join(small(bounds), _same(base, bounds, keys, "_odx_hk_"), "left").withColumn(
+        _BLOCK, _block(F.col(order))
     )
+    blocked = blocked.drop(_BOUNDS, _COARSE, *[f"_odx_hk_{k}" for k in keys])
+
+    total = T.LongType() if isinstance(kind, T.LongType) else base.agg(F.sum(_DELTA)).schema[0].dataType
+    if isinstance(kind, T.LongType):
+        blocked = blocked.withColumn(_DELTA, F.col(_DELTA).cast("decimal(20,0)"))
+    rows = _scanned(blocked, [*keys, _BLOCK], order, tiebreak, with_min)
+    offsets = _offsets(rows if with_min else blocked, keys, with_min)
+
+    on = [rows[_BLOCK] == offsets["_odx_oblk"], *_same(rows, offsets, keys, "_odx_ok_")]
+    out = rows.join(small(offsets), on, "left")
+    before = F.coalesce(F.col(_OFF_SUM), F.lit(0))
+    whole = (before + F.col(PREFIX_SUM)).cast(total)
+    if with_min:
+        # The offset of the minimum is NULL before a key's second block.
+        out = out.withColumn(PREFIX_MIN, F.least(F.col(_OFF_MIN), before + F.col(PREFIX_MIN)).cast(total))
+    out = out.withColumn(PREFIX_SUM, whole)
+    return out.drop(_DELTA, _BLOCK, "_odx_oblk", _OFF_SUM, _OFF_MIN, *[f"_odx_ok_{k}" for k in keys])
 
 
-def _window_scan(base, keys, order, tiebreak, with_min) -> DataFrame:
+def _scanned(base: DataFrame, keys, order, tiebreak, with_min) -> DataFrame:
     w = (
         Window.partitionBy(*keys)
         .orderBy(order, *([tiebreak] if tiebreak else []))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    out = base.withColumn(PREFIX_SUM, F.sum(DELTA).over(w))
-    if with_min:
-        out = out.withColumn(PREFIX_MIN, F.min(PREFIX_SUM).over(w))
-    return out.drop(DELTA)
-
+    out = base.withColumn(PREFIX_SUM, F.sum(_DELTA).over(w))
+    return out.withColumn(PREFIX_MIN, F.min(PREFIX_SUM).over(w)) if with_min else out
+
+
+def _bounds(base: DataFrame, keys, order, method, blocks) -> DataFrame:
+    """Per key to split: its inner block bounds, sorted, and every k-th of them
+    (k about their root), renamed ``_odx_hk_<key>``. At most ``partitions`` keys
+    and ``2 * partitions`` bounds for ``"auto"``."""
+    parts = planned_partitions(base.sparkSession)
+    if method == "split":
+        rows, count = base, F.lit(blocks or DEFAULT_BLOCKS)
+    else:
+        counts = key_counts(base, keys)
+        total = counts.agg(F.sum(COUNT)).scalar()
+        share = F.col(COUNT) * F.lit(parts)
+        hot = counts.filter(share > total).select(
+            *[F.col(k).alias(f"_odx_hk_{k}") for k in keys],
+            (F.lit(blocks) if blocks else F.ceil(share / total)).cast("int").alias("_odx_m"),
+        )
+        rows = base.join(F.broadcast(hot), _same(base, hot, keys, "_odx_hk_"), "inner")
+        count = F.first("_odx_m")
+    # percentile_approx takes constant fractions: a fixed fine grid, of which
+    # each key picks as many evenly spaced ones as it has blocks.
+    grid = max(2, (blocks or DEFAULT_BLOCKS) if method == "split" else max(parts, blocks or 0))
+    picked = rows.groupBy(*keys).agg(
+        F.percentile_approx(order, [i / grid for i in range(1, grid)], ACCURACY).alias("_odx_grid"),
+        count.alias("_odx_m"),
+    )
+    even = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("_odx_m") - 1, F.lit(1))),
+        lambda i: F.get("_odx_grid", F.greatest(F.round(i * grid / F.col("_odx_m")).cast("int") - 1, F.lit(0))),
+    )
+    step = math.isqrt(grid) + 1
+    picked = picked.withColumn(_BOUNDS, F.sort_array(F.array_distinct(F.array_compact(even))))
+    every = F.filter(F.col(_BOUNDS), lambda _, i: (i + 1) % step == 0)
+    return picked.select(
+        *[F.col(k).alias(f"_odx_hk_{k}") for k in keys], _BOUNDS, F.struct(F.lit(step).alias("step"), every.alias("b")).alias(_COARSE)
+    )
 
-def _range_scan(base, keys, order, tiebreak, num_blocks, with_min, kind) -> DataFrame:
-    df = base
-    sort_cols = [*keys, order, *([tiebreak] if tiebreak else [])]
 
-    # An explicit partition count matters: adaptive execution never coalesces
-    # or locally re-reads a shuffle of that origin, so a task's partition id
-    # stays its range block.
-    ranged = base.repartitionByRange(_num_blocks(df, num_blocks), *sort_cols).withColumn(
-        BLOCK, F.spark_partition_id()
-    )
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Without exchange reuse each branch below would sample its own range
-        # bounds; keep one materialisation so that block ids agree.
-        ranged = ranged.persist(StorageLevel.DISK_ONLY)
+def _block(order: Column) -> Column:
+    """How many of the key's bounds lie below the order value (NULL: none; NaN:
+    all), found among every k-th bound first, then among the next k."""
+    step = F.col(f"{_COARSE}.step")
+    skip = F.size(F.filter(F.col(f"{_COARSE}.b"), lambda b: b < order)) * step
+    near = F.slice(F.col(_BOUNDS), (skip + 1).cast("int"), step)
+    return F.when(F.col(_BOUNDS).isNull(), 0).otherwise(skip + F.size(F.filter(near, lambda b: b < order)))
 
-    value_type = T.LongType() if kind == "long" else T.DoubleType()
-    schema = T.StructType(list(ranged.schema.fields) + [T.StructField(PREFIX_SUM, value_type)])
-    if with_min:
-        schema = schema.add(T.StructField(PREFIX_MIN, value_type))
-    scan, summarize = _arrow_passes(keys, with_min, value_type)
-    local = ranged.sortWithinPartitions(*sort_cols).mapInArrow(scan, schema=schema)
 
-    # Edge segments of each block, from a second pass over the same blocks.
-    # The Arrow pass consumes every column, so nothing is pruned
-    # below it and its range exchange is identical to the scan's: Spark
-    # reuses the one exchange and both passes see the same block ids.
-    seg_fields = [ranged.schema[BLOCK], *[ranged.schema[k] for k in keys]]
-    seg_fields.append(T.StructField("seg_sum", value_type))
+def _offsets(rows: DataFrame, keys, with_min) -> DataFrame:
+    """Sum (and minimum of the running sum) of all blocks before a block, for
+    the blocks that have any before them."""
+    aggs = [F.sum(_DELTA).alias("_odx_bsum")]
     if with_min:
-        seg_fields.append(T.StructField("seg_min", value_type))
-    # Minima need the block in order; sums alone do not, so W1 skips a sort.
-    edges_in = ranged.sortWithinPartitions(*sort_cols) if with_min else ranged
-    seg = edges_in.mapInArrow(summarize, schema=T.StructType(seg_fields))
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn(_OFF_SUM, F.sum("seg_sum").over(before))
-    cols = [F.col(BLOCK).alias(_OFF_BLK), *[F.col(k).alias(f"_odx_k_{k}") for k in keys], _OFF_SUM]
+        aggs.append(F.min(PREFIX_MIN).alias("_odx_bmin"))
+    totals = rows.groupBy(*keys, _BLOCK).agg(*aggs)
+    before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn(_OFF_SUM, F.sum("_odx_bsum").over(before))
+    names = [_OFF_SUM]
     if with_min:
-        seg = seg.withColumn(
-            _OFF_MIN, F.min(F.coalesce(F.col(_OFF_SUM), F.lit(0)) + F.col("seg_min")).over(before)
-        )
-        cols.append(_OFF_MIN)
-    # At most one continuing segment per block: a bounded, broadcastable table.
-    offsets = seg.filter(F.col(_OFF_SUM).isNotNull()).select(*cols)
-
-    cond = [local[BLOCK] == offsets[_OFF_BLK]] + [
-        local[k].eqNullSafe(offsets[f"_odx_k_{k}"]) for k in keys
-    ]
-    joined = local.join(F.broadcast(offsets), cond, "left")
-    off = F.coalesce(F.col(_OFF_SUM), F.lit(0).cast(kind))
-    out = joined.withColumn(PREFIX_SUM, off + F.col(PREFIX_SUM))
-    if with_min:
-        out = out.withColumn(PREFIX_MIN, F.least(F.col(_OFF_MIN), off + F.col(PREFIX_MIN)))
-    return out.drop(BLOCK, DELTA, _OFF_BLK, _OFF_SUM, _OFF_MIN, *[f"_odx_k_{k}" for k in keys])
+        reached = F.coalesce(F.col(_OFF_SUM), F.lit(0)) + F.col("_odx_bmin")
+        totals = totals.withColumn(_OFF_MIN, F.min(reached).over(before))
+        names.append(_OFF_MIN)
+    return totals.filter(F.col(_OFF_SUM).isNotNull()).select(
+        F.col(_BLOCK).alias("_odx_oblk"), *[F.col(k).alias(f"_odx_ok_{k}") for k in keys], *names
+    )

@@ -41,7 +41,7 @@ def running_total(
     ``start`` is a number or a column that is constant within a key.
     Integral deltas give an exact ``long`` total; a NULL delta counts as 0.
     ``method`` chooses how keys are spread over tasks (see ``prefix_scan``):
-    by default hot keys take the range-partitioned scan, the rest a window.
+    by default hot keys are split into blocks, the rest take a plain window.
     """
     scanned = prefix_scan(
         df, key, order, delta, tiebreak=tiebreak, num_blocks=num_blocks, method=method

@@ -24,9 +24,6 @@ def spark():
     )
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # Tests use small tables: let keys of any size count as hot, so the
-    # skew paths are exercised (the library default skips keys < 10k rows).
-    s.conf.set("spark.odometrix.skew.minRows", "0")
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="odx-test-ckpt-"))
     yield s

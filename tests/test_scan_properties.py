@@ -96,7 +96,7 @@ def _norm_key(k):
     rows=st.lists(float_row, min_size=1, max_size=100),
     blocks=st.integers(1, 6),
     batch=st.sampled_from([1, 7, 10000]),
-    method=st.sampled_from(["auto", "range", "window"]),
+    method=st.sampled_from(["auto", "split", "window"]),
 )
 def test_scan_with_float_keys_and_nan_payload(spark, rows, blocks, batch, method):
     data = [(i, k, T0 + dt.timedelta(seconds=s), d, p) for i, (k, s, d, p) in enumerate(rows)]
@@ -223,7 +223,7 @@ def test_range_faults_match_python(spark, vals):
         max_size=100,
     ),
     blocks=st.integers(1, 6),
-    method=st.sampled_from(["auto", "range", "window"]),
+    method=st.sampled_from(["auto", "split", "window"]),
 )
 def test_clamped_total_with_float_deltas(spark, rows, blocks, method):
     import math

@@ -1,9 +1,11 @@
 import datetime as dt
+from decimal import Decimal as D
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from odometrix.operators import scan
 from odometrix.operators import clamped_running_total, last_per_period, prefix_scan, running_total
 
 T0 = dt.datetime(2024, 1, 1)
@@ -79,26 +81,74 @@ def test_double_deltas(spark):
 def test_prefix_scan_keeps_hot_key_in_many_blocks(spark):
     rows = [(i, 1, T0 + dt.timedelta(seconds=i), 1) for i in range(2000)]
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
+    base = df.withColumn("_odx_d", F.col("d"))
+    bounds = scan._bounds(base, ["k"], "ts", "auto", 8)
+    per_block = base.crossJoin(bounds).groupBy(scan._block(F.col("ts"))).count().collect()
+    assert len(per_block) == 8 and max(r["count"] for r in per_block) < 2000 / 4
     scanned = prefix_scan(df, "k", "ts", "d", tiebreak="id", num_blocks=8)
-    per_block = scanned.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert len(per_block) == 8  # the single key is spread over every block
-    assert max(r["count"] for r in per_block) < 2000 / 4
     assert sorted(r["_odx_sum"] for r in scanned.collect()) == list(range(1, 2001))
 
 
-def test_prefix_scan_plan_reuses_one_range_exchange(spark):
-    rows = make_rows(n=200)
-    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
-    out = running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=4)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString()  # final adaptive plan
-    assert "isFinalPlan=true" in plan
-    # the offset branch reads the scan branch's range exchange, not its own
-    from tools.plan_report import final_lines
+HOT_AND_COLD = [(i, 1 if i % 3 else i % 40, T0 + dt.timedelta(minutes=i * 7 % 3001), float(i % 11 - 5)) for i in range(6000)]
+
+
+def _totals(df, **kw):
+    plain = running_total(df, "k", "ts", "d", tiebreak="id", name="t", **kw)
+    clamp = clamped_running_total(df, "k", "ts", "d", start=3, tiebreak="id", name="t", **kw)
+    return [{r["id"]: str(r["t"]) for r in out.collect()} for out in (plain, clamp)]
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+@pytest.mark.parametrize("cached", [True, False])
+def test_split_equals_window_cached_or_not(spark, aqe, cached):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        df = spark.createDataFrame(HOT_AND_COLD, "id long, k long, ts timestamp, d double")
+        if cached:
+            df = df.cache()
+            df.count()
+        want = _totals(df, method="window")
+        assert _totals(df) == want and _totals(df, method="split", num_blocks=5) == want
+        assert _totals(df, num_blocks=40) == want
+    finally:
+        df.unpersist()
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_nan_persists_in_split_keys(spark):
+    rows = [(i, k, T0 + dt.timedelta(minutes=i), float("nan") if i == 50 else 1.0) for k in (1, 2) for i in range(900)]
+    rows = [(n, k, t, d) for n, (_, k, t, d) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d double")
+    want = _totals(df, method="window")
+    assert _totals(df, method="split") == want and _totals(df) == want
+    assert sum(v == "nan" for v in want[0].values()) == 2 * 850
+
+
+def test_overflow_and_decimals_follow_the_window(spark):
+    big = [(i, 1, T0 + dt.timedelta(minutes=i), (1 << 62) * (1 if i < 4 else -1)) for i in range(8)]
+    df = spark.createDataFrame(big, "id long, k long, ts timestamp, d long")
+    for kw in ({"method": "window"}, {"method": "split"}, {}):
+        with pytest.raises(Exception, match="OVERFLOW"):
+            running_total(df, "k", "ts", "d", tiebreak="id", **kw).collect()
+    # Totals that fit: no block sum may overflow on the way.
+    swing = [(i, 1, T0 + dt.timedelta(minutes=i), d) for i, d in enumerate([-(1 << 62), -(1 << 61), 1 << 62, 1 << 62, 1 << 61])]
+    df = spark.createDataFrame(swing, "id long, k long, ts timestamp, d long")
+    split, window = (
+        {r["id"]: r["t"] for r in running_total(df, "k", "ts", "d", tiebreak="id", name="t", **kw).collect()}
+        for kw in ({"method": "split", "num_blocks": 2}, {"method": "window"})
+    )
+    assert split == window
+
+    cents = [(i, 1, T0 + dt.timedelta(minutes=i), D("0.10")) for i in range(30)]
+    df = spark.createDataFrame(cents, "id long, k long, ts timestamp, d decimal(6,2)")
+    want = _totals(df, method="window")
+    assert _totals(df, method="split") == want and want[0][2] == "0.30"
+
 
-    lines = [ln for ln in final_lines(plan) if "Exchange rangepartitioning" in ln]
-    assert sum("ReusedExchange" not in ln for ln in lines) == 1
-    assert sum("ReusedExchange" in ln for ln in lines) == 1
+def test_order_without_quantiles_is_not_split(spark):
+    df = spark.createDataFrame([(i, 1, f"{i:04d}", 1) for i in range(50)], "id long, k long, ts string, d int")
+    assert _totals(df, method="split") == _totals(df, method="window")
 
 
 def test_last_per_period(spark):
@@ -204,10 +254,10 @@ def test_scan_methods_agree(spark):
     rows = make_rows(seed=21, n=1200, hot_share=0.3)
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d int")
     results = {}
-    for method in ("auto", "range", "window"):
+    for method in ("auto", "split", "window"):
         out = clamped_running_total(df, "k", "ts", "d", start=4, tiebreak="id", num_blocks=5, name="t", method=method)
         results[method] = {r["id"]: r["t"] for r in out.collect()}
-    assert results["auto"] == results["range"] == results["window"] == brute(rows, start=4, clamp=True)
+    assert results["auto"] == results["split"] == results["window"] == brute(rows, start=4, clamp=True)
     with pytest.raises(ValueError):
         running_total(df, "k", "ts", "d", method="nope")
 
@@ -218,7 +268,7 @@ def test_double_running_sum_has_no_cancellation(spark):
     rows = [(i, 0, T0 + dt.timedelta(seconds=i), 1e17) for i in range(5)]
     rows += [(100 + i, 1, T0 + dt.timedelta(seconds=i), 0.1) for i in range(7)]
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp, d double")
-    got = {r["id"]: r["t"] for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=1, method="range", name="t").collect()}
+    got = {r["id"]: r["t"] for r in running_total(df, "k", "ts", "d", tiebreak="id", num_blocks=1, method="split", name="t").collect()}
     for i in range(7):
         # a difference of batch-wide sums would give 0 or multiples of 16 here
         assert got[100 + i] == pytest.approx(0.1 * (i + 1), rel=1e-12)

@@ -48,7 +48,6 @@ def main() -> None:
             .config("spark.eventLog.enabled", "true")
             .config("spark.eventLog.compress", "false")
             .config("spark.eventLog.dir", log)
-            .config("spark.odometrix.skew.minRows", "0")  # small scale factors too
             .getOrCreate()
         )
         spark.sparkContext.setLogLevel("ERROR")
