@@ -35,6 +35,7 @@ MAX_SYMBOL_WORDS = 0.5
 MAX_BOILERPLATE_WORDS = 40
 
 SYMBOLS = r"#*$%&|<>"
+SEPARATORS = ("|", ">", "/", "*", "-", "«", "»", "•", "·", "::", ">>")
 
 # Phrases of page furniture and licences (lower case).
 BOILERPLATE = (
@@ -44,32 +45,32 @@ BOILERPLATE = (
 )
 
 
-def base_statistics(text: Column) -> dict[str, Column]:
+def base_statistics(text: Column, words: Column) -> dict[str, Column]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a
-    non-null text."""
+    non-null text and its array of words."""
     with_word = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
     dup_lines = let(with_word, lambda a: F.size(a) - F.size(F.array_distinct(a)))
     return {
-        "n_words": F.regexp_count(text, F.lit(WORD)).cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, SPACES, "")).cast("long"),
+        "n_words": F.size(words).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_symbols": F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long"),
         "n_dup_lines": dup_lines.cast("long"),
-        "n_repeat_words": let(_words(text), _repeat_words).cast("long"),
+        "n_repeat_words": _repeat_words(words).cast("long"),
     }
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACES, -1), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACES, -1), "")
 
 
 def _repeat_words(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more. Windows are
     compared whole (joined by a space, which no word holds): sorted, so equal
     ones are neighbours, then the starts of the repeated ones are unrolled."""
-    zero = F.lit(0)
+    zero, space = F.lit(0), F.lit(" ")
     grams = F.transform(
         F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, zero)),
-        lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)),
+        lambda w, i: F.concat(w, space, F.get(words, i + 1), space, F.get(words, i + 2)),
     )
 
     def covered(starts: Column) -> Column:
@@ -83,7 +84,7 @@ def _repeat_words(words: Column) -> Column:
                 (e["gram"] == F.get(ordered, k - 1)["gram"]) | (e["gram"] == F.get(ordered, k + 1)["gram"]), e["at"]
             ),
         )
-        return let(F.sort_array(F.filter(marked, lambda x: x.isNotNull())), covered)
+        return let(F.sort_array(F.array_compact(marked)), covered)
 
     def count(g: Column) -> Column:
         at = F.transform(g, lambda x, i: F.struct(x.alias("gram"), i.alias("at")))
@@ -94,23 +95,27 @@ def _repeat_words(words: Column) -> Column:
 
 def failing_rule(
     line: Column,
+    words: Column,
     *,
     min_letters: float = MIN_LETTERS,
     max_symbol_words: float = MAX_SYMBOL_WORDS,
     max_boilerplate_words: int = MAX_BOILERPLATE_WORDS,
 ) -> Column:
-    """Name of the first rule that ``line`` fails, or null."""
-    n_words = F.regexp_count(line, F.lit(WORD))
-    chars = F.length(F.regexp_replace(line, SPACES, ""))
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}\p{M}\p{N}]+", ""))
-    symbol_words = F.regexp_count(line, F.lit(rf"[^\x20\x09-\x0D]*[{SYMBOLS}][^\x20\x09-\x0D]*"))
-    separators = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])(?:[|>/*\-«»•·]|::|>>)(?![^\x20\x09-\x0D])"))
+    """Name of the first rule that ``line`` (of these ``words``) fails, or null."""
+    chars = F.length(line)
+    marks = F.length(F.regexp_replace(line, r"[a-z\x20\x09-\x0DA-Z0-9\p{L}\p{M}\p{N}]+", ""))
+    spaces = chars - F.length(F.array_join(words, ""))
+    symbol_words = F.size(F.filter(words, lambda w: w.rlike(f"[{SYMBOLS}]")))
+    separators = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
     phrases = "|".join(p.replace(" ", r"\s+") for p in BOILERPLATE)
+    # Each costlier test runs only on lines that can fail it.
+    odd = line.rlike(f"[{SYMBOLS}/«»•·:-]")
     return (
-        F.when(n_words == 0, None)
-        .when((separators >= 3) & (separators * 4 >= n_words), "navigation")
-        .when((letters < chars * min_letters) | (symbol_words > n_words * max_symbol_words), "punctuation")
-        .when((n_words <= max_boilerplate_words) & line.rlike(f"(?i)(?:{phrases})"), "boilerplate")
+        F.when(F.size(words) == 0, None)
+        .when(odd & (separators >= 3) & (separators * 4 >= F.size(words)), "navigation")
+        .when(odd & (symbol_words > F.size(words) * max_symbol_words), "punctuation")
+        .when((chars - spaces) * (1 - min_letters) < marks, "punctuation")
+        .when((F.size(words) <= max_boilerplate_words) & line.rlike(f"(?i)(?:{phrases})"), "boilerplate")
     )
 
 
@@ -130,11 +135,17 @@ def clean_lines(
     def judged(t: Column) -> Column:
         lines = F.transform(
             F.split(t, "\n", -1),
-            lambda x: F.struct(
-                x.alias("line"), failing_rule(x).alias("rule"), F.regexp_count(x, F.lit(WORD)).alias("words")
+            lambda x: let(
+                _words(x),
+                lambda w: F.struct(x.alias("line"), failing_rule(x, w).alias("rule"), F.size(w).alias("words")),
+            ),
+        )
+        return let(
+            F.struct(lines.alias("lines"), _words(t).alias("words")),
+            lambda a: F.struct(
+                *[c.alias(n) for n, c in base_statistics(t, a["words"]).items()], *_cleaned(a["lines"])
             ),
         )
-        return let(lines, lambda a: F.struct(*[c.alias(n) for n, c in base_statistics(t).items()], *_cleaned(a)))
 
     both = let(text, judged)
 
