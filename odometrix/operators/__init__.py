@@ -15,6 +15,7 @@ from odometrix.operators.profile import (
     with_profile,
 )
 from odometrix.operators.reports import (
+    breakdown_logs,
     abnormalities_by_tag,
     breakdowns_by_label,
     event_count_by_key,
@@ -38,6 +39,7 @@ __all__ = [
     "FlagRule",
     "abnormalities_by_tag",
     "apply_tag_rules",
+    "breakdown_logs",
     "breakdowns_by_label",
     "clamped_running_total",
     "deviation_flags",

@@ -29,9 +29,13 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], partitions: int) -> DataFra
     """Keys holding more than ``1/partitions`` of all rows, with a salt count of
     ``ceil(SALTS_PER_PARTITION * n * partitions / total)``. At most
     ``partitions`` rows, and at most ``(SALTS_PER_PARTITION + 1) * partitions``
-    salts in all. ``total`` is a scalar subquery, not a driver round trip."""
-    total = counts.agg(F.sum(COUNT)).scalar()
-    share = F.col(COUNT) * F.lit(partitions)
-    return counts.filter(share > total).select(
-        *keys, F.ceil(share * F.lit(SALTS_PER_PARTITION) / total).cast("int").alias(SALTS)
+    salts in all."""
+    # One row beside every key, in the same plan: unlike a scalar subquery it
+    # reads the shuffle of ``counts`` that is there already. The zero made from
+    # the keys keeps the optimizer from pruning them, and so from counting anew.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    total = F.broadcast(counts.agg(F.sum(F.col(COUNT) + zero).alias("_odx_total")))
+    share, total_n = F.col(COUNT) * F.lit(partitions), F.col("_odx_total")
+    return counts.crossJoin(total).filter(share > total_n).select(
+        *keys, F.ceil(share * F.lit(SALTS_PER_PARTITION) / total_n).cast("int").alias(SALTS)
     )

@@ -114,16 +114,16 @@ def profile_and_counts(
     """The profile of :func:`deviation_profile` and the readings per key
     (``key, _odx_n``); pass both to :func:`with_profile`.
 
-    Both come from one aggregate. Column pruning would turn the counts into an
-    aggregate of their own, with its own pass over the readings. So the counts
-    add a zero made from the statistics and one statistic looks at the count:
-    the two aggregates stay the same, and Spark runs one and reuses its
-    shuffle."""
+    Both come from one aggregate. Left alone, the optimizer would prune and
+    filter each use of it differently, and so read the readings once for each.
+    The aggregate's row is therefore passed on whole, as the one element of an
+    exploded array: every use reads the same aggregate, and Spark runs it once
+    and reuses its shuffle. A filter on the key does not reach below it; use
+    :func:`deviation_profile` where one should."""
     both = df.groupBy(key).agg(*_profile_aggs(metrics), F.count(F.lit(1)).alias(_N))
-    stats = [c for c in both.columns if c not in (key, _N)]
-    zero = F.pmod(F.xxhash64(*stats), F.lit(1))
-    first = F.when(F.col(_N) > 0, F.col(stats[0])).alias(stats[0])  # every group has rows
-    return both.select(key, first, *stats[1:]), both.select(key, (F.col(_N) + zero).alias(_N))
+    whole = both.select(F.explode(F.array(F.struct(*both.columns))).alias("_odx_row"))
+    row = whole.select("_odx_row.*")
+    return row.drop(_N), row.select(key, _N)
 
 
 def with_profile(
@@ -133,6 +133,7 @@ def with_profile(
     *,
     counts: DataFrame | None = None,
     split_hot_keys: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Q5b: every reading beside its key's profile.
 
@@ -143,13 +144,15 @@ def with_profile(
 
     ``counts`` (``key, _odx_n``: readings per key) is computed from ``df``
     when not given. ``split_hot_keys=False`` joins on the key alone.
+    ``partitions`` is the fan-out that makes a key hot (by default what the
+    session plans for).
     """
     reading_cols = [c for c in df.columns if c != key]
     out_cols = [*profile.columns, *reading_cols]
     if split_hot_keys:
         if counts is None:
             counts = key_counts(df, [key])
-        hot = F.broadcast(hot_keys(counts, [key], _partitions(df)))
+        hot = F.broadcast(hot_keys(counts, [key], partitions or _partitions(df)))
         readings = df.join(hot, key, "left").withColumn(
             _SALT,
             F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(
@@ -201,7 +204,10 @@ def deviation_flags(
     stats = _stats(rules)
     used = {key, ts, *stats.values()}
     readings = df.select(*[c for c in df.columns if c in used])
-    profile, counts = profile_and_counts(readings, key, rules)
+    if split_hot_keys:
+        profile, counts = profile_and_counts(readings, key, rules)
+    else:  # filters on the key reach this profile's scan
+        profile, counts = deviation_profile(readings, key, rules), None
     joined = with_profile(readings, profile, key, counts=counts, split_hot_keys=split_hot_keys)
     kk = F.lit(float(k))
     flags = []

@@ -56,6 +56,23 @@ def breakdowns_by_label(
     )
 
 
+def breakdown_logs(
+    dim: DataFrame,
+    log: DataFrame,
+    key: str | Sequence[str],
+    *,
+    log_filter: Column | None = None,
+    dim_filter: Column | None = None,
+) -> DataFrame:
+    """Q1's rows: every column of each (filtered) log row's dimension row, then
+    the log's columns but the key. Dimension rows without a log are absent, as
+    a filter on the log makes the join inner."""
+    keys = _keys(key)
+    logs = log if log_filter is None else log.filter(log_filter)
+    dims = dim if dim_filter is None else dim.filter(dim_filter)
+    return dims.join(logs, keys, "inner").select(*dims.columns, *[c for c in log.columns if c not in keys])
+
+
 def event_count_by_key(
     log: DataFrame,
     key: str | Sequence[str],
@@ -147,7 +164,8 @@ def top_n(
     ``orderBy(...).limit(n)`` plans as a distributed top-k (each task keeps
     ``n`` rows, the driver merges ``n`` per task). ``with_ties`` keeps every
     row that equals the ``n``-th value; the cutoff is a scalar subquery over
-    that same top-k, so no window over the whole table is needed.
+    that same top-k, so no window over the whole table is needed. NULLs come
+    last and tie with each other.
     """
     labels = _keys(label)
     order = [F.desc(by), *[F.asc(c) for c in labels]]
@@ -155,7 +173,9 @@ def top_n(
     if not with_ties:
         return top
     cutoff = top.agg(F.min(by)).scalar()
-    return df.filter(F.col(by) >= cutoff).orderBy(*order)
+    # A NULL among the n: everything before it is in, and all NULLs tie.
+    nulls = top.agg(F.max(F.col(by).isNull())).scalar()
+    return df.filter((F.col(by) >= cutoff) | nulls).orderBy(*order)
 
 
 def flagged_readings_with_tags(

@@ -42,6 +42,7 @@ from odometrix.session import planned_partitions
 PREFIX_SUM = "_odx_sum"
 PREFIX_MIN = "_odx_min"
 _DELTA, _BLOCK, _BOUNDS, _COARSE = "_odx_d", "_odx_blk", "_odx_bounds", "_odx_coarse"
+_SPLIT = "_odx_split"
 _OFF_SUM, _OFF_MIN = "_odx_osum", "_odx_omin"
 
 METHODS = ("auto", "split", "window")
@@ -95,13 +96,18 @@ def prefix_scan(
     blocked = base.join(small(bounds), _same(base, bounds, keys, "_odx_hk_"), "left").withColumn(
         _BLOCK, _block(F.col(order))
     )
+    blocked = blocked.withColumn(_SPLIT, F.col(_BOUNDS).isNotNull())
     blocked = blocked.drop(_BOUNDS, _COARSE, *[f"_odx_hk_{k}" for k in keys])
 
     total = T.LongType() if isinstance(kind, T.LongType) else base.agg(F.sum(_DELTA)).schema[0].dataType
     if isinstance(kind, T.LongType):
         blocked = blocked.withColumn(_DELTA, F.col(_DELTA).cast("decimal(20,0)"))
     rows = _scanned(blocked, [*keys, _BLOCK], order, tiebreak, with_min)
-    offsets = _offsets(rows if with_min else blocked, keys, with_min)
+    # Totals of split keys only: without any, their branch is empty and pruned.
+    split = blocked.filter(F.col(_SPLIT))
+    if with_min:
+        split = _scanned(split, [*keys, _BLOCK], order, tiebreak, with_min)
+    offsets = _offsets(split, keys, with_min)
 
     on = [rows[_BLOCK] == offsets["_odx_oblk"], *_same(rows, offsets, keys, "_odx_ok_")]
     out = rows.join(small(offsets), on, "left")
@@ -111,7 +117,7 @@ def prefix_scan(
         # The offset of the minimum is NULL before a key's second block.
         out = out.withColumn(PREFIX_MIN, F.least(F.col(_OFF_MIN), before + F.col(PREFIX_MIN)).cast(total))
     out = out.withColumn(PREFIX_SUM, whole)
-    return out.drop(_DELTA, _BLOCK, "_odx_oblk", _OFF_SUM, _OFF_MIN, *[f"_odx_ok_{k}" for k in keys])
+    return out.drop(_DELTA, _BLOCK, _SPLIT, "_odx_oblk", _OFF_SUM, _OFF_MIN, *[f"_odx_ok_{k}" for k in keys])
 
 
 def _scanned(base: DataFrame, keys, order, tiebreak, with_min) -> DataFrame:

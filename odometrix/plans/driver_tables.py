@@ -28,7 +28,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometrix.functions.columns import hour_of
+from odometrix.functions.columns import (
+    clamp_min,
+    format_id,
+    hour_of,
+    round_half_even,
+    shift_date,
+    shift_time,
+    timestamp_text,
+)
+from odometrix.operators.ingest import to_silver_sensor
 from odometrix.operators.profile import (
     FlagRule,
     deviation_flags,
@@ -40,6 +49,7 @@ from odometrix.operators.profile import (
 )
 from odometrix.operators.reports import (
     abnormalities_by_tag,
+    breakdown_logs,
     breakdowns_by_label,
     event_count_by_key,
     flagged_readings_with_tags,
@@ -50,6 +60,7 @@ from odometrix.operators.reports import (
 )
 from odometrix.operators.rules import apply_tag_rules, range_fault_counts, range_faults
 from odometrix.operators.series import clamped_running_total, last_per_period, running_total
+from odometrix.sources.catalog import with_vehicle_type
 from odometrix.sources.spine import hourly_spine_for
 from odometrix.sources.tables import load_table
 
@@ -65,6 +76,9 @@ CLAMP_START = 25
 CLAMP_SHIFT = 60
 SPOT_USER = 7
 LARGE_PART_SIZE = 25  # "where" of the breakdown report: parts of size >= 25
+TIES_OVER_NULLS = 24  # of 25 brands, some of which have no part of the largest size
+SPLIT_BLOCKS = 7  # every key's running total cut into this many blocks
+SALT_FAN_OUT = 100_000  # makes every user hot in the profile join
 LINE_METRICS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINE_K = 1.5  # uniform measures never pass 3 sigma; 1.5 flags a share of them
 
@@ -128,6 +142,22 @@ def q_top_breakdowns_with_ties(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_top_n_with_ties_over_nulls(spark: SparkSession, d: str) -> DataFrame:
+    part = load_table(spark, d, "part")
+    largest = F.max(F.when(F.col("p_size") == 50, F.col("p_size"))).alias("largest")
+    return top_n(part.groupBy("p_brand").agg(largest), "largest", "p_brand", TIES_OVER_NULLS, with_ties=True)
+
+
+def q_breakdown_logs(spark: SparkSession, d: str) -> DataFrame:
+    part = load_table(spark, d, "part").select(
+        F.col("p_partkey").alias("partkey"), "p_brand", "p_type", "p_size"
+    )
+    log = load_table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("partkey"), "l_orderkey", "l_linenumber", "l_returnflag"
+    )
+    return breakdown_logs(part, log, "partkey", log_filter=F.col("l_returnflag") == "R")
+
+
 # --- Q3a, Q4, Q3, Q10 --------------------------------------------------------
 
 
@@ -176,8 +206,10 @@ def q_deviation_profile(spark: SparkSession, d: str) -> DataFrame:
 
 def _with_profile(spark: SparkSession, d: str, *, split_hot_keys: bool = True) -> DataFrame:
     ev = _events(spark, d)
+    if not split_hot_keys:
+        return with_profile(ev, deviation_profile(ev, "user_id", ["value"]), "user_id", split_hot_keys=False)
     profile, counts = profile_and_counts(ev, "user_id", ["value"])
-    return with_profile(ev, profile, "user_id", counts=counts, split_hot_keys=split_hot_keys)
+    return with_profile(ev, profile, "user_id", counts=counts)
 
 
 def q_with_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -186,6 +218,13 @@ def q_with_profile(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_with_profile_salted(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d)
+    profile, counts = profile_and_counts(ev, "user_id", ["value"])
+    out = with_profile(ev, profile, "user_id", counts=counts, partitions=SALT_FAN_OUT)
+    return out.withColumns({"mean_value": r("mean_value"), "std_value": r("std_value")})
+
+
 def q_deviation_flags(spark: SparkSession, d: str) -> DataFrame:
     return deviation_flags(_events(spark, d), "user_id", "ts", VALUE_RULES)
 
@@ -304,6 +343,85 @@ def q_clamped_running_total(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", "user_id", "ts", "level")
 
 
+def q_running_total_split(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).select("event_id", "user_id", "ts", "value")
+    cents = F.round(F.col("value") * 100).cast("long")
+    out = running_total(
+        ev, "user_id", "ts", cents, start=RUNNING_START, tiebreak="event_id", name="running_cents",
+        method="split", num_blocks=SPLIT_BLOCKS,
+    )
+    return out.select("event_id", "user_id", "ts", "running_cents")
+
+
+def q_clamped_running_total_split(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).select("event_id", "user_id", "ts", "value")
+    delta = F.col("value").cast("int") - F.lit(CLAMP_SHIFT)
+    out = clamped_running_total(
+        ev, "user_id", "ts", delta, start=CLAMP_START, tiebreak="event_id", name="level",
+        method="split", num_blocks=SPLIT_BLOCKS,
+    )
+    return out.select("event_id", "user_id", "ts", "level")
+
+
+# --- P8, X3, X8-X13, Q11, F7 on text -------------------------------------------
+
+
+def q_to_silver_sensor(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines as raw readings: an id, a text time and a struct of four."""
+    li = load_table(spark, d, "lineitem")
+    raw = li.select(
+        format_id("V", "l_suppkey").alias("vehicle_id"),
+        timestamp_text("l_shipdate").alias("timestamp"),
+        F.struct(
+            F.col("l_quantity").alias("front_left"),
+            F.col("l_extendedprice").alias("front_right"),
+            F.col("l_discount").alias("rear_left"),
+            F.col("l_tax").alias("rear_right"),
+        ).alias("tire_pressure"),
+        F.col("l_quantity").alias("engine_temp"),
+        F.col("l_extendedprice").alias("oil_pressure"),
+        F.col("l_linenumber").alias("fuel_level"),
+        F.col("l_discount").alias("battery_voltage"),
+        F.col("l_tax").alias("mileage"),
+    )
+    silver = to_silver_sensor(raw)
+    return silver.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def q_hourly_flags_from_text(spark: SparkSession, d: str) -> DataFrame:
+    """Hours taken from text timestamps, joined to the hourly tags on equality."""
+    ev = _events(spark, d)
+    text = ev.select("event_id", timestamp_text("ts").alias("ts"))
+    hours = text.select("event_id", hour_of(text, "ts").cast("timestamp_ntz").alias("hour"))
+    tags = _hourly_tags(spark, d).filter(F.col("climate_tag").isNotNull())
+    return hours.join(tags.select("hour", "climate_tag"), "hour").select("event_id", "hour", "climate_tag")
+
+
+def q_scalar_rules(spark: SparkSession, d: str) -> DataFrame:
+    o = load_table(spark, d, "orders")
+    return o.select(
+        "o_orderkey",
+        format_id("D_", "o_custkey").alias("customer_id"),
+        timestamp_text("o_orderdate").alias("order_time"),
+        round_half_even(F.col("o_orderkey") * 5, -1).cast("long").alias("rounded"),
+        clamp_min(F.col("o_totalprice") - 150000.0).alias("above"),
+        shift_time("o_orderdate", weeks=1, days=2, hours=3).alias("later"),
+        shift_date(F.to_date("o_orderdate"), weeks=4).alias("due"),
+    )
+
+
+def q_vehicle_type_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Brand and type as make and model; the catalogue lacks the small sizes."""
+    part = load_table(spark, d, "part")
+    catalog = (
+        part.filter(F.col("p_size") >= LARGE_PART_SIZE)
+        .groupBy(F.col("p_brand").alias("make"), F.col("p_type").alias("model"))
+        .agg(F.max("p_name").alias("vehicle_type"))
+    )
+    parts = part.select("p_partkey", "p_brand", "p_type")
+    return with_vehicle_type(parts, catalog, make_col="p_brand", model_col="p_type")
+
+
 def q_last_per_period(spark: SparkSession, d: str) -> DataFrame:
     # One reading per user and timestamp, as one per vehicle and hour in the
     # fleet data: no tiebreak needed, so the aggregate stays hash-based.
@@ -315,6 +433,8 @@ QUERIES: dict[str, Query] = {
     "breakdowns_by_label_where": q_breakdowns_by_label_where,
     "top_n": q_top_breakdowns,
     "top_n_with_ties": q_top_breakdowns_with_ties,
+    "top_n_with_ties_over_nulls": q_top_n_with_ties_over_nulls,
+    "breakdown_logs": q_breakdown_logs,
     "event_count_by_key": q_event_count_by_key,
     "usage_range_by_key": q_usage_range_by_key,
     "repairs_vs_usage": q_repairs_vs_usage,
@@ -322,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "usage_correlation": q_usage_correlation,
     "deviation_profile": q_deviation_profile,
     "with_profile": q_with_profile,
+    "with_profile_salted": q_with_profile_salted,
     "deviation_flags": q_deviation_flags,
     "deviation_profile_multi": q_deviation_profile_multi,
     "deviation_flags_multi": q_deviation_flags_multi,
@@ -335,5 +456,11 @@ QUERIES: dict[str, Query] = {
     "hourly_spine": q_hourly_spine,
     "running_total": q_running_total,
     "clamped_running_total": q_clamped_running_total,
+    "running_total_split": q_running_total_split,
+    "clamped_running_total_split": q_clamped_running_total_split,
     "last_per_period": q_last_per_period,
+    "to_silver_sensor": q_to_silver_sensor,
+    "hourly_flags_from_text": q_hourly_flags_from_text,
+    "scalar_rules": q_scalar_rules,
+    "vehicle_type_lookup": q_vehicle_type_lookup,
 }

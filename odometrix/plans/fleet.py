@@ -32,10 +32,13 @@ from odometrix.operators.profile import (
 )
 from odometrix.operators.reports import (
     abnormalities_by_tag,
+    breakdown_logs,
     breakdowns_by_label,
+    event_count_by_key,
     flagged_readings_with_tags,
     repairs_vs_usage,
     usage_correlation,
+    usage_range_by_key,
 )
 from odometrix.operators.rules import apply_tag_rules
 from odometrix.schemas import RAW_ENVIRONMENT, RAW_FLEET, RAW_MAINTENANCE
@@ -87,17 +90,24 @@ def silver_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def land_silver(spark: SparkSession, raw_root: str, silver_root: str) -> dict[str, str]:
+def by_day(df: DataFrame, files_per_day: int = 1, ts: str = "timestamp") -> DataFrame:
+    """Readings with their ``date``, dealt so that a writer partitioned by date
+    makes ``files_per_day`` files a day instead of one for each task and day."""
+    salt = F.pmod(F.xxhash64(KEY, ts), F.lit(files_per_day))
+    return df.withColumn("date", F.to_date(ts)).repartition("date", salt)
+
+
+def land_silver(
+    spark: SparkSession, raw_root: str, silver_root: str, *, files_per_day: int = 1
+) -> dict[str, str]:
     """Type the raw data and land each silver table as parquet once (an
     existing table is left alone). Sensor readings are partitioned by day so
-    date filters prune files."""
+    date filters prune files; ``files_per_day`` splits a large day."""
     out = {}
     for name, df in silver_tables(read_raw(spark, raw_root)).items():
         path = f"{silver_root}/{name}"
         if name == "silver_sensor_data":
-            write_once(
-                df.withColumn("date", F.to_date("timestamp")), path, partition_by=["date"]
-            )
+            write_once(by_day(df, files_per_day), path, partition_by=["date"])
         else:
             write_once(df, path)
         out[name] = path
@@ -122,6 +132,15 @@ def gold_breakdowns_by_make_model(
     )
 
 
+def maintenance_log_by_make(
+    meta: DataFrame, logs: DataFrame, *, where: Column | None = None
+) -> DataFrame:
+    """The reactive logs behind the counts: the vehicle's columns, then the log's."""
+    return breakdown_logs(
+        meta, logs, KEY, log_filter=F.col("type") == BREAKDOWN_TYPE, dim_filter=where
+    )
+
+
 # --- gold: sensor profile and peaks ---------------------------------------------------
 
 
@@ -132,8 +151,10 @@ def sensor_readings_mean_std(sensors: DataFrame) -> DataFrame:
 
 def sensor_data_with_avg_std(sensors: DataFrame, *, split_hot_keys: bool = True) -> DataFrame:
     """Every reading beside its vehicle's profile."""
+    if not split_hot_keys:
+        return with_profile(sensors, sensor_readings_mean_std(sensors), KEY, split_hot_keys=False)
     profile, counts = profile_and_counts(sensors, KEY, PROFILE_RULES)
-    return with_profile(sensors, profile, KEY, counts=counts, split_hot_keys=split_hot_keys)
+    return with_profile(sensors, profile, KEY, counts=counts)
 
 
 def sensor_drilldown(
@@ -190,6 +211,16 @@ def gold_engine_abnormalities_by_climate(env_with_risk: DataFrame, flags: DataFr
 # --- gold: question 3 ----------------------------------------------------------------
 
 
+def repairs_by_vehicles(logs: DataFrame) -> DataFrame:
+    """``vehicle_id, num_of_repairs``."""
+    return event_count_by_key(logs, KEY, where=F.col("action_taken").isin(*REPAIR_ACTIONS))
+
+
+def mileage_diff_by_vehicle(sensors: DataFrame) -> DataFrame:
+    """``vehicle_id, min_mileage, max_mileage, mileage_diff``."""
+    return usage_range_by_key(sensors, KEY, "mileage")
+
+
 def gold_vehicle_logs_by_mile_traveled(
     logs: DataFrame, sensors: DataFrame, *, keep_zero: bool = False
 ) -> DataFrame:
@@ -238,12 +269,19 @@ def register_views(
     views["gold_sensor_reading_peaks"] = gold_sensor_reading_peaks(sensors)
     views["gold_sensor_engine_temp_with_flags"] = gold_sensor_engine_temp_with_flags(sensors)
     views["gold_vehicle_logs_by_mile_traveled"] = gold_vehicle_logs_by_mile_traveled(logs, sensors)
+    views["maintenance_log_by_make"] = maintenance_log_by_make(meta, logs)
+    views["sensor_readings_mean_std"] = sensor_readings_mean_std(sensors)
+    views["sensor_data_with_avg_std"] = sensor_data_with_avg_std(sensors)
+    views["repairs_by_vehicles"] = repairs_by_vehicles(logs)
+    views["mileage_diff_by_vehicle"] = mileage_diff_by_vehicle(sensors)
+    views["vehicle_logs_by_mile_traveled"] = views["gold_vehicle_logs_by_mile_traveled"]
     if climate_rules:
         env = gold_environmental_data_with_risk(silver["silver_environmental_data"], climate_rules)
         views["gold_environmental_data_with_risk"] = env
-        views["gold_engine_abnormalities_by_climate"] = gold_engine_abnormalities_by_climate(
-            env, views["gold_sensor_engine_temp_with_flags"]
-        )
+        flags = views["gold_sensor_engine_temp_with_flags"]
+        views["engine_temp_with_environmental_data"] = engine_temp_with_environmental_data(env, flags)
+        views["engine_abnormalities_by_climate"] = gold_engine_abnormalities_by_climate(env, flags)
+        views["gold_engine_abnormalities_by_climate"] = views["engine_abnormalities_by_climate"]
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views
@@ -260,18 +298,23 @@ def save_gold_tables(
     *,
     prefix: str = "",
 ) -> list[str]:
-    """Materialise the gold tables by name (create or replace)."""
-    flags = gold_sensor_engine_temp_with_flags(sensors)
+    """Materialise the gold tables by name (create or replace). The weather tags
+    and the engine flags are saved first, and the climate report reads the
+    saved tables instead of deriving them again."""
+    spark = sensors.sparkSession
+    saved = {
+        "gold_environmental_data_with_risk": env_with_risk,
+        "gold_sensor_engine_temp_with_flags": gold_sensor_engine_temp_with_flags(sensors),
+    }
+    for name, df in saved.items():
+        save_gold(df, prefix + name)
+    env, flags = (spark.table(prefix + name) for name in saved)
     tables = {
         "gold_breakdowns_by_make_model": gold_breakdowns_by_make_model(meta, logs),
         "gold_sensor_reading_peaks": gold_sensor_reading_peaks(sensors),
-        "gold_engine_abnormalities_by_climate": gold_engine_abnormalities_by_climate(
-            env_with_risk, flags
-        ),
+        "gold_engine_abnormalities_by_climate": gold_engine_abnormalities_by_climate(env, flags),
         "gold_vehicle_logs_by_mile_traveled": gold_vehicle_logs_by_mile_traveled(logs, sensors),
     }
-    names = []
     for name, df in tables.items():
         save_gold(df, prefix + name)
-        names.append(prefix + name)
-    return names
+    return [prefix + name for name in (*saved, *tables)]

@@ -19,6 +19,7 @@ from odometrix.plans.driver_tables import (
     RUNNING_START,
     SPOT_USER,
     TAG_RULES,
+    TIES_OVER_NULLS,
     TOP_N,
 )
 
@@ -229,3 +230,53 @@ SELECT user_id, CAST(ts AS DATE) AS day, arg_max(value, ts) AS last_value, max(t
 FROM events GROUP BY user_id, CAST(ts AS DATE)
 """,
 }
+
+# The same results by another plan: split running totals, salted join.
+ORACLE_SQL["running_total_split"] = ORACLE_SQL["running_total"]
+ORACLE_SQL["clamped_running_total_split"] = ORACLE_SQL["clamped_running_total"]
+ORACLE_SQL["with_profile_salted"] = ORACLE_SQL["with_profile"]
+
+_SECONDS = "'%Y-%m-%d %H:%M:%S'"
+
+ORACLE_SQL |= {
+    "top_n_with_ties_over_nulls": f"""
+SELECT p_brand, largest FROM (
+  SELECT p_brand, largest, rank() OVER (ORDER BY largest DESC NULLS LAST) AS place
+  FROM (SELECT p_brand, max(CASE WHEN p_size = 50 THEN p_size END) AS largest FROM part GROUP BY p_brand) b
+) r WHERE place <= {TIES_OVER_NULLS}
+""",
+    "breakdown_logs": """
+SELECT p_partkey AS partkey, p_brand, p_type, p_size, l_orderkey, l_linenumber, l_returnflag
+FROM part JOIN lineitem ON p_partkey = l_partkey WHERE l_returnflag = 'R'
+""",
+    "to_silver_sensor": f"""
+SELECT printf('V%05d', l_suppkey) AS vehicle_id,
+       CAST(strftime(l_shipdate, {_SECONDS}) AS TIMESTAMP) AS timestamp,
+       l_quantity AS front_left_tire_pressure, l_extendedprice AS front_right_tire_pressure,
+       l_discount AS rear_left_tire_pressure, l_tax AS rear_right_tire_pressure,
+       l_quantity AS engine_temp, l_extendedprice AS oil_pressure,
+       CAST(l_linenumber AS DOUBLE) AS fuel_level, l_discount AS battery_voltage, l_tax AS mileage
+FROM lineitem
+""",
+    "hourly_flags_from_text": f"""
+SELECT e.event_id, t.hour, t.climate_tag
+FROM (SELECT event_id, {HOUR} AS hour FROM events) e JOIN ({HOURLY_TAGS}) t ON e.hour = t.hour
+WHERE t.climate_tag IS NOT NULL
+""",
+    "scalar_rules": f"""
+SELECT o_orderkey, printf('D_%05d', o_custkey) AS customer_id,
+       strftime(o_orderdate, {_SECONDS}) AS order_time,
+       CAST(CASE WHEN o_orderkey % 2 = 0 THEN 5 * o_orderkey
+                 WHEN o_orderkey % 4 = 1 THEN 5 * o_orderkey - 5 ELSE 5 * o_orderkey + 5 END AS BIGINT) AS rounded,
+       greatest(o_totalprice - 150000, 0) AS above,
+       o_orderdate + INTERVAL 9 DAY + INTERVAL 3 HOUR AS later,
+       CAST(CAST(o_orderdate AS DATE) + 28 AS DATE) AS due
+FROM orders
+""",
+    "vehicle_type_lookup": f"""
+SELECT p.p_partkey, p.p_brand, p.p_type, c.vehicle_type
+FROM part p LEFT JOIN (
+  SELECT p_brand, p_type, max(p_name) AS vehicle_type FROM part WHERE p_size >= {LARGE_PART_SIZE}
+  GROUP BY p_brand, p_type) c ON p.p_brand = c.p_brand AND p.p_type = c.p_type
+""",
+}

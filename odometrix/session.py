@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Fixed defaults for a local run; a cluster's own settings win where set.
+# Defaults for settings that neither the caller nor the submission names.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,18 +21,32 @@ DEFAULTS = {
 def get_session(
     app: str = "odometrix", *, master: str | None = None, shuffle_partitions: int | None = None
 ) -> SparkSession:
-    """A session with AQE (runtime broadcast, partition coalescing, skew-join
-    splitting) on. ``master`` defaults to ``local[$BENCH_CPUS or 8]``."""
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    b = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
-    for k, v in DEFAULTS.items():
-        b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-    b = b.config("spark.driver.memory", os.environ.get("ODX_DRIVER_MEMORY", "16g"))
+    """The running session as it is, or a new one with :data:`DEFAULTS` for
+    every setting that the submission (``--conf``, ``--master``,
+    ``spark-defaults.conf``) leaves open. ``master`` and ``shuffle_partitions``
+    count only where the submission names none; nothing is assumed about
+    memory, fan-out or master."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
+    SparkContext._ensure_initialized()  # so that SparkConf sees the submission
+    given = SparkConf()
+    wanted = dict(DEFAULTS)
+    if shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     log_dir = os.environ.get("ODX_EVENT_LOG_DIR")
     if log_dir:  # stage and task times without the UI: read the JSON event log
-        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
-        b = b.config("spark.eventLog.compress", "false")
+        wanted["spark.eventLog.enabled"] = "true"
+        wanted["spark.eventLog.dir"] = log_dir
+        wanted["spark.eventLog.compress"] = "false"
+    b = SparkSession.builder
+    if master and given.get("spark.master", "local[*]") == "local[*]":  # what a bare submission gets
+        b = b.master(master)
+    if not given.contains("spark.app.name"):
+        b = b.appName(app)
+    for k, v in wanted.items():
+        if not given.contains(k):
+            b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -1,10 +1,9 @@
 from odometrix.sources.catalog import MODELS, model_catalog, with_vehicle_type
-from odometrix.sources.sensor_json import read_sensor_json
+from odometrix.sources.sensor_json import corrupt_sensor_records, read_sensor_json
 from odometrix.sources.spine import hourly_spine, hourly_spine_for
 from odometrix.sources.tables import TABLES, load_table, register_tables
 from odometrix.sources.writers import (
-    checkpoint_dir,
-    drop_tables,
+    path_exists,
     save_gold,
     write_once,
     write_overwrite,
@@ -16,11 +15,11 @@ __all__ = [
     "model_catalog",
     "with_vehicle_type",
     "TABLES",
-    "checkpoint_dir",
-    "drop_tables",
+    "corrupt_sensor_records",
     "hourly_spine",
     "hourly_spine_for",
     "load_table",
+    "path_exists",
     "read_sensor_json",
     "register_tables",
     "save_gold",

@@ -1,8 +1,7 @@
 """The vehicle model catalogue: model -> make, vehicle type.
 
 The raw generator keeps this as a nested Python dict; here it is a small
-dimension table joined by model. Its size is fixed (nine rows), so the join
-broadcasts it.
+dimension table joined by make and model.
 """
 
 from __future__ import annotations
@@ -30,11 +29,19 @@ def model_catalog(spark: SparkSession) -> DataFrame:
 
 
 def with_vehicle_type(
-    df: DataFrame, catalog: DataFrame, *, model_col: str = "model", name: str = "vehicle_type"
+    df: DataFrame,
+    catalog: DataFrame,
+    *,
+    make_col: str = "make",
+    model_col: str = "model",
+    name: str = "vehicle_type",
 ) -> DataFrame:
-    """Add (or replace) the vehicle type of each row's model; unknown models
-    get NULL. The catalogue is a fixed-size table, so it is broadcast."""
-    lookup = catalog.select(F.col("model").alias("_odx_model"), F.col("vehicle_type").alias(name))
+    """Add (or replace) the vehicle type of each row's make and model; unknown
+    ones get NULL. ``catalog`` (``make, model, vehicle_type``) must hold a pair
+    once; its size decides how Spark joins it."""
+    lookup = catalog.select(
+        F.col("make").alias("_odx_make"), F.col("model").alias("_odx_model"), F.col("vehicle_type").alias(name)
+    )
     base = df.drop(name) if name in df.columns else df
-    joined = base.join(F.broadcast(lookup), base[model_col] == lookup["_odx_model"], "left")
-    return joined.drop("_odx_model")
+    on = (base[make_col] == lookup["_odx_make"]) & (base[model_col] == lookup["_odx_model"])
+    return base.join(lookup, on, "left").drop("_odx_make", "_odx_model")

@@ -5,12 +5,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odometrix.schemas import RAW_SENSOR
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _read(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Every record with its text where it could not be read."""
+    schema = T.StructType([*RAW_SENSOR.fields, T.StructField(CORRUPT, T.StringType())])
+    return (
+        spark.read.schema(schema)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+        .withColumn("source_file", F.col("_metadata.file_name"))
+    )
+
+
 def read_sensor_json(
-    spark: SparkSession, path: str, *, with_file_name: bool = False, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    *,
+    with_file_name: bool = False,
+    multi_line: bool = True,
+    on_corrupt: str = "fail",
 ) -> DataFrame:
     """One row per reading, under the declared raw schema.
 
@@ -21,8 +42,27 @@ def read_sensor_json(
     lines -- the layout ``write_sensor_json`` produces -- which Spark splits
     into blocks of ``spark.sql.files.maxPartitionBytes``. ``with_file_name``
     adds the source file name (``<vehicle>_<date>.json``) as ``source_file``.
+
+    A record that cannot be read (a truncated file, a value of another type)
+    ends the job by default; ``on_corrupt="skip"`` leaves it out, and
+    :func:`corrupt_sensor_records` lists what was left out. It never becomes a
+    row of NULLs.
     """
-    df = spark.read.schema(RAW_SENSOR).option("multiLine", multi_line).json(path)
-    if with_file_name:
-        df = df.withColumn("source_file", F.col("_metadata.file_name"))
-    return df
+    if on_corrupt not in ("fail", "skip"):
+        raise ValueError("on_corrupt must be 'fail' or 'skip'")
+    if on_corrupt == "skip":
+        # Spark refuses a scan of the corrupt column alone, as under a bare count:
+        # the second condition always holds and reads a data column.
+        read = F.coalesce(F.length("vehicle_id"), F.lit(0)) >= 0
+        df = _read(spark, path, multi_line).filter(F.col(CORRUPT).isNull() & read).drop(CORRUPT)
+        return df if with_file_name else df.drop("source_file")
+    df = spark.read.schema(RAW_SENSOR).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    return df.withColumn("source_file", F.col("_metadata.file_name")) if with_file_name else df
+
+
+def corrupt_sensor_records(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """``source_file, record``: what ``on_corrupt="skip"`` leaves out, for a
+    quarantine table."""
+    read = F.coalesce(F.length("vehicle_id"), F.lit(0)) >= 0  # as in read_sensor_json
+    bad = _read(spark, path, multi_line).filter(F.col(CORRUPT).isNotNull() & read)
+    return bad.select("source_file", F.col(CORRUPT).alias("record"))

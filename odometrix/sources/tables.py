@@ -6,7 +6,6 @@ import os
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 # The driver's table names.
 TABLES = (
@@ -15,31 +14,15 @@ TABLES = (
 )
 
 
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
 def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """``<base>/<name>.parquet`` if it exists, else ``<base>/<name>`` (a
-    directory of parquet files). Columns are pruned and filters pushed into
-    the scan by the optimizer, so callers select what they need downstream.
-
-    The schema of a local file is inferred once and then declared on later
-    reads (keyed by path, size and modification time, so a rewritten file is
-    read afresh): inference is a small job of its own on every read.
-    """
-    path = os.path.join(base, f"{name}.parquet")
-    if not os.path.exists(path) and os.path.isdir(os.path.join(base, name)):
+    """``<base>/<name>.parquet``, or ``<base>/<name>`` where a local folder holds
+    the table under that name (a directory of parquet files). Columns are pruned
+    and filters pushed into the scan by the optimizer, so callers select what
+    they need downstream."""
+    path = f"{base}/{name}.parquet"
+    if os.path.isdir(os.path.join(base, name)) and not os.path.exists(path):
         path = os.path.join(base, name)
-    if not os.path.isfile(path):  # a directory, or a URI such as s3a:// or file:
-        return spark.read.parquet(path)
-    st = os.stat(path)
-    memo = (os.path.abspath(path), st.st_size, st.st_mtime_ns)
-    schema = _SCHEMAS.get(memo)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[memo] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 def register_tables(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,22 +9,32 @@ from odometrix.functions.columns import TIMESTAMP_FORMAT, as_timestamp
 from odometrix.session import planned_partitions
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop path and its file system: any store that Spark can write."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
-    Only when the session sets none (a local test) is one made here; on a
-    cluster the setting must point at shared storage, never a machine-local
-    folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="odx-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _hadoop(spark, path)
+    return bool(fs.exists(target))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file's content, or None where there is none."""
+    if not path_exists(spark, path):
+        return None
+    return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file."""
+    target, fs = _hadoop(spark, path)
+    out = fs.create(target)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
 
 
 def write_overwrite(
@@ -40,10 +47,7 @@ def write_overwrite(
     writer.save(path)
 
 
-# Errors that mean "no committed dataset here": the path is missing, or it
-# holds no data files (e.g. only the _temporary folder of a job that died
-# before its commit).
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+COMMIT_MARKER = "_SUCCESS"
 
 
 def write_once(
@@ -52,26 +56,21 @@ def write_once(
     """K2: write ``df`` to ``path`` unless a committed dataset is already
     there; returns whether it wrote.
 
-    Presence is decided by reading the dataset's schema, so the leftovers of
-    an interrupted write count as absent and are replaced. Only the two
-    "absent" errors are taken as absence; any other error (permissions, I/O)
-    is raised, unlike a probe that swallows every exception.
+    A dataset is committed when its commit marker is there (or ``path`` is a
+    single file). So an empty dataset counts as present, the leftovers of an
+    interrupted write count as absent and are replaced, and no data is read to
+    find out. Errors of the file system are raised.
     """
-    try:
-        df.sparkSession.read.format(fmt).load(path).schema
+    spark = df.sparkSession
+    target, fs = _hadoop(spark, path)
+    if path_exists(spark, f"{path.rstrip('/')}/{COMMIT_MARKER}") or (
+        fs.exists(target) and fs.getFileStatus(target).isFile()
+    ):
         return False
-    except AnalysisException as e:
-        if _condition(e) not in _ABSENT:
-            raise
     write_overwrite(df, path, fmt=fmt, partition_by=partition_by)
     return True
 
 
-def _condition(e: AnalysisException) -> str | None:
-    get = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
-    return get() if get else None
-
-
 def save_gold(
     df: DataFrame, name: str, *, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> None:
@@ -118,19 +117,3 @@ def write_sensor_json(
         .partitionBy(key, date_name)
         .json(path)
     )
-
-
-
-def drop_tables(spark: SparkSession, database: str | None = None, *, like: str = "*") -> list[str]:
-    """Drop the tables of a database whose names match ``like`` (a catalog
-    pattern such as ``gold_*``); temp views are left alone. Returns the
-    dropped names. Only catalog metadata is listed on the driver."""
-    db = database or spark.catalog.currentDatabase()
-    names = [
-        t.name
-        for t in spark.catalog.listTables(db, pattern=like)
-        if not t.isTemporary
-    ]
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
-    return names

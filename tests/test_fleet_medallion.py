@@ -93,3 +93,23 @@ def test_sql_over_registered_views(spark, tmp_dir):
     assert n == 1
     tags = spark.sql("SELECT climate_tag, num_of_abnormalities FROM gold_engine_abnormalities_by_climate").collect()
     assert [tuple(r) for r in tags] == [("Snow Storm", 1)]
+    made = spark.sql("SELECT make, type FROM maintenance_log_by_make").collect()
+    assert made and all(r.type == "Reactive" for r in made)
+    for view in (
+        "engine_temp_with_environmental_data", "engine_abnormalities_by_climate", "repairs_by_vehicles",
+        "mileage_diff_by_vehicle", "vehicle_logs_by_mile_traveled", "sensor_readings_mean_std", "sensor_data_with_avg_std",
+    ):
+        assert spark.table(view).count() >= 1
+
+
+def test_silver_days_are_clustered(spark, tmp_dir):
+    rows = spark.range(16 * 30 * 40).select(
+        F.format_string("V%05d", F.col("id") % 50).alias("vehicle_id"),
+        (F.lit("2024-03-01").cast("timestamp") + F.make_dt_interval(days=(F.col("id") % 30).cast("int"))).alias("timestamp"),
+    )
+    for per_day in (1, 3):
+        path = os.path.join(tmp_dir, f"days{per_day}")
+        fleet.by_day(rows.repartition(16), per_day).write.partitionBy("date").parquet(path)
+        files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+        assert 30 <= len(files) <= 30 * per_day
+        assert spark.read.parquet(path).count() == 16 * 30 * 40

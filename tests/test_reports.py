@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from odometrix.operators import (
     abnormalities_by_tag,
+    breakdown_logs,
     breakdowns_by_label,
     event_count_by_key,
     flagged_readings_with_tags,
@@ -159,3 +160,19 @@ def test_abnormalities_count_equals_row_level_join_with_duplicate_hours(spark):
     assert rows(got) == [("a", 4), ("b", 1)]
     detail = flagged_readings_with_tags(tags.withColumn("climate_risk", F.lit("r")), flags.withColumn("vehicle_id", F.lit("v")), "h")
     assert detail.count() == 6
+
+
+def test_top_n_with_ties_keeps_nulls(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 2), ("c", None), ("d", None)], "k string, v int")
+    def got(n):
+        return [r.k for r in top_n(df, "v", "k", n, with_ties=True).collect()]
+
+    assert got(2) == ["a", "b"] and got(3) == got(4) == got(9) == ["a", "b", "c", "d"]
+
+
+def test_breakdown_logs_are_the_rows_behind_the_counts(spark):
+    dim = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "k int, make string")
+    log = spark.createDataFrame([(1, "R", 5), (1, "P", 6), (3, "R", 7), (9, "R", 8)], "k int, type string, cost int")
+    rows = breakdown_logs(dim, log, "k", log_filter=F.col("type") == "R")
+    assert rows.columns == ["k", "make", "type", "cost"]
+    assert sorted(map(tuple, rows.collect()), key=str) == [(1, "x", "R", 5), (3, None, "R", 7)]

@@ -2,12 +2,13 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from odometrix.operators import flatten_tires, to_silver_environment, to_silver_maintenance, to_silver_sensor
 from odometrix.schemas import RAW_ENVIRONMENT, RAW_MAINTENANCE
 from odometrix.sources import (
-    checkpoint_dir,
+    corrupt_sensor_records,
     hourly_spine,
     hourly_spine_for,
     read_sensor_json,
@@ -132,17 +133,31 @@ def test_hourly_spine_for_data(spark):
     assert hours == [dt.datetime(2024, 1, 1, 22) + dt.timedelta(hours=i) for i in range(6)]
 
 
-def test_checkpoint_dir_is_read_from_session(spark):
-    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
 def test_vehicle_type_lookup(spark):
     from odometrix.sources import model_catalog, with_vehicle_type
 
-    df = spark.createDataFrame([("V1", "AE24"), ("V2", "CX-14"), ("V3", "Nope")], "vehicle_id string, model string")
+    rows = [("V1", "Audi", "AE24"), ("V2", "Mercedes-Benz", "CX-14"), ("V3", "Audi", "Nope"), ("V4", "Toyota", "AE24")]
+    df = spark.createDataFrame(rows, "vehicle_id string, make string, model string")
     got = {r["vehicle_id"]: r["vehicle_type"] for r in with_vehicle_type(df, model_catalog(spark)).collect()}
-    assert got == {"V1": "Bus", "V2": "Van", "V3": None}
+    assert got == {"V1": "Bus", "V2": "Van", "V3": None, "V4": None}
     assert model_catalog(spark).count() == 9
+    # One model name under two makes does not double the row.
+    both = spark.createDataFrame([("Audi", "AE24", "Bus"), ("Toyota", "AE24", "Van")], "make string, model string, vehicle_type string")
+    assert with_vehicle_type(df, both).count() == 4
+
+
+def test_truncated_sensor_file_never_becomes_nulls(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "raw")
+    write_drop(root)
+    whole = json.dumps([reading("V00009", "2024-03-01 05:00:00", 1, 1.0), reading("V00009", "2024-03-01 06:00:00", 1, 2.0)], indent=4)
+    with open(os.path.join(root, "V00009_2024-03-01.json"), "w") as fh:
+        fh.write(whole[: len(whole) * 3 // 4])
+    good = read_sensor_json(spark, root, on_corrupt="skip")
+    assert good.filter("vehicle_id is null or vehicle_id = 'V00009'").count() == 0 and good.count() >= 3
+    bad = corrupt_sensor_records(spark, root).collect()
+    assert [r.source_file for r in bad] == ["V00009_2024-03-01.json"] and "V00009" in bad[0].record
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|malformed"):
+        read_sensor_json(spark, root).collect()
 
 
 def test_shift_time(spark):
@@ -172,20 +187,22 @@ def test_sensor_json_roundtrip_through_json_lines(spark, tmp_dir):
     assert {r["vehicle_id"] for r in back.collect()} == {"V00001"}  # from the path
 
 
-def test_write_overwrite_and_drop_tables(spark, tmp_dir):
-    from odometrix.sources import drop_tables, write_overwrite
+def test_write_overwrite(spark, tmp_dir):
+    from odometrix.sources import write_overwrite
 
     path = os.path.join(tmp_dir, "over")
     write_overwrite(spark.range(3), path)
     write_overwrite(spark.range(5), path)
     assert spark.read.parquet(path).count() == 5
-    save_gold(spark.range(2), "odx_drop_a")
-    save_gold(spark.range(2), "odx_drop_b")
-    spark.range(1).createOrReplaceTempView("odx_drop_view")
-    dropped = drop_tables(spark, like="odx_drop_*")
-    assert sorted(dropped) == ["odx_drop_a", "odx_drop_b"]
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("odx_drop_") and not t.isTemporary]
-    assert spark.table("odx_drop_view").count() == 1
+
+
+def test_write_once_keeps_an_empty_partitioned_dataset(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "none")
+    days = spark.range(4).withColumn("day", F.col("id") % 2)
+    assert write_once(days.limit(0), path, partition_by=["day"]) is True
+    assert write_once(days, path, partition_by=["day"]) is False
+    lines = os.path.join(tmp_dir, "lines")
+    assert write_once(days, lines, fmt="json") is True and write_once(days, lines, fmt="json") is False
 
 
 def test_load_table_accepts_paths_and_uris(spark, tmp_dir):
