@@ -19,11 +19,11 @@ from odometrix.llm.simhash import near_distinct
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; of the others, failing lines are removed."""
-    text = F.when(
-        F.col("quality.lost_words") > 0, F.col("quality.clean_text")
-    ).otherwise(F.col("text"))
-    kept = clean_lines(docs).filter("quality.kept")
-    n_chars = F.when(F.col("quality.lost_words") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    found = "_odx_quality"
+    cut = F.col(f"{found}.lost_words") > 0
+    text = F.when(cut, F.col(f"{found}.clean_text")).otherwise(F.col("text"))
+    kept = clean_lines(docs, out_col=found).filter(f"{found}.kept")
+    n_chars = F.when(cut, F.length(text).cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
 
 

@@ -126,8 +126,9 @@ def clean_lines(
     min_words: int = MIN_WORDS,
     max_repeat_percent: int = MAX_REPEAT_PERCENT,
     max_lost: float = MAX_LOST,
+    out_col: str = "quality",
 ) -> DataFrame:
-    """``docs`` with one struct column ``quality`` added (an existing column of
+    """``docs`` with one struct column ``out_col`` added (an existing column of
     that name is replaced): the base statistics, ``base_failed``,
     ``clean_text``, ``lost_words``, ``lost_lines`` by rule, ``kept``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -158,7 +159,7 @@ def clean_lines(
             kept.alias("kept"),
         )
 
-    return docs.withColumn("quality", let(both, verdict))
+    return docs.withColumn(out_col, let(both, verdict))
 
 
 _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
