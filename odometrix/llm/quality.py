@@ -107,7 +107,6 @@ def failing_rule(
     spaces = chars - F.length(F.array_join(words, ""))
     symbol_words = F.size(F.filter(words, lambda w: w.rlike(f"[{SYMBOLS}]")))
     separators = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
-    phrases = "|".join(p.replace(" ", r"\s+") for p in BOILERPLATE)
     # Each costlier test runs only on lines that can fail it.
     odd = line.rlike(f"[{SYMBOLS}/«»•·:-]")
     return (
@@ -115,7 +114,7 @@ def failing_rule(
         .when(odd & (separators >= 3) & (separators * 4 >= F.size(words)), "navigation")
         .when(odd & (symbol_words > F.size(words) * max_symbol_words), "punctuation")
         .when((chars - spaces) * (1 - min_letters) < marks, "punctuation")
-        .when((F.size(words) <= max_boilerplate_words) & line.rlike(f"(?i)(?:{phrases})"), "boilerplate")
+        .when((F.size(words) <= max_boilerplate_words) & line.rlike(f"(?i)(?:{_PHRASES})"), "boilerplate")
     )
 
 
@@ -130,8 +129,26 @@ def clean_lines(
 ) -> DataFrame:
     """``docs`` with one struct column ``out_col`` added (an existing column of
     that name is replaced): the base statistics, ``base_failed``,
-    ``clean_text``, ``lost_words``, ``lost_lines`` by rule, ``kept``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    ``clean_text``, ``lost_words``, ``lost_lines`` by rule, ``kept``.
+
+    The struct passes through an exploded one-element array: a filter on it is
+    then not moved below it, where it would be computed a second time."""
+    judged = judge_text(
+        F.col(text_col), min_words=min_words, max_repeat_percent=max_repeat_percent, max_lost=max_lost
+    )
+    others = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
+    return docs.select(*others, F.explode(F.array(judged)).alias(out_col))
+
+
+def judge_text(
+    text: Column,
+    *,
+    min_words: int = MIN_WORDS,
+    max_repeat_percent: int = MAX_REPEAT_PERCENT,
+    max_lost: float = MAX_LOST,
+) -> Column:
+    """The struct of ``clean_lines`` for one text."""
+    text = F.coalesce(text, F.lit(""))
 
     def judged(t: Column) -> Column:
         lines = F.transform(
@@ -159,7 +176,7 @@ def clean_lines(
             kept.alias("kept"),
         )
 
-    return docs.withColumn(out_col, let(both, verdict))
+    return let(both, verdict)
 
 
 _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -185,3 +202,54 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(docs).select(
         "doc_id", *[F.col(f"quality.{c}") for c in (*_STATS, "base_failed", "kept", "lost_words")]
     )
+
+
+_SEPARATOR_LIST = ", ".join(f"'{x}'" for x in SEPARATORS)
+_PHRASES = "|".join(p.replace(" ", r"\s+") for p in BOILERPLATE)
+
+OP3_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '{WORD}') AS ws FROM d
+), place AS (
+  SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
+), grams AS (
+  SELECT r, i, word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p AS gram
+  FROM place WINDOW p AS (PARTITION BY r ORDER BY i)
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM grams WHERE gram IS NOT NULL) x
+  WHERE n > 1
+), covered AS (
+  SELECT r, count(*) AS n_repeat_words
+  FROM (SELECT r, i FROM again UNION SELECT r, i + 1 FROM again UNION SELECT r, i + 2 FROM again) x GROUP BY r
+), lines AS (
+  SELECT r, line, regexp_extract_all(line, '{WORD}') AS ws
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) x
+), judged AS (
+  SELECT r, line, len(ws) AS n,
+    len(list_filter(ws, lambda x: x IN ({_SEPARATOR_LIST}))) AS seps,
+    len(list_filter(ws, lambda x: regexp_matches(x, '[{SYMBOLS}]'))) AS syms,
+    length(regexp_replace(line, '[a-z\\x20\\x09-\\x0DA-Z0-9\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g')) AS marks,
+    length(array_to_string(ws, '')) AS chars
+  FROM lines WHERE len(ws) > 0
+), by_line AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines,
+    sum(CASE WHEN (seps >= 3 AND seps * 4 >= n) OR syms > n * CAST({MAX_SYMBOL_WORDS} AS DOUBLE)
+               OR chars * CAST({1 - MIN_LETTERS} AS DOUBLE) < marks
+               OR (n <= {MAX_BOILERPLATE_WORDS} AND regexp_matches(line, '(?i)(?:{_PHRASES})'))
+             THEN n ELSE 0 END) AS lost
+  FROM judged GROUP BY r
+), s AS (
+  SELECT w.doc_id, len(w.ws) AS n_words, length(array_to_string(w.ws, '')) AS word_chars,
+    length(regexp_replace(t, '[^{SYMBOLS}]+', '', 'g')) AS n_symbols,
+    coalesce(b.n_dup_lines, 0) AS n_dup_lines, coalesce(c.n_repeat_words, 0) AS n_repeat_words,
+    coalesce(b.lost, 0) AS lost
+  FROM w LEFT JOIN by_line b ON w.r = b.r LEFT JOIN covered c ON w.r = c.r
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND lost <= n_words * CAST({MAX_LOST} AS DOUBLE) AS kept, CAST(lost AS BIGINT) AS lost_words
+FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM s) z
+"""

@@ -7,7 +7,7 @@ from odometrix.llm.html_blocks import op5_html_extraction
 from odometrix.llm.lm_scoring import op7_lm_scoring
 from odometrix.llm.mixing import op2_mix_sources
 from odometrix.llm.packing import op1_best_fit_packing
-from odometrix.llm.quality import op3_quality_rules
+from odometrix.llm.quality import OP3_SQL, op3_quality_rules
 from odometrix.llm.secret_scan import op4_secret_scans
 from odometrix.llm.shards import op9_sharding
 from odometrix.llm.simhash import op8_simhash_near_dedup
@@ -26,6 +26,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-# The others have no SQL: their rows hang on entropy windows, hashes, search
-# orders or trained models. tests/llm holds them against brute force instead.
-ORACLE_SQL = {"op10_exact_dedup": OP10_SQL}
+# The others have no SQL that runs on whole tables: their rows hang on entropy
+# windows, hashes, search orders, trained models or every byte position.
+# tests/llm holds them against brute force instead.
+ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op10_exact_dedup": OP10_SQL}
