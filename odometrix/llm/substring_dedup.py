@@ -27,8 +27,7 @@ bytes that finds the earliest and a join back.
 Defined results: a null text counts as empty; texts shorter than LENGTH lose
 nothing; a null id comes before all others; rows with equal ids are separate
 documents in reading order; an empty table gives no rows; columns other than id
-and text are ignored. ``docs`` must be a table (its rows are read three times and
-must come back in the same partitions).
+and text are ignored.
 """
 
 from __future__ import annotations
@@ -356,10 +355,14 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, n_bytes, removed, kept, n_removed) of every document: the maximal
     removed runs and the remaining bytes."""
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.monotonically_increasing_id().alias("row"),
-        F.col(text_col).alias("text"),
+    # Read three times below, so written once: the row numbers stay.
+    rows = materialize(
+        docs.select(
+            F.col(id_col).cast("long").alias("id"),
+            F.monotonically_increasing_id().alias("row"),
+            F.col(text_col).alias("text"),
+        ),
+        "substring-rows",
     )
     spans = removed_spans(rows, **options).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return (
