@@ -3,9 +3,11 @@
 Tokens are subword ids. A token's probability is P(class | context) * P(token |
 class): the most frequent subwords are classes of their own, the others share
 classes of about equal weight (those that end a word apart from the rest) and
-are weighed inside by their smoothed counts.
-One attention layer over ``WINDOW`` positions predicts the class. Both factors
-are normalised, so the product is a probability over the whole vocabulary.
+are weighed inside by their smoothed counts. One attention layer over
+``WINDOW`` positions predicts the class in two steps, its group and then its
+place in the group, so a token costs ``GROUPS + PLACES`` outputs instead of
+their product. All factors are normalised, so the product is a probability over
+the whole vocabulary.
 """
 
 from __future__ import annotations
@@ -14,16 +16,17 @@ from dataclasses import dataclass
 
 import numpy as np
 
-WINDOW = 32  # positions of a context window
-STRIDE = 24  # new tokens scored by every window after the first
+WINDOW = 16  # positions of a context window
+STRIDE = 12  # new tokens scored by every window after the first
 WIDTH = 16
-OWN_CLASSES = 223
+GROUPS, PLACES = 32, 32
 SHARED_CLASSES = 32
-CLASSES = OWN_CLASSES + SHARED_CLASSES + 1  # the last one stands for the start of a text
+OWN_CLASSES = GROUPS * PLACES - SHARED_CLASSES
+CLASSES = GROUPS * PLACES + 1  # the last one stands for the start of a text
 
 _SHAPES = {
     "embed": (CLASSES, WIDTH), "place": (WINDOW, WIDTH), "qkv": (WIDTH, 3 * WIDTH), "mix": (WIDTH, WIDTH),
-    "out": (WIDTH, CLASSES - 1), "bias": (CLASSES - 1,),
+    "group": (WIDTH + 1, GROUPS), "member": (GROUPS, WIDTH + 1, PLACES),
 }
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, "f4"), 1)
@@ -45,7 +48,9 @@ class Vocabulary:
         smooth = counts.astype("f8") + 1.0
         order = np.argsort(-smooth, kind="stable")
         class_of = np.zeros(len(counts), "i2")
-        class_of[order[:OWN_CLASSES]] = np.arange(OWN_CLASSES)
+        own = order[:OWN_CLASSES]
+        # Groups are stretches of class numbers: word ends apart, by frequency.
+        class_of[own[np.argsort(~ends_word[own], kind="stable")]] = np.arange(len(own))
         half = SHARED_CLASSES // 2
         for k in (0, 1):
             rest = order[OWN_CLASSES:]
@@ -58,11 +63,14 @@ class Vocabulary:
 
 
 def initial_weights(vocabulary: Vocabulary, seed: int = 7) -> np.ndarray:
-    """Small random weights; the bias starts at the class frequencies."""
+    """Small random weights; the last input row, a constant, starts at the
+    frequencies of groups and of classes in their group."""
     rng = np.random.default_rng(seed)
     parts = {k: (rng.standard_normal(s) * 0.1).astype("f4") for k, s in _SHAPES.items()}
-    total = np.maximum(vocabulary.class_counts, 1e-9)
-    parts["bias"] = np.log(total / total.sum()).astype("f4")
+    total = np.maximum(vocabulary.class_counts, 1e-3).reshape(GROUPS, PLACES)
+    by_group = total.sum(axis=1)
+    parts["group"][WIDTH] = np.log(by_group / by_group.sum())
+    parts["member"][:, WIDTH] = np.log(total / by_group[:, None])
     return np.concatenate([parts[k].ravel() for k in _SHAPES])
 
 
@@ -88,17 +96,66 @@ def _attend(p: dict, given: np.ndarray):
     return x + o @ p["mix"], (x, q, k, v, a, o)
 
 
-def log_probabilities(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """log P of the classes ``wanted`` at the positions ``scored`` (mask), in order."""
-    p = unpack(weights)
-    hidden, _ = _attend(p, given)
-    logits = hidden[scored] @ p["out"]
-    logits += p["bias"]
-    target = wanted[scored]
-    if logits.size and (logits.max() > 60 or logits.min() < -60):  # beyond what exp takes as it is
+def _by_group(wanted: np.ndarray):
+    """An order that brings targets of one group together, and each group's end."""
+    group = wanted // PLACES
+    order = np.argsort(group.astype("i1"), kind="stable")
+    return group, order, np.cumsum(np.bincount(group, minlength=GROUPS))
+
+
+def _log_softmax_at(logits: np.ndarray, target: np.ndarray, reach: float) -> np.ndarray:
+    """log softmax(logits)[target] by row; ``logits`` are overwritten."""
+    if reach > 60:  # beyond what exp takes as it is
         logits -= logits.max(axis=1, keepdims=True)
     picked = logits[np.arange(len(target)), target]
-    return picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return picked - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], "f4"))
+
+
+class Scorer:
+    """The forward pass alone, arranged for speed: the projections of every
+    (class, position) are tables, so a window starts with one lookup. Same
+    values as ``_attend``."""
+
+    def __init__(self, weights: np.ndarray):
+        self.p = p = unpack(weights)
+        self.by_class = np.concatenate([p["embed"], p["embed"] @ p["qkv"]], axis=1)
+        self.by_place = np.concatenate([p["place"], p["place"] @ p["qkv"]], axis=1)
+        columns = np.concatenate([p["group"], *p["member"]], axis=1).astype("f8")
+        self.steepest = float(np.sqrt((columns**2).sum(axis=0)).max())
+
+    def log_probabilities(self, given: np.ndarray, wanted: np.ndarray, scored: np.ndarray) -> np.ndarray:
+        """log P of the classes ``wanted`` at the positions ``scored`` (mask), in order."""
+        p = self.p
+        xqkv = self.by_class[given]
+        xqkv += self.by_place
+        x, q, k, v = (xqkv[:, :, i * WIDTH : (i + 1) * WIDTH] for i in range(4))
+        q *= _SCALE
+        a = q @ k.transpose(0, 2, 1)
+        a += _MASK
+        a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        o = (a @ v) / a.sum(axis=2, keepdims=True)
+        hidden = np.empty((int(scored.sum()), WIDTH + 1), "f4")
+        hidden[:, :WIDTH] = x[scored] + o[scored] @ p["mix"]
+        hidden[:, WIDTH] = 1
+        target = wanted[scored]
+        group, order, ends = _by_group(target)
+        # Bound of every logit (Cauchy-Schwarz), without a pass over them.
+        reach = float(np.sqrt((hidden**2).sum(axis=1)).max(initial=0.0)) * self.steepest
+        out = _log_softmax_at(hidden @ p["group"], group, reach)
+        hidden = hidden[order]
+        members = np.empty((len(target), PLACES), "f4")
+        at = 0
+        for g, end in enumerate(ends.tolist()):
+            if end > at:
+                np.matmul(hidden[at:end], p["member"][g], out=members[at:end])
+            at = end
+        out[order] += _log_softmax_at(members, target[order] % PLACES, reach)
+        return out
+
+
+def log_probabilities(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, scored: np.ndarray) -> np.ndarray:
+    return Scorer(weights).log_probabilities(given, wanted, scored)
 
 
 def windows_of(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,37 +173,57 @@ def windows_of(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return given, wanted, scored
 
 
+def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Summed loss, and its gradient by the logits (which are overwritten)."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    rows = np.arange(len(target))
+    loss = -float(np.log(logits[rows, target] + 1e-12).sum())
+    logits[rows, target] -= 1
+    return loss, logits
+
+
 def _gradient(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real: np.ndarray):
     p = unpack(weights)
     hidden, (x, q, k, v, a, o) = _attend(p, given)
-    logits = hidden @ p["out"] + p["bias"]
-    logits -= logits.max(axis=2, keepdims=True)
-    probs = np.exp(logits)
-    probs /= probs.sum(axis=2, keepdims=True)
-    n, w = np.indices(wanted.shape, sparse=True)
-    loss = -np.log(probs[n, w, wanted] + 1e-12)[real].sum()
-    probs[n, w, wanted] -= 1
-    probs *= (real / max(1, real.sum())).astype("f4")[:, :, None]
+    target = wanted[real]
+    n = max(1, len(target))
+    h = np.concatenate([hidden[real], np.ones((len(target), 1), "f4")], axis=1)
+    group, order, ends = _by_group(target)
     g = {}
-    flat = probs.reshape(-1, CLASSES - 1)
-    g["out"] = hidden.reshape(-1, WIDTH).T @ flat
-    g["bias"] = flat.sum(axis=0)
-    dh = probs @ p["out"].T
-    g["mix"] = o.reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
-    do = dh @ p["mix"].T
+    loss, d = _softmax_loss(h @ p["group"], group)
+    g["group"] = h.T @ d / n
+    dh = d @ p["group"].T
+    hs, slots = h[order], target[order] % PLACES
+    dhs = np.zeros_like(hs)
+    g["member"] = np.zeros(_SHAPES["member"], "f4")
+    at = 0
+    for c, end in enumerate(ends.tolist()):
+        if end > at:
+            part, d = _softmax_loss(hs[at:end] @ p["member"][c], slots[at:end])
+            loss += part
+            g["member"][c] = hs[at:end].T @ d / n
+            dhs[at:end] = d @ p["member"][c].T
+        at = end
+    dh[order] += dhs
+    dhidden = np.zeros_like(hidden)
+    dhidden[real] = dh[:, :WIDTH] / n
+    g["mix"] = o.reshape(-1, WIDTH).T @ dhidden.reshape(-1, WIDTH)
+    do = dhidden @ p["mix"].T
     da = do @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ do
     ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * _SCALE
     dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2)
     g["qkv"] = x.reshape(-1, WIDTH).T @ dqkv.reshape(-1, 3 * WIDTH)
-    dx = dh + dqkv @ p["qkv"].T
+    dx = dhidden + dqkv @ p["qkv"].T
     g["place"] = dx.sum(axis=0)
     g["embed"] = np.zeros(_SHAPES["embed"], "f4")
     np.add.at(g["embed"], given.ravel(), dx.reshape(-1, WIDTH))
     return loss, np.concatenate([g[name].ravel() for name in _SHAPES])
 
 
-def train(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real: np.ndarray, *, rate: float = 0.01,
+def train(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real: np.ndarray, *, rate: float = 0.02,
           batch: int = 64, seed: int = 1) -> tuple[np.ndarray, float]:
     """One pass of Adam over the windows, in a shuffled order; (weights, summed loss)."""
     weights = weights.astype("f4").copy()

@@ -41,38 +41,40 @@ from odometrix.llm.subwords import tokenizer_path, word_encoder
 FOLDS, HELD_OUT = 7, 2
 STRETCH_WORDS = 256
 ROUNDS = 2
-TOP_WORDS = 200_000
+TOP_WORDS = 100_000
 VOCABULARY_SIZE = 49_408
 END_ID = 49_407  # the tokenizer's own end-of-text id closes every text
 END_WORD = b""  # no word is empty, so the end token needs no name of its own
 FLUSH_WORDS = 200_000  # different words a task holds before it hands on counts
-SCORE_WINDOWS = 128
+SCORE_WINDOWS = 256
 
 
 def remainder(id_) -> int:
     return zlib.crc32(("" if id_ is None else str(id_)).encode()) % FOLDS
 
 
+START = 0xFFFFFFFF.to_bytes(4, "little")  # no subword: what stands before a text
+END = END_ID.to_bytes(4, "little")
+
+
 def _gather(path: str):
-    """(word, n, window): counts of training words; subword ids of a window."""
+    """(word, n, window): counts of training words; subword ids of a window,
+    the first of which only gives context."""
+
+    def rows(counts: dict, windows: list[bytes]) -> pa.RecordBatch:
+        none = [None] * len(windows)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([*counts.keys(), *none], pa.binary()),
+                pa.array([*counts.values(), *none], pa.int64()),
+                pa.array([None] * len(counts) + windows, pa.binary()),
+            ],
+            names=["word", "n", "window"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         counts: Counter = Counter()
-
-        def emit(windows: list[bytes]) -> pa.RecordBatch:
-            none = [None] * len(windows)
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*counts.keys(), *none], pa.binary()),
-                    pa.array([*counts.values(), *none], pa.int64()),
-                    pa.array([None] * len(counts) + windows, pa.binary()),
-                ],
-                names=["word", "n", "window"],
-            )
-            counts.clear()
-            return out
-
         for batch in batches:
             windows = []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -84,21 +86,16 @@ def _gather(path: str):
                 for at in range(0, max(1, len(words)), STRETCH_WORDS):
                     room = max(1, min(STRETCH_WORDS, len(words) - at))
                     begin = at + zlib.crc32(f"{id_}:{at}".encode()) % room
-                    # One token before the window, or none at a text's start.
-                    head = encoder.get(words[begin - 1])[-4:] if begin else (0xFFFFFFFF).to_bytes(4, "little")
+                    head = (encoder.get(words[begin - 1])[-4:] if begin else b"") or START
                     body = b"".join(map(encoder.get, words[begin : begin + am.WINDOW]))
                     if begin + am.WINDOW >= len(words):
-                        body += END_ID.to_bytes(4, "little")
+                        body += END
                     windows.append(head + body[: 4 * am.WINDOW])
-            if windows or len(counts) > FLUSH_WORDS:
-                if len(counts) > FLUSH_WORDS:
-                    yield emit(windows)
-                else:
-                    kept = counts.copy()
-                    counts.clear()
-                    yield emit(windows)
-                    counts.update(kept)
-        yield emit([])
+            yield rows({}, windows)
+            if len(counts) > FLUSH_WORDS:
+                yield rows(counts, [])
+                counts = Counter()
+        yield rows(counts, [])
 
     return run
 
@@ -108,11 +105,12 @@ def _subword_counts(path: str):
         encoder = word_encoder(path)
         total = np.zeros(VOCABULARY_SIZE, "i8")
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if word == END_WORD:
-                    total[END_ID] += n
-                else:
-                    np.add.at(total, np.frombuffer(encoder.get(word), "<u4"), n)
+            words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
+            ids = [END if w == END_WORD else encoder.get(w) for w in words]
+            weights = np.repeat(counts, [len(i) // 4 for i in ids])
+            # Sums below 2^53 are exact in the floats that bincount adds.
+            seen = np.bincount(np.frombuffer(b"".join(ids), "<u4"), weights=weights, minlength=VOCABULARY_SIZE)
+            total += seen.astype("i8")
         ids = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
@@ -138,7 +136,7 @@ def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int):
         for k, batch in enumerate(batches):
             windows = batch.column(0).to_pylist()
             if windows:
-                own, _ = am.train(own, *_window_arrays(windows, class_of), rate=0.01 / (1 + seed), seed=seed + k)
+                own, _ = am.train(own, *_window_arrays(windows, class_of), rate=0.02 / (1 + seed), seed=seed + k)
                 n += len(windows)
         if n:
             yield pa.RecordBatch.from_arrays(
@@ -163,10 +161,26 @@ def train_model(windows: DataFrame, vocabulary: am.Vocabulary, rounds: int = ROU
     return weights
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """(word, c) of at most ``most`` words, all at least as frequent as any word
+    left out: whole steps of an eighth of a power of two, found from one count
+    for each step (a few hundred)."""
+    step = F.floor(F.log2("c") * 8)
+    steps = counts.filter("c > 0").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, taken = math.inf, 0
+    for row in sorted(steps, key=lambda r: -r.step):
+        taken += row.n
+        if taken > most:
+            break
+        least = row.step
+    return counts.filter(step >= F.lit(float(least)))
+
+
 def score_classes(weights: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     """Sum of log P(class) of each text (arrays of class ids), in batches of
     windows that may hold several texts."""
     out = np.zeros(len(texts))
+    scorer = am.Scorer(weights)
     pending: list[tuple] = []
     owners: list[np.ndarray] = []
     held = 0
@@ -177,7 +191,7 @@ def score_classes(weights: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
         owner = np.concatenate(owners)
         for at in range(0, len(given), SCORE_WINDOWS):
             part = slice(at, at + SCORE_WINDOWS)
-            logs = am.log_probabilities(weights, given[part], wanted[part], scored[part])
+            logs = scorer.log_probabilities(given[part], wanted[part], scored[part])
             which = np.repeat(owner[part], scored[part].sum(axis=1))
             out[:] += np.bincount(which, weights=logs, minlength=len(texts))
         pending, owners, held = [], [], 0
@@ -213,12 +227,12 @@ def _scoring(path: str, model):
                     classes.append(class_of[sub].astype("i8"))
                     plain.append(float(inside[sub].sum(dtype="f8")))
                     words = raw.encode("utf-8", "replace").lower().split()
-                    found = [top.get(w) for w in words]
-                    seen = [x for x in found if x is not None]
-                    other = Counter(w for w, x in zip(words, found, strict=True) if x is None)
+                    found = list(map(top.get, words))  # log shares: below zero, or None
+                    missing = found.count(None)
                     n_tokens.append(len(words) + 1)
-                    known.append(len(seen) + (end_log[1] > 0))
-                    base.append(math.fsum(seen) + end_log[0])
+                    known.append(len(words) - missing + (end_log[1] > 0))
+                    base.append(sum(filter(None, found)) + end_log[0])
+                    other = Counter(w for w, x in zip(words, found, strict=True) if x is None) if missing else {}
                     rare.append([{"word": w, "n": n} for w, n in other.items()])
                 score = (score_classes(weights, classes) + np.array(plain)) / math.log(10)
                 yield pa.RecordBatch.from_arrays(
@@ -263,8 +277,9 @@ def score_documents(
     classes = am.Vocabulary.from_counts(by_id, word_encoder(path).ends_word(VOCABULARY_SIZE))
     weights = train_model(gathered.filter("window is not null").select("window"), classes, rounds)
 
-    frequent = counts.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(top_words).toPandas()
+    frequent = frequent_words(counts.filter(F.length("word") > 0), top_words).toPandas()
     top = {bytes(w): math.log10(c + 1) - base_of for w, c in zip(frequent["word"], frequent["c"], strict=True)}
+    del frequent
     ends = counts.filter(F.length("word") == 0).select("c").first()
     n_ends = int(ends.c) if ends else 0
     model = spark.sparkContext.broadcast((weights, classes, top, (math.log10(n_ends + 1) - base_of, n_ends)))
