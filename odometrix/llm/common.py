@@ -44,6 +44,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW = "_odx_row"
+
+
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a struct ``_odx_row`` that names every row and stays the same
+    in each read. Rows of a plain file scan are named by file and place in it;
+    any other input is written once, so that its row numbers stay."""
+    plan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    if plan == "LogicalRelation" and "_metadata" not in docs.columns:
+        row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+        return docs.select("*", row.alias(ROW))
+    row = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))
+    return materialize(docs.withColumn(ROW, row), label)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package wherever the driver runs from:
     Spark sends them the package's sources, once per application."""

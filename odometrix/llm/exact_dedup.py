@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometrix.llm.common import ascii_lower, materialize, read_table
+from odometrix.llm.common import ROW, ascii_lower, materialize, numbered, read_table
 
 SALTS = 32
 
@@ -104,11 +104,11 @@ def _mark_kept(rows: DataFrame) -> DataFrame:
 
 def exact_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the one row of every class that stays."""
-    rows = materialize(docs.withColumn("_odx_row", F.monotonically_increasing_id()), "exact-docs")
-    # The row number makes every id different; nulls come before all other ids.
-    ids = rows.select(F.struct(F.col(id_col).alias("id"), "_odx_row").alias("id"), F.col(text_col).alias("text"))
-    kept = exact_dedup(ids, "id", "text").filter("kept").select(F.col("id._odx_row").alias("_odx_row"))
-    return rows.join(kept, "_odx_row", "left_semi").drop("_odx_row")
+    rows = numbered(docs, "exact-docs")
+    # The row's name makes every id different; nulls come before all other ids.
+    ids = rows.select(F.struct(F.col(id_col).alias("id"), ROW).alias("id"), F.col(text_col).alias("text"))
+    kept = exact_dedup(ids, "id", "text").filter("kept").select(F.col(f"id.{ROW}").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from odometrix.llm.common import WORD, block_offsets, materialize, read_table
+from odometrix.llm.common import ROW, WORD, block_offsets, materialize, numbered, read_table
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -195,17 +195,22 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     A document that its source's target cuts keeps the words taken, joined by
     single spaces; all others keep their text."""
     names = docs.columns
-    rows = materialize(docs.withColumn("_odx_row", F.monotonically_increasing_id()), "mix-docs")
-    sized = rows.select(
-        F.col("_odx_row").alias("row"),
-        F.col("doc_id").alias("id"),
-        F.col("source"),
-        count_words(F.col("text")).alias("size"),
+    rows = numbered(docs, "mix-docs")
+    sized = materialize(
+        rows.select(
+            F.col(ROW).alias("row"), F.col("doc_id").alias("id"), "source", count_words(F.col("text")).alias("size")
+        ),
+        "mix-sizes",
     )
     pieces, _ = mix_schedule(sized, **options)
-    uses = pieces.groupBy(F.col("row").alias("_odx_row"), "epoch").agg(F.sum("length").alias("_odx_taken"))
-    mixed = rows.join(uses, "_odx_row")
-    cut = F.col("_odx_taken") < count_words(F.col("text"))
+    uses = (
+        pieces.groupBy("row", "epoch")
+        .agg(F.sum("length").alias("_odx_taken"))
+        .join(sized.select("row", "size"), "row")
+        .select(F.col("row").alias(ROW), "_odx_taken", (F.col("_odx_taken") < F.col("size")).alias("_odx_cut"))
+    )
+    mixed = rows.join(uses, ROW)
+    cut = F.col("_odx_cut")
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
     text = F.when(
         cut, F.array_join(F.slice(words, F.lit(1), F.col("_odx_taken").cast("int")), " ")

@@ -29,15 +29,16 @@ other than id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odometrix.llm import golay
-from odometrix.llm.common import materialize, read_table, ship_package
+from odometrix.llm.common import ROW, materialize, numbered, read_table, ship_package
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -67,21 +68,25 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(row, id, fp): written once. fp is the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(row, id, fp) and the columns ``carry``: written once. fp is the
+    fingerprint as a signed long."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["row", "id", "fp"]
-            )
+            texts = batch.column(batch.num_columns - 1)
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in texts], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps, pa.int64())], names=names)
 
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col)
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), *carry, F.col(text_col)
     )
-    return materialize(rows.mapInArrow(run, "row long, id long, fp long"), "simhash-rows")
+    names = ["row", "id", *carry, "fp"]
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("fp", T.LongType())])
+    return materialize(rows.mapInArrow(run, schema), "simhash-rows")
 
 
 _SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (shift, bits)
@@ -216,11 +221,12 @@ def simhash_components(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
     max_bucket: int = MAX_BUCKET,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(row, id, fp, component_id, stays): every row's fingerprint, the smallest
+    """(row, id, fp, component_id, stays) and the columns ``carry``: every row's fingerprint, the smallest
     id in its component, and whether it is the one row of the component that
     stays (the smallest id; among equal ids, one of them)."""
-    rows = fingerprints(docs, id_col, text_col, shingle)
+    rows = fingerprints(docs, id_col, text_col, shingle, carry)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     nodes = materialize(rows.groupBy("fp").agg(first.alias("first")), "simhash-nodes")
     roots = materialize(components(links(nodes, max_bits, max_bucket)), "simhash-roots")
@@ -235,21 +241,15 @@ def simhash_components(
         "fp",
         F.col("head.id").alias("component_id"),
         (F.col("row") == F.col("head.row")).alias("stays"),
+        *carry,
     )
 
 
 def near_distinct(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component (the smallest doc_id)."""
-    rows = materialize(docs.withColumn("_odx_row", F.monotonically_increasing_id()), "simhash-docs")
-    # An id of its own for every row: the operator's rows then are these rows.
-    order = F.col("_odx_row")
-    found = simhash_components(rows.select(order.alias("doc_id"), "text"), **options)
-    found = found.select(F.col("id").alias("_odx_row"), F.col("component_id").alias("_odx_group"))
-    grouped = rows.join(found, "_odx_row")
-    first = grouped.groupBy("_odx_group").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_odx_row")).alias("first")
-    )
-    return rows.join(first.select(F.col("first._odx_row").alias("_odx_row")), "_odx_row", "left_semi").drop("_odx_row")
+    rows = numbered(docs, "simhash-docs")
+    found = simhash_components(rows.select("doc_id", "text", ROW), carry=[ROW], **options)
+    return rows.join(found.filter("stays").select(ROW), ROW, "left_semi").select(*docs.columns)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
