@@ -209,8 +209,6 @@ def score_classes(weights: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
 
 def _scoring(path: str, model):
     """(row, id, held_out, n_tokens, known, base, score, rare) of every text."""
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         weights, vocabulary, top, end_log = model.value
@@ -220,7 +218,8 @@ def _scoring(path: str, model):
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 ids = batch.column(1).to_pylist()
-                classes, plain, n_tokens, known, base, rare = [], [], [], [], [], []
+                classes, plain, n_tokens, known, base = [], [], [], [], []
+                rare_words, rare_counts, rare_ends = [], [], [0]
                 for text in batch.column(2):
                     raw = text.as_py() or ""
                     sub = np.concatenate([np.frombuffer(encoder.encode(raw), "<u4").astype("i8"), end])
@@ -232,8 +231,11 @@ def _scoring(path: str, model):
                     n_tokens.append(len(words) + 1)
                     known.append(len(words) - missing + (end_log[1] > 0))
                     base.append(sum(filter(None, found)) + end_log[0])
-                    other = Counter(w for w, x in zip(words, found, strict=True) if x is None) if missing else {}
-                    rare.append([{"word": w, "n": n} for w, n in other.items()])
+                    if missing:
+                        other = Counter(w for w, x in zip(words, found, strict=True) if x is None)
+                        rare_words.extend(other.keys())
+                        rare_counts.extend(other.values())
+                    rare_ends.append(len(rare_words))
                 score = (score_classes(weights, classes) + np.array(plain)) / math.log(10)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -244,7 +246,12 @@ def _scoring(path: str, model):
                         pa.array(known, pa.int64()),
                         pa.array(base, pa.float64()),
                         pa.array(score, pa.float64()),
-                        pa.array(rare, rare_type),
+                        pa.ListArray.from_arrays(
+                            pa.array(rare_ends, pa.int32()),
+                            pa.StructArray.from_arrays(
+                                [pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"]
+                            ),
+                        ),
                     ],
                     names=["row", "id", "held_out", "n_tokens", "known", "base", "score", "rare"],
                 )
