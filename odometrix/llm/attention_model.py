@@ -218,14 +218,15 @@ def _gradient(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real:
     hs, slots = h[order], target[order] % PLACES
     dhs = np.zeros_like(hs)
     g["member"] = np.zeros(_SHAPES["member"], "f4")
-    at = 0
-    for c, end in enumerate(ends.tolist()):
-        if end > at:
-            part, d = _softmax_loss(hs[at:end] @ p["member"][c], slots[at:end])
-            loss += part
-            g["member"][c] = hs[at:end].T @ d / n
-            dhs[at:end] = d @ p["member"][c].T
-        at = end
+    spans = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)) if b > a]
+    members = np.empty((len(hs), PLACES), "f4")
+    for c, at, end in spans:
+        np.matmul(hs[at:end], p["member"][c], out=members[at:end])
+    part, d = _softmax_loss(members, slots)
+    loss += part
+    for c, at, end in spans:
+        g["member"][c] = hs[at:end].T @ d[at:end] / n
+        dhs[at:end] = d[at:end] @ p["member"][c].T
     dh[order] += dhs
     dhidden = np.zeros_like(hidden)
     dhidden[real] = dh[:, :WIDTH] / n

@@ -3,13 +3,13 @@
 Documents whose crc32(id as text) mod 7 is 2 are held out; all others train.
 
 1. One pass over all texts gathers, from the training ones, the count of every
-   word and end token, and training windows: in every stretch of
-   ``STRETCH_WORDS`` words one window starts at a hashed place, so each document
-   gives at least one and their number grows with the corpus.
+   word and end token, and the subword ids of the whole text, end token included.
 2. Subword counts follow from the word counts, each different word being encoded
    once. They give the classes (``attention_model``).
 3. Local SGD: in each of ``ROUNDS`` rounds every task trains from the same
-   weights on its own windows; weights are averaged by windows, in Spark.
+   weights on all windows of its own documents, the windows that scoring takes,
+   so each subword is learned once a round; weights are averaged by windows, in
+   Spark.
 4. One pass scores all texts in overlapping windows, each token once, in batches
    of masked attention. The base score uses word counts: those of the
    ``TOP_WORDS`` most frequent words are sent to the tasks (a bounded table); the
@@ -39,7 +39,6 @@ from odometrix.llm.common import materialize, read_table, ship_package
 from odometrix.llm.subwords import tokenizer_path, word_encoder
 
 FOLDS, HELD_OUT = 7, 2
-STRETCH_WORDS = 256
 ROUNDS = 2
 TOP_WORDS = 100_000
 VOCABULARY_SIZE = 49_408
@@ -47,51 +46,46 @@ END_ID = 49_407  # the tokenizer's own end-of-text id closes every text
 END_WORD = b""  # no word is empty, so the end token needs no name of its own
 FLUSH_WORDS = 200_000  # different words a task holds before it hands on counts
 SCORE_WINDOWS = 256
+TRAIN_WINDOWS = 10_000  # windows a task shuffles and trains on at a time
 
 
 def remainder(id_) -> int:
     return zlib.crc32(("" if id_ is None else str(id_)).encode()) % FOLDS
 
 
-START = 0xFFFFFFFF.to_bytes(4, "little")  # no subword: what stands before a text
 END = END_ID.to_bytes(4, "little")
 
 
 def _gather(path: str):
-    """(word, n, window): counts of training words; subword ids of a window,
-    the first of which only gives context."""
+    """(word, n, ids): counts of training words; 16-bit subword ids of each whole
+    training text and its end token."""
 
-    def rows(counts: dict, windows: list[bytes]) -> pa.RecordBatch:
-        none = [None] * len(windows)
+    def rows(counts: dict, texts: list[bytes]) -> pa.RecordBatch:
+        none = [None] * len(texts)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([*counts.keys(), *none], pa.binary()),
                 pa.array([*counts.values(), *none], pa.int64()),
-                pa.array([None] * len(counts) + windows, pa.binary()),
+                pa.array([None] * len(counts) + texts, pa.binary()),
             ],
-            names=["word", "n", "window"],
+            names=["word", "n", "ids"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         counts: Counter = Counter()
-        for batch in batches:
-            windows = []
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if remainder(id_) == HELD_OUT:
-                    continue
-                words = (text.as_py() or "").encode("utf-8", "replace").lower().split()
-                counts.update(words)
-                counts[END_WORD] += 1
-                for at in range(0, max(1, len(words)), STRETCH_WORDS):
-                    room = max(1, min(STRETCH_WORDS, len(words) - at))
-                    begin = at + zlib.crc32(f"{id_}:{at}".encode()) % room
-                    head = (encoder.get(words[begin - 1])[-4:] if begin else b"") or START
-                    body = b"".join(map(encoder.get, words[begin : begin + am.WINDOW]))
-                    if begin + am.WINDOW >= len(words):
-                        body += END
-                    windows.append(head + body[: 4 * am.WINDOW])
-            yield rows({}, windows)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch, texts = whole.slice(at, 256), []
+                for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if remainder(id_) == HELD_OUT:
+                        continue
+                    words = (text.as_py() or "").encode("utf-8", "replace").lower().split()
+                    counts.update(words)
+                    counts[END_WORD] += 1
+                    ids = b"".join([*map(encoder.get, words), END])
+                    texts.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())
+                yield rows({}, texts)
             if len(counts) > FLUSH_WORDS:
                 yield rows(counts, [])
                 counts = Counter()
@@ -117,15 +111,24 @@ def _subword_counts(path: str):
     return run
 
 
-def _window_arrays(windows: list[bytes], class_of: np.ndarray):
-    n = len(windows)
-    ids = np.full((n, am.WINDOW + 1), 0xFFFFFFFF, "<u4")
-    for i, w in enumerate(windows):
-        ids[i, : len(w) // 4] = np.frombuffer(w, "<u4")
-    known = ids != 0xFFFFFFFF
-    classes = np.where(known, class_of[np.where(known, ids, 0)], am.CLASSES - 1).astype("i8")
-    real = known[:, 1:]
-    return classes[:, :-1], np.where(real, classes[:, 1:], 0), real
+def training_windows(batches: Iterator[pa.RecordBatch], class_of: np.ndarray):
+    """(given, wanted, scored) of all windows of the texts in ``batches`` (16-bit
+    subword ids), ``TRAIN_WINDOWS`` at a time."""
+    held: list[tuple] = []
+    n = 0
+    for batch in batches:
+        for ids in batch.column(0):
+            classes = class_of[np.frombuffer(ids.as_py(), "<u2")].astype("i8")
+            held.append(am.windows_of(classes))
+            n += len(held[-1][0])
+            if n >= TRAIN_WINDOWS:
+                parts = [np.concatenate(k) for k in zip(*held, strict=True)]
+                full = n - n % TRAIN_WINDOWS
+                for at in range(0, full, TRAIN_WINDOWS):
+                    yield tuple(k[at : at + TRAIN_WINDOWS] for k in parts)
+                held, n = [tuple(k[full:].copy() for k in parts)], n - full
+    if n:
+        yield tuple(np.concatenate(k) for k in zip(*held, strict=True))
 
 
 def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int):
@@ -133,11 +136,9 @@ def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, n = weights, 0
-        for k, batch in enumerate(batches):
-            windows = batch.column(0).to_pylist()
-            if windows:
-                own, _ = am.train(own, *_window_arrays(windows, class_of), rate=0.02 / (1 + seed), seed=seed + k)
-                n += len(windows)
+        for k, (given, wanted, scored) in enumerate(training_windows(batches, class_of)):
+            own, _ = am.train(own, given, wanted, scored, rate=0.02 / (1 + seed), seed=seed + k)
+            n += len(given)
         if n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(am.SIZE)), pa.array(own.astype("f8") * n), pa.array(np.full(am.SIZE, n))],
@@ -147,11 +148,11 @@ def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int):
     return run
 
 
-def train_model(windows: DataFrame, vocabulary: am.Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+def train_model(texts: DataFrame, vocabulary: am.Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Weights averaged over tasks after each round of local SGD."""
     weights = am.initial_weights(vocabulary)
     for r in range(rounds):
-        trained = windows.mapInArrow(
+        trained = texts.mapInArrow(
             _local_training(weights, vocabulary.class_of, r), "place long, value double, n long"
         )
         # One row per weight comes back: a size fixed by the model.
@@ -269,7 +270,7 @@ def score_documents(
     path = vocabulary or tokenizer_path()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    gathered = materialize(rows.mapInArrow(_gather(path), "word binary, n long, window binary"), "lm-gathered")
+    gathered = materialize(rows.mapInArrow(_gather(path), "word binary, n long, ids binary"), "lm-gathered")
     counts = materialize(
         gathered.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts"
     )
@@ -282,7 +283,7 @@ def score_documents(
     by_id = np.zeros(VOCABULARY_SIZE, "i8")
     by_id[subwords["id"].to_numpy("i8")] = subwords["n"].to_numpy("i8")
     classes = am.Vocabulary.from_counts(by_id, word_encoder(path).ends_word(VOCABULARY_SIZE))
-    weights = train_model(gathered.filter("window is not null").select("window"), classes, rounds)
+    weights = train_model(gathered.filter("ids is not null").select("ids"), classes, rounds)
 
     frequent = frequent_words(counts.filter(F.length("word") > 0), top_words).toPandas()
     top = {bytes(w): math.log10(c + 1) - base_of for w, c in zip(frequent["word"], frequent["c"], strict=True)}

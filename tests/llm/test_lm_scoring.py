@@ -3,10 +3,20 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from odometrix.llm import attention_model as am
-from odometrix.llm.lm_scoring import score_classes, score_documents
+from odometrix.llm.lm_scoring import (
+    END_ID,
+    TRAIN_WINDOWS,
+    VOCABULARY_SIZE,
+    _gather,
+    score_classes,
+    score_documents,
+    training_windows,
+)
+from odometrix.llm.subwords import WordEncoder, tokenizer_path
 from tests.llm.helpers import LOW, documents, hard_rows, words
 
 
@@ -106,3 +116,23 @@ def test_held_out_score_beats_subword_unigrams(spark):
 
 def test_empty_table(spark):
     assert score_documents(documents(spark, hard_rows()).limit(0)).count() == 0
+
+
+def test_training_covers_every_training_text():
+    path = tokenizer_path()
+    encoder = WordEncoder(path)
+    rows = [(i, t) for i, t, _ in hard_rows()] + [(1000 + i, f"start {'word and others ' * 900} end{i}") for i in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["id", "text"])
+    gathered = [b.column(2).drop_null() for b in _gather(path)(iter([batch]))]
+    texts = [pa.RecordBatch.from_arrays([c], ["ids"]) for c in gathered if len(c)]
+    class_of = (np.arange(VOCABULARY_SIZE) % (am.CLASSES - 1)).astype("i2")
+    want = Counter()
+    for i, t in rows:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2:
+            want.update(class_of[np.frombuffer(encoder.encode(t or ""), "<u4")].tolist())
+            want[int(class_of[END_ID])] += 1
+    got = Counter()
+    for given, wanted, scored in training_windows(iter(texts), class_of):
+        assert len(given) <= TRAIN_WINDOWS
+        got.update(wanted[scored].tolist())
+    assert got == want
