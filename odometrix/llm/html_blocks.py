@@ -46,7 +46,8 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 # Zones. Furniture inside an article is furniture; an article inside weak
-# furniture (an unclosed menu, a header) is an article.
+# furniture (an unclosed menu, a header) is an article. An article tag also beats
+# class words on itself and on what wraps it, unless they name comments.
 NEITHER, ARTICLE, FURNITURE = 0, 1, 2
 ARTICLE_TAGS = frozenset(("article", "main"))
 WEAK_TAGS = frozenset(("nav", "header", "menu", "head"))
@@ -61,6 +62,15 @@ STRONG_WORDS = frozenset(
     "subscription signup login search share sharing social related recommended recommendations widget widgets "
     "toolbar pagination pager copyright legal disclaimer skip teaser teasers".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+# Parts that leave a compound name what its other parts say (site-footer, ad-box).
+PLAIN_WORDS = frozenset(
+    "site page main top bottom left right primary secondary global mobile desktop area box bar block section wrap "
+    "wrapper container inner outer list item items link links button buttons icon icons group row col column panel "
+    "holder posts articles stories entries news js the 1 2 3".split()
+) | CONTENT_WORDS
+# Kinds of class furniture: an article tag inside lifts the first one only.
+WEAK, LIFTED, FIXED = 0, 1, 2
 
 FEATURES = ("words", "link_density", "prev_words", "prev_link_density", "next_words", "next_link_density",
             "zone", "page_has_article")
@@ -95,6 +105,37 @@ LABELLED = (
     (4, 0.0, 2, 1.0, 6, 0.0, 0, 0, 0), (6, 0.0, 28, 0.0, 0, 0.0, 0, 0, 0), (9, 0.4, 40, 0.0, 3, 1.0, 0, 0, 0),
     (40, 0.6, 6, 1.0, 50, 0.7, 0, 0, 0), (3, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0), (2, 0.0, 6, 0.5, 4, 0.0, 0, 0, 0),
     (2, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0), (6, 0.9, 3, 1.0, 55, 0.0, 0, 0, 0), (3, 1.0, 30, 0.0, 40, 0.0, 0, 0, 0),
+    # link lists inside an article: contents, tags, shares, further reading
+    (1, 1.0, 1, 1.0, 2, 1.0, 1, 1, 0), (4, 1.0, 3, 1.0, 5, 1.0, 1, 1, 0), (7, 1.0, 6, 1.0, 8, 1.0, 1, 1, 0),
+    (2, 1.0, 2, 1.0, 1, 1.0, 1, 1, 0), (9, 1.0, 7, 1.0, 4, 1.0, 1, 1, 0), (5, 1.0, 8, 1.0, 6, 1.0, 1, 1, 0),
+    (2, 1.0, 3, 1.0, 40, 0.0, 1, 1, 0), (6, 1.0, 4, 1.0, 22, 0.0, 1, 1, 0), (3, 1.0, 5, 1.0, 0, 0.0, 1, 1, 0),
+    (8, 1.0, 6, 1.0, 60, 0.0, 1, 1, 0), (2, 1.0, 40, 0.0, 3, 1.0, 1, 1, 0), (5, 1.0, 60, 0.0, 4, 1.0, 1, 1, 0),
+    (1, 1.0, 22, 0.0, 2, 1.0, 1, 1, 0),
+    # plain lines of an article, and furniture before running text
+    (18, 0.0, 9, 0.0, 7, 0.0, 1, 1, 1), (40, 0.0, 12, 0.0, 6, 0.0, 1, 1, 1), (33, 0.0, 25, 0.0, 10, 0.0, 1, 1, 1),
+    (10, 0.0, 22, 0.0, 14, 0.0, 1, 1, 1), (14, 0.1, 5, 0.0, 33, 0.0, 1, 1, 1), (52, 0.0, 31, 0.0, 18, 0.0, 1, 1, 1),
+    (5, 0.0, 3, 0.0, 90, 0.0, 2, 1, 0), (16, 0.0, 8, 0.0, 110, 0.0, 2, 1, 0), (1, 1.0, 2, 1.0, 95, 0.0, 2, 1, 0),
+    (30, 0.0, 14, 0.0, 70, 0.0, 2, 0, 0), (9, 0.0, 88, 0.0, 92, 0.0, 2, 1, 0), (20, 0.0, 100, 0.0, 75, 0.0, 2, 0, 0),
+    # running text beside a marked article, between running text
+    (85, 0.0, 90, 0.0, 76, 0.02, 0, 1, 1), (110, 0.03, 74, 0.0, 95, 0.0, 0, 1, 1), (72, 0.0, 78, 0.0, 81, 0.0, 0, 1, 1),
+    (96, 0.0, 110, 0.03, 84, 0.0, 0, 1, 1), (130, 0.05, 88, 0.0, 120, 0.0, 0, 1, 1),
+    (40, 0.0, 12, 0.0, 0, 0.0, 0, 1, 0), (60, 0.0, 30, 0.0, 2, 1.0, 0, 1, 0),
+    # running text in what its names call furniture, between running text
+    (140, 0.0, 120, 0.0, 95, 0.02, 2, 1, 1), (95, 0.02, 140, 0.0, 130, 0.0, 2, 1, 1), (118, 0.0, 95, 0.02, 104, 0.0, 2, 1, 1),
+    (104, 0.0, 118, 0.0, 99, 0.0, 2, 0, 1), (150, 0.03, 104, 0.0, 125, 0.0, 2, 0, 1), (108, 0.0, 97, 0.0, 150, 0.03, 2, 0, 1),
+    # short furniture and labels after or between running text
+    (6, 0.0, 140, 0.0, 9, 0.0, 2, 1, 0), (14, 0.0, 120, 0.0, 3, 1.0, 2, 1, 0), (22, 0.2, 95, 0.0, 18, 0.0, 2, 1, 0),
+    (12, 0.0, 85, 0.0, 100, 0.0, 2, 1, 0), (3, 1.0, 130, 0.0, 2, 1.0, 2, 0, 0), (25, 0.0, 110, 0.0, 6, 0.0, 2, 0, 0),
+    (75, 0.0, 10, 0.0, 40, 0.0, 2, 1, 0), (120, 0.0, 15, 0.0, 28, 0.0, 2, 1, 0), (85, 0.0, 6, 0.0, 50, 0.0, 2, 0, 0),
+    (64, 0.0, 50, 0.0, 70, 0.0, 2, 1, 0), (82, 0.0, 70, 0.0, 45, 0.0, 2, 1, 0), (130, 0.0, 30, 0.0, 120, 0.0, 2, 1, 0),
+    (95, 0.0, 20, 0.0, 40, 0.0, 0, 1, 0), (66, 0.0, 12, 0.0, 90, 0.0, 0, 1, 0), (88, 0.0, 40, 0.0, 18, 0.0, 0, 1, 0),
+    (10, 0.0, 120, 0.0, 4, 1.0, 0, 1, 0), (28, 0.0, 90, 0.0, 5, 0.0, 0, 1, 0),
+    (18, 0.5, 85, 0.0, 90, 0.0, 0, 1, 0), (90, 0.0, 8, 0.0, 14, 0.0, 0, 1, 0), (80, 0.0, 6, 1.0, 12, 0.0, 0, 1, 0),
+    # links of an article between its running text
+    (2, 1.0, 60, 0.0, 8, 0.0, 1, 1, 1), (8, 1.0, 75, 0.0, 12, 0.0, 1, 1, 1), (3, 0.5, 40, 0.0, 6, 0.1, 1, 1, 1),
+    (15, 0.6, 22, 0.0, 9, 0.0, 1, 1, 1), (1, 1.0, 7, 0.0, 5, 0.0, 1, 1, 1), (4, 1.0, 12, 0.0, 0, 0.0, 1, 1, 1),
+    (6, 1.0, 9, 0.2, 11, 0.0, 1, 1, 1), (9, 0.7, 3, 0.0, 2, 0.0, 1, 1, 1),
+    (2, 1.0, 90, 0.0, 85, 0.0, 1, 1, 1), (12, 1.0, 70, 0.1, 64, 0.0, 1, 1, 1), (4, 0.0, 110, 0.0, 90, 0.0, 1, 1, 1),
     # pages that mark only furniture
     (30, 0.0, 60, 0.0, 8, 0.0, 2, 0, 0), (8, 0.0, 30, 0.0, 44, 0.0, 2, 0, 0), (1, 1.0, 1, 1.0, 8, 0.0, 2, 0, 0),
     (60, 0.02, 12, 0.0, 30, 0.0, 2, 0, 0), (15, 0.5, 58, 0.0, 0, 0.0, 2, 0, 0),
@@ -146,18 +187,33 @@ def predict(tree, row: Sequence[float]) -> int:
     return tree
 
 
-def _zone_of(tag: str, attrs: str) -> tuple[int, bool] | None:
-    """(zone, strong) that an element opens, or None if it keeps its parent's."""
-    words: set[str] = set()
+def _names(token: str, kind: frozenset) -> bool:
+    """Whether a class, id or role names something of this kind: as a whole, or
+    as a compound of its words and plain ones (has-sidebar names no sidebar)."""
+    if token in kind:
+        return True
+    parts = re.split(r"[^a-z0-9]+", token)
+    return not kind.isdisjoint(parts) and all(w in kind or w in PLAIN_WORDS or not w for w in parts)
+
+
+def _zone_of(tag: str, attrs: str) -> tuple[int, int] | None:
+    """(zone, kind of furniture) that an element opens, or None if it keeps its parent's."""
+    names: set[str] = set()
     if attrs:
         for m in _NAMED.finditer(attrs):
-            words.update(re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    if tag in STRONG_TAGS or (words & STRONG_WORDS and tag not in ("body", "html")):
-        return FURNITURE, True
-    if tag in ARTICLE_TAGS or words & ARTICLE_WORDS and not words & WEAK_WORDS:
-        return ARTICLE, False
+            names.update((m[1] or m[2] or m[3] or "").lower().split())
+    named = lambda kind: any(_names(t, kind) for t in names)
+    if tag in STRONG_TAGS or named(COMMENT_WORDS) and tag not in ("body", "html"):
+        return FURNITURE, FIXED
+    if tag in ARTICLE_TAGS:
+        return ARTICLE, WEAK
+    if named(STRONG_WORDS) and tag not in ("body", "html"):
+        return FURNITURE, LIFTED
+    words = {w for t in names for w in re.split(r"[^a-z0-9]+", t)}
+    if words & ARTICLE_WORDS and not words & WEAK_WORDS:
+        return ARTICLE, WEAK
     if tag in WEAK_TAGS or (words & WEAK_WORDS and not words & CONTENT_WORDS):
-        return FURNITURE, False
+        return FURNITURE, WEAK
     return None
 
 
@@ -166,7 +222,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
     blocks: list[tuple[str, int, int, int]] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, int, bool]] = []  # (tag, zone, strong furniture above or here)
+    stack: list[tuple[str, int, int]] = []  # (tag, zone, strongest kind of furniture above or here)
     in_link = 0
 
     def zone() -> int:
@@ -211,7 +267,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
                 text.append(" ")
             if not m["end"] and tag not in VOID and tag != "a" and m["attrs"] and _zone_of(tag, m["attrs"]):
                 flush()
-                stack.append((tag, *_child(stack, _zone_of(tag, m["attrs"]))))
+                stack.append((tag, *_child(stack, tag, _zone_of(tag, m["attrs"]))))
             elif m["end"] and stack and stack[-1][0] == tag:
                 flush()
                 stack.pop()
@@ -226,23 +282,23 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
                     del stack[k:]
                     break
         elif tag not in ("p", "html") and not m["attrs"].endswith("/"):
-            stack.append((tag, *_child(stack, _zone_of(tag, m["attrs"]))))
+            stack.append((tag, *_child(stack, tag, _zone_of(tag, m["attrs"]))))
         elif tag == "p" and (opened := _zone_of(tag, m["attrs"])):
-            stack.append((tag, *_child(stack, opened)))
+            stack.append((tag, *_child(stack, tag, opened)))
     flush()
     return blocks
 
 
-def _child(stack: list, opened: tuple[int, bool] | None) -> tuple[int, bool]:
-    above, strong = (stack[-1][1], stack[-1][2]) if stack else (NEITHER, False)
-    if strong:
-        return FURNITURE, True
+def _child(stack: list, tag: str, opened: tuple[int, int] | None) -> tuple[int, int]:
+    above, kind = (stack[-1][1], stack[-1][2]) if stack else (NEITHER, WEAK)
+    if kind and (kind == FIXED or opened is None or opened[0] != ARTICLE or tag not in ARTICLE_TAGS):
+        return FURNITURE, max(kind, opened[1] if opened else kind)
     if opened is None:
-        return above, False
-    zone, now_strong = opened
-    if zone == FURNITURE and not now_strong and above == ARTICLE:
-        return ARTICLE, False  # the article's own header
-    return zone, now_strong
+        return above, WEAK
+    zone, now = opened
+    if zone == FURNITURE and above == ARTICLE:
+        return (FURNITURE, FIXED) if now else (ARTICLE, WEAK)  # the article's own header is the article's
+    return zone, now
 
 
 def block_features(blocks: Sequence[tuple[str, int, int, int]]) -> list[tuple]:

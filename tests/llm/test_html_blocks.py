@@ -76,3 +76,31 @@ def test_nulls_repeats_and_extra_columns(spark):
     got = extract_pages(df).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, *[len(extract_text(PAGE, TREE))] * 2]
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_article_tag_beats_class_words():
+    text = "".join(f"<p>{'some plain words of a text ' * 6}</p>" for _ in range(3))
+    want = "\n".join([" ".join(["some plain words of a text"] * 6)] * 3)
+    for page in (
+        f"<article class='post category-social'>{text}</article>",
+        f"<main class='site-main no-sidebar'>{text}</main>",
+        f"<div class='wrap has-sidebar'><article>{text}</article></div>",
+        f"<div class='sidebar'><main>{text}</main></div>",
+    ):
+        assert extract_text(f"<body><nav><a>Home</a></nav>{page}<footer>the end of it</footer>", TREE) == want
+    assert extract_text(f"<article>x y z<div class=related><article>{text}</article></div></article>", TREE) == "x y z"
+
+
+def test_text_features_decide_in_every_zone():
+    def used(tree):
+        return {tree[0]} | used(tree[2]) | used(tree[3]) if isinstance(tree, tuple) else set()
+
+    outcomes = {(r[6], r[-1]) for r in LABELLED}
+    assert outcomes == {(z, y) for z in (0, 1, 2) for y in (0, 1)}
+    assert used(TREE) == set(range(8))
+    prose = (160, 0.0, 160, 0.0, 160, 0.0)
+    links = (3, 1.0, 3, 1.0, 3, 1.0)
+    for zone in (0, 1, 2):
+        for marked in (0, 1):
+            assert predict(TREE, (*prose, zone, marked)) == 1
+            assert predict(TREE, (*links, zone, marked)) == 0
