@@ -30,12 +30,13 @@ from odometrix.llm.common import read_table, ship_package
 _RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|video|audio|select|textarea|title|button"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?P<rawattrs>[^>]*)>"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?P<rawattrs>[^>]*)>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW.split("|")}
+_RAW_TO_END = frozenset(("script", "style", "title"))  # without an end tag, these take the rest of the page
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # Tags that run on inside a block; every other tag ends the block.
@@ -243,6 +244,7 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
                 linked.append(chunk)
 
     at, end = 0, len(page)
+    unclosed: set[str] = set()  # raw tags with no end tag from here on: only the tag itself goes
     while at < end:
         m = _TOKEN.search(page, at)
         if not m:
@@ -252,9 +254,14 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
         at = m.end()
         if m["raw"]:
             raw = m["raw"].lower()
-            if not m["rawattrs"].endswith("/"):
+            if not m["rawattrs"].endswith("/") and raw not in unclosed:
                 close = _RAW_END[raw].search(page, at)
-                at = close.end() if close else end
+                if close:
+                    at = close.end()
+                elif raw in _RAW_TO_END:
+                    at = end
+                else:
+                    unclosed.add(raw)
             continue
         if not m["tag"]:
             continue

@@ -104,3 +104,14 @@ def test_text_features_decide_in_every_zone():
         for marked in (0, 1):
             assert predict(TREE, (*prose, zone, marked)) == 1
             assert predict(TREE, (*links, zone, marked)) == 0
+
+
+def test_raw_tags_end_nothing_else():
+    text = "<p>the first words of it</p>{}<p>and the rest of it</p>"
+    want = "the first words of it\nand the rest of it"
+    for tag in ("video-player", "svg-icon", "button-group", "select-box", "title-bar", "object", "video", "canvas"):
+        assert extract_text(f"<article>{text.format(f'<{tag} a=1>')}</article>", TREE) == want
+    for tag in ("button", "select", "svg", "math", "iframe"):  # unclosed, twice
+        assert extract_text(f"<article>{text.format(f'<{tag}><{tag}>')}</article>", TREE) == want
+        assert extract_text(f"<article>{text.format(f'<{tag}>gone</{tag}>')}</article>", TREE) == want
+    assert extract_text(f"<article>{text.format('<script>')}</article>", TREE) == "the first words of it"
