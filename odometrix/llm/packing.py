@@ -4,12 +4,13 @@ Documents become runs of subword ids closed by id 0; runs longer than a sequence
 are cut into full pieces and a shorter last one. Full pieces are sequences of
 their own. All others are dealt by hash into groups of about
 ``PIECES_PER_GROUP``; each group is packed best-fit decreasing, then a local
-search works on the underfull bins: it moves a piece, exchanges one for one, or
-two for one between two bins wherever that raises the sum of squared fills, so
-that full bins get fuller and others run empty.
+search works on all underfull bins: it moves one or two pieces, or exchanges one
+or two for one, between two bins wherever that raises the sum of squared fills,
+so that full bins get fuller and others run empty, until no such change is left.
+Partners are found by bisection in an index of the sizes that bins offer.
 
 A group holds lengths only (no texts) and its size is bounded, so memory is
-bounded at any scale; it wastes at most about one bin beyond its own optimum.
+bounded at any scale. The result is a local optimum of these changes.
 
 Defined results: a null text counts as empty and gives one piece of one token
 (id 0); repeated rows are packed as separate documents; an empty table gives no
@@ -19,7 +20,7 @@ rows; columns other than id and text are ignored.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,6 @@ from odometrix.llm.subwords import tokenizer_path, word_encoder
 
 CAPACITY = 2048
 PIECES_PER_GROUP = 60_000
-SEARCH_BINS = 200  # underfull bins a round of the local search looks at
-SEARCH_ROUNDS = 40
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -88,66 +87,125 @@ def best_fit(lengths, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(a: list[int], b: list[int], fa: int, fb: int, lengths, capacity: int):
-    """The best change between bins ``a`` (fill fa) and ``b`` (fill fb) as
-    (gain in squared fill, items leaving a, items leaving b), or None."""
-    best = None
-
-    def offer(out_a: tuple, out_b: tuple, delta: int) -> None:
-        # delta: what a gains. The squared fills rise by 2 * delta * (fa - fb + delta).
-        nonlocal best
-        if delta > 0 and fa + delta <= capacity:
-            gain = 2 * delta * (fa - fb + delta)
-            if gain > 0 and (best is None or gain > best[0]):
-                best = (gain, out_a, out_b)
-
-    singles_b = sorted((lengths[j], j) for j in b)
-    pairs_b = sorted((singles_b[x][0] + singles_b[y][0], x, y) for x in range(len(singles_b)) for y in range(x))
-    room = capacity - fa
-    for size, j in singles_b:  # move
-        offer((), (j,), size)
-    for i in a:
-        top = lengths[i] + room
-        at = bisect_left(singles_b, (top + 1, -1)) - 1  # the largest that still fits in place of i
-        if at >= 0:
-            offer((i,), (singles_b[at][1],), singles_b[at][0] - lengths[i])
-        at = bisect_left(pairs_b, (top + 1, -1, -1)) - 1
-        if at >= 0:
-            s, x, y = pairs_b[at]
-            offer((i,), (singles_b[x][1], singles_b[y][1]), s - lengths[i])
-    return best
-
-
-def local_search(
-    bins: list[list[int]], lengths, capacity: int, *, max_bins: int = SEARCH_BINS, rounds: int = SEARCH_ROUNDS,
-    max_items: int = 64,
-) -> list[list[int]]:
-    """Raise the squared fill of underfull bins by moves and exchanges until no
-    change helps; emptied bins go. A fuller bin always takes from an emptier
-    one. ``max_items``: bins with more items offer only their largest ones."""
+class _Offers:
+    """For every size, the bins that can give it (in one piece or in two), by fill."""
+
+    def __init__(self):
+        self.sizes: list[int] = []  # those with bins, sorted
+        self.bins: dict[int, list[tuple[int, int]]] = {}  # size: (fill, bin), sorted
+
+    def add(self, size: int, entry: tuple[int, int]) -> None:
+        held = self.bins.get(size)
+        if held:
+            insort(held, entry)
+        else:
+            self.bins[size] = [entry]
+            insort(self.sizes, size)
+
+    def remove(self, size: int, entry: tuple[int, int]) -> None:
+        held = self.bins[size]
+        del held[bisect_left(held, entry)]
+        if not held:
+            del self.bins[size]
+            del self.sizes[bisect_left(self.sizes, size)]
+
+
+def _sums_of_two(sizes: dict[int, list[int]]) -> set[int]:
+    """What two items of a bin take. A bin has few different sizes, however many
+    items: their sum is at most its capacity."""
+    each = list(sizes)
+    sums = {x + y for k, x in enumerate(each) for y in each[:k]}
+    return sums | {2 * x for x, items in sizes.items() if len(items) > 1}
+
+
+def local_search(bins: list[list[int]], lengths, capacity: int) -> list[list[int]]:
+    """Raise the squared fill of underfull bins by moves and exchanges until a
+    whole pass over them changes nothing, or no fewer bins could hold the items;
+    emptied bins go."""
     fill = [sum(lengths[i] for i in b) for b in bins]
-    for _ in range(rounds):
-        lower = -(-sum(fill) // capacity)
-        if len([f for f in fill if f]) <= lower:
-            break
-        open_bins = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: -fill[b])
-        open_bins = open_bins[-max_bins:]
+    total, used = sum(fill), sum(f > 0 for f in fill)
+    lower = -(-total // capacity)
+    held: dict[int, dict[int, list[int]]] = {}  # underfull bin: size: items
+    ones, twos = _Offers(), _Offers()
+
+    def enter(b: int) -> None:
+        for size in held[b]:
+            ones.add(size, (fill[b], b))
+        for size in _sums_of_two(held[b]):
+            twos.add(size, (fill[b], b))
+
+    def leave(b: int) -> None:
+        for size in held[b]:
+            ones.remove(size, (fill[b], b))
+        for size in _sums_of_two(held[b]):
+            twos.remove(size, (fill[b], b))
+
+    def best_change(p: int):
+        """(what p gains, size leaving p or 0, size leaving q, in two items?, q):
+        the largest gain, from the emptiest bin that offers it; or None."""
+        best, most = None, 0
+        for out in (0, *held[p]):
+            for offers in (ones, twos):
+                at = bisect_right(offers.sizes, out + capacity - fill[p]) - 1
+                while at >= 0 and (delta := offers.sizes[at] - out) > most:
+                    entries = offers.bins[offers.sizes[at]]
+                    if entries[0][1] != p:
+                        f, q = entries[0]
+                    elif len(entries) > 1:
+                        f, q = entries[1]
+                    else:
+                        f, q = capacity * 2, -1
+                    # The squared fills rise by 2 * delta * (fill[p] - f + delta).
+                    if f < fill[p] + delta:
+                        best, most = (delta, out, offers.sizes[at], offers is twos, q), delta
+                        break
+                    at -= 1
+        return best
+
+    def take(b: int, size: int) -> int:
+        items = held[b][size]
+        i = items.pop()
+        if not items:
+            del held[b][size]
+        return i
+
+    def give(b: int, i: int) -> None:
+        held[b].setdefault(lengths[i], []).append(i)
+
+    for b, items in enumerate(bins):
+        if 0 < fill[b] < capacity:
+            held[b] = {}
+            for i in items:
+                give(b, i)
+            enter(b)
+    changed = True
+    while changed and used > lower:
         changed = False
-        for at_a, x in enumerate(open_bins):
-            for y in reversed(open_bins[at_a + 1 :]):
-                if not fill[x] or not fill[y] or fill[x] == capacity:
-                    continue
-                p, q = (x, y) if fill[x] >= fill[y] else (y, x)
-                few = lambda b: sorted(b, key=lambda i: -lengths[i])[:max_items]
-                found = _exchange(few(bins[p]), few(bins[q]), fill[p], fill[q], lengths, capacity)
-                if found:
-                    _, out_p, out_q = found
-                    bins[p] = [i for i in bins[p] if i not in out_p] + list(out_q)
-                    bins[q] = [i for i in bins[q] if i not in out_q] + list(out_p)
-                    fill[p], fill[q] = (sum(lengths[i] for i in bins[k]) for k in (p, q))
-                    changed = True
-        if not changed:
-            break
+        for p in sorted(held, key=lambda b: -fill[b]):
+            while used > lower and 0 < fill[p] < capacity and (found := best_change(p)):
+                delta, out, size, two, q = found
+                leave(p)
+                leave(q)
+                if two:
+                    x = next(x for x in held[q] if size - x in held[q] and (2 * x != size or len(held[q][x]) > 1))
+                    coming = [take(q, x), take(q, size - x)]
+                else:
+                    coming = [take(q, size)]
+                if out:
+                    give(q, take(p, out))
+                for i in coming:
+                    give(p, i)
+                fill[p] += delta
+                fill[q] -= delta
+                used -= not fill[q]
+                for b in (p, q):
+                    if 0 < fill[b] < capacity:
+                        enter(b)
+                changed = True
+            if used <= lower:
+                break
+    for b, sizes in held.items():
+        bins[b] = [i for items in sizes.values() for i in items]
     return [b for b in bins if b]
 
 

@@ -73,3 +73,29 @@ def test_exchange_empties_a_bin():
 
 def test_empty_table(spark):
     assert pack_documents(documents(spark, hard_rows()).limit(0)).count() == 0
+
+
+def test_search_leaves_no_helpful_change_in_any_bin():
+    r = random.Random(5)
+    lengths = [r.randint(550, 1000) for _ in range(1500)]
+    bins = pack_group(lengths, 2048)
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    assert sum(f < 2048 for f in fill) > 200 and len(bins) > -(-sum(lengths) // 2048)
+    sizes = [[0, *(lengths[i] for i in b)] for b in bins]
+    sizes_two = [{x + y for k, x in enumerate(s) for y in s[:k]} for s in sizes]
+    for p in range(len(bins)):
+        for q in range(len(bins)):
+            if p == q or 2048 in (fill[p], fill[q]):
+                continue
+            for coming in sizes_two[q]:
+                for out in sizes[p]:
+                    delta = coming - out
+                    assert delta <= 0 or fill[p] + delta > 2048 or fill[p] - fill[q] + delta <= 0
+
+
+def test_search_offers_small_items_of_full_bins():
+    # Only the smallest of 67 items fits the second bin; without it the third bin's item fits the first.
+    lengths = [5] * 66 + [2, 368, 40]
+    bins = local_search([list(range(67)), [67], [68]], lengths, 370)
+    assert [sum(lengths[i] for i in b) for b in bins] == [370, 370]
+    assert sorted(i for b in bins for i in b) == list(range(69))
