@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 
 WINDOW = 16  # positions of a context window
-STRIDE = 14  # new tokens scored by every window after the first
+STRIDE = 8  # new tokens scored by every window after the first, each with at least half a window before it
 WIDTH = 16
 GROUPS, PLACES = 32, 32
 SHARED_CLASSES = 32

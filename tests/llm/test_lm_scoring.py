@@ -136,3 +136,11 @@ def test_training_covers_every_training_text():
         assert len(given) <= TRAIN_WINDOWS
         got.update(wanted[scored].tolist())
     assert got == want
+
+
+def test_every_token_sees_half_a_window_or_all_before_it():
+    n = 300
+    given, wanted, scored = am.windows_of(np.arange(n))
+    window, position = np.nonzero(scored)
+    assert am.STRIDE <= am.WINDOW // 2
+    assert all(p + 1 >= min(w + 1, am.WINDOW // 2) for p, w in zip(position, wanted[window, position], strict=True))
