@@ -8,6 +8,7 @@ from odometrix.llm.lm_scoring import op7_lm_scoring
 from odometrix.llm.mixing import op2_mix_sources
 from odometrix.llm.packing import op1_best_fit_packing
 from odometrix.llm.phrase_index import OP11_SQL, op11_benchmark_decontamination
+from odometrix.llm.prefix_trie import OP12_SQL, op12_conversation_prefix_trie
 from odometrix.llm.quality import OP3_SQL, op3_quality_rules
 from odometrix.llm.secret_scan import op4_secret_scans
 from odometrix.llm.shards import op9_sharding
@@ -26,9 +27,15 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
 }
 
 # The others have no SQL that runs on whole tables: their rows hang on entropy
 # windows, hashes, search orders, trained models or every byte position.
 # tests/llm holds them against brute force instead.
-ORACLE_SQL = {"op3_quality_rules": OP3_SQL, "op10_exact_dedup": OP10_SQL, "op11_benchmark_decontamination": OP11_SQL}
+ORACLE_SQL = {
+    "op3_quality_rules": OP3_SQL,
+    "op10_exact_dedup": OP10_SQL,
+    "op11_benchmark_decontamination": OP11_SQL,
+    "op12_conversation_prefix_trie": OP12_SQL,
+}
