@@ -13,6 +13,7 @@ from odometrix.llm.quality import OP3_SQL, op3_quality_rules
 from odometrix.llm.secret_scan import op4_secret_scans
 from odometrix.llm.shards import op9_sharding
 from odometrix.llm.simhash import op8_simhash_near_dedup
+from odometrix.llm.spelling import OP13_SQL, op13_spelling_variants
 from odometrix.llm.substring_dedup import op6_suffix_array_dedup
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # The others have no SQL that runs on whole tables: their rows hang on entropy
@@ -38,4 +40,5 @@ ORACLE_SQL = {
     "op10_exact_dedup": OP10_SQL,
     "op11_benchmark_decontamination": OP11_SQL,
     "op12_conversation_prefix_trie": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
