@@ -1,0 +1,189 @@
+"""Sinks that commit: write once, replace a named table."""
+
+import os
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from odometrix.sources import writers
+from odometrix.sources.writers import (
+    WriteInProgress,
+    recover_gold,
+    release_claim,
+    save_gold,
+    vacuum_gold,
+    write_once,
+    write_overwrite,
+)
+
+
+class Killed(RuntimeError):
+    pass
+
+
+def killed(*a, **k):
+    raise Killed
+
+
+def test_a_dataset_without_commit_marker_is_left_alone(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "unmarked")
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        spark.range(5).write.parquet(path)
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert not os.path.exists(os.path.join(path, "_SUCCESS"))
+    assert write_once(spark.range(1), path) is False
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_a_table_of_another_format_is_left_alone(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "logged")
+    os.makedirs(os.path.join(path, "_delta_log"))
+    with open(os.path.join(path, "_delta_log", "0.json"), "w") as fh:
+        fh.write("{}")
+    assert write_once(spark.range(1), path) is False
+    assert os.path.exists(os.path.join(path, "_delta_log", "0.json"))
+
+
+def test_empty_folder_and_single_file_count_as_present(spark, tmp_dir):
+    folder, file = os.path.join(tmp_dir, "empty"), os.path.join(tmp_dir, "one.parquet")
+    os.makedirs(folder)
+    open(file, "w").close()
+    assert write_once(spark.range(1), folder) is False and write_once(spark.range(1), file) is False
+    assert os.listdir(folder) == []
+
+
+def test_an_unfinished_write_of_another_tool_is_refused(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "half")
+    os.makedirs(os.path.join(path, "_temporary", "0"))
+    with pytest.raises(FileExistsError):
+        write_once(spark.range(1), path)
+    assert os.path.isdir(os.path.join(path, "_temporary", "0"))
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "failing")
+    with pytest.raises(Exception, match="no such luck"):
+        write_once(spark.range(3).select(F.raise_error(F.lit("no such luck")).alias("x")), path)
+    assert os.listdir(tmp_dir) == []
+    assert write_once(spark.range(3), path) is True and spark.read.parquet(path).count() == 3
+    assert os.listdir(tmp_dir) == ["failing"]
+
+
+def test_a_killed_writer_holds_its_claim_until_released(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "claimed")
+    assert writers._create_new(spark, path + ".odx-claim", "dead")  # a job that never came back
+    os.makedirs(path + ".odx-stage-dead")
+    with pytest.raises(WriteInProgress):
+        write_once(spark.range(3), path)
+    assert release_claim(spark, path) is True and release_claim(spark, path) is False
+    assert os.listdir(tmp_dir) == []
+    assert write_once(spark.range(3).withColumn("x", F.lit(1)), path, partition_by=["id"]) is True
+
+
+def test_two_writers_give_one_dataset(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "race")
+    start, results = threading.Barrier(4), []
+
+    def job(n):
+        start.wait()
+        try:
+            results.append((write_once(spark.range(n).withColumn("by", F.lit(n)), path), n))
+        except WriteInProgress:
+            results.append((False, n))
+
+    threads = [threading.Thread(target=job, args=(n,)) for n in (10, 20, 30, 40)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    winners = [n for wrote, n in results if wrote]
+    assert len(results) == 4 and len(winners) == 1
+    rows = spark.read.parquet(path)
+    assert rows.count() == winners[0] and {r.by for r in rows.select("by").distinct().collect()} == set(winners)
+    assert os.listdir(tmp_dir) == ["race"]
+
+
+@pytest.fixture()
+def gold(spark):
+    name = "odx_commit_gold"
+    yield name
+    for t in (name, name + "__odx_aside", name + "__odx_fresh"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_save_gold_replaces_and_may_read_itself(spark, gold):
+    save_gold(spark.range(3), gold)
+    save_gold(spark.range(5), gold)
+    assert spark.table(gold).count() == 5
+    save_gold(spark.table(gold).filter("id > 1"), gold)
+    assert sorted(r.id for r in spark.table(gold).collect()) == [2, 3, 4]
+
+
+def test_a_writer_killed_mid_write_leaves_the_old_table(spark, gold):
+    save_gold(spark.range(3), gold)
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("cut")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="cut"):
+        save_gold(broken, gold)
+    assert spark.table(gold).count() == 3
+
+
+def test_a_writer_killed_before_the_switch_leaves_the_old_table(spark, gold, monkeypatch):
+    save_gold(spark.range(3), gold)
+    with monkeypatch.context() as m:
+        m.setattr(writers, "_location", killed)
+        with pytest.raises(Killed):
+            save_gold(spark.range(7), gold)
+    assert spark.table(gold).count() == 3
+    save_gold(spark.range(7), gold)
+    assert spark.table(gold).count() == 7
+
+
+def test_readers_of_the_old_version_finish_on_it(spark, gold):
+    save_gold(spark.range(3), gold)
+    before = spark.table(gold)
+    save_gold(spark.range(8), gold)
+    assert before.count() == 3 and spark.table(gold).count() == 8
+
+
+def test_partitioned_tables_switch_whole(spark, gold):
+    days = spark.range(6).withColumn("day", F.col("id") % 3)
+    save_gold(days, gold, partition_by=["day"])
+    save_gold(days.filter("day < 2").withColumn("id", F.col("id") + 100), gold, partition_by=["day"])
+    rows = {(r.id, r.day) for r in spark.table(gold).collect()}
+    assert rows == {(100, 0), (101, 1), (103, 0), (104, 1)}
+    assert spark.table(gold).filter("day = 1").count() == 2
+
+
+def test_other_columns_replace_by_renames_and_recover(spark, gold):
+    save_gold(spark.range(3), gold)
+    save_gold(spark.range(4).withColumn("more", F.lit("x")), gold)
+    assert spark.table(gold).columns == ["id", "more"] and spark.table(gold).count() == 4
+    spark.sql(f"ALTER TABLE {gold} RENAME TO {gold}__odx_aside")  # cut off between the renames
+    assert recover_gold(spark, gold) is True and recover_gold(spark, gold) is False
+    assert spark.table(gold).count() == 4
+
+
+def test_a_managed_table_is_taken_over(spark, gold):
+    spark.range(2).write.saveAsTable(gold)
+    save_gold(spark.range(6), gold)
+    save_gold(spark.range(7), gold)
+    assert spark.table(gold).count() == 7
+
+
+def test_vacuum_keeps_the_current_version(spark, gold):
+    for n in (1, 2, 3, 4):
+        save_gold(spark.range(n), gold)
+    assert vacuum_gold(spark, gold, keep=1) >= 2
+    assert spark.table(gold).count() == 4
+    assert vacuum_gold(spark, gold, keep=0) == 1 and vacuum_gold(spark, gold, keep=0) == 0
+    assert spark.table(gold).count() == 4
+
+
+def test_write_overwrite_is_plain(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "plain")
+    write_overwrite(spark.range(3), path)
+    write_overwrite(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2

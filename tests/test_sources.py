@@ -12,7 +12,6 @@ from odometrix.sources import (
     hourly_spine,
     hourly_spine_for,
     read_sensor_json,
-    save_gold,
     write_once,
     write_sensor_json,
 )
@@ -94,13 +93,6 @@ def test_write_once_keeps_existing_data(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_save_gold_replaces(spark):
-    save_gold(spark.range(3), "odx_test_gold")
-    save_gold(spark.range(5), "odx_test_gold")
-    assert spark.table("odx_test_gold").count() == 5
-    spark.sql("DROP TABLE odx_test_gold")
-
-
 def test_write_sensor_json_layout_and_roundtrip(spark, tmp_dir):
     rows = [("V00001", dt.datetime(2024, 3, 1, h), float(h)) for h in range(5, 13)]
     rows += [("V00002", dt.datetime(2024, 3, 2, 7), 1.0)]
@@ -215,20 +207,6 @@ def test_load_table_accepts_paths_and_uris(spark, tmp_dir):
     assert load_table(spark, tmp_dir, "t").count() == 3
 
 
-def test_write_once_replaces_an_interrupted_write(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "half")
-    os.makedirs(os.path.join(path, "_temporary", "0"))
-    with open(os.path.join(path, "_temporary", "0", "part-garbage"), "w") as fh:
-        fh.write("not parquet")
-    assert write_once(spark.range(4), path) is True
-    assert spark.read.parquet(path).count() == 4
-    assert write_once(spark.range(9), path) is False
-    assert spark.read.parquet(path).count() == 4
-    empty = os.path.join(tmp_dir, "empty")
-    assert write_once(spark.range(0), empty) is True
-    assert write_once(spark.range(5), empty) is False  # an empty committed dataset is present
-
-
 def test_register_tables_for_sql(spark):
     from odometrix.sources import register_tables
 
