@@ -1,3 +1,5 @@
+from odometrix.operators.asof import asof_join
+from odometrix.operators.incremental import DailyPartials, merge_moments, moments, profile_of
 from odometrix.operators.ingest import (
     flatten_tires,
     to_silver_environment,
@@ -31,26 +33,40 @@ from odometrix.operators.rules import (
     range_fault_counts,
     range_faults,
 )
-from odometrix.operators.scan import prefix_scan
-from odometrix.operators.series import clamped_running_total, last_per_period, running_total
+from odometrix.operators.scan import prefix_scan, previous_values
+from odometrix.operators.series import (
+    clamped_running_total,
+    distance_travelled,
+    last_per_period,
+    opening_values,
+    running_total,
+)
 
 __all__ = [
     "NOMINAL_RANGES",
+    "DailyPartials",
     "FlagRule",
     "abnormalities_by_tag",
     "apply_tag_rules",
+    "asof_join",
     "breakdown_logs",
     "breakdowns_by_label",
     "clamped_running_total",
     "deviation_flags",
     "deviation_profile",
+    "distance_travelled",
     "engine_temp_flags",
     "event_count_by_key",
     "flagged_readings_with_tags",
     "flatten_tires",
     "last_per_period",
+    "merge_moments",
+    "moments",
+    "opening_values",
     "prefix_scan",
+    "previous_values",
     "profile_and_counts",
+    "profile_of",
     "range_fault_counts",
     "range_faults",
     "readings_for",

@@ -30,7 +30,7 @@ have no quantiles (text, for one) are never split.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ from odometrix.session import planned_partitions
 PREFIX_SUM = "_odx_sum"
 PREFIX_MIN = "_odx_min"
 _DELTA, _BLOCK, _BOUNDS, _COARSE = "_odx_d", "_odx_blk", "_odx_bounds", "_odx_coarse"
-_SPLIT = "_odx_split"
+_SPLIT, _SEEN = "_odx_split", "_odx_seen"
 _OFF_SUM, _OFF_MIN = "_odx_osum", "_odx_omin"
 
 METHODS = ("auto", "split", "window")
@@ -90,14 +90,7 @@ def prefix_scan(
     if method == "window" or not isinstance(df.schema[order].dataType, _SPLITTABLE):
         return _scanned(base, keys, order, tiebreak, with_min).drop(_DELTA)
 
-    # Bounded tables by design, except where every key is split on request.
-    small = F.broadcast if method == "auto" else (lambda table: table)
-    bounds = _bounds(base, keys, order, method, num_blocks)
-    blocked = base.join(small(bounds), _same(base, bounds, keys, "_odx_hk_"), "left").withColumn(
-        _BLOCK, _block(F.col(order))
-    )
-    blocked = blocked.withColumn(_SPLIT, F.col(_BOUNDS).isNotNull())
-    blocked = blocked.drop(_BOUNDS, _COARSE, *[f"_odx_hk_{k}" for k in keys])
+    blocked, small = _blocked(base, keys, order, method, num_blocks)
 
     total = T.LongType() if isinstance(kind, T.LongType) else base.agg(F.sum(_DELTA)).schema[0].dataType
     if isinstance(kind, T.LongType):
@@ -120,6 +113,85 @@ def prefix_scan(
     return out.drop(_DELTA, _BLOCK, _SPLIT, "_odx_oblk", _OFF_SUM, _OFF_MIN, *[f"_odx_ok_{k}" for k in keys])
 
 
+def previous_values(
+    df: DataFrame,
+    key: str | Sequence[str],
+    order: str,
+    values: Mapping[str, Column | str],
+    *,
+    tiebreak: str | None = None,
+    skip_nulls: bool = False,
+    method: str = "auto",
+    num_blocks: int | None = None,
+) -> DataFrame:
+    """``df`` plus, for each name in ``values``, that expression's value in the row
+    before of the same key in ``(order, tiebreak)`` order, NULL in a key's first
+    row; with ``skip_nulls`` the last value that is not NULL in any row before
+    (a carry). Rows come back in no particular order.
+
+    Keys are spread as in :func:`prefix_scan`. Inside a block this is a window;
+    across the edge of two blocks of a hot key the last value of each block is
+    exchanged: one row a block. A NULL ``order`` comes first."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    keys = [key] if isinstance(key, str) else list(key)
+    own = {n: f"_odx_own_{i}" for i, n in enumerate(values)}
+    base = df.withColumns({own[n]: F.col(e) if isinstance(e, str) else e for n, e in values.items()})
+    if method == "window" or not isinstance(df.schema[order].dataType, _SPLITTABLE):
+        return _before(base, keys, order, tiebreak, own, skip_nulls).drop(_SEEN, *own.values())
+
+    blocked, small = _blocked(base, keys, order, method, num_blocks)
+    rows = _before(blocked, [*keys, _BLOCK], order, tiebreak, own, skip_nulls)
+    place = F.struct(order, *([tiebreak] if tiebreak else []))
+    lasts = blocked.filter(F.col(_SPLIT)).groupBy(*keys, _BLOCK).agg(
+        *[
+            F.max_by(c, F.when(F.col(c).isNotNull(), place) if skip_nulls else place).alias(f"{c}_last")
+            for c in own.values()
+        ]
+    )
+    w = Window.partitionBy(*keys).orderBy(_BLOCK)
+    edges = lasts.select(
+        F.col(_BLOCK).alias("_odx_oblk"),
+        *[F.col(k).alias(f"_odx_ok_{k}") for k in keys],
+        *[
+            (F.last(f"{c}_last", True).over(w.rowsBetween(Window.unboundedPreceding, -1)) if skip_nulls
+             else F.lag(f"{c}_last").over(w)).alias(f"{c}_edge")
+            for c in own.values()
+        ],
+    )
+    on = [rows[_BLOCK] == edges["_odx_oblk"], *_same(rows, edges, keys, "_odx_ok_")]
+    out = rows.join(small(edges), on, "left")
+    for name, c in own.items():
+        if skip_nulls:
+            out = out.withColumn(name, F.coalesce(name, f"{c}_edge"))
+        else:
+            out = out.withColumn(name, F.when(F.col(_SEEN), F.col(name)).otherwise(F.col(f"{c}_edge")))
+    dropped = [x for c in own.values() for x in (c, f"{c}_edge")]
+    return out.drop(_BLOCK, _SPLIT, _SEEN, "_odx_oblk", *dropped, *[f"_odx_ok_{k}" for k in keys])
+
+
+def _before(base: DataFrame, keys, order, tiebreak, own, skip_nulls) -> DataFrame:
+    """Values of the rows before inside the window ``keys``; ``_odx_seen`` where
+    there is a row before."""
+    w = Window.partitionBy(*keys).orderBy(order, *([tiebreak] if tiebreak else []))
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    found = {n: F.last(c, True).over(earlier) if skip_nulls else F.lag(c).over(w) for n, c in own.items()}
+    return base.withColumns({**found, _SEEN: F.lag(F.lit(True), 1, False).over(w)})
+
+
+def _blocked(base: DataFrame, keys, order, method, num_blocks):
+    """``base`` with the block of each row and whether its key is split, and how
+    to mark a table with a row per block for the join back: broadcast, as hot
+    keys have few blocks, except where every key is split on request."""
+    small = F.broadcast if method == "auto" else (lambda table: table)
+    bounds = _bounds(base, keys, order, method, num_blocks)
+    blocked = base.join(small(bounds), _same(base, bounds, keys, "_odx_hk_"), "left").withColumn(
+        _BLOCK, _block(F.col(order))
+    )
+    blocked = blocked.withColumn(_SPLIT, F.col(_BOUNDS).isNotNull())
+    return blocked.drop(_BOUNDS, _COARSE, *[f"_odx_hk_{k}" for k in keys]), small
+
+
 def _scanned(base: DataFrame, keys, order, tiebreak, with_min) -> DataFrame:
     w = (
         Window.partitionBy(*keys)

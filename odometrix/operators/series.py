@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odometrix.functions.columns import as_timestamp, truncate_time
-from odometrix.operators.scan import PREFIX_MIN, PREFIX_SUM, prefix_scan
+from odometrix.operators.scan import PREFIX_MIN, PREFIX_SUM, prefix_scan, previous_values
 
 
 def _start(start: float | int | str | Column) -> Column:
@@ -112,3 +112,91 @@ def last_per_period(
     if last_ts_name:
         aggs.append(F.max(t).alias(last_ts_name))
     return df.groupBy(*keys, bucket.alias(period_name)).agg(*aggs)
+
+
+def opening_values(
+    df: DataFrame,
+    key: str | Sequence[str],
+    ts: str,
+    values: Sequence[str],
+    *,
+    period: str = "day",
+    tiebreak: str | None = None,
+    num_blocks: int | None = None,
+    method: str = "auto",
+) -> DataFrame:
+    """W3, the carry: one row per key and period from the key's first to its last
+    reading, periods without readings included.
+
+    ``opening_<v>``: the last value of ``v`` that is not NULL in any earlier period
+    (NULL at the start); ``closing_<v>``: the last one in the period, or the
+    opening value where there is none; ``n_readings``. Readings without a time
+    belong to no period.
+
+    Readings shrink to one row per key and period first, by partial aggregation.
+    The carry over these is a scan that splits hot keys; a gap's rows are made
+    from the row behind it, where there is a gap."""
+    if period not in _PERIODS:
+        raise ValueError(f"period must be one of {sorted(_PERIODS)}")
+    keys = [key] if isinstance(key, str) else list(key)
+    t = as_timestamp(df, ts)
+    bucket = F.to_date(t) if period == "day" else truncate_time(df, ts, period)
+    place = F.struct(t, F.col(tiebreak)) if tiebreak else t
+    periods = (
+        df.filter(t.isNotNull())
+        .groupBy(*keys, bucket.alias(period))
+        .agg(
+            *[F.max_by(v, F.when(F.col(v).isNotNull(), place)).alias(f"_odx_last_{v}") for v in values],
+            F.count(F.lit(1)).alias("n_readings"),
+        )
+    )
+    wanted = {f"opening_{v}": f"_odx_last_{v}" for v in values} | {"_odx_before": period}
+    carried = previous_values(
+        periods, keys, period, wanted, skip_nulls=True, num_blocks=num_blocks, method=method
+    )
+    step = F.expr(f"interval 1 {period}")
+    gap = F.sequence(F.col("_odx_before") + step, F.col(period), step)
+    every = F.when(F.col("_odx_before").isNotNull(), gap).otherwise(F.array(period))
+    rows = carried.withColumn("_odx_period", F.explode(every))
+    real = F.col("_odx_period") == F.col(period)
+    return rows.select(
+        *keys,
+        F.col("_odx_period").cast(periods.schema[period].dataType).alias(period),
+        *[f"opening_{v}" for v in values],
+        *[
+            F.coalesce(F.when(real, F.col(f"_odx_last_{v}")), F.col(f"opening_{v}")).alias(f"closing_{v}")
+            for v in values
+        ],
+        F.when(real, F.col("n_readings")).otherwise(0).alias("n_readings"),
+    )
+
+
+def distance_travelled(
+    df: DataFrame,
+    key: str | Sequence[str],
+    order: str,
+    measure: str | Column,
+    *,
+    tiebreak: str | None = None,
+    name: str = "distance",
+    num_blocks: int | None = None,
+    method: str = "auto",
+) -> DataFrame:
+    """G7, reset-aware: per key the way a counter has gone, where it may be set
+    back to zero, and ``n_resets``. A reading below the one before counts from
+    zero; the first reading only starts the count; NULL readings are passed over.
+
+    Unlike ``max - min`` this needs each reading's predecessor, also across the
+    block edges of a split hot key."""
+    keys = [key] if isinstance(key, str) else list(key)
+    m = F.col(measure) if isinstance(measure, str) else measure
+    slim = df.select(*keys, order, *([tiebreak] if tiebreak else []), m.alias("_odx_measure"))
+    rows = previous_values(
+        slim, keys, order, {"_odx_prev": "_odx_measure"}, tiebreak=tiebreak, skip_nulls=True,
+        num_blocks=num_blocks, method=method,
+    )
+    here, before = F.col("_odx_measure"), F.col("_odx_prev")
+    way = F.when(here >= before, here - before).when(here < before, here)
+    return rows.groupBy(*keys).agg(
+        F.coalesce(F.sum(way), F.lit(0)).alias(name), F.count_if(here < before).alias("n_resets")
+    )

@@ -23,6 +23,7 @@ values, not summation order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,11 +33,14 @@ from odometrix.functions.columns import (
     clamp_min,
     format_id,
     hour_of,
+    make_label,
     round_half_even,
     shift_date,
     shift_time,
     timestamp_text,
 )
+from odometrix.operators.asof import asof_join
+from odometrix.operators.incremental import DailyPartials, moments, profile_of
 from odometrix.operators.ingest import to_silver_sensor
 from odometrix.operators.profile import (
     FlagRule,
@@ -59,10 +63,18 @@ from odometrix.operators.reports import (
     usage_range_by_key,
 )
 from odometrix.operators.rules import apply_tag_rules, range_fault_counts, range_faults
-from odometrix.operators.series import clamped_running_total, last_per_period, running_total
+from odometrix.operators.series import (
+    clamped_running_total,
+    distance_travelled,
+    last_per_period,
+    opening_values,
+    running_total,
+)
+from odometrix.session import shared_dir
 from odometrix.sources.catalog import with_vehicle_type
 from odometrix.sources.spine import hourly_spine_for
 from odometrix.sources.tables import load_table
+from odometrix.sources.writers import save_gold, write_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +92,7 @@ TIES_OVER_NULLS = 24  # of 25 brands, some of which have no part of the largest
 SPLIT_BLOCKS = 7  # every key's running total cut into this many blocks
 SALT_FAN_OUT = 100_000  # makes every user hot in the profile join
 LINE_METRICS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+STALENESS = 6 * 3600  # seconds for which an hour's weather holds
 LINE_K = 1.5  # uniform measures never pass 3 sigma; 1.5 flags a share of them
 
 
@@ -428,6 +441,119 @@ def q_last_per_period(spark: SparkSession, d: str) -> DataFrame:
     return last_per_period(_events(spark, d), "user_id", "ts", ["value"], last_ts_name="last_ts")
 
 
+# --- W3 carry, G7 with resets, J2 as of ------------------------------------------
+
+
+def q_opening_values(spark: SparkSession, d: str, **kw) -> DataFrame:
+    return opening_values(_events(spark, d), "user_id", "ts", ["value"], **kw)
+
+
+def q_opening_values_split(spark: SparkSession, d: str) -> DataFrame:
+    return q_opening_values(spark, d, method="split", num_blocks=SPLIT_BLOCKS)
+
+
+def q_distance_travelled(spark: SparkSession, d: str, **kw) -> DataFrame:
+    cents = F.round(F.col("value") * 100).cast("long")
+    return distance_travelled(
+        _events(spark, d), "user_id", "ts", cents, tiebreak="event_id", name="cents", **kw
+    )
+
+
+def q_distance_travelled_split(spark: SparkSession, d: str) -> DataFrame:
+    return q_distance_travelled(spark, d, method="split", num_blocks=SPLIT_BLOCKS)
+
+
+def q_asof_weather(spark: SparkSession, d: str, **kw) -> DataFrame:
+    """Every view with the last hourly weather (made of the rarer errors, so that
+    hours are missing) of the last six hours."""
+    ev = _events(spark, d)
+    errors = ev.filter(F.col("event_type") == "error")
+    weather = errors.groupBy(hour_of(errors, "ts").alias("hour")).agg(r(F.avg("value")).alias("mean_error"))
+    views = ev.filter(F.col("event_type") == "view").select("event_id", "ts")
+    return asof_join(views, weather, "ts", "hour", ["mean_error"], tolerance=STALENESS, as_of="hour", **kw)
+
+
+def q_asof_weather_salted(spark: SparkSession, d: str) -> DataFrame:
+    return q_asof_weather(spark, d, partitions=SALT_FAN_OUT)
+
+
+# --- Q5a, Q1, Q3 kept up to date; K2, K3 ------------------------------------------
+
+
+def _scratch(spark: SparkSession, label: str) -> str:
+    return f"{shared_dir(spark)}/odometrix/{label}-{uuid.uuid4().hex}"
+
+
+def _with_late_days(store: DailyPartials, rows: DataFrame, late: Column, partials: Callable) -> None:
+    """First what came in time; then the days of the late rows, each read whole."""
+    store.replace(partials(rows.filter(~late)))
+    days = rows.filter(late).select(store.day).distinct()
+    store.replace(partials(rows.join(days, store.day, "left_semi")))
+
+
+def q_profile_from_states(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).withColumn("day", F.to_date("ts"))
+    store = DailyPartials(spark, _scratch(spark, "moments"), ["user_id"], {"value": "moments"})
+    _with_late_days(
+        store, ev, F.col("event_type") == "error", lambda rows: moments(rows, ["user_id", "day"], ["value"])
+    )
+    prof = profile_of(store.merged(), ["user_id"], ["value"])
+    return prof.select("user_id", r("mean_value").alias("mean_value"), r("std_value").alias("std_value"))
+
+
+def q_incremental_breakdowns(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per part and month of shipping; parts get their labels at the end."""
+    log = load_table(spark, d, "lineitem").filter(F.col("l_returnflag") == "R").select(
+        F.col("l_partkey").alias("partkey"), "l_linenumber", F.trunc(F.to_date("l_shipdate"), "month").alias("day")
+    )
+    store = DailyPartials(spark, _scratch(spark, "breakdowns"), ["partkey"], {"n": "sum"})
+    _with_late_days(
+        store, log, F.col("l_linenumber") == 1,
+        lambda rows: rows.groupBy("partkey", "day").agg(F.count(F.lit(1)).alias("n")),
+    )
+    part = load_table(spark, d, "part").select(
+        F.col("p_partkey").alias("partkey"), make_label("p_brand", "p_type").alias("brand_type")
+    )
+    labelled = store.merged().join(part, "partkey")
+    return labelled.groupBy("brand_type").agg(F.sum("n").alias("breakdown_count"))
+
+
+def q_incremental_usage(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).withColumn("day", F.to_date("ts"))
+    store = DailyPartials(
+        spark, _scratch(spark, "usage"), ["user_id"], {"repairs": "sum", "low": "min", "high": "max"}
+    )
+    _with_late_days(
+        store, ev, F.col("event_type") == "purchase",
+        lambda rows: rows.groupBy("user_id", "day").agg(
+            F.count_if(F.col("event_type").isin(*REPAIR_EVENTS)).alias("repairs"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+        ),
+    )
+    return store.merged().filter("repairs > 0").select(
+        "user_id",
+        F.col("repairs").alias("num_of_repairs"),
+        (F.col("high") - F.col("low")).cast("int").alias("value_diff"),
+    )
+
+
+def q_save_gold_twice(spark: SparkSession, d: str) -> DataFrame:
+    """A named table, saved with the large parts' counts, then replaced by all."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS odx_check LOCATION '{shared_dir(spark)}/odometrix/odx_check'")
+    name = f"odx_check.breakdowns_{uuid.uuid4().hex}"
+    save_gold(q_breakdowns_by_label_where(spark, d), name)
+    save_gold(q_breakdowns_by_label(spark, d), name)
+    return spark.table(name)
+
+
+def q_write_once_first_wins(spark: SparkSession, d: str) -> DataFrame:
+    path = _scratch(spark, "once")
+    write_once(q_breakdowns_by_label(spark, d), path)
+    write_once(q_breakdowns_by_label_where(spark, d), path)
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Query] = {
     "breakdowns_by_label": q_breakdowns_by_label,
     "breakdowns_by_label_where": q_breakdowns_by_label_where,
@@ -463,4 +589,15 @@ QUERIES: dict[str, Query] = {
     "hourly_flags_from_text": q_hourly_flags_from_text,
     "scalar_rules": q_scalar_rules,
     "vehicle_type_lookup": q_vehicle_type_lookup,
+    "opening_values": q_opening_values,
+    "opening_values_split": q_opening_values_split,
+    "distance_travelled": q_distance_travelled,
+    "distance_travelled_split": q_distance_travelled_split,
+    "asof_weather": q_asof_weather,
+    "asof_weather_salted": q_asof_weather_salted,
+    "profile_from_states": q_profile_from_states,
+    "incremental_breakdowns": q_incremental_breakdowns,
+    "incremental_usage": q_incremental_usage,
+    "save_gold_twice": q_save_gold_twice,
+    "write_once_first_wins": q_write_once_first_wins,
 }

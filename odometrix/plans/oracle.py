@@ -18,6 +18,7 @@ from odometrix.plans.driver_tables import (
     REPAIR_EVENTS,
     RUNNING_START,
     SPOT_USER,
+    STALENESS,
     TAG_RULES,
     TIES_OVER_NULLS,
     TOP_N,
@@ -280,3 +281,45 @@ FROM part p LEFT JOIN (
   GROUP BY p_brand, p_type) c ON p.p_brand = c.p_brand AND p.p_type = c.p_type
 """,
 }
+
+_BEFORE = "OVER (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+ORACLE_SQL |= {
+    "opening_values": f"""
+WITH p AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, arg_max(value, ts) AS last_value, count(*) AS n
+  FROM events GROUP BY user_id, CAST(ts AS DATE)
+), spine AS (
+  SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM p GROUP BY user_id
+), o AS (
+  SELECT s.user_id, s.day, p.last_value, coalesce(p.n, 0) AS n_readings,
+         last_value(p.last_value IGNORE NULLS) {_BEFORE.replace("day ROWS", "s.day ROWS").replace("BY user_id", "BY s.user_id")} AS opening_value
+  FROM spine s LEFT JOIN p ON p.user_id = s.user_id AND p.day = s.day
+)
+SELECT user_id, day, opening_value, coalesce(last_value, opening_value) AS closing_value, n_readings FROM o
+""",
+    "distance_travelled": """
+SELECT user_id, CAST(coalesce(sum(CASE WHEN m >= prev THEN m - prev WHEN m < prev THEN m END), 0) AS BIGINT) AS cents,
+       count(*) FILTER (m < prev) AS n_resets
+FROM (SELECT user_id, m, lag(m) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+      FROM (SELECT user_id, ts, event_id, CAST(round(value * 100) AS BIGINT) AS m FROM events) e) x
+GROUP BY user_id
+""",
+    "asof_weather": f"""
+SELECT v.event_id, v.ts,
+       CASE WHEN v.ts - w.hour <= INTERVAL {STALENESS} SECOND THEN w.mean_error END AS mean_error,
+       CASE WHEN v.ts - w.hour <= INTERVAL {STALENESS} SECOND THEN w.hour END AS hour
+FROM (SELECT event_id, ts FROM events WHERE event_type = 'view') v
+ASOF LEFT JOIN (SELECT {HOUR} AS hour, {r("avg(value)")} AS mean_error
+                FROM events WHERE event_type = 'error' GROUP BY {HOUR}) w ON v.ts >= w.hour
+""",
+    "profile_from_states": ORACLE_SQL["deviation_profile"],
+    "incremental_breakdowns": BREAKDOWNS,
+    "incremental_usage": ORACLE_SQL["repairs_vs_usage"],
+    "save_gold_twice": BREAKDOWNS,
+    "write_once_first_wins": BREAKDOWNS,
+}
+ORACLE_SQL["opening_values_split"] = ORACLE_SQL["opening_values"]
+ORACLE_SQL["distance_travelled_split"] = ORACLE_SQL["distance_travelled"]
+ORACLE_SQL["asof_weather_salted"] = ORACLE_SQL["asof_weather"]

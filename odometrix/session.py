@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -62,3 +64,16 @@ def planned_partitions(spark: SparkSession) -> int:
     if initial not in (None, "", "None"):
         n = max(n, int(initial))
     return max(1, n)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where
+    it is unset a session on one machine gets a temporary folder; a cluster must
+    name one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = tempfile.mkdtemp(prefix="odometrix-shared-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base
