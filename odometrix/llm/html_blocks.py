@@ -4,15 +4,19 @@ A page is cut into flat text blocks at block-level tags. Each block has its
 words and link density (share of its words inside links), those of its
 neighbours, the zone it stands in (article, page furniture, or neither, from
 its ancestors' tags, roles and class or id words) and whether the page marks an
-article at all. A decision tree (CART, Gini) trained on the small labelled table
-``LABELLED`` tells main text from the rest.
+article at all. A decision tree (CART, Gini) trained on the small labelled tables
+``LABELLED`` and ``LABELLED_PAGES`` tells main text from the rest. Furniture by tag
+or name (menus, headers, footers, asides, notices, forms, comments) is never main
+text, however long; beside a marked article no other text is. On pages that mark
+none, words and link densities of a block and its neighbours decide.
 
 Pages are independent rows, handled one at a time inside Arrow batches; nothing
 is shuffled and no html is cut.
 
 Defined results: null or empty html gives the empty text; broken markup never
 fails (unclosed tags end with the page, an unfinished tag at the end is
-dropped); repeated pages give repeated rows; other columns are ignored.
+dropped); repeated pages give repeated rows; an empty table gives none; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ _TOKEN = re.compile(
 )
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW.split("|")}
 _RAW_TO_END = frozenset(("script", "style", "title"))  # without an end tag, these take the rest of the page
+_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # Tags that run on inside a block; every other tag ends the block.
@@ -73,10 +78,11 @@ PLAIN_WORDS = frozenset(
 # Kinds of class furniture: an article tag inside lifts the first one only.
 WEAK, LIFTED, FIXED = 0, 1, 2
 
-FEATURES = ("words", "link_density", "prev_words", "prev_link_density", "next_words", "next_link_density",
-            "zone", "page_has_article")
+FEATURES = ("words", "link_density", "prev_words", "prev_link_density", "next_words", "next_link_density", "place")
 
-# Labelled table: FEATURES, then 1 for main text. Zone 0 neither, 1 article, 2 furniture.
+# Labelled table: words and link density of a block, the one before and the next,
+# its zone (0 neither, 1 article, 2 furniture), whether the page has an article,
+# then 1 for main text.
 LABELLED = (
     # pages that mark an article: its blocks, short or long, linked or not
     (9, 0.0, 4, 0.0, 60, 0.0, 1, 1, 1), (62, 0.0, 9, 0.0, 48, 0.02, 1, 1, 1), (48, 0.02, 62, 0.0, 3, 0.0, 1, 1, 1),
@@ -103,7 +109,7 @@ LABELLED = (
     # pages that mark nothing: links, labels, short lines among links
     (1, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0), (3, 1.0, 2, 1.0, 9, 0.0, 0, 0, 0),
     (25, 0.8, 4, 0.0, 5, 1.0, 0, 0, 0), (12, 0.7, 60, 0.0, 3, 1.0, 0, 0, 0), (5, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0),
-    (4, 0.0, 2, 1.0, 6, 0.0, 0, 0, 0), (6, 0.0, 28, 0.0, 0, 0.0, 0, 0, 0), (9, 0.4, 40, 0.0, 3, 1.0, 0, 0, 0),
+    (4, 0.0, 2, 1.0, 2, 0.0, 0, 0, 0), (6, 0.0, 28, 0.0, 0, 0.0, 0, 0, 0), (9, 0.4, 40, 0.0, 3, 1.0, 0, 0, 0),
     (40, 0.6, 6, 1.0, 50, 0.7, 0, 0, 0), (3, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0), (2, 0.0, 6, 0.5, 4, 0.0, 0, 0, 0),
     (2, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0), (6, 0.9, 3, 1.0, 55, 0.0, 0, 0, 0), (3, 1.0, 30, 0.0, 40, 0.0, 0, 0, 0),
     # link lists inside an article: contents, tags, shares, further reading
@@ -117,13 +123,12 @@ LABELLED = (
     (10, 0.0, 22, 0.0, 14, 0.0, 1, 1, 1), (14, 0.1, 5, 0.0, 33, 0.0, 1, 1, 1), (52, 0.0, 31, 0.0, 18, 0.0, 1, 1, 1),
     (5, 0.0, 3, 0.0, 90, 0.0, 2, 1, 0), (16, 0.0, 8, 0.0, 110, 0.0, 2, 1, 0), (1, 1.0, 2, 1.0, 95, 0.0, 2, 1, 0),
     (30, 0.0, 14, 0.0, 70, 0.0, 2, 0, 0), (9, 0.0, 88, 0.0, 92, 0.0, 2, 1, 0), (20, 0.0, 100, 0.0, 75, 0.0, 2, 0, 0),
-    # running text beside a marked article, between running text
-    (85, 0.0, 90, 0.0, 76, 0.02, 0, 1, 1), (110, 0.03, 74, 0.0, 95, 0.0, 0, 1, 1), (72, 0.0, 78, 0.0, 81, 0.0, 0, 1, 1),
-    (96, 0.0, 110, 0.03, 84, 0.0, 0, 1, 1), (130, 0.05, 88, 0.0, 120, 0.0, 0, 1, 1),
+    # blocks beside a marked article, however long
+    (85, 0.0, 90, 0.0, 76, 0.02, 0, 1, 0), (110, 0.03, 74, 0.0, 95, 0.0, 0, 1, 0), (130, 0.05, 88, 0.0, 120, 0.0, 0, 1, 0),
     (40, 0.0, 12, 0.0, 0, 0.0, 0, 1, 0), (60, 0.0, 30, 0.0, 2, 1.0, 0, 1, 0),
-    # running text in what its names call furniture, between running text
-    (140, 0.0, 120, 0.0, 95, 0.02, 2, 1, 1), (95, 0.02, 140, 0.0, 130, 0.0, 2, 1, 1), (118, 0.0, 95, 0.02, 104, 0.0, 2, 1, 1),
-    (104, 0.0, 118, 0.0, 99, 0.0, 2, 0, 1), (150, 0.03, 104, 0.0, 125, 0.0, 2, 0, 1), (108, 0.0, 97, 0.0, 150, 0.03, 2, 0, 1),
+    # long furniture: comments, asides, footers, notices and forms in paragraphs
+    (140, 0.0, 120, 0.0, 95, 0.02, 2, 1, 0), (95, 0.02, 140, 0.0, 130, 0.0, 2, 1, 0), (300, 0.0, 200, 0.0, 250, 0.0, 2, 1, 0),
+    (104, 0.0, 118, 0.0, 99, 0.0, 2, 0, 0), (150, 0.03, 104, 0.0, 125, 0.0, 2, 0, 0), (250, 0.0, 60, 0.0, 0, 0.0, 2, 0, 0),
     # short furniture and labels after or between running text
     (6, 0.0, 140, 0.0, 9, 0.0, 2, 1, 0), (14, 0.0, 120, 0.0, 3, 1.0, 2, 1, 0), (22, 0.2, 95, 0.0, 18, 0.0, 2, 1, 0),
     (12, 0.0, 85, 0.0, 100, 0.0, 2, 1, 0), (3, 1.0, 130, 0.0, 2, 1.0, 2, 0, 0), (25, 0.0, 110, 0.0, 6, 0.0, 2, 0, 0),
@@ -137,13 +142,59 @@ LABELLED = (
     (15, 0.6, 22, 0.0, 9, 0.0, 1, 1, 1), (1, 1.0, 7, 0.0, 5, 0.0, 1, 1, 1), (4, 1.0, 12, 0.0, 0, 0.0, 1, 1, 1),
     (6, 1.0, 9, 0.2, 11, 0.0, 1, 1, 1), (9, 0.7, 3, 0.0, 2, 0.0, 1, 1, 1),
     (2, 1.0, 90, 0.0, 85, 0.0, 1, 1, 1), (12, 1.0, 70, 0.1, 64, 0.0, 1, 1, 1), (4, 0.0, 110, 0.0, 90, 0.0, 1, 1, 1),
+    # text of an article between its short lines
+    (20, 0.0, 6, 0.0, 3, 0.0, 1, 1, 1), (12, 0.0, 4, 0.0, 0, 0.0, 1, 1, 1), (25, 0.0, 3, 0.0, 5, 0.0, 1, 1, 1),
+    (15, 0.0, 8, 0.0, 1, 0.0, 1, 1, 1), (28, 0.0, 1, 0.0, 2, 0.0, 1, 1, 1), (11, 0.0, 2, 0.0, 4, 0.0, 1, 1, 1),
+    (20, 0.0, 3, 1.0, 3, 0.0, 1, 1, 1), (12, 0.0, 2, 1.0, 0, 0.0, 1, 1, 1), (28, 0.0, 5, 1.0, 4, 0.0, 1, 1, 1),
     # pages that mark only furniture
     (30, 0.0, 60, 0.0, 8, 0.0, 2, 0, 0), (8, 0.0, 30, 0.0, 44, 0.0, 2, 0, 0), (1, 1.0, 1, 1.0, 8, 0.0, 2, 0, 0),
     (60, 0.02, 12, 0.0, 30, 0.0, 2, 0, 0), (15, 0.5, 58, 0.0, 0, 0.0, 2, 0, 0),
 )
 
 
-def fit_tree(rows: Sequence[Sequence[float]], labels: Sequence[int], *, depth: int = 6, min_leaf: int = 1):
+# Whole pages that mark no article, as the (words, words in links, 1 for main text)
+# of their blocks in order.
+LABELLED_PAGES = (
+    # a menu, short paragraphs, a line of small print
+    ((1, 1, 0), (1, 1, 0), (2, 2, 0), (1, 1, 0), (1, 1, 0), (8, 0, 1), (12, 0, 1), (12, 0, 1), (12, 0, 1), (11, 0, 1),
+     (12, 0, 1), (13, 0, 1), (10, 0, 1), (12, 0, 1), (12, 0, 1), (7, 0, 0)),
+    # paragraphs under headings, further reading at the end
+    ((2, 2, 0), (1, 1, 0), (6, 0, 1), (25, 0, 1), (25, 2, 1), (3, 0, 1), (25, 0, 1), (26, 0, 1), (2, 0, 1), (24, 0, 1),
+     (25, 0, 1), (6, 6, 0), (7, 7, 0), (5, 5, 0)),
+    # text from the first line to the last
+    ((5, 0, 1), (15, 0, 1), (18, 0, 1), (11, 0, 1), (19, 0, 1)),
+    ((9, 0, 1), (90, 3, 1), (64, 0, 1), (120, 4, 1), (33, 0, 1), (71, 0, 1)),
+    ((60, 0, 1), (14, 0, 1), (22, 0, 1), (9, 0, 1), (45, 0, 1), (12, 0, 1)),
+    ((1, 1, 0), (2, 2, 0), (7, 0, 1), (10, 0, 1), (10, 0, 1), (11, 0, 1), (10, 0, 1)),
+    ((2, 2, 0), (1, 1, 0), (12, 0, 1), (12, 1, 1), (13, 0, 1), (12, 0, 1), (12, 0, 1)),
+    ((1, 1, 0), (8, 0, 1), (16, 0, 1), (18, 0, 1), (14, 0, 1), (16, 0, 1)),
+    ((1, 1, 0), (6, 0, 1), (18, 0, 1), (20, 0, 1), (18, 2, 1), (18, 0, 1), (6, 0, 0)),
+    # cards that are links as a whole, then text
+    ((2, 2, 0), (14, 14, 0), (3, 3, 0), (16, 16, 0), (2, 2, 0), (15, 15, 0), (7, 0, 1), (40, 0, 1), (38, 6, 1), (44, 0, 1)),
+    # teasers: a linked title, a line of text
+    ((1, 1, 0), (5, 5, 0), (18, 0, 0), (5, 5, 0), (20, 0, 0), (4, 4, 0), (17, 0, 0), (6, 6, 0), (21, 0, 0), (2, 2, 0)),
+    # text with links in it
+    ((1, 1, 0), (7, 0, 1), (40, 8, 1), (35, 10, 1), (50, 5, 1), (28, 7, 1), (3, 3, 0), (4, 4, 0)),
+    # labels of a list of fields
+    ((1, 0, 0), (2, 0, 0), (1, 0, 0), (3, 0, 0), (2, 0, 0), (1, 1, 0)),
+)
+
+
+def place_of(zone: int, has_article: int) -> int:
+    """2 in an article, 1 on a page that marks none, 0 in furniture or beside an article."""
+    return 2 if zone == ARTICLE else int(zone == NEITHER and not has_article)
+
+
+def labelled_rows() -> list[tuple]:
+    """``LABELLED`` and the rows of ``LABELLED_PAGES``: FEATURES, then the label."""
+    rows = [(*row[:6], place_of(row[6], row[7]), row[8]) for row in LABELLED]
+    for page in LABELLED_PAGES:
+        blocks = [("", words, linked, NEITHER) for words, linked, _ in page]
+        rows += [(*f, y) for f, (_, _, y) in zip(block_features(blocks), page, strict=True)]
+    return rows
+
+
+def fit_tree(rows: Sequence[Sequence[float]], labels: Sequence[int], *, depth: int = 8, min_leaf: int = 1):
     """A CART tree: (feature, threshold, left if <=, right) or a leaf 0 / 1."""
     ones = sum(labels)
     leaf = int(2 * ones >= len(labels))
@@ -178,7 +229,8 @@ def fit_tree(rows: Sequence[Sequence[float]], labels: Sequence[int], *, depth: i
 
 
 def default_tree():
-    return fit_tree([r[:-1] for r in LABELLED], [r[-1] for r in LABELLED])
+    rows = labelled_rows()
+    return fit_tree([r[:-1] for r in rows], [r[-1] for r in rows])
 
 
 def predict(tree, row: Sequence[float]) -> int:
@@ -224,7 +276,8 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
     text: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int, int]] = []  # (tag, zone, strongest kind of furniture above or here)
-    in_link = 0
+    in_link = 0  # 1 inside a link, 2 inside one whose end tag comes before the next link
+    no_more_ends = False
 
     def zone() -> int:
         return stack[-1][1] if stack else NEITHER
@@ -268,7 +321,11 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
         tag = m["tag"].lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = 0 if m["end"] else 1
+                in_link = 0
+                if not m["end"]:
+                    follows = None if no_more_ends else _LINK.search(page, at)
+                    no_more_ends = follows is None
+                    in_link = 2 if follows and follows[1] else 1
                 linked.append(" ")
             elif tag == "br":
                 text.append(" ")
@@ -280,7 +337,8 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
                 stack.pop()
             continue
         flush()
-        in_link = 0
+        if in_link == 1:  # without an end tag a link ends with its block
+            in_link = 0
         if tag in VOID:
             continue
         if m["end"]:
@@ -312,15 +370,14 @@ def block_features(blocks: Sequence[tuple[str, int, int, int]]) -> list[tuple]:
     has_article = int(any(b[3] == ARTICLE for b in blocks))
     density = [(0, 0.0), *((b[1], b[2] / b[1]) for b in blocks), (0, 0.0)]
     return [
-        (*density[i + 1], *density[i], *density[i + 2], b[3], has_article) for i, b in enumerate(blocks)
+        (*density[i + 1], *density[i], *density[i + 2], place_of(b[3], has_article)) for i, b in enumerate(blocks)
     ]
 
 
 def extract_text(page: str | None, tree) -> str:
     blocks = flat_blocks(page or "")
-    return "\n".join(
-        b[0] for b, row in zip(blocks, block_features(blocks), strict=True) if predict(tree, row)
-    )
+    rows = zip(blocks, block_features(blocks), strict=True)
+    return "\n".join(b[0] for b, row in rows if b[3] != FURNITURE and predict(tree, row))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -1,24 +1,35 @@
 import html
 import re
 
-from odometrix.llm.html_blocks import LABELLED, default_tree, extract_pages, extract_text, fit_tree, flat_blocks, predict
+import pytest
+
+from odometrix.llm.html_blocks import (
+    default_tree,
+    extract_pages,
+    extract_text,
+    fit_tree,
+    flat_blocks,
+    labelled_rows,
+    predict,
+)
 
 TREE = default_tree()
+ROWS = labelled_rows()
 
 
 def test_tree_fits_its_table():
-    assert all(predict(TREE, row[:-1]) == row[-1] for row in LABELLED)
+    assert all(predict(TREE, row[:-1]) == row[-1] for row in ROWS)
     assert fit_tree([(0,), (1,)], [0, 1]) == (0, 0.5, 0, 1) and fit_tree([(0,), (0,)], [1, 1]) == 1
 
 
 def test_tree_holds_out_of_sample():
-    # Leave-one-out over the labelled table.
+    # Leave-one-out over the labelled rows.
     hits = 0
-    for k in range(len(LABELLED)):
-        rest = LABELLED[:k] + LABELLED[k + 1 :]
+    for k in range(len(ROWS)):
+        rest = ROWS[:k] + ROWS[k + 1 :]
         tree = fit_tree([r[:-1] for r in rest], [r[-1] for r in rest])
-        hits += predict(tree, LABELLED[k][:-1]) == LABELLED[k][-1]
-    assert hits / len(LABELLED) >= 0.85
+        hits += predict(tree, ROWS[k][:-1]) == ROWS[k][-1]
+    assert hits / len(ROWS) >= 0.85
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{a:"</p>"}</style></head><body class="page">
@@ -91,19 +102,60 @@ def test_article_tag_beats_class_words():
     assert extract_text(f"<article>x y z<div class=related><article>{text}</article></div></article>", TREE) == "x y z"
 
 
-def test_text_features_decide_in_every_zone():
+def test_furniture_is_never_main_text():
+    assert {(r[6], r[-1]) for r in ROWS} == {(0, 0), (1, 0), (1, 1), (2, 0), (2, 1)}
+    sizes = (1, 12, 60, 100, 300)
+    for words in sizes:
+        for before in sizes:
+            for after in (0, *sizes):
+                for density in (0.0, 0.3, 1.0):
+                    row = (words, density, before, 0.0, after, 0.0)
+                    assert predict(TREE, (*row, 0)) == 0
+
+
+def prose(paragraphs, words):
+    return [" ".join(f"w{i}x{k}" for k in range(words)) for i in range(paragraphs)]
+
+
+def tagged(lines, tag="p"):
+    return "".join(f"<{tag}>{line}</{tag}>" for line in lines)
+
+
+@pytest.mark.parametrize("words", [60, 100, 300])
+@pytest.mark.parametrize(
+    "part",
+    ["<section class='comments'>{}</section>", "<div id='disqus_thread'>{}</div>", "<aside>{}</aside>",
+     "<footer>{}</footer>", "<form>{}</form>", "<div class='cookie-notice'>{}</div>", "<div>{}</div>",
+     "<div class='sidebar'>{}</div>", "<nav>{}</nav>", "<div class='comment'><p>only {}</p></div>"],
+)
+def test_long_furniture_beside_an_article_goes(part, words):
+    text, other = prose(3, 80), tagged(prose(4, words))
+    for page in (f"<article>{tagged(text)}</article>{part.format(other)}", f"{part.format(other)}<main>{tagged(text)}</main>"):
+        assert extract_text(f"<html><body>{page}</body></html>", TREE).split("\n") == text
+
+
+@pytest.mark.parametrize("words", [10, 12, 18, 25, 40, 120])
+def test_unmarked_articles_return_whole(words):
+    text = ["A heading of the article", *prose(20, words)]
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(6)) + "</ul>"
+    for page in (tagged(text), menu + tagged(text), menu + f"<div class=wrap>{tagged(text, 'div')}</div>"):
+        assert extract_text(f"<body>{page}</body>", TREE).split("\n") == text
+
+
+def test_linked_cards_go():
+    card = "<a href=/{0}><div><h3>Card {0}</h3><p>with a teaser of some words to read</p></div></a>"
+    cards = "".join(card.format(i) for i in range(8))
+    text = prose(5, 50)
+    assert extract_text(f"<body>{cards}{tagged(text)}</body>", TREE).split("\n") == text
+    open_link = f"<body><p><a href=/x>open</p>{tagged(text)}</body>"  # a link without its end ends with its block
+    assert extract_text(open_link, TREE).split("\n") == text
+
+
+def test_all_text_features_are_used():
     def used(tree):
         return {tree[0]} | used(tree[2]) | used(tree[3]) if isinstance(tree, tuple) else set()
 
-    outcomes = {(r[6], r[-1]) for r in LABELLED}
-    assert outcomes == {(z, y) for z in (0, 1, 2) for y in (0, 1)}
-    assert used(TREE) == set(range(8))
-    prose = (160, 0.0, 160, 0.0, 160, 0.0)
-    links = (3, 1.0, 3, 1.0, 3, 1.0)
-    for zone in (0, 1, 2):
-        for marked in (0, 1):
-            assert predict(TREE, (*prose, zone, marked)) == 1
-            assert predict(TREE, (*links, zone, marked)) == 0
+    assert used(TREE) == set(range(7))
 
 
 def test_raw_tags_end_nothing_else():
