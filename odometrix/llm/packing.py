@@ -51,7 +51,7 @@ def tokenize_pieces(
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for row, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = encoder.encode(text or "") + b"\0\0\0\0"
+                ids = encoder.encode_text(text or "") + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     for column, value in zip(out, (row, doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):

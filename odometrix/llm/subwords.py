@@ -3,8 +3,9 @@
 White space is always a boundary for ``word_bpe_49k.json``, so a text's ids are
 the ids of its white-space separated words, one after the other. Words are
 encoded once per worker and kept (``MAX_WORDS`` at most, then the cache starts
-anew: results never hang on it). Ids are the same as the tokenizer's own for
-the whole text; tests/llm compares them.
+anew: results never hang on it). ``encode_text`` gives the same ids as the
+unaltered tokenizer does for the whole text, ``encode`` those of a text whose
+special-token strings are ordinary text; tests/llm compares both.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.max_words = max_words
         self.known: dict[bytes, bytes] = {}
+        # Strings of the vocabulary that a text may hold as ids of their own.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path = path
+        self.whole = None
 
     def _pack(self, ids) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -98,6 +103,18 @@ class WordEncoder:
             return b"".join([get(w) for w in words])
 
 
+    def encode_text(self, text: str) -> bytes:
+        """The ids that the unaltered tokenizer gives a whole text: as ``encode``,
+        but a special token's string in it becomes that token."""
+        if not any(s in text for s in self.special):
+            return self.encode(text)
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+        return self._pack(self.whole.encode(text, add_special_tokens=False).ids)
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder per worker process and vocabulary."""

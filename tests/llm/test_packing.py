@@ -5,12 +5,14 @@ from collections import defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from odometrix.llm.packing import best_fit, local_search, pack_documents, pack_group
 from odometrix.llm.subwords import WordEncoder, tokenizer_path
 from tests.llm.helpers import documents, hard_rows
 
 ENCODER = WordEncoder(tokenizer_path(), max_words=500)
+UNALTERED = Tokenizer.from_file(tokenizer_path())
 
 
 def direct(text):
@@ -24,6 +26,16 @@ def test_cached_ids_are_the_tokenizers(text):
     assert ENCODER.encode(text) == direct(text)
 
 
+def test_special_strings_are_the_tokenizers_own_tokens():
+    for text in (
+        "a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|ENDOFTEXT|> z", "<|END <|endoftext|", "no such thing",
+        "Ünder <|endoftext|><|endoftext|>\n\t" + "long " * 5000, "",
+    ):
+        ids = UNALTERED.encode(text, add_special_tokens=False).ids
+        assert ENCODER.encode_text(text) == struct.pack(f"<{len(ids)}I", *ids)
+    assert struct.unpack("<3I", ENCODER.encode_text("a <|endoftext|> b")) == (320, 49407, 321)
+
+
 def test_ids_of_the_tables(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
     for r in rows:
