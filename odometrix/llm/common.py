@@ -47,12 +47,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 ROW = "_odx_row"
 
 
+def _is_plain_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a scan of files, none of them listed twice."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    if relation.getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    different = docs._jdf.inputFiles()  # only their numbers reach Python
+    return len(relation.location().inputFiles()) == len(different)
+
+
 def numbered(docs: DataFrame, label: str) -> DataFrame:
     """``docs`` with a struct ``_odx_row`` that names every row and stays the same
     in each read. Rows of a plain file scan are named by file and place in it;
-    any other input is written once, so that its row numbers stay."""
-    plan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
-    if plan == "LogicalRelation" and "_metadata" not in docs.columns:
+    any other input, and a scan that lists a file twice, is written once, so that
+    its row numbers stay."""
+    if _is_plain_scan(docs) and "_metadata" not in docs.columns:
         row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
         return docs.select("*", row.alias(ROW))
     row = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))

@@ -40,3 +40,12 @@ def test_rows_keep_their_columns(spark):
 
 def test_empty_table(spark):
     assert exact_dedup(documents(spark, hard_rows()).limit(0)).count() == 0
+
+
+def test_a_file_listed_twice_is_read_twice(spark, tmp_dir):
+    path = f"{tmp_dir}/docs.parquet"
+    documents(spark, hard_rows()).write.parquet(path)
+    twice = spark.read.parquet(path, path)
+    assert twice.count() == 2 * len(hard_rows())
+    once = exact_dedup_rows(spark.read.parquet(path)).count()
+    assert exact_dedup_rows(twice).count() == once == sum(k for *_, k in expected(hard_rows()))
