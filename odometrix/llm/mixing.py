@@ -37,7 +37,12 @@ ROWS_PER_BLOCK = 8192  # documents (or slots) whose running sum one task takes
 
 PHI = 0.6180339887498949
 _LOW = 1 << 20
-_PHI_LOW = (PHI * _LOW) % 1.0
+
+
+def schedule_point(j, ratio: float = PHI):
+    """frac(j * ratio), from two halves of j so that large j keep their digits."""
+    low = (ratio * _LOW) % 1.0
+    return ((F.floor(j / _LOW) * F.lit(low)) % 1.0 + ((j % _LOW) * F.lit(ratio)) % 1.0) % 1.0
 
 
 def count_words(text):
@@ -94,17 +99,18 @@ def source_targets(
     )
 
 
-def slot_schedule(spark: SparkSession, targets: DataFrame, *, block_words: int = BLOCK_WORDS) -> DataFrame:
+def slot_schedule(
+    spark: SparkSession, targets: DataFrame, *, block_words: int = BLOCK_WORDS, ratio: float = PHI
+) -> DataFrame:
     """(slot, place, rank): which source's block each slot of the mix takes."""
     stats = targets.agg(F.count(F.lit(1)).alias("n"), F.sum(F.ceil(F.col("quota") / block_words)).alias("slots"))
     n, slots = (int(x or 0) for x in stats.first())
     parts = max(1, -(-slots // (16 * ROWS_PER_BLOCK)))
     cells = max(1, 4 * n)
     j = F.col("id")
-    point = (F.floor(j / _LOW) * F.lit(_PHI_LOW)) % 1.0 + ((j % _LOW) * F.lit(PHI)) % 1.0
     points = (
         spark.range(0, slots, 1, parts)
-        .withColumn("u", point % 1.0)
+        .withColumn("u", schedule_point(j, ratio))
         .withColumn("cell", F.floor(F.col("u") * cells).cast("int"))
     )
     # Each source covers the cells its interval touches: an equi-join on evenly
@@ -149,13 +155,14 @@ def mix_schedule(
     weights: Sequence[float] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
     block_words: int = BLOCK_WORDS,
+    ratio: float = PHI,
 ) -> tuple[DataFrame, DataFrame]:
     """(pieces, targets) of ``sized_documents``. A piece (slot, place, rank,
-    epoch, row, start, length) is a stretch of a document's words in a slot;
-    slots in order, and pieces of a slot by (epoch, position), are the mix."""
+    epoch, row, start, length, place_in_slot) is a stretch of a document's words
+    in a slot; slots in order, and pieces by their place in the slot, are the mix."""
     spark = sized.sparkSession
     targets = materialize(source_targets(sized, weights=weights, max_epochs=max_epochs), "mix-targets")
-    slots = slot_schedule(spark, targets, block_words=block_words)
+    slots = slot_schedule(spark, targets, block_words=block_words, ratio=ratio)
 
     rows = sized.count()
     blocks = max(1, -(-rows // (ROWS_PER_BLOCK // 2)))
@@ -184,16 +191,19 @@ def mix_schedule(
     lo = F.greatest(F.col("begin"), F.col("rank") * block_words)
     hi = F.least(F.col("end"), (F.col("rank") + 1) * block_words)
     pieces = cut.select(
-        "row", "place", "rank", "epoch", (lo - F.col("begin")).alias("start"), (hi - lo).alias("length")
-    ).join(slots, ["place", "rank"])
-    return pieces.select("slot", "place", "rank", "epoch", "row", "start", "length"), targets
+        "row", "place", "rank", "epoch", (lo - F.col("begin")).alias("start"), (hi - lo).alias("length"),
+        (lo - F.col("rank") * block_words).alias("place_in_slot"),
+    ).join(slots, ["place", "rank"])
+    return pieces.select("slot", "place", "rank", "epoch", "row", "start", "length", "place_in_slot"), targets
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: ``docs`` (columns doc_id, text, source and, where
-    present, n_chars) with each document once per epoch that takes words of it.
-    A document that its source's target cuts keeps the words taken, joined by
-    single spaces; all others keep their text."""
+    present, n_chars) with each document once per epoch that takes words of it,
+    in the order of the mix: by the first slot that takes words of it, ranged
+    over the partitions and sorted inside them. A document that its source's
+    target cuts keeps the words taken, joined by single spaces; all others keep
+    their text."""
     names = docs.columns
     rows = numbered(docs, "mix-docs")
     sized = materialize(
@@ -205,9 +215,16 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     pieces, _ = mix_schedule(sized, **options)
     uses = (
         pieces.groupBy("row", "epoch")
-        .agg(F.sum("length").alias("_odx_taken"))
+        .agg(
+            F.sum("length").alias("_odx_taken"),
+            F.min("slot").alias("_odx_slot"),
+            F.min_by("place_in_slot", "slot").alias("_odx_place"),
+        )
         .join(sized.select("row", "size"), "row")
-        .select(F.col("row").alias(ROW), "_odx_taken", (F.col("_odx_taken") < F.col("size")).alias("_odx_cut"))
+        .select(
+            F.col("row").alias(ROW), "_odx_taken", (F.col("_odx_taken") < F.col("size")).alias("_odx_cut"),
+            "_odx_slot", "_odx_place",
+        )
     )
     mixed = rows.join(uses, ROW)
     cut = F.col("_odx_cut")
@@ -218,13 +235,15 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     mixed = mixed.withColumn("text", text)
     if "n_chars" in names:
         mixed = mixed.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return mixed.select(*names)
+    # Only the piece that begins in a document's first slot can share it with others.
+    order = ("_odx_slot", "_odx_place")
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*names)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = sized_documents(read_table(spark, sf_dir, "documents"))
     pieces, targets = mix_schedule(sized)
-    taken = pieces.groupBy("row").agg(F.sum("length").alias("taken"))
+    taken = pieces.groupBy("row").agg(F.sum("length").alias("taken"), F.min("slot").alias("first_slot"))
     by_source = targets.select(F.col("source").alias("_source"), "source_size", "target")
     return (
         sized.join(by_source, F.col("source").eqNullSafe(F.col("_source")))
@@ -235,5 +254,6 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             "source_size",
             "target",
             F.coalesce(F.col("taken"), F.lit(0)).cast("long").alias("taken"),
+            "first_slot",
         )
     )

@@ -85,12 +85,49 @@ def test_points_follow_the_golden_ratio(spark):
     j = F.col("id")
     ids = [0, 1, 2, 1 << 20, (1 << 20) + 7, 10**9 + 7]
     df = spark.createDataFrame([(i,) for i in ids], "id long")
-    got = df.select("id", (((F.floor(j / mixing._LOW) * F.lit(mixing._PHI_LOW)) % 1.0 + ((j % mixing._LOW) * F.lit(mixing.PHI)) % 1.0) % 1.0).alias("u"))
+    got = df.select("id", mixing.schedule_point(j).alias("u"))
     for r in got.collect():
         d = abs(r.u - float(r.id * phi % 1))
         assert min(d, 1 - d) < 1e-6
 
 
+def test_another_ratio_changes_the_order_and_no_count(spark):
+    rows = [(i, "w " * (20 + i % 50), "abc"[i % 3]) for i in range(200)]
+    sized = sized_documents(documents(spark, rows))
+    runs = []
+    for ratio in (mixing.PHI, 0.123):
+        pieces = mix_schedule(sized, block_words=64, ratio=ratio)[0].collect()
+        taken, first = defaultdict(int), {}
+        for x in pieces:
+            taken[x.row] += x.length
+            first[x.row] = min(x.slot, first.get(x.row, x.slot))
+        runs.append((taken, first))
+    assert runs[0][0] == runs[1][0] and runs[0][1] != runs[1][1]
+
+
+def test_first_slot(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "read_table", lambda *a: documents(spark, hard_rows()))
+    got = op2_mix_sources(spark, "").collect()
+    assert all((r.first_slot is None) == (r.taken == 0) for r in got)
+
+
+def test_mixed_rows_come_in_slot_order(spark):
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(20 + i % 90)), "abc"[i % 3]) for i in range(240)]
+    docs = documents(spark, rows)
+    ratios = []
+    for ratio in (mixing.PHI, 0.377):
+        mixed = mix_documents(docs, block_words=64, ratio=ratio).collect()
+        pieces, _ = mix_schedule(sized_documents(docs), block_words=64, ratio=ratio)
+        id_of = {r.row: r.id for r in sized_documents(docs).collect()}
+        first: dict = {}
+        for x in sorted(pieces.collect(), key=lambda x: (x.slot, x.place_in_slot)):
+            first.setdefault((id_of[x.row], x.epoch), len(first))
+        order = [k[0] for k in first]  # documents by first slot, once per epoch
+        assert [r.doc_id for r in mixed] == order
+        ratios.append(order)
+    assert ratios[0] != ratios[1] and sorted(ratios[0]) == sorted(ratios[1])
+
+
 def test_mixed_corpus(spark):
     rows = [r for r in hard_rows() if r[0] is not None]
     docs = documents(spark, rows)
