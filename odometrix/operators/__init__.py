@@ -7,6 +7,7 @@ from odometrix.operators.ingest import (
     to_silver_maintenance,
     to_silver_sensor,
 )
+from odometrix.operators.ordering import with_position
 from odometrix.operators.profile import (
     FlagRule,
     deviation_flags,
@@ -38,6 +39,7 @@ from odometrix.operators.series import (
     clamped_running_total,
     distance_travelled,
     last_per_period,
+    missing_periods,
     opening_values,
     running_total,
 )
@@ -61,6 +63,7 @@ __all__ = [
     "flatten_tires",
     "last_per_period",
     "merge_moments",
+    "missing_periods",
     "moments",
     "opening_values",
     "prefix_scan",
@@ -79,5 +82,6 @@ __all__ = [
     "top_n",
     "usage_correlation",
     "usage_range_by_key",
+    "with_position",
     "with_profile",
 ]

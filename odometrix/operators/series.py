@@ -171,6 +171,35 @@ def opening_values(
     )
 
 
+def missing_periods(
+    df: DataFrame,
+    key: str | Sequence[str],
+    ts: str,
+    *,
+    period: str = "hour",
+    num_blocks: int | None = None,
+    method: str = "auto",
+) -> DataFrame:
+    """S5 per vehicle: the periods between a key's first and last reading in which
+    it has none, as (key, period).
+
+    Found from each period's predecessor, so rows are only made where a gap is: no
+    product of keys and a spine of periods. Readings without a time count for none."""
+    if period not in _PERIODS:
+        raise ValueError(f"period must be one of {sorted(_PERIODS)}")
+    keys = [key] if isinstance(key, str) else list(key)
+    bucket = F.to_date(as_timestamp(df, ts)) if period == "day" else truncate_time(df, ts, period)
+    seen = df.select(*keys, bucket.alias(period)).filter(F.col(period).isNotNull()).distinct()
+    after = previous_values(seen, keys, period, {"_odx_before": period}, num_blocks=num_blocks, method=method)
+    step = F.expr(f"interval 1 {period}")
+    gaps = after.filter(F.col("_odx_before") + step < F.col(period))
+    kind = seen.schema[period].dataType
+    between = F.sequence(F.col("_odx_before") + step, F.col(period) - step, step)
+    return gaps.select(*keys, F.explode(between).alias("_odx_gap")).select(
+        *keys, F.col("_odx_gap").cast(kind).alias(period)
+    )
+
+
 def distance_travelled(
     df: DataFrame,
     key: str | Sequence[str],

@@ -41,7 +41,13 @@ from odometrix.functions.columns import (
 )
 from odometrix.operators.asof import asof_join
 from odometrix.operators.incremental import DailyPartials, moments, profile_of
-from odometrix.operators.ingest import to_silver_sensor
+from odometrix.operators.ingest import (
+    to_silver_environment,
+    to_silver_fleet,
+    to_silver_maintenance,
+    to_silver_sensor,
+)
+from odometrix.operators.ordering import with_position
 from odometrix.operators.profile import (
     FlagRule,
     deviation_flags,
@@ -67,14 +73,17 @@ from odometrix.operators.series import (
     clamped_running_total,
     distance_travelled,
     last_per_period,
+    missing_periods,
     opening_values,
     running_total,
 )
 from odometrix.session import shared_dir
 from odometrix.sources.catalog import with_vehicle_type
 from odometrix.sources.spine import hourly_spine_for
+from odometrix.plans.fleet import register_views
+from odometrix.sources.sensor_json import read_sensor_json
 from odometrix.sources.tables import load_table
-from odometrix.sources.writers import save_gold, write_once
+from odometrix.sources.writers import save_gold, write_once, write_overwrite, write_sensor_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -554,6 +563,135 @@ def q_write_once_first_wins(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# --- O1-O3 positions, S5 gaps ------------------------------------------------------
+
+
+def q_breakdowns_with_position(spark: SparkSession, d: str) -> DataFrame:
+    return with_position(q_breakdowns_by_label(spark, d), [F.col("breakdown_count").desc(), "brand_type"])
+
+
+def q_readings_with_position(spark: SparkSession, d: str) -> DataFrame:
+    ev = _events(spark, d).select("event_id", "user_id", "value")
+    return with_position(ev, ["user_id", F.col("value").desc(), "event_id"])
+
+
+def q_missing_hours(spark: SparkSession, d: str, **kw) -> DataFrame:
+    return missing_periods(_events(spark, d), "user_id", "ts", **kw)
+
+
+def q_missing_hours_split(spark: SparkSession, d: str) -> DataFrame:
+    return q_missing_hours(spark, d, method="split", num_blocks=SPLIT_BLOCKS)
+
+
+# --- S1, S3, K1, K4, K5 and the other silver tables: written to shared storage, read back
+
+
+def _raw_sensor(ev: DataFrame) -> DataFrame:
+    """Events as raw readings; the event type is the vehicle."""
+    value = F.col("value")
+    wheels = F.struct(*[value.alias(w) for w in ("front_left", "front_right", "rear_left", "rear_right")])
+    return ev.select(
+        F.col("event_type").alias("vehicle_id"),
+        timestamp_text("ts").alias("timestamp"),
+        wheels.alias("tire_pressure"),
+        *[value.alias(c) for c in ("engine_temp", "oil_pressure", "fuel_level", "battery_voltage")],
+        F.col("event_id").cast("double").alias("mileage"),
+    )
+
+
+def _ntz(df: DataFrame, name: str = "timestamp") -> DataFrame:
+    return df.withColumn(name, F.col(name).cast("timestamp_ntz"))
+
+
+def q_sensor_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """One file with an array of readings per vehicle and day, as the generator
+    writes them, scanned and typed."""
+    path = _scratch(spark, "arrays")
+    raw = _raw_sensor(_events(spark, d))
+    files = raw.groupBy(F.col("vehicle_id").alias("v"), F.substring("timestamp", 1, 10).alias("day")).agg(
+        F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value")
+    )
+    files.repartition("v", "day").write.partitionBy("v", "day").text(path)
+    return _ntz(to_silver_sensor(read_sensor_json(spark, path)))
+
+
+def q_sensor_lines(spark: SparkSession, d: str) -> DataFrame:
+    path = _scratch(spark, "lines")
+    write_sensor_json(_raw_sensor(_events(spark, d)), path)
+    return _ntz(to_silver_sensor(read_sensor_json(spark, path, multi_line=False)))
+
+
+def q_overwrite_last_wins(spark: SparkSession, d: str) -> DataFrame:
+    path = _scratch(spark, "over")
+    write_overwrite(q_breakdowns_by_label_where(spark, d), path)
+    write_overwrite(q_breakdowns_by_label(spark, d), path)
+    return spark.read.parquet(path)
+
+
+def _raw_maintenance(ev: DataFrame) -> DataFrame:
+    repair = F.col("event_type").isin(*REPAIR_EVENTS)
+    return ev.select(
+        format_id("V", "user_id").alias("vehicle_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.when(repair, "Reactive").otherwise("Routine").alias("type"),
+        F.col("event_type").alias("component_serviced"),
+        F.lit(None).cast("string").alias("issue_detected"),
+        F.when(repair, "Repair").otherwise("Inspection").alias("action_taken"),
+        F.col("value").alias("cost"),
+    )
+
+
+def q_to_silver_maintenance(spark: SparkSession, d: str) -> DataFrame:
+    raw = _raw_maintenance(_events(spark, d)).withColumn("cost", r("cost", 2))
+    return to_silver_maintenance(raw.drop("issue_detected"))
+
+
+def _raw_environment(ev: DataFrame) -> DataFrame:
+    cents = F.round(F.col("value") * 100).cast("long")
+    return ev.groupBy(F.date_format("ts", "yyyy-MM-dd HH:00:00").alias("timestamp")).agg(
+        (F.max(cents) / 100).alias("temperature"), (F.min(cents) / 100).alias("humidity")
+    )
+
+
+def q_to_silver_environment(spark: SparkSession, d: str) -> DataFrame:
+    return _ntz(to_silver_environment(_raw_environment(_events(spark, d))))
+
+
+def _raw_fleet(part: DataFrame) -> DataFrame:
+    return part.select(
+        format_id("V", "p_partkey").alias("vehicle_id"),
+        F.col("p_type").alias("model"),
+        F.col("p_brand").alias("make"),
+        F.col("p_size").cast("long").alias("year"),
+        (F.col("p_size").cast("long") * 1000).alias("mileage_cap"),
+        F.lit("Truck").alias("vehicle_type"),
+        F.lit("Diesel").alias("fuel_type"),
+        F.col("p_partkey").cast("long").alias("current_mileage"),
+        format_id("D_", "p_partkey").alias("assigned_driver"),
+        (F.col("p_size") >= LARGE_PART_SIZE).alias("in_service"),
+    )
+
+
+def q_to_silver_fleet(spark: SparkSession, d: str) -> DataFrame:
+    return to_silver_fleet(_raw_fleet(load_table(spark, d, "part")))
+
+
+def q_views_usage(spark: SparkSession, d: str) -> DataFrame:
+    """SQL over the pipeline's named views: silver tables made of the events."""
+    root, ev = _scratch(spark, "silver"), _events(spark, d)
+    sensor = _raw_sensor(ev.withColumn("event_type", format_id("V", "user_id")))
+    silver = {
+        "silver_sensor_data": to_silver_sensor(sensor.withColumn("mileage", F.col("engine_temp"))),
+        "silver_fleet_maintenance_logs": to_silver_maintenance(_raw_maintenance(ev)),
+        "silver_environmental_data": to_silver_environment(_raw_environment(ev)),
+        "silver_fleet_metadata": to_silver_fleet(_raw_fleet(load_table(spark, d, "part"))),
+    }
+    for name, df in silver.items():
+        write_once(df, f"{root}/{name}")
+    register_views(spark, root)
+    return spark.sql("SELECT vehicle_id, num_of_repairs, mileage_diff FROM gold_vehicle_logs_by_mile_traveled")
+
+
 QUERIES: dict[str, Query] = {
     "breakdowns_by_label": q_breakdowns_by_label,
     "breakdowns_by_label_where": q_breakdowns_by_label_where,
@@ -600,4 +738,15 @@ QUERIES: dict[str, Query] = {
     "incremental_usage": q_incremental_usage,
     "save_gold_twice": q_save_gold_twice,
     "write_once_first_wins": q_write_once_first_wins,
+    "breakdowns_with_position": q_breakdowns_with_position,
+    "readings_with_position": q_readings_with_position,
+    "missing_hours": q_missing_hours,
+    "missing_hours_split": q_missing_hours_split,
+    "sensor_arrays": q_sensor_arrays,
+    "sensor_lines": q_sensor_lines,
+    "overwrite_last_wins": q_overwrite_last_wins,
+    "to_silver_maintenance": q_to_silver_maintenance,
+    "to_silver_environment": q_to_silver_environment,
+    "to_silver_fleet": q_to_silver_fleet,
+    "views_usage": q_views_usage,
 }

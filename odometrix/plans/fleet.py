@@ -90,19 +90,23 @@ def silver_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def by_day(df: DataFrame, files_per_day: int = 1, ts: str = "timestamp") -> DataFrame:
-    """Readings with their ``date``, dealt so that a writer partitioned by date
-    makes ``files_per_day`` files a day instead of one for each task and day."""
-    salt = F.pmod(F.xxhash64(KEY, ts), F.lit(files_per_day))
-    return df.withColumn("date", F.to_date(ts)).repartition("date", salt)
+def by_day(df: DataFrame, files_per_day: int | None = None, ts: str = "timestamp") -> DataFrame:
+    """Readings with their ``date``, dealt for a writer partitioned by date: few
+    files a day instead of one for each task and day. By default adaptive execution
+    sizes them from the measured shuffle: a large day is split over several tasks,
+    small days share one. ``files_per_day`` deals every day to that many."""
+    dated = df.withColumn("date", F.to_date(ts))
+    if files_per_day is None:
+        return dated.hint("rebalance", "date")
+    return dated.repartition("date", F.pmod(F.xxhash64(KEY, ts), F.lit(files_per_day)))
 
 
 def land_silver(
-    spark: SparkSession, raw_root: str, silver_root: str, *, files_per_day: int = 1
+    spark: SparkSession, raw_root: str, silver_root: str, *, files_per_day: int | None = None
 ) -> dict[str, str]:
     """Type the raw data and land each silver table as parquet once (an
     existing table is left alone). Sensor readings are partitioned by day so
-    date filters prune files; ``files_per_day`` splits a large day."""
+    date filters prune files; see :func:`by_day` for the size of the files."""
     out = {}
     for name, df in silver_tables(read_raw(spark, raw_root)).items():
         path = f"{silver_root}/{name}"

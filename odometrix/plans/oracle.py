@@ -323,3 +323,54 @@ ASOF LEFT JOIN (SELECT {HOUR} AS hour, {r("avg(value)")} AS mean_error
 ORACLE_SQL["opening_values_split"] = ORACLE_SQL["opening_values"]
 ORACLE_SQL["distance_travelled_split"] = ORACLE_SQL["distance_travelled"]
 ORACLE_SQL["asof_weather_salted"] = ORACLE_SQL["asof_weather"]
+
+_SENSOR_ROWS = """
+SELECT event_type AS vehicle_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS timestamp,
+       value AS front_left_tire_pressure, value AS front_right_tire_pressure, value AS rear_left_tire_pressure,
+       value AS rear_right_tire_pressure, value AS engine_temp, value AS oil_pressure, value AS fuel_level,
+       value AS battery_voltage, CAST(event_id AS DOUBLE) AS mileage
+FROM events
+"""
+_IS_REPAIR = f"event_type IN ({_in(REPAIR_EVENTS)})"
+
+ORACLE_SQL |= {
+    "breakdowns_with_position": f"""
+SELECT breakdown_count, brand_type, row_number() OVER (ORDER BY breakdown_count DESC, brand_type) AS position
+FROM ({BREAKDOWNS}) b
+""",
+    "readings_with_position": """
+SELECT event_id, user_id, value, row_number() OVER (ORDER BY user_id, value DESC, event_id) AS position FROM events
+""",
+    "missing_hours": f"""
+SELECT s.user_id, s.hour
+FROM (SELECT user_id, unnest(generate_series(min({HOUR}), max({HOUR}), INTERVAL 1 HOUR)) AS hour
+      FROM events GROUP BY user_id) s
+ANTI JOIN (SELECT user_id, {HOUR} AS hour FROM events) e ON e.user_id = s.user_id AND e.hour = s.hour
+""",
+    "sensor_arrays": _SENSOR_ROWS,
+    "sensor_lines": _SENSOR_ROWS,
+    "overwrite_last_wins": BREAKDOWNS,
+    "to_silver_maintenance": f"""
+SELECT printf('V%05d', user_id) AS vehicle_id, CAST(ts AS DATE) AS date,
+       CASE WHEN {_IS_REPAIR} THEN 'Reactive' ELSE 'Routine' END AS type, event_type AS component_serviced,
+       CASE WHEN {_IS_REPAIR} THEN 'Repair' ELSE 'Inspection' END AS action_taken, {r("value", 2)} AS cost
+FROM events
+""",
+    "to_silver_environment": f"""
+SELECT {HOUR} AS timestamp, max(CAST(round(value * 100) AS BIGINT)) / 100 AS temperature,
+       min(CAST(round(value * 100) AS BIGINT)) / 100 AS humidity
+FROM events GROUP BY {HOUR}
+""",
+    "to_silver_fleet": f"""
+SELECT printf('V%05d', p_partkey) AS vehicle_id, p_brand AS make, p_type AS model, CAST(p_size AS BIGINT) AS year,
+       CAST(p_size AS BIGINT) * 1000 AS mileage_cap, 'Truck' AS vehicle_type, 'Diesel' AS fuel_type,
+       CAST(p_partkey AS BIGINT) AS current_mileage, printf('D_%05d', p_partkey) AS assigned_driver,
+       p_size >= {LARGE_PART_SIZE} AS in_service
+FROM part
+""",
+    "views_usage": f"""
+SELECT printf('V%05d', user_id) AS vehicle_id, num_of_repairs, value_diff AS mileage_diff
+FROM ({ORACLE_SQL["repairs_vs_usage"]}) u
+""",
+}
+ORACLE_SQL["missing_hours_split"] = ORACLE_SQL["missing_hours"]

@@ -66,3 +66,33 @@ def corrupt_sensor_records(spark: SparkSession, path: str, *, multi_line: bool =
     read = F.coalesce(F.length("vehicle_id"), F.lit(0)) >= 0  # as in read_sensor_json
     bad = _read(spark, path, multi_line).filter(F.col(CORRUPT).isNotNull() & read)
     return bad.select("source_file", F.col(CORRUPT).alias("record"))
+
+
+def read_indented_array(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SENSOR, *, indent: int = 4, on_corrupt: str = "fail"
+) -> DataFrame:
+    """Files of one indented top-level array each (the generator's layout), read in
+    splits: one huge file is parsed by many tasks.
+
+    A record ends at a line that holds nothing but ``indent`` spaces and a closing
+    brace (any inner one stands deeper, and line breaks inside strings are escaped),
+    so that line separates the records of a text scan, and Spark cuts the file at
+    any of them. A file in another layout has no such lines and fails, or with
+    ``on_corrupt="skip"`` gives no rows, as does a truncated last record."""
+    if on_corrupt not in ("fail", "skip"):
+        raise ValueError("on_corrupt must be 'fail' or 'skip'")
+    close = "\n" + " " * indent + "}"
+    chunks = spark.read.option("lineSep", close).text(path)
+    body = F.regexp_replace("value", r"^\s*[\[,]?\s*", "")
+    left = F.regexp_replace("value", r"[\s\[\]]", "")  # what stands before, between and after records
+    records = chunks.filter(left != "").select(F.concat(body, F.lit(close)).alias("record"))
+    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    read = F.from_json("record", wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = records.select(read.alias("r")).select("r.*")
+    bad = F.col(CORRUPT).isNotNull()
+    if on_corrupt == "skip":
+        return rows.filter(~bad).drop(CORRUPT)
+    message = F.concat(F.lit("not a record of an indented array: "), F.substring(CORRUPT, 1, 200))
+    first = schema.fields[0]
+    checked = F.when(bad, F.raise_error(message).cast(first.dataType)).otherwise(F.col(first.name))
+    return rows.withColumn(first.name, checked).drop(CORRUPT)

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from odometrix.operators.ingest import to_silver_sensor
 from odometrix.schemas import RAW_SENSOR
+from odometrix.session import planned_partitions
 from odometrix.sources.writers import path_exists, read_text, write_text
 
 
@@ -49,16 +50,19 @@ def land_sensor_stream(
     interval: str = "1 minute",
     max_files_per_trigger: int | None = None,
     query_name: str | None = None,
-    files_per_day: int = 1,
+    files_per_day: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream. ``checkpoint`` is a folder all executors share. With ``available_now`` it lands every file present
-    and stops (call ``awaitTermination()``), otherwise it polls every
-    ``interval``."""
+    """Start the stream. ``checkpoint`` is a folder all executors share. With
+    ``available_now`` it lands every file present and stops (call
+    ``awaitTermination()``), otherwise it polls every ``interval``. A batch's day is
+    dealt to ``files_per_day`` tasks (by default as many as the session plans
+    partitions), each of which writes a file if vehicles fall to it."""
     reader = spark.readStream.schema(RAW_SENSOR).option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     silver = to_silver_sensor(reader.json(raw_dir)).withColumn("date", F.to_date("timestamp"))
-    silver = silver.repartition("date", F.pmod(F.xxhash64("vehicle_id"), F.lit(files_per_day)))
+    salts = files_per_day or planned_partitions(spark)
+    silver = silver.repartition("date", F.pmod(F.xxhash64("vehicle_id", "timestamp"), F.lit(salts)))
     _claim(spark, raw_dir, silver_path, checkpoint)
     writer = (
         silver.writeStream.format("parquet")

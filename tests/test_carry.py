@@ -5,7 +5,16 @@ import random
 
 import pytest
 
-from odometrix.operators import asof_join, distance_travelled, opening_values, previous_values
+from pyspark.sql import functions as F
+
+from odometrix.operators import (
+    asof_join,
+    distance_travelled,
+    missing_periods,
+    opening_values,
+    previous_values,
+    with_position,
+)
 
 T0 = dt.datetime(2024, 1, 1)
 METHODS = [{"method": "window"}, {}, {"num_blocks": 9}, {"method": "split", "num_blocks": 5}]
@@ -145,3 +154,38 @@ def test_asof_join_of_empty_sides(spark):
     assert asof_join(none, right, "ts", "at", ["w"], tolerance=60).count() == 0
     got = asof_join(some, right.limit(0), "ts", "at", ["w"], tolerance=60)
     assert got.count() == 30 and got.filter("w is not null or as_of is not null").isEmpty()
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_missing_hours(spark, options):
+    rows = make_rows(8, 400, 12)
+    got = missing_periods(frame(spark, rows), "k", "ts", **options)
+    want = set()
+    for key, rs in groups(rows).items():
+        hours = {r[2] for r in rs if r[2] is not None}
+        at = min(hours)
+        while at < max(hours):
+            if at not in hours:
+                want.add((key, at))
+            at += dt.timedelta(hours=1)
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+@pytest.mark.parametrize("partitions", ["1", "8", "37"])
+def test_positions_are_the_sorted_order(spark, partitions):
+    rnd = random.Random(6)
+    rows = [(i, rnd.choice([None, 1, 1, 1, 2, 3]), rnd.choice("abc")) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, v long, s string").repartition(5)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = with_position(df, [F.col("v").desc_nulls_last(), "s", "id"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2], r[0]))
+    assert {r.id: r.position for r in got} == {r[0]: i for i, r in enumerate(want, 1)}
+    assert with_position(df.limit(0), ["id"]).count() == 0
+    tied = with_position(df, ["s"]).collect()  # ties take consecutive places
+    assert sorted(r.position for r in tied) == list(range(1, 501))
+    assert [r.s for r in sorted(tied, key=lambda r: r.position)] == sorted(r[2] for r in rows)

@@ -216,3 +216,44 @@ def test_register_tables_for_sql(spark):
         "SELECT count(*) FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"
     ).first()[0]
     assert n == 25
+
+
+def indented(root, name, readings, tail=""):
+    os.makedirs(root, exist_ok=True)
+    with open(os.path.join(root, name), "w") as fh:
+        json.dump(readings, fh, indent=4)
+        fh.write(tail)
+
+
+def test_indented_array_is_read_in_splits(spark, tmp_dir):
+    from odometrix.sources import read_indented_array
+
+    root = os.path.join(tmp_dir, "large")
+    odd = 'quoted "}" and\n    }\n[x], {y}'  # what a record's text may hold
+    rows = [reading(odd if i % 50 == 0 else f"V{i % 7:05d}", f"2024-03-01 {i % 24:02d}:00:00", i % 90, i / 2) for i in range(4000)]
+    indented(root, "one.json", rows)
+    whole = read_sensor_json(spark, root)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        split = read_indented_array(spark, root)
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 8
+        assert split.schema == whole.schema
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_indented_array_edges(spark, tmp_dir):
+    from odometrix.sources import read_indented_array
+
+    root = os.path.join(tmp_dir, "edges")
+    indented(root, "empty.json", [])
+    indented(root, "one.json", [reading("V00001", "2024-03-01 05:00:00", 1, 2.0)], tail="\n")
+    assert [r.vehicle_id for r in read_indented_array(spark, root).collect()] == ["V00001"]
+    with open(os.path.join(root, "cut.json"), "w") as fh:
+        fh.write(json.dumps([reading("V00002", "2024-03-01 05:00:00", 1, 2.0)] * 2, indent=4)[:-60])
+    with pytest.raises(Exception, match="not a record of an indented array"):
+        read_indented_array(spark, root).collect()
+    left = read_indented_array(spark, root, on_corrupt="skip").collect()
+    assert sorted(r.vehicle_id for r in left) == ["V00001", "V00002"]
