@@ -7,14 +7,17 @@ counts of each symbol are updated by the character that enters and the one
 that leaves, and with them S = sum of c * log2(c), so the window's Shannon
 entropy is log2(WINDOW) - S / WINDOW. The candidate's character class sets the
 threshold. The span runs from the first window at or above it to the end of
-the last one. The allow-list suppresses candidates that only look random.
+the last one. The allow-list suppresses candidates that only look random, and
+windows with a phrase that marks an example: beside the phrase a key still counts.
 
 Everything is one projection of built-in expressions over the whole text; the
 costly parts run only on texts that hold a match.
 
 Defined results: a null text counts as empty and has no spans; positions are
 code points, end exclusive; rows are independent, so repeated rows give
-repeated results; other columns are ignored or passed through unread.
+repeated results, null ids as any others; an empty table gives no rows; other
+columns are ignored or passed through unread, but for one named as the column that
+``scan_secrets`` adds, which it replaces.
 """
 
 from __future__ import annotations
@@ -44,18 +47,21 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # a window is suspicious). The first class that fits holds.
 CLASSES = {
     "hex": (r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
-    "alnum": (r"^[A-Za-z0-9]+$", 3.7),
-    "base64": (r"^[A-Za-z0-9+/_=-]+$", 3.8),
+    "letters": (r"^[A-Za-z]+$", 3.9),  # compound names reach 3.8
+    "base32": (r"^(?:[A-Z2-7]+|[a-z2-7]+)$", 3.3),
+    "alnum": (r"^[A-Za-z0-9]+$", 3.6),
+    "base64": (r"^[A-Za-z0-9+/_=-]+$", 3.65),
 }
 
 # Allow-list: candidates that are not secrets however mixed they look.
 ALLOWED = (
-    r"^[^0-9]+$",  # no digit: words, paths, rules of dashes
+    r"^(?:[^0-9A-Z]+|[^0-9a-z]+|[^0-9]*[+/_=-][^0-9]*)$",  # no digit, and one case or marks: words, paths, rules
     r"^[^A-Za-z]+$",  # no letter: numbers, dates, phone and card numbers
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"(?i)(?:example|sample|dummy|placeholder|changeme|redacted|xxxx|0123456789|abcdefghij)",
-    r"^(?:[A-Za-z]+[/_=-]+|[0-9]+[/_=-]+)*(?:[A-Za-z]+|[0-9]+)$",  # words and numbers joined by marks
+    r"^(?:[A-Za-z]+[/_=-]+|[0-9]+[/_=-]+)+(?:[A-Za-z]+|[0-9]+)?$",  # words and numbers joined by marks
 )
+# Windows that hold one of these are not suspicious; what stands beside them may be.
+PHRASES = r"(?i)(?:example|sample|dummy|placeholder|changeme|redacted|xxxx|0123456789|abcdefghij)"
 
 
 def _spans(text: Column, pattern: str, wanted) -> Column:
@@ -103,7 +109,8 @@ def _threshold(candidate: Column) -> Column:
 
 def hot_range(candidate: Column, window: int = WINDOW) -> Column:
     """struct<first, last>: starts of the first and last window of
-    ``candidate`` whose entropy reaches its class's threshold; nulls if none."""
+    ``candidate`` whose entropy reaches its class's threshold and that hold no
+    allowed phrase; nulls if none."""
     g = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     table = F.array(*[F.lit(x) for x in g])
 
@@ -144,6 +151,7 @@ def hot_range(candidate: Column, window: int = WINDOW) -> Column:
                 def judge(s: Column) -> Column:
                     hot = (i >= window - 1) & (F.lit(math.log2(window)) - s / window >= limit - 1e-9)
                     at = i - (window - 1)
+                    hot = hot & ~F.substring(candidate, at + 1, F.lit(window)).rlike(PHRASES)
                     return F.struct(
                         counts.alias("counts"),
                         s.alias("s"),

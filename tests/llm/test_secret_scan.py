@@ -4,8 +4,10 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 import odometrix.llm.secret_scan as scan
-from odometrix.llm.secret_scan import ALLOWED, CLASSES, KINDS, op4_secret_scans
+from odometrix.llm.secret_scan import ALLOWED, CLASSES, KINDS, PHRASES, op4_secret_scans, scan_secrets
 from tests.llm.helpers import documents, hard_rows
 
 ASSIGN = re.compile(
@@ -27,7 +29,8 @@ def brute(text):
         hot = []
         for i in range(len(c) - 19):
             n = Counter(c[i : i + 20])
-            if -sum(v / 20 * math.log2(v / 20) for v in n.values()) >= limit - 1e-9:
+            entropy = -sum(v / 20 * math.log2(v / 20) for v in n.values())
+            if entropy >= limit - 1e-9 and not re.search(PHRASES, c[i : i + 20]):
                 hot.append(i)
         if hot:
             spans.append((m.start() + hot[0], 3, m.start() + hot[-1] + 20))
@@ -41,6 +44,7 @@ def brute(text):
 def test_matches_brute_force(spark, monkeypatch):
     r = random.Random(4)
     rows = [x for x in hard_rows() if x[0] is not None]
+    rows += [(900, "sample_key=" + "q7Zw9LmXc2Rt5YbN8vKd" * 2, "s"), (901, "/examples/EXAMPLExxxx" + "Zq8" * 9, "s")]
     seeds = ["token: ", "SECRET=", "api_key='", 'ApiKey = "', "passwd:", "password=token=", "AKIA", "secret: token: ", ""]
     pools = [
         "abcdef0123456789ABCXYZ+/=_- \n.'\"é😀", "abcdef0123456789", "ABCDEFGHIJKLMNOP0123456789",
@@ -67,3 +71,32 @@ def test_allow_list(spark, monkeypatch):
     monkeypatch.setattr(scan, "read_table", lambda *a: documents(spark, rows))
     got = {x.doc_id: x for x in op4_secret_scans(spark, "").collect()}
     assert got[1].n_entropy == got[2].n_entropy == 0 and got[3].n_entropy == 1
+
+
+B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.mark.parametrize("prefix", ["", "sample_key=", "/samples/"])
+@pytest.mark.parametrize(
+    "pool, length",
+    [(B32, 20), (B32, 32), (B32.lower(), 20), (ALNUM, 20), (ALNUM, 40), (ALNUM + "+/", 20), (ALNUM + "+/", 40), (ALNUM[:52], 32)],
+)
+def test_random_keys_are_found(pool, length, prefix):
+    if pool.isalpha() and prefix:
+        pytest.skip("letters joined by marks are taken for words")
+    r = random.Random(length)
+    n = 2000
+    found = sum("entropy" in brute(f"see {prefix}{''.join(r.choice(pool) for _ in range(length))} now")[1] for _ in range(n))
+    assert found / n >= 0.95
+
+
+def test_null_ids_and_empty_table(spark, monkeypatch):
+    rows = [(None, "token=abcdef123", "s"), (None, None, "s"), (1, "", "s")]
+    monkeypatch.setattr(scan, "read_table", lambda *a: documents(spark, rows))
+    got = op4_secret_scans(spark, "").collect()
+    assert sorted((str(x.doc_id), x.n_assign) for x in got) == [("1", 0), ("None", 0), ("None", 1)]
+    monkeypatch.setattr(scan, "read_table", lambda *a: documents(spark, rows).limit(0))
+    assert op4_secret_scans(spark, "").count() == 0
+    replaced = scan_secrets(spark.createDataFrame([("AKIA" + "A1" * 10, "old")], "text string, secrets string")).first()
+    assert replaced.secrets[0].place == KINDS.index("access")
