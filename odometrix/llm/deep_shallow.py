@@ -1,7 +1,8 @@
 """Deep-shallow suffix sorting of byte strings.
 
-Strings are first ordered by multikey quicksort over 8-byte characters down to a
-shallow depth. Groups that still agree there, which is where long common
+Strings are first ordered by multikey quicksort over characters of 7 bytes down to
+a shallow depth; a character ends in the number of bytes the string still has in
+it, so a string that ends sorts before all that go on. Groups that still agree there, which is where long common
 prefixes sit, are ordered by a blind trie: an insertion walks the trie looking
 only at branching bytes, compares once with the leaf it reaches, and branches
 where that comparison ends.
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SHALLOW = 16  # bytes; a multiple of 8
+SHALLOW = 14  # bytes; a multiple of 7
 SMALL = 24  # groups of so many strings go to the blind trie at once
 
 
@@ -77,13 +78,12 @@ class BlindTrie:
 def deep_shallow_order(texts: list[bytes], shallow: int = SHALLOW) -> list[int]:
     """Numbers of ``texts`` in ascending order (a prefix before what extends it)."""
     n = len(texts)
-    chars = shallow // 8
-    # Two bits of the length decide between a short string and zero bytes, so
-    # only strings of full shallow length take part in the quicksort's groups.
-    short = [i for i in range(n) if len(texts[i]) < shallow]
-    if short:
-        return _trie_order(texts, list(range(n)))
-    head = np.frombuffer(b"".join(t[:shallow] for t in texts), ">u8").reshape(n, chars).astype("u8")
+    chars = shallow // 7
+    head = np.zeros((n, chars, 8), "u1")
+    head[:, :, :7] = np.frombuffer(b"".join(t[:shallow].ljust(shallow, b"\0") for t in texts), "u1").reshape(n, chars, 7)
+    lengths = np.fromiter(map(len, texts), "i8", n)
+    head[:, :, 7] = np.clip(lengths[:, None] - 7 * np.arange(chars), 0, 7)
+    head = head.view(">u8").reshape(n, chars).astype("u8")
     out: list[int] = []
     todo = [(np.arange(n), 0)]
     while todo:  # multikey quicksort: less, equal (one character deeper), greater

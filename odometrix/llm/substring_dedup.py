@@ -26,7 +26,7 @@ bytes that finds the earliest and a join back.
 
 Defined results: a null text counts as empty; texts shorter than LENGTH lose
 nothing; a null id comes before all others; rows with equal ids are separate
-documents in reading order; an empty table gives no rows; columns other than id
+documents, in the order of their names (file and place); an empty table gives no rows; columns other than id
 and text are ignored.
 """
 
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from odometrix.llm.common import materialize, read_table, ship_package
+from odometrix.llm.common import ROW, materialize, numbered, read_table, ship_package
 from odometrix.llm.deep_shallow import deep_shallow_order, neighbour_prefixes
 
 LENGTH = 100
@@ -48,6 +48,7 @@ GRAM = 24
 CHUNK = 1 << 21  # bytes whose windows are hashed at once
 MAX_REGIONS = 50_000
 REGIONS_PER_TASK = 20_000
+NAME = ["file", "row"]  # columns that name a row of the input
 
 _POS_BITS = 24
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -121,73 +122,72 @@ def find_anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return gram[anchor], region, anchor, first, last
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """Chunks of (id, row, offset, bytes); a long text is cut into pieces that
+def _pieces(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int, int, int, bytes]]]:
+    """Chunks of (id, file, row, offset, bytes); a long text is cut into pieces that
     overlap by LENGTH - 1, so every window lies in exactly one."""
     chunk, size = [], 0
     ids = batch.column(0).to_pylist()
-    rows = batch.column(1).to_pylist()
-    for k, text in enumerate(batch.column(2)):
+    files, rows = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+    for k, text in enumerate(batch.column(3)):
         raw = (text.as_py() or "").encode("utf-8", "replace")
         for at in range(0, max(1, len(raw) - LENGTH + 1), CHUNK):
             part = raw[at : at + CHUNK + LENGTH - 1]
             if size + len(part) > CHUNK + LENGTH and chunk:
                 yield chunk
                 chunk, size = [], 0
-            chunk.append((_LEAST if ids[k] is None else ids[k], rows[k], at, part))
+            chunk.append((_LEAST if ids[k] is None else ids[k], files[k], rows[k], at, part))
             size += len(part)
     if chunk:
         yield chunk
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, region, id, row, place, whole): the regions of every text; place
+    """(gram, region, id, file, row, place, whole): the regions of every text; place
     packs first window, anchor offset and windows. Of equal regions in a chunk
     only the earliest goes on; the others are ``whole``: removed."""
     for batch in batches:
         for chunk in _pieces(batch):
-            lengths = np.array([len(c[3]) for c in chunk], "i8")
+            lengths = np.array([len(c[4]) for c in chunk], "i8")
             ends = np.cumsum(lengths)
-            gram, region, anchor, first, last = find_anchors(np.frombuffer(b"".join(c[3] for c in chunk), "u1"), ends)
+            gram, region, anchor, first, last = find_anchors(np.frombuffer(b"".join(c[4] for c in chunk), "u1"), ends)
             if not len(gram):
                 continue
             owner = np.searchsorted(ends, first, side="right")
-            ids = np.array([c[0] for c in chunk], "i8")[owner]
-            rows = np.array([c[1] for c in chunk], "i8")[owner]
-            shift = np.array([c[2] for c in chunk], "i8")[owner] - (ends - lengths)[owner]
+            ids, files, rows, offset = (np.array([c[k] for c in chunk], "i8")[owner] for k in range(4))
+            shift = offset - (ends - lengths)[owner]
             place = ((first + shift) << 16) | ((anchor - first) << 8) | (last - first)
-            order = np.lexsort((place, rows, ids, region, gram))
-            gram, region, ids, rows, place = (x[order] for x in (gram, region, ids, rows, place))
+            order = np.lexsort((place, rows, files, ids, region, gram))
+            gram, region, ids, files, rows, place = (x[order] for x in (gram, region, ids, files, rows, place))
             again = np.zeros(len(gram), bool)
             again[1:] = (gram[1:] == gram[:-1]) & (region[1:] == region[:-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (gram.view("i8"), region.view("i8"), ids, rows, place, again)],
-                names=["gram", "region", "id", "row", "place", "whole"],
+                [pa.array(x) for x in (gram.view("i8"), region.view("i8"), ids, files, rows, place, again)],
+                names=["gram", "region", "id", "file", "row", "place", "whole"],
             )
 
 
 def _region_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each asked region: the bytes before the anchor, reversed, and from it on."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(6)]
-        for id_, row, text, asked in zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True):
+        out: list[list] = [[] for _ in range(7)]
+        for id_, file, row, text, asked in zip(*(c.to_pylist() for c in batch.columns[:5]), strict=True):
             raw = (text or "").encode("utf-8", "replace")
             for a in asked:
                 first, offset, windows = a["place"] >> 16, a["place"] >> 8 & 255, a["place"] & 255
                 anchor = first + offset
-                values = (a["gram"], id_, row, a["place"], raw[first:anchor][::-1], raw[anchor : first + windows + LENGTH])
-                for column, value in zip(out, values, strict=True):
+                back, forth = raw[first:anchor][::-1], raw[anchor : first + windows + LENGTH]
+                for column, value in zip(out, (a["gram"], id_, file, row, a["place"], back, forth), strict=True):
                     column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        kinds = (*[pa.int64()] * 5, pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(out, kinds, strict=True)],
-            names=["gram", "id", "row", "place", "back", "forth"],
+            names=["gram", "id", "file", "row", "place", "back", "forth"],
         )
 
 
 def repeated_windows(back: list[bytes], forth: list[bytes], place: np.ndarray, age: np.ndarray) -> list[tuple[int, int, int]]:
     """(region number, first, last window) of windows that are not the earliest
-    of their kind. ``age``: rank of each region by (id, row, place)."""
+    of their kind. ``age``: rank of each region by (id, file, row, place)."""
     n = len(place)
     offset, windows = place >> 8 & 255, place & 255
     classes = []
@@ -225,14 +225,15 @@ def repeated_windows(back: list[bytes], forth: list[bytes], place: np.ndarray, a
 
 
 def _sort_task(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values(["id", "row", "place"], ignore_index=True)
+    part = part.sort_values(["id", "file", "row", "place"], ignore_index=True)
     found = repeated_windows(
         part["back"].tolist(), part["forth"].tolist(), part["place"].to_numpy("i8"), np.arange(len(part))
     )
-    rows = part["row"].to_numpy()
+    at = [r for r, _, _ in found]
     return pd.DataFrame(
         {
-            "row": pd.Series([rows[r] for r, _, _ in found], dtype="int64"),
+            "file": pd.Series(part["file"].to_numpy("i8")[at], dtype="int64"),
+            "row": pd.Series(part["row"].to_numpy("i8")[at], dtype="int64"),
             "start": pd.Series([s for _, s, _ in found], dtype="int64"),
             "end": pd.Series([e + LENGTH for _, _, e in found], dtype="int64"),
         }
@@ -240,52 +241,54 @@ def _sort_task(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _windows_of_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bytes, id, row, start) of every window of the given regions."""
+    """(bytes, id, file, row, start) of every window of the given regions."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(4)]
-        _, ids, rows, places, back, forth = (c.to_pylist() for c in batch.columns)
-        for id_, row, place, b, f in zip(ids, rows, places, back, forth, strict=True):
+        out: list[list] = [[] for _ in range(5)]
+        for _, id_, file, row, place, b, f in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = b[::-1] + f
             for k in range((place & 255) + 1):
-                for column, value in zip(out, (raw[k : k + LENGTH], id_, row, (place >> 16) + k), strict=True):
+                for column, value in zip(out, (raw[k : k + LENGTH], id_, file, row, (place >> 16) + k), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(out, (pa.binary(), *[pa.int64()] * 3), strict=True)],
-            names=["bytes", "id", "row", "start"],
+            [pa.array(v, t) for v, t in zip(out, (pa.binary(), *[pa.int64()] * 4), strict=True)],
+            names=["bytes", "id", "file", "row", "start"],
         )
 
 
 def removed_spans(docs: DataFrame, *, max_regions: int = MAX_REGIONS) -> DataFrame:
-    """(row, start, end) byte stretches to remove, overlapping. ``docs``: id, row, text."""
+    """(file, row, start, end) byte stretches to remove, overlapping. ``docs``: id, text
+    and the row's name, file and row."""
     spark = docs.sparkSession
     ship_package(spark)
-    anchors = docs.select("id", "row", "text").mapInArrow(
-        _anchor_rows, "gram long, region long, id long, row long, place long, whole boolean"
+    anchors = docs.select("id", *NAME, "text").mapInArrow(
+        _anchor_rows, "gram long, region long, id long, file long, row long, place long, whole boolean"
     )
     # Rows already told apart in their chunk only pass through: dealt by row.
-    deal = F.when(F.col("whole"), F.xxhash64("row", "place")).otherwise(F.col("gram"))
+    deal = F.when(F.col("whole"), F.xxhash64(*NAME, "place")).otherwise(F.col("gram"))
     group = Window.partitionBy("deal", "whole")
-    earlier = F.lag("region").over(group.orderBy("region", "id", "row", "place"))
+    earlier = F.lag("region").over(group.orderBy("region", "id", *NAME, "place"))
     marked = (
         anchors.withColumn("deal", deal)
         .withColumn("dup", F.col("whole") | earlier.eqNullSafe(F.col("region")))
         .withColumn("mixed", F.min("region").over(group) != F.max("region").over(group))
         .filter("dup or (mixed and not whole)")
-        .select("gram", "id", "row", "place", "dup")
+        .select("gram", "id", *NAME, "place", "dup")
     )
     marked = materialize(marked, "substring-regions")
     start = F.shiftright("place", 16)
     whole = marked.filter("dup").select(
-        "row", start.alias("start"), (start + F.col("place").bitwiseAND(255) + LENGTH).alias("end")
+        *NAME, start.alias("start"), (start + F.col("place").bitwiseAND(255) + LENGTH).alias("end")
     )
 
     mixed = marked.filter("not dup")
-    asked = mixed.groupBy("row").agg(F.collect_list(F.struct("gram", "place")).alias("asked"))
+    asked = mixed.groupBy(*NAME).agg(F.collect_list(F.struct("gram", "place")).alias("asked"))
     texts = materialize(
         docs.withColumn("id", F.coalesce("id", F.lit(_LEAST)))
-        .join(asked, "row")
-        .select("id", "row", "text", "asked")
-        .mapInArrow(_region_texts, "gram long, id long, row long, place long, back binary, forth binary"),
+        .join(asked, NAME)
+        .select("id", *NAME, "text", "asked")
+        .mapInArrow(
+            _region_texts, "gram long, id long, file long, row long, place long, back binary, forth binary"
+        ),
         "substring-texts",
     )
     sizes = texts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
@@ -295,21 +298,21 @@ def removed_spans(docs: DataFrame, *, max_regions: int = MAX_REGIONS) -> DataFra
     if not crowded.isEmpty():
         calm = texts.join(crowded, "gram", "left_anti")
         rows = texts.join(crowded, "gram", "left_semi").mapInArrow(
-            _windows_of_regions, "bytes binary, id long, row long, start long"
+            _windows_of_regions, "bytes binary, id long, file long, row long, start long"
         )
         rows = materialize(rows, "substring-windows")
-        place = F.struct("id", "row", "start")
+        place = F.struct("id", *NAME, "start")
         first = rows.groupBy("bytes").agg(F.min(place).alias("first"))
         spans = spans.unionByName(
             rows.join(first, "bytes")
             .filter(place != F.col("first"))
-            .select("row", "start", (F.col("start") + LENGTH).alias("end"))
+            .select(*NAME, "start", (F.col("start") + LENGTH).alias("end"))
         )
     tasks = max(1, -(-texts.count() // REGIONS_PER_TASK))
     sorted_out = (
         calm.withColumn("task", F.pmod(F.xxhash64("gram"), F.lit(tasks)).cast("int"))
         .groupBy("task")
-        .applyInPandas(lambda part: _sort_task(part), "row long, start long, end long")
+        .applyInPandas(lambda part: _sort_task(part), "file long, row long, start long, end long")
     )
     return spans.unionByName(sorted_out)
 
@@ -355,18 +358,16 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, n_bytes, removed, kept, n_removed) of every document: the maximal
     removed runs and the remaining bytes."""
-    # Read three times below, so written once: the row numbers stay.
-    rows = materialize(
-        docs.select(
-            F.col(id_col).cast("long").alias("id"),
-            F.monotonically_increasing_id().alias("row"),
-            F.col(text_col).alias("text"),
-        ),
-        "substring-rows",
+    # Read three times below, so every row needs a name that stays.
+    rows = numbered(docs, "substring-rows").select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(f"{ROW}.file").alias("file"),
+        F.col(f"{ROW}.place").alias("row"),
+        F.col(text_col).alias("text"),
     )
-    spans = removed_spans(rows, **options).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = removed_spans(rows, **options).groupBy(*NAME).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return (
-        rows.join(spans, "row", "left")
+        rows.join(spans, NAME, "left")
         .select("id", "text", "spans")
         .mapInArrow(
             _apply,
