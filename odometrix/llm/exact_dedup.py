@@ -69,7 +69,8 @@ def exact_dedup(
 
 def _classes(texts: DataFrame, salts: int) -> DataFrame:
     """(digest, norm, keep_id, group_size): one row per different text."""
-    salted = texts.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    # Salted by task: whatever copies a task holds, it hands on one of each text.
+    salted = texts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     winners = salted.groupBy("digest", "salt", "norm").agg(
         F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
