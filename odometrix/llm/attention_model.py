@@ -19,9 +19,11 @@ import numpy as np
 
 WINDOW = 16  # positions of a context window
 STRIDE = 8  # new tokens scored by every window after the first, each with at least half a window before it
-WIDTH = 16
-GROUPS, PLACES = 32, 32
+WIDTH = 32
+GROUPS, PLACES = 48, 48
 SHARED_CLASSES = 32
+SMOOTHING = 0.1  # added to every count inside a class
+RATE, BATCH = 0.02, 64  # learning rate at the start, and windows a step
 OWN_CLASSES = GROUPS * PLACES - SHARED_CLASSES
 CLASSES = GROUPS * PLACES + 1  # the last one stands for the start of a text
 
@@ -48,7 +50,7 @@ class Vocabulary:
     def from_counts(counts: np.ndarray, ends_word: np.ndarray) -> Vocabulary:
         """``counts`` of every subword id in the training texts; ``ends_word``:
         whether the subword is the last of a word."""
-        smooth = counts.astype("f8") + 1.0
+        smooth = counts.astype("f8") + SMOOTHING
         order = np.argsort(-smooth, kind="stable")
         class_of = np.zeros(len(counts), "i2")
         own = order[:OWN_CLASSES]
@@ -178,18 +180,19 @@ def log_probabilities(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray
     return Scorer(weights).log_probabilities(given, wanted, scored)
 
 
-def windows_of(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows of one text's class ids: (given, wanted, scored), each
-    (n, WINDOW). Every position is scored in exactly one window."""
+def windows_of(classes: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of one text's class ids: (given, wanted, scored), each (n, WINDOW),
+    overlapping unless ``stride`` is WINDOW. Every position is scored in exactly
+    one window."""
     n = len(classes)
-    count = 1 + max(0, -(-(n - WINDOW) // STRIDE))
-    at = (np.arange(count) * STRIDE)[:, None] + np.arange(WINDOW)
+    count = 1 + max(0, -(-(n - WINDOW) // stride))
+    at = (np.arange(count) * stride)[:, None] + np.arange(WINDOW)
     inside = at < n
     at = np.minimum(at, n - 1)
     wanted = classes[at]
     given = np.where(at > 0, classes[at - 1], CLASSES - 1)
     scored = inside.copy()
-    scored[1:, : WINDOW - STRIDE] = False
+    scored[1:, : WINDOW - stride] = False
     return given, wanted, scored
 
 
@@ -240,22 +243,45 @@ def _gradient(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real:
     dx = dhidden + dqkv @ p["qkv"].T
     g["place"] = dx.sum(axis=0)
     g["embed"] = np.zeros(_SHAPES["embed"], "f4")
-    np.add.at(g["embed"], given.ravel(), dx.reshape(-1, WIDTH))
+    by_class = np.argsort(given.ravel().astype("i2"), kind="stable")
+    seen = given.ravel()[by_class]
+    first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
+    g["embed"][seen[first]] = np.add.reduceat(dx.reshape(-1, WIDTH)[by_class], first)
     return loss, np.concatenate([g[name].ravel() for name in _SHAPES])
 
 
-def train(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real: np.ndarray, *, rate: float = 0.02,
-          batch: int = 64, seed: int = 1) -> tuple[np.ndarray, float]:
-    """One pass of Adam over the windows, in a shuffled order; (weights, summed loss)."""
-    weights = weights.astype("f4").copy()
-    m, v = np.zeros_like(weights), np.zeros_like(weights)
-    order = np.random.default_rng(seed).permutation(len(given))
-    total = 0.0
-    for t, at in enumerate(range(0, len(order), batch), 1):
-        part = order[at : at + batch]
-        loss, g = _gradient(weights, given[part], wanted[part], real[part])
-        total += float(loss)
-        m = 0.9 * m + 0.1 * g
-        v = 0.99 * v + 0.01 * g * g
-        weights -= np.float32(rate) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8).astype("f4")
-    return weights, total
+class Trainer:
+    """Adam over batches of windows; its averages last from one ``learn`` to the
+    next. The rate falls in a line over the ``expected`` windows, to a twentieth
+    of its start, and stays there."""
+
+    def __init__(self, weights: np.ndarray, expected: int, *, rate: float = RATE, batch: int = BATCH):
+        self.weights = weights.astype("f4").copy()
+        self.mean, self.square = np.zeros_like(self.weights), np.zeros_like(self.weights)
+        self.expected, self.rate, self.batch = max(1, expected), rate, batch
+        self.steps = self.windows = 0
+
+    def learn(self, given: np.ndarray, wanted: np.ndarray, real: np.ndarray, seed: int = 1) -> float:
+        """One pass over the windows in a shuffled order; the summed loss."""
+        order = np.random.default_rng(seed).permutation(len(given))
+        total = 0.0
+        for at in range(0, len(order), self.batch):
+            part = order[at : at + self.batch]
+            loss, g = _gradient(self.weights, given[part], wanted[part], real[part])
+            total += float(loss)
+            self.steps += 1
+            self.mean *= np.float32(0.9)
+            self.mean += np.float32(0.1) * g
+            self.square *= np.float32(0.99)
+            g *= g
+            g *= np.float32(0.01)
+            self.square += g
+            rate = self.rate * max(0.05, 1 - self.windows / self.expected) / (1 - 0.9**self.steps)
+            np.divide(self.square, np.float32(1 - 0.99**self.steps), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-8)
+            np.divide(self.mean, g, out=g)
+            g *= np.float32(rate)
+            self.weights -= g
+            self.windows += len(part)
+        return total

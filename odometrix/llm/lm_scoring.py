@@ -6,10 +6,14 @@ Documents whose crc32(id as text) mod 7 is 2 are held out; all others train.
    word and end token, and the subword ids of the whole text, end token included.
 2. Subword counts follow from the word counts, each different word being encoded
    once. They give the classes (``attention_model``).
-3. Local SGD: in each of ``ROUNDS`` rounds every task trains from the same
-   weights on all windows of its own documents, the windows that scoring takes,
-   so each subword is learned once a round; weights are averaged by windows, in
-   Spark.
+3. Local SGD: texts are dealt by hash to workers of about ``WORKER_SUBWORDS``
+   subwords, a number that follows from the subword count alone, and each worker
+   takes its texts in hash order. In each of ``ROUNDS`` rounds every worker trains
+   from the same weights on windows that lie side by side and cover its texts
+   whole, so each subword is learned once a round; weights are averaged by windows
+   in a tree of Spark stages. Scores so hang on the rows, not on how the input is
+   split over files and tasks; only the copies of a fully repeated row are dealt as
+   they lie in batches of 256, so that no worker gets them all.
 4. One pass scores all texts in overlapping windows, each token once, in batches
    of masked attention. The base score uses word counts: those of the
    ``TOP_WORDS`` most frequent words are sent to the tasks (a bounded table); the
@@ -27,10 +31,13 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +46,9 @@ from odometrix.llm.common import materialize, read_table, ship_package
 from odometrix.llm.subwords import tokenizer_path, word_encoder
 
 FOLDS, HELD_OUT = 7, 2
-ROUNDS = 2
+ROUNDS = 1
+WORKER_SUBWORDS = 4_000_000
+FAN_IN = 32  # weight vectors summed at once
 TOP_WORDS = 100_000
 VOCABULARY_SIZE = 49_408
 END_ID = 49_407  # the tokenizer's own end-of-text id closes every text
@@ -57,18 +66,20 @@ END = END_ID.to_bytes(4, "little")
 
 
 def _gather(path: str):
-    """(word, n, ids): counts of training words; 16-bit subword ids of each whole
-    training text and its end token."""
+    """(word, n, ids, deal): counts of training words; 16-bit subword ids of each
+    whole training text and its end token, and a hash to deal it by, which also
+    tells repeated rows of 256 apart."""
 
-    def rows(counts: dict, texts: list[bytes]) -> pa.RecordBatch:
+    def rows(counts: dict, texts: list[bytes], deals: list[int]) -> pa.RecordBatch:
         none = [None] * len(texts)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([*counts.keys(), *none], pa.binary()),
                 pa.array([*counts.values(), *none], pa.int64()),
                 pa.array([None] * len(counts) + texts, pa.binary()),
+                pa.array([None] * len(counts) + deals, pa.int64()),
             ],
-            names=["word", "n", "ids"],
+            names=["word", "n", "ids", "deal"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +87,7 @@ def _gather(path: str):
         counts: Counter = Counter()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
-                batch, texts = whole.slice(at, 256), []
+                batch, texts, deals, copies = whole.slice(at, 256), [], [], Counter()
                 for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     if remainder(id_) == HELD_OUT:
                         continue
@@ -85,11 +96,14 @@ def _gather(path: str):
                     counts[END_WORD] += 1
                     ids = b"".join([*map(encoder.get, words), END])
                     texts.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())
-                yield rows({}, texts)
+                    own = xxhash.xxh64_intdigest(texts[-1], zlib.crc32(str(id_).encode()))
+                    deals.append(xxhash.xxh64_intdigest(f"{own}:{copies[own]}") >> 1)
+                    copies[own] += 1
+                yield rows({}, texts, deals)
             if len(counts) > FLUSH_WORDS:
-                yield rows(counts, [])
+                yield rows(counts, [], [])
                 counts = Counter()
-        yield rows(counts, [])
+        yield rows(counts, [], [])
 
     return run
 
@@ -111,54 +125,90 @@ def _subword_counts(path: str):
     return run
 
 
-def training_windows(batches: Iterator[pa.RecordBatch], class_of: np.ndarray):
-    """(given, wanted, scored) of all windows of the texts in ``batches`` (16-bit
+def training_windows(texts: Iterable[bytes], class_of: np.ndarray):
+    """(given, wanted, scored) of windows side by side over whole ``texts`` (16-bit
     subword ids), ``TRAIN_WINDOWS`` at a time."""
     held: list[tuple] = []
     n = 0
-    for batch in batches:
-        for ids in batch.column(0):
-            classes = class_of[np.frombuffer(ids.as_py(), "<u2")].astype("i8")
-            held.append(am.windows_of(classes))
-            n += len(held[-1][0])
-            if n >= TRAIN_WINDOWS:
-                parts = [np.concatenate(k) for k in zip(*held, strict=True)]
-                full = n - n % TRAIN_WINDOWS
-                for at in range(0, full, TRAIN_WINDOWS):
-                    yield tuple(k[at : at + TRAIN_WINDOWS] for k in parts)
-                held, n = [tuple(k[full:].copy() for k in parts)], n - full
+    for ids in texts:
+        classes = class_of[np.frombuffer(ids, "<u2")].astype("i8")
+        held.append(am.windows_of(classes, am.WINDOW))
+        n += len(held[-1][0])
+        if n >= TRAIN_WINDOWS:
+            parts = [np.concatenate(k) for k in zip(*held, strict=True)]
+            full = n - n % TRAIN_WINDOWS
+            for at in range(0, full, TRAIN_WINDOWS):
+                yield tuple(k[at : at + TRAIN_WINDOWS] for k in parts)
+            held, n = [tuple(k[full:].copy() for k in parts)], n - full
     if n:
         yield tuple(np.concatenate(k) for k in zip(*held, strict=True))
 
 
-def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int):
-    """(place, value, n): this task's weights after its windows, times n."""
+_TRAINED = "worker int, weights binary, n long"
+
+
+def _trained(worker: int, weights: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([worker], pa.int32()), pa.array([weights.tobytes()], pa.binary()), pa.array([n], pa.int64())],
+        names=["worker", "weights", "n"],
+    )
+
+
+def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int, expected: int):
+    """(worker, weights, n): each worker's weights after its n windows, times n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, n = weights, 0
-        for k, (given, wanted, scored) in enumerate(training_windows(batches, class_of)):
-            own, _ = am.train(own, given, wanted, scored, rate=0.02 / (1 + seed), seed=seed + k)
-            n += len(given)
-        if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(am.SIZE)), pa.array(own.astype("f8") * n), pa.array(np.full(am.SIZE, n))],
-                names=["place", "value", "n"],
-            )
+        rows = ((w, t.as_py()) for b in batches for w, t in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+        for worker, own in groupby(rows, key=itemgetter(0)):
+            trainer = am.Trainer(weights, expected, rate=am.RATE / (1 + seed))
+            for k, windows in enumerate(training_windows((ids for _, ids in own), class_of)):
+                trainer.learn(*windows, seed=seed + k)
+            yield _trained(worker, trainer.weights.astype("f8") * trainer.windows, trainer.windows)
 
     return run
 
 
-def train_model(texts: DataFrame, vocabulary: am.Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights averaged over tasks after each round of local SGD."""
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for the rows of a task, in their order: the sums."""
+    least, total, n = None, np.zeros(am.SIZE), 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            least = row["worker"] if least is None else least
+            total += np.frombuffer(row["weights"])
+            n += row["n"]
+    if least is not None:
+        yield _trained(least, total, n)
+
+
+def train_model(
+    texts: DataFrame, vocabulary: am.Vocabulary, subwords: int, n_texts: int, rounds: int = ROUNDS,
+    worker_subwords: int = WORKER_SUBWORDS,
+) -> np.ndarray:
+    """Weights averaged over workers after each round of local SGD. ``texts``:
+    deal, ids; ``subwords`` and ``n_texts`` are their totals."""
     weights = am.initial_weights(vocabulary)
+    workers = max(1, -(-subwords // worker_subwords))
+    # A text's last window is half full on average.
+    expected = int((subwords / am.WINDOW + n_texts / 2) / workers)
+    worker = F.pmod("deal", F.lit(workers)).cast("int")
+    dealt = (
+        texts.select(worker.alias("worker"), "ids", "deal")
+        .repartitionById(workers, F.col("worker"))
+        .sortWithinPartitions("worker", "deal")
+        .select("worker", "ids")
+    )
     for r in range(rounds):
-        trained = texts.mapInArrow(
-            _local_training(weights, vocabulary.class_of, r), "place long, value double, n long"
-        )
-        # One row per weight comes back: a size fixed by the model.
-        mean = trained.groupBy("place").agg((F.sum("value") / F.sum("n")).alias("w")).toPandas()
-        if len(mean):
-            weights = mean.sort_values("place")["w"].to_numpy().astype("f4")
+        trained = dealt.mapInArrow(_local_training(weights, vocabulary.class_of, r, expected), _TRAINED)
+        left = workers
+        while left > FAN_IN:
+            left = -(-left // FAN_IN)
+            to = F.pmod("worker", F.lit(left)).cast("int")
+            trained = trained.repartitionById(left, to).sortWithinPartitions("worker").mapInArrow(_add_up, _TRAINED)
+        # At most FAN_IN vectors of a size fixed by the model come back.
+        rows = sorted(trained.collect())
+        if rows:
+            total = sum(np.frombuffer(row.weights) for row in rows)
+            weights = (total / sum(row.n for row in rows)).astype("f4")
     return weights
 
 
@@ -262,7 +312,7 @@ def _scoring(path: str, model):
 
 def score_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, vocabulary: str | None = None,
-    rounds: int = ROUNDS, top_words: int = TOP_WORDS,
+    rounds: int = ROUNDS, top_words: int = TOP_WORDS, worker_subwords: int = WORKER_SUBWORDS,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = docs.sparkSession
@@ -270,7 +320,7 @@ def score_documents(
     path = vocabulary or tokenizer_path()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    gathered = materialize(rows.mapInArrow(_gather(path), "word binary, n long, ids binary"), "lm-gathered")
+    gathered = materialize(rows.mapInArrow(_gather(path), "word binary, n long, ids binary, deal long"), "lm-gathered")
     counts = materialize(
         gathered.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts"
     )
@@ -283,7 +333,9 @@ def score_documents(
     by_id = np.zeros(VOCABULARY_SIZE, "i8")
     by_id[subwords["id"].to_numpy("i8")] = subwords["n"].to_numpy("i8")
     classes = am.Vocabulary.from_counts(by_id, word_encoder(path).ends_word(VOCABULARY_SIZE))
-    weights = train_model(gathered.filter("ids is not null").select("ids"), classes, rounds)
+    weights = train_model(
+        gathered.filter("ids is not null"), classes, int(by_id.sum()), int(by_id[END_ID]), rounds, worker_subwords
+    )
 
     frequent = frequent_words(counts.filter(F.length("word") > 0), top_words).toPandas()
     top = {bytes(w): math.log10(c + 1) - base_of for w, c in zip(frequent["word"], frequent["c"], strict=True)}

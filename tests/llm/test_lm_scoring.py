@@ -75,9 +75,10 @@ def test_training_lowers_the_loss():
     classes = np.tile(np.arange(12), 400)
     given, wanted, scored = am.windows_of(classes)
     w = am.initial_weights(v)
-    trained = w
+    trainer = am.Trainer(w, 40 * len(given))
     for k in range(40):
-        trained, _ = am.train(trained, given, wanted, scored, seed=k)
+        trainer.learn(given, wanted, scored, seed=k)
+    trained = trainer.weights
     assert am.log_probabilities(trained, given, wanted, scored).mean() > am.log_probabilities(w, given, wanted, scored).mean() + 1
 
 
@@ -107,11 +108,41 @@ def test_base_scores_match_brute_force(spark, top_words):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
-def test_held_out_score_beats_subword_unigrams(spark):
+def test_held_out_score_beats_word_counts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = score_documents(docs).filter("held_out").toPandas()
     untrained = score_documents(docs, rounds=0).filter("held_out").toPandas()
     assert got["score"].sum() > untrained["score"].sum() * 0.97
+    assert got["score"].sum() > got["base_score"].sum()
+
+
+def test_scorer_matches_the_plain_forward_pass():
+    """Against ``_attend`` and a softmax over all classes of a group."""
+    r = np.random.default_rng(5)
+    for scale in (0.2, 3.0):  # with 3.0 exp needs the maximum taken off
+        w = (am.initial_weights(vocabulary()) + r.standard_normal(am.SIZE) * scale).astype("f4")
+        given, wanted = r.integers(0, am.CLASSES, (7, am.WINDOW)), r.integers(0, am.CLASSES - 1, (7, am.WINDOW))
+        scored = r.random((7, am.WINDOW)) < 0.7
+        p = am.unpack(w)
+        hidden = am._attend(p, given)[0].astype("f8")
+        want = []
+        for i, j in zip(*np.nonzero(scored), strict=True):
+            h, (g, k) = np.append(hidden[i, j], 1), divmod(int(wanted[i, j]), am.PLACES)
+            logits = (h @ p["group"], h @ p["member"][g])
+            want.append(sum(x[c] - x.max() - np.log(np.exp(x - x.max()).sum()) for x, c in zip(logits, (g, k), strict=True)))
+        got = am.Scorer(w).log_probabilities(given, wanted, scored)
+        assert np.allclose(got, want, rtol=2e-3, atol=2e-3)
+
+
+def test_scores_do_not_hang_on_the_split(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    # Many workers, so that the sums take a tree.
+    runs = [
+        sorted((r.doc_id, r.score) for r in score_documents(docs.repartition(n), worker_subwords=2_000).collect())
+        for n in (2, 7)
+    ]
+    assert len(runs[0]) == docs.count()
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) <= 1e-4 * abs(b[1]) for a, b in zip(*runs, strict=True))
 
 
 def test_empty_table(spark):
@@ -124,7 +155,7 @@ def test_training_covers_every_training_text():
     rows = [(i, t) for i, t, _ in hard_rows()] + [(1000 + i, f"start {'word and others ' * 900} end{i}") for i in range(20)]
     batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["id", "text"])
     gathered = [b.column(2).drop_null() for b in _gather(path)(iter([batch]))]
-    texts = [pa.RecordBatch.from_arrays([c], ["ids"]) for c in gathered if len(c)]
+    texts = [ids for c in gathered for ids in c.to_pylist()]
     class_of = (np.arange(VOCABULARY_SIZE) % (am.CLASSES - 1)).astype("i2")
     want = Counter()
     for i, t in rows:
@@ -144,3 +175,9 @@ def test_every_token_sees_half_a_window_or_all_before_it():
     window, position = np.nonzero(scored)
     assert am.STRIDE <= am.WINDOW // 2
     assert all(p + 1 >= min(w + 1, am.WINDOW // 2) for p, w in zip(position, wanted[window, position], strict=True))
+
+
+def test_repeated_rows_are_dealt_apart():
+    batch = pa.RecordBatch.from_arrays([pa.array([4] * 300), pa.array(["the same text"] * 300)], ["id", "text"])
+    deals = [d for b in _gather(tokenizer_path())(iter([batch])) for d in b.column(3).to_pylist() if d is not None]
+    assert len(deals) == 300 and len({d % 64 for d in deals}) > 50
