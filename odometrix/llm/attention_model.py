@@ -252,13 +252,13 @@ def _gradient(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real:
 
 class Trainer:
     """Adam over batches of windows; its averages last from one ``learn`` to the
-    next. The rate falls in a line over the ``expected`` windows, to a twentieth
-    of its start, and stays there."""
+    next. The rate falls in a line over the ``expected`` windows, of which ``done``
+    lie behind, to a twentieth of its start, and stays there."""
 
-    def __init__(self, weights: np.ndarray, expected: int, *, rate: float = RATE, batch: int = BATCH):
+    def __init__(self, weights: np.ndarray, expected: int, *, done: int = 0, rate: float = RATE, batch: int = BATCH):
         self.weights = weights.astype("f4").copy()
         self.mean, self.square = np.zeros_like(self.weights), np.zeros_like(self.weights)
-        self.expected, self.rate, self.batch = max(1, expected), rate, batch
+        self.expected, self.done, self.rate, self.batch = max(1, expected), done, rate, batch
         self.steps = self.windows = 0
 
     def learn(self, given: np.ndarray, wanted: np.ndarray, real: np.ndarray, seed: int = 1) -> float:
@@ -276,7 +276,7 @@ class Trainer:
             g *= g
             g *= np.float32(0.01)
             self.square += g
-            rate = self.rate * max(0.05, 1 - self.windows / self.expected) / (1 - 0.9**self.steps)
+            rate = self.rate * max(0.05, 1 - (self.done + self.windows) / self.expected) / (1 - 0.9**self.steps)
             np.divide(self.square, np.float32(1 - 0.99**self.steps), out=g)
             np.sqrt(g, out=g)
             g += np.float32(1e-8)

@@ -6,12 +6,13 @@ Documents whose crc32(id as text) mod 7 is 2 are held out; all others train.
    word and end token, and the subword ids of the whole text, end token included.
 2. Subword counts follow from the word counts, each different word being encoded
    once. They give the classes (``attention_model``).
-3. Local SGD: texts are dealt by hash to workers of about ``WORKER_SUBWORDS``
-   subwords, a number that follows from the subword count alone, and each worker
-   takes its texts in hash order. In each of ``ROUNDS`` rounds every worker trains
-   from the same weights on windows that lie side by side and cover its texts
-   whole, so each subword is learned once a round; weights are averaged by windows
-   in a tree of Spark stages. Scores so hang on the rows, not on how the input is
+3. Local SGD: texts are dealt by hash to ``ROUNDS`` rounds, and in each round to
+   workers of about ``WORKER_SUBWORDS`` subwords, a number that follows from the
+   subword count alone; each worker takes its texts in hash order. In a round every
+   worker trains from the same weights on windows that lie side by side and cover
+   its texts whole; then the weights are averaged by windows in a tree of Spark
+   stages. The rounds together learn every training subword once, at a falling
+   rate. Scores so hang on the rows, not on how the input is
    split over files and tasks; only the copies of a fully repeated row are dealt as
    they lie in batches of 256, so that no worker gets them all.
 4. One pass scores all texts in overlapping windows, each token once, in batches
@@ -46,8 +47,8 @@ from odometrix.llm.common import materialize, read_table, ship_package
 from odometrix.llm.subwords import tokenizer_path, word_encoder
 
 FOLDS, HELD_OUT = 7, 2
-ROUNDS = 1
-WORKER_SUBWORDS = 4_000_000
+ROUNDS = 8
+WORKER_SUBWORDS = 1_000_000  # a worker learns in one round
 FAN_IN = 32  # weight vectors summed at once
 TOP_WORDS = 100_000
 VOCABULARY_SIZE = 49_408
@@ -154,13 +155,13 @@ def _trained(worker: int, weights: np.ndarray, n: int) -> pa.RecordBatch:
     )
 
 
-def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int, expected: int):
+def _local_training(weights: np.ndarray, class_of: np.ndarray, seed: int, expected: int, done: int):
     """(worker, weights, n): each worker's weights after its n windows, times n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((w, t.as_py()) for b in batches for w, t in zip(b.column(0).to_pylist(), b.column(1), strict=True))
         for worker, own in groupby(rows, key=itemgetter(0)):
-            trainer = am.Trainer(weights, expected, rate=am.RATE / (1 + seed))
+            trainer = am.Trainer(weights, expected, done=done)
             for k, windows in enumerate(training_windows((ids for _, ids in own), class_of)):
                 trainer.learn(*windows, seed=seed + k)
             yield _trained(worker, trainer.weights.astype("f8") * trainer.windows, trainer.windows)
@@ -187,18 +188,22 @@ def train_model(
     """Weights averaged over workers after each round of local SGD. ``texts``:
     deal, ids; ``subwords`` and ``n_texts`` are their totals."""
     weights = am.initial_weights(vocabulary)
-    workers = max(1, -(-subwords // worker_subwords))
-    # A text's last window is half full on average.
-    expected = int((subwords / am.WINDOW + n_texts / 2) / workers)
-    worker = F.pmod("deal", F.lit(workers)).cast("int")
-    dealt = (
-        texts.select(worker.alias("worker"), "ids", "deal")
-        .repartitionById(workers, F.col("worker"))
-        .sortWithinPartitions("worker", "deal")
-        .select("worker", "ids")
-    )
+    if not rounds:
+        return weights
+    workers = max(1, -(-subwords // (worker_subwords * rounds)))
+    # A round and worker learn about so many windows: a text's last one is half full.
+    each = int((subwords / am.WINDOW + n_texts / 2) / (workers * rounds))
+    worker = F.expr(f"(deal div {rounds}) % {workers}")
     for r in range(rounds):
-        trained = dealt.mapInArrow(_local_training(weights, vocabulary.class_of, r, expected), _TRAINED)
+        dealt = (
+            texts.filter(F.col("deal") % rounds == r)
+            .select(worker.cast("int").alias("worker"), "ids", "deal")
+            .repartitionById(workers, F.col("worker"))
+            .sortWithinPartitions("worker", "deal")
+            .select("worker", "ids")
+        )
+        training = _local_training(weights, vocabulary.class_of, r, each * rounds, each * r)
+        trained = dealt.mapInArrow(training, _TRAINED)
         left = workers
         while left > FAN_IN:
             left = -(-left // FAN_IN)
