@@ -9,8 +9,9 @@ is rejected when its base statistics fail or when cleaning removed more than
   one of the symbols ``# * $ % & | < >``;
 * ``navigation``: at least three of the separators ``| > / - * «»`` and bullets
   stand alone between its words, and they make up a quarter of its words;
-* ``boilerplate``: it has at most ``max_boilerplate_words`` words and holds one
-  of the phrases in ``BOILERPLATE``.
+* ``boilerplate``: it has at most ``max_boilerplate_words`` words and holds a
+  licence, rights or cookie notice, a link to terms, or other page furniture, in
+  English, German, French or Spanish (the patterns in ``BOILERPLATE``).
 
 Lines without a word are neither judged nor removed. All of it is one
 projection of built-in expressions: no shuffle, no Python.
@@ -37,11 +38,48 @@ MAX_BOILERPLATE_WORDS = 40
 SYMBOLS = r"#*$%&|<>"
 SEPARATORS = ("|", ">", "/", "*", "-", "«", "»", "•", "·", "::", ">>")
 
-# Phrases of page furniture and licences (lower case).
-BOILERPLATE = (
-    "all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service",
-    "licensed under", "powered by", "click here", "sign up", "subscribe to", "log in to", "skip to content",
-    "back to top", "share this", "lorem ipsum", "enable javascript",
+# Notices and page furniture in the languages of the texts, as patterns that start
+# where no letter A-Z stands before. A space stands for any white space; letters
+# outside A-Z are given in both cases, since only A-Z is matched in either.
+BOILERPLATE = {
+    "licences": (
+        r"licen[cs]ed (?:to you )?under", r"under (?:[^ ]+ ){0,8}licen[cs]e", r"general public licen[cs]e",
+        r"(?:mit|bsd|isc|apache|mozilla|eclipse)(?: [^ ]+){0,2} licen[cs]e", r"(?:mit|bsd|gpl|apache)-lizenz",
+        r"creative commons", r"cc(?: |-)by(?:-[a-z]{2})* [1-4]\.0", r"spdx-license-identifier",
+        r"lizenziert unter", r"unter (?:[^ ]+ ){1,6}[^ ]*lizenz", r"sous (?:la |une )?licence",
+        r"bajo (?:la |una )?licencia", r"licenciado bajo",
+    ),
+    "rights": (
+        r"all rights reserved", r"alle rechte vorbehalten", r"tous (?:les )?droits r[eéÉ]serv[eéÉ]s",
+        r"todos los derechos reservados", r"(?:copyright|©|\(c\))(?: |,|©|\(c\)){0,3}(?:19|20)[0-9]{2}",
+    ),
+    "terms": (
+        r"(?:cookie|privacy) (?:policy|notice|settings|preferences)", r"terms (?:of use|of service|and conditions)",
+        r"datenschutz(?:erkl|richtl|hinw|bestimm|einst)", r"nutzungsbedingungen", r"impressum",
+        r"cookie-(?:richtlinie|einstellungen)", r"politique (?:de confidentialit|des? cookies)",
+        r"mentions l[eéÉ]gales", r"conditions (?:d['’]utilisation|g[eéÉ]n[eéÉ]rales)",
+        r"pol[iíÍ]tica de (?:privacidad|cookies)", r"aviso legal", r"(?:t[eéÉ]rminos|condiciones) (?:de uso|del? servicio)",
+    ),
+    "cookies": (
+        r"(?:we|this (?:web)?site) uses? cookies", r"accept (?:all )?cookies",
+        r"(?:wir|diese (?:web)?(?:seite|site)) (?:verwende[tn]|nutz(?:t|en)) cookies", r"cookies (?:akzeptieren|zulassen)",
+        r"(?:nous utilisons|ce site utilise) des cookies", r"accepter (?:tous )?les cookies",
+        r"(?:utilizamos|usamos|este sitio (?:web )?(?:utiliza|usa)) cookies", r"aceptar (?:todas las )?cookies",
+    ),
+    "furniture": (
+        r"powered by", r"click here", r"sign up", r"subscribe to", r"log in to", r"skip to (?:main )?content",
+        r"back to top", r"share this", r"lorem ipsum", r"enable javascript",
+        r"zum (?:haupt)?inhalt springen", r"klicken sie hier", r"newsletter (?:abonnieren|anmelden)",
+        r"aller au contenu", r"retour en haut", r"cliquez ici", r"(?:inscrivez|abonnez)-vous",
+        r"(?:ir|saltar) al contenido", r"volver arriba", r"(?:haga|haz) clic aqu", r"suscr[iíÍ]bete",
+    ),
+}
+_NOTICES = "(?i)(?:^|[^A-Za-z])(?:{})".format(
+    "|".join(
+        p.replace("[^ ]", r"[^\x20\x09-\x0D]").replace(" ", r"[\x20\x09-\x0D]+")
+        for patterns in BOILERPLATE.values()
+        for p in patterns
+    )
 )
 
 
@@ -114,7 +152,7 @@ def failing_rule(
         .when(odd & (separators >= 3) & (separators * 4 >= F.size(words)), "navigation")
         .when(odd & (symbol_words > F.size(words) * max_symbol_words), "punctuation")
         .when((chars - spaces) * (1 - min_letters) < marks, "punctuation")
-        .when((F.size(words) <= max_boilerplate_words) & line.rlike(f"(?i)(?:{_PHRASES})"), "boilerplate")
+        .when((F.size(words) <= max_boilerplate_words) & line.rlike(_NOTICES), "boilerplate")
     )
 
 
@@ -205,7 +243,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SEPARATOR_LIST = ", ".join(f"'{x}'" for x in SEPARATORS)
-_PHRASES = "|".join(p.replace(" ", r"\s+") for p in BOILERPLATE)
+_NOTICES_SQL = _NOTICES.replace("'", "''")
 
 OP3_SQL = f"""
 WITH d AS (
@@ -237,7 +275,7 @@ WITH d AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines,
     sum(CASE WHEN (seps >= 3 AND seps * 4 >= n) OR syms > n * CAST({MAX_SYMBOL_WORDS} AS DOUBLE)
                OR chars * CAST({1 - MIN_LETTERS} AS DOUBLE) < marks
-               OR (n <= {MAX_BOILERPLATE_WORDS} AND regexp_matches(line, '(?i)(?:{_PHRASES})'))
+               OR (n <= {MAX_BOILERPLATE_WORDS} AND regexp_matches(line, '{_NOTICES_SQL}'))
              THEN n ELSE 0 END) AS lost
   FROM judged GROUP BY r
 ), s AS (

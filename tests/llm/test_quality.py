@@ -57,6 +57,44 @@ def test_verdicts_and_cleaned_lines(spark):
     assert got[5].lost_lines.boilerplate == 40
 
 
+NOTICES = """Released under the MIT License.
+Licensed under CC BY-NC 4.0.
+This work is licensed under the GNU General Public License, version 3.
+Distributed under the terms of the BSD 3-Clause License.
+Copyright (c) 2021 The Authors
+© 2019 Example Verlag GmbH
+SPDX-License-Identifier: Apache-2.0
+Alle Rechte vorbehalten.
+Veröffentlicht unter der MIT-Lizenz.
+Dieses Werk ist lizenziert unter CC BY-SA 4.0.
+Datenschutzerklärung und Impressum
+Diese Website verwendet Cookies.
+TOUS DROITS RÉSERVÉS
+Publié sous licence Creative Commons.
+Mentions légales – Conditions d’utilisation
+Nous utilisons des cookies pour votre confort.
+Todos los derechos reservados.
+Publicado bajo la licencia MIT.
+Política de privacidad y aviso legal
+Este sitio web utiliza cookies propias.""".split("\n")
+
+PLAIN = """The court weighed copyright law against the right to quote.
+She passed the driving licence test under heavy rain.
+Die Fahrer fuhren mit Lizenz und ohne Angst durch die Stadt.
+Der Impresario bat um Ruhe und um mehr Rechte.
+Les droits des auteurs furent défendus devant la cour.
+Los derechos de los vecinos fueron reservados para otra sesión.
+The blog in town wrote about cookies that we use for tea.""".split("\n")
+
+
+def test_notices_in_four_languages(spark):
+    body = [line(i) for i in range(60)]
+    text = "\n".join(body + NOTICES + PLAIN)
+    got = clean_lines(documents(spark, [(1, text, "s")])).select("quality.*").first()
+    assert got.kept and got.lost_lines.boilerplate == len(NOTICES)
+    assert got.clean_text.split("\n") == body + PLAIN
+
+
 def test_no_shuffle_and_empty(spark):
     df = clean_lines(documents(spark, JUNK).coalesce(1))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
