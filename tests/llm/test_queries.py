@@ -1,0 +1,72 @@
+"""The registered queries themselves, on a table of hard rows."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from odometrix.llm.html_blocks import default_tree, extract_text
+from odometrix.llm.registry import QUERIES
+from tests.llm.helpers import as_table, components, documents, hard_rows
+from tests.llm.test_simhash import fingerprint
+from tests.llm.test_substring_dedup import brute
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return sorted(r for r in hard_rows() if r[0] is not None)
+
+
+@pytest.fixture(scope="module")
+def folder(spark, rows, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("tables"))
+    as_table(spark, documents(spark, rows), path)
+    return path
+
+
+def test_op8_columns_and_values(spark, folder, rows):
+    got = QUERIES["op8_simhash_near_dedup"](spark, folder)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    fps = np.array([fingerprint(t) for _, t, _ in rows], "u8")
+    group = components(len(rows), lambda k: np.nonzero(np.bitwise_count(fps[k] ^ fps) <= 2)[0])
+    # Rows are sorted by id, so a group's first row has its smallest id.
+    want = [(i, f"{int(fps[k]):016x}", rows[group[k]][0]) for k, (i, _, _) in enumerate(rows)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_op9_columns_and_law(spark, folder, rows):
+    got = QUERIES["op9_sharding"](spark, folder)
+    assert dict(got.dtypes) == {
+        "doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int",
+        "slot": "bigint", "grown_shard": "int",
+    }
+    got = got.collect()
+    raw = [(i, (t or "").encode()) for i, t, _ in rows]
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted(
+        (i, len(b) + 16, zlib.crc32(b)) for i, b in raw
+    )
+    assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)}
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert set(slots) <= set(range(40)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_op5_columns_and_texts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    got = QUERIES["op5_html_extraction"](spark, "/root/testdata/sf0.001")
+    assert dict(got.dtypes) == {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"}
+    tree = default_tree()
+    want = [(p.page_id, p.url, extract_text(p.html, tree)) for p in pages]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((*w, len(w[2])) for w in want), key=str)
+    assert sum(w[2] != "" for w in want) > len(want) / 2
+
+
+def test_op6_columns_and_values(spark, tmp_path, rows):
+    # One row an id; brute force is slow on the longest text.
+    some = [(i, t, s) for i, t, s in rows if i not in (11, 12) and len(t or "") < 100_000]
+    as_table(spark, documents(spark, some), str(tmp_path))
+    got = QUERIES["op6_suffix_array_dedup"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted((str(r[0]), *r[1:]) for r in got.collect()) == brute([(i, t) for i, t, _ in some])
