@@ -36,6 +36,9 @@ _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, "f4"), 1)
 _SCALE = np.float32(WIDTH**-0.5)
 _ONES = np.ones(GROUPS, "f4")  # a product with ones sums rows faster than sum()
 _SEEN = np.ones((WINDOW, 1), "f4")
+_SUM = np.ones((PLACES, 1), "f4")
+FAR = 60  # up to here exp takes numbers as they are
+BLOCK = 16_384  # weights updated at a time: their averages stay in the cache
 
 
 @dataclass(frozen=True)
@@ -79,26 +82,39 @@ def initial_weights(vocabulary: Vocabulary, seed: int = 7) -> np.ndarray:
     return np.concatenate([parts[k].ravel() for k in _SHAPES])
 
 
+_ENDS = np.cumsum([int(np.prod(s)) for s in _SHAPES.values()]).tolist()
+_PLACED = [(k, s, a, b) for (k, s), a, b in zip(_SHAPES.items(), [0, *_ENDS], _ENDS, strict=False)]
+
+
 def unpack(weights: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k, s in _SHAPES.items():
-        n = int(np.prod(s))
-        out[k] = weights[at : at + n].reshape(s)
-        at += n
-    return out
+    """Views of the parts."""
+    return {k: weights[a:b].reshape(s) for k, s, a, b in _PLACED}
+
+
+def _times(x: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """``x @ matrix`` as one product, where numpy would take one for each window."""
+    return (x.reshape(-1, x.shape[2]) @ matrix).reshape(*x.shape[:2], -1)
 
 
 def _attend(p: dict, given: np.ndarray):
     """Hidden states of windows of class ids ``given`` (n, WINDOW), and what the
     backward pass needs. Masked: a position sees itself and what is before it."""
-    x = p["embed"][given] + p["place"]
-    q, k, v = np.split(x @ p["qkv"], 3, axis=2)
-    s = (q @ k.transpose(0, 2, 1)) * _SCALE + _MASK
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s)
-    a /= a.sum(axis=2, keepdims=True)
+    x = np.take(p["embed"], given, axis=0)
+    x += p["place"]
+    qkv = _times(x, p["qkv"])
+    q, k, v = (qkv[:, :, i * WIDTH : (i + 1) * WIDTH] for i in range(3))
+    a = q @ k.transpose(0, 2, 1)
+    a *= _SCALE
+    far = _reach(a) > FAR
+    a += _MASK
+    if far:
+        a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
+    a /= a @ _SEEN
     o = a @ v
-    return x + o @ p["mix"], (x, q, k, v, a, o)
+    hidden = _times(o, p["mix"])
+    hidden += x
+    return hidden, (x, q, k, v, a, o)
 
 
 def _by_group(wanted: np.ndarray):
@@ -108,9 +124,14 @@ def _by_group(wanted: np.ndarray):
     return group, order, np.cumsum(np.bincount(group, minlength=GROUPS))
 
 
+def _reach(x: np.ndarray) -> float:
+    """The largest absolute value."""
+    return max(float(x.max(initial=0.0)), -float(x.min(initial=0.0)))
+
+
 def _log_softmax_at(logits: np.ndarray, target: np.ndarray, reach: float) -> np.ndarray:
     """log softmax(logits)[target] by row; ``logits`` are overwritten."""
-    if reach > 60:  # beyond what exp takes as it is
+    if reach > FAR:
         logits -= logits.max(axis=1, keepdims=True)
     picked = logits[np.arange(len(target)), target]
     return picked - np.log(np.exp(logits, out=logits) @ _ONES)
@@ -123,54 +144,60 @@ def _longest(rows: np.ndarray) -> float:
 
 class Scorer:
     """The forward pass alone, arranged for speed: the projections of every
-    (class, position) are tables, so a window starts with one lookup. Same
+    (class, position) are tables, so a window starts with two lookups, and windows
+    scored in their last ``STRIDE`` positions alone attend from those only. Same
     values as ``_attend``."""
 
     def __init__(self, weights: np.ndarray):
         self.p = p = unpack(weights)
-        self.by_class = np.concatenate([p["embed"], p["embed"] @ p["qkv"]], axis=1)
-        self.by_place = np.concatenate([p["place"], p["place"] @ p["qkv"]], axis=1)
+        mine = np.concatenate([np.eye(WIDTH, dtype="f4"), p["qkv"][:, :WIDTH] * _SCALE], axis=1)
+        self.mine = [p[k] @ mine for k in ("embed", "place")]  # state and query
+        self.seen = [p[k] @ p["qkv"][:, WIDTH:] for k in ("embed", "place")]  # key and value
         columns = np.concatenate([p["group"], *p["member"]], axis=1)
         self.steepest = _longest(columns.T)
         # Bound of every attention score (Cauchy-Schwarz): exp needs no maximum
         # taken off while it is small.
-        q, k = (slice(i * WIDTH, (i + 1) * WIDTH) for i in (1, 2))
-        self.sharpest = float(_SCALE) * math.prod(
-            _longest(self.by_class[:, c]) + _longest(self.by_place[:, c]) for c in (q, k)
+        self.sharpest = math.prod(
+            sum(_longest(t) for t in part) for part in ([t[:, WIDTH:] for t in self.mine], [t[:, :WIDTH] for t in self.seen])
         )
 
-    def log_probabilities(self, given: np.ndarray, wanted: np.ndarray, scored: np.ndarray) -> np.ndarray:
-        """log P of the classes ``wanted`` at the positions ``scored`` (mask), in order."""
-        p = self.p
-        xqkv = np.take(self.by_class, given, axis=0)
-        xqkv += self.by_place
-        q, k, v = (xqkv[:, :, i * WIDTH : (i + 1) * WIDTH] for i in range(1, 4))
-        q *= _SCALE
-        a = q @ k.transpose(0, 2, 1)
-        a += _MASK
-        if self.sharpest > 60:
+    def _hidden(self, given: np.ndarray, scored: np.ndarray, start: int) -> np.ndarray:
+        """Hidden states at the positions ``scored``, none of them before ``start``."""
+        seen = np.take(self.seen[0], given, axis=0)
+        seen += self.seen[1]
+        mine = np.take(self.mine[0], given[:, start:], axis=0)
+        mine += self.mine[1][start:]
+        a = mine[:, :, WIDTH:] @ seen[:, :, :WIDTH].transpose(0, 2, 1)
+        a += _MASK[start:]
+        if self.sharpest > FAR:
             a -= a.max(axis=2, keepdims=True)
         np.exp(a, out=a)
-        o = a @ v
+        o = a @ seen[:, :, WIDTH:]
         o /= a @ _SEEN
-        at = np.flatnonzero(scored)
-        hidden = np.empty((len(at), WIDTH + 1), "f4")
-        hidden[:, :WIDTH] = np.take(p["embed"], given.ravel()[at], axis=0)
-        hidden[:, :WIDTH] += np.take(p["place"], at % WINDOW, axis=0)
-        hidden[:, :WIDTH] += np.take(o.reshape(-1, WIDTH), at, axis=0) @ p["mix"]
-        hidden[:, WIDTH] = 1
-        target = wanted.ravel()[at]
+        hidden = _times(o, self.p["mix"])
+        hidden += mine[:, :, :WIDTH]
+        return hidden[scored[:, start:]]
+
+    def log_probabilities(self, given: np.ndarray, wanted: np.ndarray, scored: np.ndarray) -> np.ndarray:
+        """log P of the classes ``wanted`` at the positions ``scored`` (mask), in order."""
+        p, early = self.p, WINDOW - STRIDE
+        target = wanted[scored]
+        hidden = np.ones((len(target), WIDTH + 1), "f4")
+        whole = scored[:, :early].any(axis=1)
+        of_whole = np.repeat(whole, scored.sum(axis=1))
+        for windows, rows, start in ((~whole, ~of_whole, early), (whole, of_whole, 0)):
+            if rows.any():
+                hidden[rows, :WIDTH] = self._hidden(given[windows], scored[windows], start)
         group, order, ends = _by_group(target)
         # Bound of every logit in the same way, without a pass over them.
-        largest = max(float(hidden.max(initial=0.0)), -float(hidden.min(initial=0.0)))
-        reach = largest * math.sqrt(WIDTH + 1) * self.steepest
+        reach = _reach(hidden) * math.sqrt(WIDTH + 1) * self.steepest
         out = _log_softmax_at(hidden @ p["group"], group, reach)
         hidden = np.take(hidden, order, axis=0)
         members = np.empty((len(target), PLACES), "f4")
         at = 0
-        for g, end in enumerate(ends.tolist()):
+        for member, end in zip(p["member"], ends.tolist(), strict=True):
             if end > at:
-                np.matmul(hidden[at:end], p["member"][g], out=members[at:end])
+                hidden[at:end].dot(member, members[at:end])
             at = end
         out[order] += _log_softmax_at(members, target[order] % PLACES, reach)
         return out
@@ -198,9 +225,10 @@ def windows_of(classes: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, n
 
 def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
     """Summed loss, and its gradient by the logits (which are overwritten)."""
-    logits -= logits.max(axis=1, keepdims=True)
+    if _reach(logits) > FAR:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= logits @ _SUM
     rows = np.arange(len(target))
     loss = -float(np.log(logits[rows, target] + 1e-12).sum())
     logits[rows, target] -= 1
@@ -209,45 +237,54 @@ def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.nda
 
 def _gradient(weights: np.ndarray, given: np.ndarray, wanted: np.ndarray, real: np.ndarray):
     p = unpack(weights)
+    flat = np.zeros(SIZE, "f4")
+    g = unpack(flat)
     hidden, (x, q, k, v, a, o) = _attend(p, given)
     target = wanted[real]
-    n = max(1, len(target))
-    h = np.concatenate([hidden[real], np.ones((len(target), 1), "f4")], axis=1)
+    n = np.float32(max(1, len(target)))
+    # Positions in the order of their targets' groups.
     group, order, ends = _by_group(target)
-    g = {}
-    loss, d = _softmax_loss(h @ p["group"], group)
-    g["group"] = h.T @ d / n
+    at = np.flatnonzero(real)[order]
+    h = np.ones((len(at), WIDTH + 1), "f4")
+    h[:, :WIDTH] = np.take(hidden.reshape(-1, WIDTH), at, axis=0)
+    loss, d = _softmax_loss(h @ p["group"], group[order])
+    d /= n
+    np.matmul(h.T, d, out=g["group"])
     dh = d @ p["group"].T
-    hs, slots = h[order], target[order] % PLACES
-    dhs = np.zeros_like(hs)
-    g["member"] = np.zeros(_SHAPES["member"], "f4")
-    spans = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)) if b > a]
-    members = np.empty((len(hs), PLACES), "f4")
-    for c, at, end in spans:
-        np.matmul(hs[at:end], p["member"][c], out=members[at:end])
-    part, d = _softmax_loss(members, slots)
+    starts = [0, *ends[:-1].tolist()]
+    spans = [x for x in zip(p["member"], g["member"], starts, ends.tolist(), strict=True) if x[3] > x[2]]
+    members = np.empty((len(h), PLACES), "f4")
+    for member, _, i, j in spans:
+        h[i:j].dot(member, members[i:j])
+    part, d = _softmax_loss(members, target[order] % PLACES)
     loss += part
-    for c, at, end in spans:
-        g["member"][c] = hs[at:end].T @ d[at:end] / n
-        dhs[at:end] = d[at:end] @ p["member"][c].T
-    dh[order] += dhs
+    d /= n
+    dm = np.empty_like(h)
+    for member, slope, i, j in spans:
+        h[i:j].T.dot(d[i:j], slope)
+        d[i:j].dot(member.T, dm[i:j])
+    dh += dm
     dhidden = np.zeros_like(hidden)
-    dhidden[real] = dh[:, :WIDTH] / n
-    g["mix"] = o.reshape(-1, WIDTH).T @ dhidden.reshape(-1, WIDTH)
-    do = dhidden @ p["mix"].T
-    da = do @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * _SCALE
-    dqkv = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2)
-    g["qkv"] = x.reshape(-1, WIDTH).T @ dqkv.reshape(-1, 3 * WIDTH)
-    dx = dhidden + dqkv @ p["qkv"].T
-    g["place"] = dx.sum(axis=0)
-    g["embed"] = np.zeros(_SHAPES["embed"], "f4")
+    dhidden.reshape(-1, WIDTH)[at] = dh[:, :WIDTH]
+    np.matmul(o.reshape(-1, WIDTH).T, dhidden.reshape(-1, WIDTH), out=g["mix"])
+    do = _times(dhidden, p["mix"].T)
+    ds = do @ v.transpose(0, 2, 1)
+    ds -= (ds * a) @ _SEEN
+    ds *= a
+    ds *= _SCALE
+    dqkv = np.empty((*given.shape, 3 * WIDTH), "f4")
+    np.matmul(ds, k, out=dqkv[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[:, :, WIDTH : 2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), do, out=dqkv[:, :, 2 * WIDTH :])
+    np.matmul(x.reshape(-1, WIDTH).T, dqkv.reshape(-1, 3 * WIDTH), out=g["qkv"])
+    dx = _times(dqkv, p["qkv"].T)
+    dx += dhidden
+    np.sum(dx, axis=0, out=g["place"])
     by_class = np.argsort(given.ravel().astype("i2"), kind="stable")
     seen = given.ravel()[by_class]
     first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
-    g["embed"][seen[first]] = np.add.reduceat(dx.reshape(-1, WIDTH)[by_class], first)
-    return loss, np.concatenate([g[name].ravel() for name in _SHAPES])
+    g["embed"][seen[first]] = np.add.reduceat(np.take(dx.reshape(-1, WIDTH), by_class, axis=0), first)
+    return loss, flat
 
 
 class Trainer:
@@ -257,7 +294,7 @@ class Trainer:
 
     def __init__(self, weights: np.ndarray, expected: int, *, done: int = 0, rate: float = RATE, batch: int = BATCH):
         self.weights = weights.astype("f4").copy()
-        self.mean, self.square = np.zeros_like(self.weights), np.zeros_like(self.weights)
+        self.sums, self.squares = np.zeros_like(self.weights), np.zeros_like(self.weights)
         self.expected, self.done, self.rate, self.batch = max(1, expected), done, rate, batch
         self.steps = self.windows = 0
 
@@ -270,18 +307,21 @@ class Trainer:
             loss, g = _gradient(self.weights, given[part], wanted[part], real[part])
             total += float(loss)
             self.steps += 1
-            self.mean *= np.float32(0.9)
-            self.mean += np.float32(0.1) * g
-            self.square *= np.float32(0.99)
-            g *= g
-            g *= np.float32(0.01)
-            self.square += g
             rate = self.rate * max(0.05, 1 - (self.done + self.windows) / self.expected) / (1 - 0.9**self.steps)
-            np.divide(self.square, np.float32(1 - 0.99**self.steps), out=g)
-            np.sqrt(g, out=g)
-            g += np.float32(1e-8)
-            np.divide(self.mean, g, out=g)
-            g *= np.float32(rate)
-            self.weights -= g
+            # The sums are 10 and 100 times the averages; ``unit`` is the root of a
+            # sum over that of its average, corrected for the start at zero.
+            unit = math.sqrt(100 * (1 - 0.99**self.steps))
+            for i in range(0, SIZE, BLOCK):
+                w, sums, squares, d = (k[i : i + BLOCK] for k in (self.weights, self.sums, self.squares, g))
+                sums *= np.float32(0.9)
+                sums += d
+                squares *= np.float32(0.99)
+                d *= d
+                squares += d
+                np.sqrt(squares, out=d)
+                d += np.float32(1e-8 * unit)
+                np.divide(sums, d, out=d)
+                d *= np.float32(rate * unit / 10)
+                w -= d
             self.windows += len(part)
         return total

@@ -4,8 +4,8 @@ Documents whose crc32(id as text) mod 7 is 2 are held out; all others train.
 
 1. One pass over all texts gathers, from the training ones, the count of every
    word and end token, and the subword ids of the whole text, end token included.
-2. Subword counts follow from the word counts, each different word being encoded
-   once. They give the classes (``attention_model``).
+2. The subwords of those ids are counted. The counts give the classes
+   (``attention_model``).
 3. Local SGD: texts are dealt by hash to ``ROUNDS`` rounds, and in each round to
    workers of about ``WORKER_SUBWORDS`` subwords, a number that follows from the
    subword count alone; each worker takes its texts in hash order. In a round every
@@ -55,7 +55,7 @@ VOCABULARY_SIZE = 49_408
 END_ID = 49_407  # the tokenizer's own end-of-text id closes every text
 END_WORD = b""  # no word is empty, so the end token needs no name of its own
 FLUSH_WORDS = 200_000  # different words a task holds before it hands on counts
-SCORE_WINDOWS = 256
+SCORE_WINDOWS = 512
 TRAIN_WINDOWS = 10_000  # windows a task shuffles and trains on at a time
 
 
@@ -95,7 +95,7 @@ def _gather(path: str):
                     words = (text.as_py() or "").encode("utf-8", "replace").lower().split()
                     counts.update(words)
                     counts[END_WORD] += 1
-                    ids = b"".join([*map(encoder.get, words), END])
+                    ids = encoder.encode_words(words) + END
                     texts.append(np.frombuffer(ids, "<u4").astype("<u2").tobytes())
                     own = xxhash.xxh64_intdigest(texts[-1], zlib.crc32(str(id_).encode()))
                     deals.append(xxhash.xxh64_intdigest(f"{own}:{copies[own]}") >> 1)
@@ -109,21 +109,15 @@ def _gather(path: str):
     return run
 
 
-def _subword_counts(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
-        total = np.zeros(VOCABULARY_SIZE, "i8")
-        for batch in batches:
-            words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
-            ids = [END if w == END_WORD else encoder.get(w) for w in words]
-            weights = np.repeat(counts, [len(i) // 4 for i in ids])
-            # Sums below 2^53 are exact in the floats that bincount adds.
-            seen = np.bincount(np.frombuffer(b"".join(ids), "<u4"), weights=weights, minlength=VOCABULARY_SIZE)
-            total += seen.astype("i8")
-        ids = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
-
-    return run
+def _subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n) of the subwords in a column of texts (16-bit ids)."""
+    total = np.zeros(VOCABULARY_SIZE, "i8")
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            ids = b"".join(whole.column(0).slice(at, 256).to_pylist())
+            total += np.bincount(np.frombuffer(ids, "<u2"), minlength=VOCABULARY_SIZE)
+    ids = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
 
 def training_windows(texts: Iterable[bytes], class_of: np.ndarray):
@@ -269,7 +263,6 @@ def _scoring(path: str, model):
         encoder = word_encoder(path)
         weights, vocabulary, top, end_log = model.value
         class_of, inside = vocabulary.class_of, vocabulary.inside
-        end = np.array([END_ID])
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
@@ -278,10 +271,10 @@ def _scoring(path: str, model):
                 rare_words, rare_counts, rare_ends = [], [], [0]
                 for text in batch.column(2):
                     raw = text.as_py() or ""
-                    sub = np.concatenate([np.frombuffer(encoder.encode(raw), "<u4").astype("i8"), end])
+                    words = raw.encode("utf-8", "replace").lower().split()
+                    sub = np.frombuffer(encoder.encode_words(words) + END, "<u4")
                     classes.append(class_of[sub].astype("i8"))
                     plain.append(float(inside[sub].sum(dtype="f8")))
-                    words = raw.encode("utf-8", "replace").lower().split()
                     found = list(map(top.get, words))  # log shares: below zero, or None
                     missing = found.count(None)
                     n_tokens.append(len(words) + 1)
@@ -332,15 +325,14 @@ def score_documents(
     train_tokens, types = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
     base_of = math.log10(train_tokens + types + 1)
 
+    texts = gathered.filter("ids is not null")
     subwords = (
-        counts.mapInArrow(_subword_counts(path), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+        texts.select("ids").mapInArrow(_subword_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     )  # at most one row per subword of the tokenizer
     by_id = np.zeros(VOCABULARY_SIZE, "i8")
     by_id[subwords["id"].to_numpy("i8")] = subwords["n"].to_numpy("i8")
     classes = am.Vocabulary.from_counts(by_id, word_encoder(path).ends_word(VOCABULARY_SIZE))
-    weights = train_model(
-        gathered.filter("ids is not null"), classes, int(by_id.sum()), int(by_id[END_ID]), rounds, worker_subwords
-    )
+    weights = train_model(texts, classes, int(by_id.sum()), int(by_id[END_ID]), rounds, worker_subwords)
 
     frequent = frequent_words(counts.filter(F.length("word") > 0), top_words).toPandas()
     top = {bytes(w): math.log10(c + 1) - base_of for w, c in zip(frequent["word"], frequent["c"], strict=True)}

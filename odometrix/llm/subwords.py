@@ -35,6 +35,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Known(dict):
+    """Ids of the words met so far; a missing word is encoded on its lookup."""
+
+    def __init__(self, encode, most: int):
+        super().__init__()
+        self.encode, self.most = encode, most
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encode(word)
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """``get(word)``: the little-endian 32-bit ids of one lower-cased word (UTF-8)."""
 
@@ -45,8 +60,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.max_words = max_words
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known(self._encode, max_words)
         # Strings of the vocabulary that a text may hold as ids of their own.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.path = path
@@ -61,9 +75,9 @@ class WordEncoder:
         if _PLAIN.fullmatch(word):
             return word
         if word.isalpha() and unicodedata.is_normalized("NFC", word):
-            low = "".join(c.lower() for c in word)
-            if low.isalpha() and low == word.lower():
-                return "".join(self.letters[b] for b in low.encode())
+            low = word.lower()
+            if low == word or low.isalpha() and low == "".join(c.lower() for c in word):
+                return low.encode().decode("latin-1").translate(self.letters)
         return None
 
     def _encode(self, word: bytes) -> bytes:
@@ -84,24 +98,15 @@ class WordEncoder:
         return np.fromiter((t.endswith("</w>") for t in names), bool, size)
 
     def get(self, word: bytes) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = self._encode(word)
-            if len(self.known) >= self.max_words:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
+        return self.known[word]
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, as little-endian unsigned 32-bit numbers."""
-        words = text.encode("utf-8", "replace").lower().split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            get = self.get
-            return b"".join([get(w) for w in words])
+        return self.encode_words(text.encode("utf-8", "replace").lower().split())
 
+    def encode_words(self, words: list[bytes]) -> bytes:
+        """``get`` of all ``words``, one after the other."""
+        return b"".join(map(self.known.__getitem__, words))
 
     def encode_text(self, text: str) -> bytes:
         """The ids that the unaltered tokenizer gives a whole text: as ``encode``,

@@ -12,6 +12,7 @@ from odometrix.llm.lm_scoring import (
     TRAIN_WINDOWS,
     VOCABULARY_SIZE,
     _gather,
+    _subword_counts,
     score_classes,
     score_documents,
     training_windows,
@@ -181,3 +182,45 @@ def test_repeated_rows_are_dealt_apart():
     batch = pa.RecordBatch.from_arrays([pa.array([4] * 300), pa.array(["the same text"] * 300)], ["id", "text"])
     deals = [d for b in _gather(tokenizer_path())(iter([batch])) for d in b.column(3).to_pylist() if d is not None]
     assert len(deals) == 300 and len({d % 64 for d in deals}) > 50
+
+
+def test_subwords_are_counted_from_the_stored_ids():
+    """No word is encoded again for the counts."""
+    r = np.random.default_rng(4)
+    texts = [r.integers(0, VOCABULARY_SIZE, n).astype("<u2") for n in (0, 1, 700, *range(300))]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in part], pa.binary())], ["ids"]) for part in (texts[:5], texts[5:])]
+    (got,) = _subword_counts(iter(batches))
+    want = Counter(np.concatenate(texts).tolist())
+    assert dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True)) == want
+
+
+def test_overlapping_windows_attend_from_their_new_positions_only(monkeypatch):
+    starts = Counter()
+    plain = am.Scorer._hidden
+
+    def counted(self, given, scored, start):
+        starts[start] += len(given)
+        return plain(self, given, scored, start)
+
+    monkeypatch.setattr(am.Scorer, "_hidden", counted)
+    given, wanted, scored = am.windows_of(np.arange(300))
+    am.log_probabilities(am.initial_weights(vocabulary()), given, wanted, scored)
+    assert starts == {0: 1, am.WINDOW - am.STRIDE: len(given) - 1}
+
+
+def test_steps_match_plain_adam():
+    r = np.random.default_rng(6)
+    w = am.initial_weights(vocabulary())
+    given, wanted = r.integers(0, am.CLASSES, (40, am.WINDOW)), r.integers(0, am.CLASSES - 1, (40, am.WINDOW))
+    real = r.random((40, am.WINDOW)) < 0.9
+    trainer = am.Trainer(w, 10**9, batch=16)
+    trainer.learn(given, wanted, real, seed=3)
+    order, want = np.random.default_rng(3).permutation(40), w.astype("f8")
+    mean, square = np.zeros(am.SIZE), np.zeros(am.SIZE)
+    for step, at in enumerate(range(0, 40, 16), 1):
+        part = order[at : at + 16]
+        g = am._gradient(want.astype("f4"), given[part], wanted[part], real[part])[1].astype("f8")
+        mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
+        want -= am.RATE * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    # A gradient near the constant 1e-8 may round either way.
+    assert np.mean(np.abs(trainer.weights - want) < 1e-4) > 0.999
